@@ -24,11 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.scan import CHUNK, running_before
+from quayside.operators.scan import CHUNK, running_before, whole
 from quayside.session import cut_lineage
 
-# Cells are this many batches wide, so halos add about a quarter of the rows.
+# Least width of a cell in batches: halos then add about a quarter of the rows.
+# Small batches share a cell of up to CELL_BYTES, so a cell's rows stay bounded
+# by its bytes and its age is only a second bound.
 CELL_BATCHES = 4
+CELL_AGES = 16
+CELL_BYTES = 32 * 1024 * 1024
 FAN = 64
 # Cells after its own into which the last batch of a cell can reach: one more
 # step of bytes, one more of age, and the first row after both.
@@ -58,8 +62,8 @@ def _cells(rows: DataFrame, keys: list[str], max_bytes: int, age: int) -> DataFr
     grid = [*keys, "_b", "_t"]
     placed = rows.withColumns(
         {
-            "_b": F.floor(F.col("before") / F.lit(CELL_BATCHES * max_bytes)).cast("bigint"),
-            "_t": F.floor(F.col("clock") / F.lit(CELL_BATCHES * age)).cast("bigint"),
+            "_b": whole(F.col("before"), max(CELL_BATCHES * max_bytes, CELL_BYTES)),
+            "_t": whole(F.col("clock"), CELL_AGES * age),
         }
     )
     ordered = Window.partitionBy(*keys).orderBy("_b", "_t")
@@ -244,14 +248,14 @@ def cut_batches(
 
     levels = [cut_lineage(rows.groupBy(*by, "cell").applyInPandas(_jumps(by, max_bytes, age), jump_shape))]
     while (levels[-1].agg(F.max("cell")).first()[0] or 0) > 0:
-        grouped = levels[-1].withColumn("_group", F.floor(F.col("cell") / FAN).cast("bigint"))
+        grouped = levels[-1].withColumn("_group", whole(F.col("cell"), FAN))
         levels.append(cut_lineage(grouped.groupBy(*by, "_group").applyInPandas(_compose(by), jump_shape)))
 
     # The top level has one group per key: its first record starts the first batch.
     true = levels[-1].groupBy(*by, "cell").agg(F.min("enter").alias("start"))
     for level in reversed(levels[:-1]):
         above = true.withColumnsRenamed({"cell": "_group", "start": "_start"})
-        children = level.withColumn("_group", F.floor(F.col("cell") / FAN).cast("bigint")).join(above, [*by, "_group"])
+        children = level.withColumn("_group", whole(F.col("cell"), FAN)).join(above, [*by, "_group"])
         true = children.groupBy(*by, "_group").applyInPandas(_walk(by), shape(cell=long, start=long))
 
     part_shape = shape(

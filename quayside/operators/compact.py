@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.config import EXPORT_BYTES
+from quayside.session import settings
 
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -41,21 +41,6 @@ def lossy_widenings(df: DataFrame, column: str) -> DataFrame:
     return df.filter(back != value.cast("decimal(38,0)"))
 
 
-@contextmanager
-def _conf(spark: SparkSession, **settings: str):
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def compact(df: DataFrame, path: str, target_bytes: int = EXPORT_BYTES, partition_by: str | None = None) -> None:
     """Rewrite ``df`` below ``path`` as files of about ``target_bytes``.
 
@@ -66,7 +51,7 @@ def compact(df: DataFrame, path: str, target_bytes: int = EXPORT_BYTES, partitio
     """
     spark = df.sparkSession
     size = str(target_bytes)
-    with _conf(spark, **{MAX_PARTITION_BYTES: size, ADVISORY_BYTES: size}):
+    with settings(spark, {MAX_PARTITION_BYTES: size, ADVISORY_BYTES: size}):
         if partition_by:
             df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
         else:

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 CHUNK = 65536
 
 
+def whole(position: Column, size: int) -> Column:
+    """Integer division, exact where a double would round."""
+    return F.call_function("div", position, F.lit(size))
+
+
 def running_before(
     df: DataFrame, keys: list[str], position: str, totals: dict[str, tuple[str, str]], chunk: int = CHUNK, levels: int = 1
 ) -> DataFrame:
@@ -35,17 +40,17 @@ def running_before(
         zero = {out: F.coalesce(c, F.lit(0)) if totals[out][0] == "sum" else c for out, c in local.items()}
         return df.withColumns(zero)
 
-    chunked = df.withColumn(block, F.floor(F.col(position) / F.lit(chunk)).cast("bigint"))
+    chunked = df.withColumn(block, whole(F.col(position), chunk))
     sums = chunked.groupBy(*partition).agg(*[total(kind, source).alias(f"_s_{out}") for out, (kind, source) in totals.items()])
     carried = running_before(
         sums, keys, block, {f"_c_{out}": (kind, f"_s_{out}") for out, (kind, _) in totals.items()}, chunk, levels - 1
     ).select(*partition, *[f"_c_{out}" for out in totals])
 
     joined = chunked.join(carried, partition)
-    whole = {
+    combined = {
         out: F.coalesce(local[out], F.lit(0)) + F.col(f"_c_{out}")
         if kind == "sum"
         else F.greatest(local[out], F.col(f"_c_{out}"))
         for out, (kind, _) in totals.items()
     }
-    return joined.withColumns(whole).drop(block, *[f"_c_{out}" for out in totals])
+    return joined.withColumns(combined).drop(block, *[f"_c_{out}" for out in totals])

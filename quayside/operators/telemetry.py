@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.config import EMA_ALPHA
+from quayside.operators.scan import whole
 
 # Flushes folded in one group; groups are folded again, level by level, so no
 # group grows with the length of a topic's history.
@@ -34,7 +35,7 @@ def _moves(flush_log: DataFrame, alpha: float) -> DataFrame:
 
 
 def _grouped(moves: DataFrame) -> DataFrame:
-    return moves.withColumn("grp", F.floor(F.col("idx") / FOLD).cast("bigint"))
+    return moves.withColumn("grp", whole(F.col("idx"), FOLD))
 
 
 def _fold(moves: DataFrame) -> DataFrame:

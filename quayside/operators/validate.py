@@ -21,28 +21,33 @@ def _path(name: str) -> str:
 
 def _whole_number_rule(node: Column, kind: Column) -> Column:
     """``2.0`` and ``1e2`` are whole numbers. Decimal kinds name their scale, so
-    a fraction shows in the kind; exponents arrive as doubles."""
+    a fraction shows in the kind; exponents arrive as doubles. NaN sorts above
+    every number."""
     number = F.try_variant_get(node, "$", "double")
     return (
         F.when(kind == "BIGINT", F.lit(None))
-        .when(kind.rlike(r"^DECIMAL\(\d+,0\)$"), F.when(F.try_variant_get(node, "$", "bigint").isNull(), "out_of_range"))
-        .when(kind.startswith("DECIMAL"), "fraction")
         .when(
-            kind == "DOUBLE",
-            F.when((number >= TWO_63) | (number < -TWO_63) | F.isnan(number), "out_of_range").when(
-                F.floor(number) != number, "fraction"
+            kind.startswith("DECIMAL"),
+            F.when(~kind.endswith(",0)"), "fraction").when(
+                F.try_variant_get(node, "$", "bigint").isNull(), "out_of_range"
             ),
         )
+        .when(
+            kind == "DOUBLE",
+            F.when((number >= TWO_63) | (number < -TWO_63), "out_of_range").when(F.floor(number) != number, "fraction"),
+        )
         .otherwise("wrong_type")
     )
 
 
 def _finite_rule(node: Column, kind: Column) -> Column:
+    """Whole numbers and decimals are finite by construction."""
     number = F.try_variant_get(node, "$", "double")
-    return F.when(
-        (kind == "BIGINT") | kind.startswith("DECIMAL") | (kind == "DOUBLE"),
-        F.when(F.isnan(number) | (F.abs(number) == float("inf")), "not_finite"),
-    ).otherwise("wrong_type")
+    return (
+        F.when((kind == "BIGINT") | kind.startswith("DECIMAL"), F.lit(None))
+        .when(kind == "DOUBLE", F.when(~(F.abs(number) < float("inf")), "not_finite"))
+        .otherwise("wrong_type")
+    )
 
 
 def _type_rule(field: T.StructField, node: Column, kind: Column) -> Column:
@@ -73,26 +78,33 @@ def validate(decoded: DataFrame, schema: T.StructType, coerce: bool = False) ->
     ``fraction``, ``out_of_range``, ``not_finite``. A payload that cannot be
     read at all gives one violation of column ``$``. All row-local: no shuffle.
     """
-    nodes = decoded.withColumn(
-        "_nodes",
-        F.struct(*[F.try_variant_get("payload", _path(f.name), "variant").alias(f.name) for f in schema.fields]),
-    ).withColumn(
-        "_kinds", F.struct(*[F.schema_of_variant(F.col("_nodes")[f.name]).alias(f.name) for f in schema.fields])
-    )
-    checks = []
+    names = [f.name for f in schema.fields]
+    typed = decoded.withColumn(
+        "_nodes", F.struct(*[F.try_variant_get("payload", _path(n), "variant").alias(n) for n in names])
+    ).withColumn("_kinds", F.struct(*[F.schema_of_variant(F.col("_nodes")[n]).alias(n) for n in names]))
+    rules = []
     for field in schema.fields:
         node, kind = F.col("_nodes")[field.name], F.col("_kinds")[field.name]
-        typed = _coerced_rule(field, node) if coerce else _type_rule(field, node, kind)
+        by_type = _coerced_rule(field, node) if coerce else _type_rule(field, node, kind)
         absent = F.lit(None) if field.nullable else F.lit("missing")
         null = F.lit(None) if field.nullable else F.lit("null")
-        rule = F.when(node.isNull(), absent).when(kind == "VOID", null).otherwise(typed)
-        checks.append(F.when(rule.isNotNull(), F.struct(F.lit(field.name).alias("column"), rule.alias("rule"))))
-    # Drops the nulls; unlike a lambda it stays inside generated code.
-    broken = F.array_except(F.array(*checks).cast(VIOLATIONS), F.array(F.lit(None)).cast(VIOLATIONS))
-    whole = F.array(F.struct(F.lit("$").alias("column"), F.col("payload_error").alias("rule")))
-    return nodes.withColumn(
-        "violations", F.when(F.col("payload_error").isNotNull(), whole).otherwise(broken).cast(VIOLATIONS)
-    ).drop("_nodes", "_kinds")
+        rules.append(F.when(node.isNull(), absent).when(kind == "VOID", null).otherwise(by_type).alias(field.name))
+    ruled = typed.withColumn("_rules", F.struct(*rules))
+
+    def violation(name: str, rule: Column) -> Column:
+        return F.when(rule.isNotNull(), F.struct(F.lit(name).alias("column"), rule.alias("rule")))
+
+    each = F.array(*[violation(n, F.col("_rules")[n]) for n in names]).cast(VIOLATIONS)
+    nothing = F.array().cast(VIOLATIONS)
+    violations = (
+        F.when(F.col("payload_error").isNotNull(), F.array(violation("$", F.col("payload_error"))).cast(VIOLATIONS))
+        .when(F.coalesce(*[F.col("_rules")[n] for n in names]).isNull(), nothing)
+        # Drops the nulls; unlike a lambda it stays inside generated code.
+        .otherwise(F.array_except(each, F.array(F.lit(None)).cast(VIOLATIONS)))
+    )
+    # A one-element explode, because filters on its output are not pushed below
+    # it: a pushed filter would parse and check every record a second time.
+    return ruled.select(*decoded.columns, F.explode(F.array(violations)).alias("violations"))
 
 
 def accepted(validated: DataFrame) -> DataFrame:

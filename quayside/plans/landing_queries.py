@@ -207,19 +207,9 @@ _BATCH_SQL = QUERIES["flush_batches"].sql
 @query("W2 T4", f"SELECT * FROM ({_BATCH_SQL}) WHERE closed_by <> 'open'")
 def flush_batches_of_stream(spark, sf_dir):
     """The stream gives the batches that have closed, the same ones as the batch job."""
-    provider = spark.conf.get(flush.STATE_STORE_CONF, None)
-    spark.conf.set(flush.STATE_STORE_CONF, flush.STATE_STORE)
     out = fresh_dir(spark, "flushes")
     events = X.table(spark, sf_dir, "events")
     stream = spark.readStream.schema(events.schema).option("maxBytesPerTrigger", STREAM_BYTES)
     sized = X.with_sizes(stream.parquet(f"{sf_dir}/events.parque[t]"))
-    try:
-        cut = flush.cut_stream(sized, BATCH_BYTES, BATCH_SECONDS)
-        writer = cut.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")
-        writer.trigger(availableNow=True).start().awaitTermination()
-    finally:
-        if provider is None:
-            spark.conf.unset(flush.STATE_STORE_CONF)
-        else:
-            spark.conf.set(flush.STATE_STORE_CONF, provider)
+    flush.cut_available(sized, BATCH_BYTES, BATCH_SECONDS, out, f"{out}-checkpoint")
     return spark.read.parquet(out)

@@ -16,8 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from quayside.session import settings
+
+# Kept state needs this state store. A query with timers asks for one empty
+# micro-batch after another, so a bounded run turns those off.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+}
+BOUNDED = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 OUTPUT = T.StructType(
     [
@@ -87,7 +95,7 @@ class FlushCutter(StatefulProcessor):
 def cut_stream(records: DataFrame, max_bytes: int, max_age_seconds: float) -> DataFrame:
     """Closed batches of a stream of ``(topic, partition, offset, timestamp, bytes)``.
 
-    Needs the RocksDB state store (``STATE_STORE_CONF``).
+    The query has to be started under the settings of ``STATE_STORE``.
     """
     keyed = records.select(
         "topic",
@@ -105,3 +113,10 @@ def cut_stream(records: DataFrame, max_bytes: int, max_age_seconds: float) -> Da
         F.timestamp_micros("last_us").cast("timestamp_ntz").alias("last_at"),
         "closed_by",
     )
+
+
+def cut_available(records: DataFrame, max_bytes: int, max_age_seconds: float, path: str, checkpoint: str) -> None:
+    """Cut everything available, append the closed batches to ``path`` and stop."""
+    with settings(records.sparkSession, {**STATE_STORE, **BOUNDED}):
+        writer = cut_stream(records, max_bytes, max_age_seconds).writeStream.format("parquet").option("path", path)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
