@@ -23,6 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- topics ---------------------------------------------------------------
 
+# Most that one micro-batch reads: a landed batch is cached while it is split.
+MICRO_BATCH_BYTES = 64 * 1024**3
+
 EVENT_SCHEMA = struct_type(
     [
         ("event_id", "BIGINT", False),
@@ -79,7 +82,8 @@ def topic_stream(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataF
     """The same as a stream. The bracket makes the path a pattern, which lets a
     file stream read a table that is a single file."""
     events = table(spark, sf_dir, "events")
-    return as_topic(spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]"), dirty)
+    reader = spark.readStream.schema(events.schema).option("maxBytesPerTrigger", MICRO_BATCH_BYTES)
+    return as_topic(reader.parquet(f"{sf_dir}/events.parque[t]"), dirty)
 
 
 def _topic_sql(name: str, text: str) -> str:
@@ -208,14 +212,15 @@ _MONTH = "CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS BIGINT)"
 _LAKE_TABLE = "'is' || l_suppkey || '__' || lower(l_returnflag || l_linestatus)"
 _ROOT = f"'s3://' || is_name || '/{LAKE_DIRECTORY}/main/' || table_name || '/'"
 # Two incarnations of each table; the newer one holds the files of even snapshots.
+# Every seventh snapshot's files and all files of some suppliers are retired.
 _TABLE_ID = f"CAST((l_suppkey * 6 + {_CODE}) * 2 + CASE WHEN snapshot_id % 2 = 0 THEN 1 ELSE 0 END AS BIGINT)"
 _FILE = """'part-' || snapshot_id || '.parquet'"""
 _FILE_COLUMNS = f"""is_name, table_name, table_id, snapshot_id, record_count,
     CASE WHEN snapshot_id % 4 = 0 THEN {_FILE} ELSE {_ROOT} || {_FILE} END AS path,
     snapshot_id % 4 = 0 AS path_is_relative, record_count * 100 AS file_size_bytes,
-    CASE WHEN snapshot_id % 7 = 0 THEN snapshot_id + 1 END AS end_snapshot"""
+    CASE WHEN snapshot_id % 7 = 0 OR k % 17 = 5 THEN snapshot_id + 1 END AS end_snapshot"""
 _FILE_QUERY = f"""SELECT {_FILE_COLUMNS} FROM (
-  SELECT 'is' || l_suppkey AS is_name, {_LAKE_TABLE} AS table_name, snapshot_id, {_TABLE_ID} AS table_id,
+  SELECT l_suppkey AS k, 'is' || l_suppkey AS is_name, {_LAKE_TABLE} AS table_name, snapshot_id, {_TABLE_ID} AS table_id,
          count(*) AS record_count
   FROM (SELECT l_suppkey, l_returnflag, l_linestatus, {_MONTH} AS snapshot_id FROM {{source}}) AS items
   GROUP BY l_suppkey, l_returnflag, l_linestatus, snapshot_id) AS per_file"""

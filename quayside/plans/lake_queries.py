@@ -274,7 +274,7 @@ def rows_without_corrupt_files(spark, sf_dir):
     return compact.read_skipping_corrupt(spark, [paths[1], broken], parts[1].schema)
 
 
-@query("D14", "SELECT count(*) + 1 AS record_count, 0 AS rows_read, 1 AS files FROM orders")
+@query("D14", "SELECT count(*) + 1 AS record_count, CAST(0 AS BIGINT) AS rows_read, CAST(1 AS BIGINT) AS files FROM orders")
 def files_with_missing_rows(spark, sf_dir):
     """The manifest promises rows that a broken file no longer gives."""
     paths, parts = _stored_mixed(spark, sf_dir)

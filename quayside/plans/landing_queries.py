@@ -15,12 +15,14 @@ from quayside.plans.registered import QUERIES, query
 from quayside.plans.telemetry_queries import BATCH_BYTES, BATCH_SECONDS
 from quayside.plans.topic_queries import SPLIT_AT
 from quayside.session import fresh_dir
+from quayside.sources.catalog import describe_columns
 from quayside.sources.topics import read_topic_files
 from quayside.streaming import flush, landing
 
 SETTINGS = TopicSettings(name="team.events", table="team.events")
 NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-STREAM_BYTES = 256 * 1024 * 1024
+# Kept state sorts what one partition of a topic received, so less at a time.
+STATE_BATCH_BYTES = 256 * 1024**2
 TOPICS = ("team.click", "team.error", "team.purchase", "team.signup", "team.view")
 
 
@@ -51,7 +53,7 @@ def landed_from_files(spark, sf_dir):
     """The same over files of JSON records, a few files per micro-batch."""
     source = fresh_dir(spark, "topic")
     X.topic_log(spark, sf_dir, dirty=True).write.option("timestampNTZFormat", NTZ).json(source)
-    records = read_topic_files(spark, source, max_bytes=STREAM_BYTES)
+    records = read_topic_files(spark, source, max_bytes=X.MICRO_BATCH_BYTES)
     return landing.read_table(spark, _land(records, fresh_dir(spark, "landed")))
 
 
@@ -135,8 +137,6 @@ def registered_rows(spark, sf_dir):
       (3, 'user_id', 'BIGINT', true)) v(pos, name, type, nullable), (SELECT count(*) AS rows FROM events)""",
 )
 def described_table(spark, sf_dir):
-    from quayside.sources.catalog import describe_columns
-
     target = _evolved(spark, sf_dir)
     _, schema = landing.current_schema(spark, target)
     columns = describe_columns(spark, "events", schema)
@@ -209,7 +209,7 @@ def flush_batches_of_stream(spark, sf_dir):
     """The stream gives the batches that have closed, the same ones as the batch job."""
     out = fresh_dir(spark, "flushes")
     events = X.table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).option("maxBytesPerTrigger", STREAM_BYTES)
+    stream = spark.readStream.schema(events.schema).option("maxBytesPerTrigger", STATE_BATCH_BYTES)
     sized = X.with_sizes(stream.parquet(f"{sf_dir}/events.parque[t]"))
     flush.cut_available(sized, BATCH_BYTES, BATCH_SECONDS, out, f"{out}-checkpoint")
     return spark.read.parquet(out)

@@ -54,34 +54,39 @@ class FlushCutter(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows)).sort_values("offset")
         filling = list(self.open.get()) if self.open.exists() else None
+        # The clock outlives a batch: it never runs backwards. No records: no batch.
+        clock = filling[5] if filling else None
+        if filling and not filling[2]:
+            filling = None
         closed = []
         for offset, at, size in zip(new["offset"], new["at_us"], new["bytes"]):
-            at = max(at, filling[5]) if filling else at
-            if filling and at - filling[4] >= self.max_age_us:
+            clock = at if clock is None else max(clock, at)
+            if filling and clock - filling[4] >= self.max_age_us:
                 closed.append([*filling, "age"])
                 filling = None
             if filling is None:
-                filling = [offset, offset, 0, 0, at, at]
-            filling = [filling[0], offset, filling[2] + 1, filling[3] + size, filling[4], at]
+                filling = [offset, offset, 0, 0, clock, clock]
+            filling = [filling[0], offset, filling[2] + 1, filling[3] + size, filling[4], clock]
             if filling[3] >= self.max_bytes:
                 closed.append([*filling, "bytes"])
                 filling = None
+        self._keep(filling, clock)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if filling is None:
-            self.open.clear()
-        else:
-            self.open.update(tuple(int(v) for v in filling))
-            left_us = self.max_age_us - (filling[5] - filling[4])
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + max(1, int(left_us // 1000)))
+        if filling is not None:
+            left_ms = int((self.max_age_us - (clock - filling[4])) // 1000)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + max(1, left_ms))
         yield self._rows(key, closed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            filling = self.open.get()
-            self.open.clear()
+        filling = self.open.get() if self.open.exists() else None
+        if filling and filling[2]:
+            self._keep(None, filling[5])
             yield self._rows(key, [[*filling, "age"]])
 
+    def _keep(self, filling: list | None, clock: int) -> None:
+        self.open.update(tuple(int(v) for v in filling or [0, 0, 0, 0, clock, clock]))
+
     def close(self) -> None:
         pass
 
