@@ -110,19 +110,33 @@ def map_lake_types(columns: DataFrame, type_column: str = "type") -> DataFrame:
     )
 
 
-def name_mapping(columns: DataFrame, keys: list[str]) -> DataFrame:
-    """JSON that ties column names to ids 1..n in column order, one row per table.
+def field_id() -> Column:
+    """Ids run from 1 in column order."""
+    return (F.col("pos") + 1).cast("int")
+
+
+def mapping_json() -> Column:
+    """Aggregate: JSON that ties the column names of a table to their ids.
 
     The group is a table's column list, so it is as wide as a schema and never
     grows with the data.
     """
-    entry = F.struct(F.col("field_id"), F.array("name").alias("names"))
-    renamed = F.transform(
-        F.array_sort(F.collect_list(entry)),
-        lambda e: F.struct(e["field_id"].alias("field-id"), e["names"].alias("names")),
-    )
-    return (
-        columns.withColumn("field_id", (F.col("pos") + 1).cast("int"))
-        .groupBy(*keys)
-        .agg(F.to_json(renamed).alias("name_mapping"), F.max("field_id").alias("last_field_id"))
+    entry = F.struct(field_id().alias("field_id"), F.array("name").alias("names"))
+    return F.to_json(
+        F.transform(
+            F.array_sort(F.collect_list(entry)),
+            lambda e: F.struct(e["field_id"].alias("field-id"), e["names"].alias("names")),
+        )
     )
+
+
+def schema_json() -> Column:
+    """Aggregate: the fields of a table as JSON, from ``map_lake_types`` output."""
+    required = (~F.col("nullable")).alias("required")
+    entry = F.struct(field_id().alias("id"), "name", F.col("target_type").alias("type"), required)
+    return F.to_json(F.array_sort(F.collect_list(entry)))
+
+
+def name_mapping(columns: DataFrame, keys: list[str]) -> DataFrame:
+    """``name_mapping`` and ``last_field_id``, one row per table."""
+    return columns.groupBy(*keys).agg(mapping_json().alias("name_mapping"), F.max(field_id()).alias("last_field_id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,16 @@ from pyspark.sql import types as T
 WIDENING = ("BIGINT", "DOUBLE")
 
 
+def _change(old_type: Column, new_type: Column) -> Column:
+    return (
+        F.when(old_type.isNull(), "added")
+        .when(new_type.isNull(), "removed")
+        .when(old_type == new_type, F.lit(None))
+        .when((old_type == WIDENING[0]) & (new_type == WIDENING[1]), "widened")
+        .otherwise("conflict")
+    )
+
+
 def schema_diff(current: DataFrame, declared: DataFrame, keys: list[str], aliases: str | None = None) -> DataFrame:
     """Changes per table and column: ``added, widened, removed, conflict, rename``.
 
@@ -20,14 +30,7 @@ def schema_diff(current: DataFrame, declared: DataFrame, keys: list[str], aliase
     renamed = F.coalesce(F.col(aliases) != "", F.lit(False)) if aliases else F.lit(False)
     left = current.select(*keys, "name", F.col("type").alias("old_type"))
     right = declared.select(*keys, "name", F.col("type").alias("new_type"), renamed.alias("_renamed"))
-    change = (
-        F.when(F.col("_renamed"), "rename")
-        .when(F.col("old_type").isNull(), "added")
-        .when(F.col("new_type").isNull(), "removed")
-        .when(F.col("old_type") == F.col("new_type"), F.lit(None))
-        .when((F.col("old_type") == WIDENING[0]) & (F.col("new_type") == WIDENING[1]), "widened")
-        .otherwise("conflict")
-    )
+    change = F.when(F.col("_renamed"), "rename").otherwise(_change(F.col("old_type"), F.col("new_type")))
     return (
         left.join(right, [*keys, "name"], "full")
         .select(*keys, "name", change.alias("change"), "old_type", "new_type")
@@ -66,32 +69,29 @@ def sync_fields(fields: DataFrame, declared: DataFrame, keys: list[str]) -> Data
 
     ``fields``: ``keys, field_id, name, type, required``. Tables with a conflict
     stay as they are, tables that are not registered are left out, and removed
-    columns stay. The window numbers new columns inside one table's schema.
+    columns stay. A window spans the columns of one table, so it is as wide as a
+    schema.
     """
-    diff = schema_diff(fields, declared, keys)
-    blocked = conflicts(diff, keys).select(*keys)
-    safe = diff.join(blocked, keys, "left_anti")
-    widened = safe.filter(F.col("change") == "widened").select(*keys, "name", F.col("new_type").alias("_wider"))
-    kept = (
-        fields.join(widened, [*keys, "name"], "left")
-        .withColumn("type", F.coalesce("_wider", "type"))
-        .select(*keys, "field_id", "name", "type", "required")
+    table = Window.partitionBy(*keys)
+    both = fields.withColumnRenamed("type", "_old").join(
+        declared.select(*keys, "name", "pos", F.col("type").alias("_new"), "nullable"), [*keys, "name"], "full"
+    )
+    marked = both.withColumn("_change", _change(F.col("_old"), F.col("_new"))).withColumns(
+        {
+            "_blocked": F.max(F.coalesce(F.col("_change") == "conflict", F.lit(False))).over(table),
+            "_highest": F.max("field_id").over(table),
+            "_n": F.row_number().over(Window.partitionBy(*keys, F.col("field_id").isNull()).orderBy("pos")),
+        }
     )
-    added = (
-        safe.filter(F.col("change") == "added")
-        .select(*keys, "name")
-        .join(declared.select(*keys, "name", "pos", "type", "nullable"), [*keys, "name"])
-        .join(highest_field_id(fields, keys), keys)
-        .withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("pos")))
-        .select(
-            *keys,
-            (F.col("highest_field_id") + F.col("_n")).cast("int").alias("field_id"),
-            "name",
-            "type",
-            (~F.col("nullable")).alias("required"),
-        )
+    stored, blocked = F.col("field_id").isNotNull(), F.col("_blocked")
+    # A table without any stored field is not registered.
+    return marked.filter(stored | (~blocked & F.col("_highest").isNotNull())).select(
+        *keys,
+        F.coalesce(F.col("field_id"), F.col("_highest") + F.col("_n")).cast("int").alias("field_id"),
+        "name",
+        F.when((F.col("_change") == "widened") & ~blocked, F.col("_new")).otherwise(F.coalesce("_old", "_new")).alias("type"),
+        F.coalesce(F.col("required"), ~F.col("nullable")).alias("required"),
     )
-    return kept.unionByName(added)
 
 
 class SchemaConflict(Exception):

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.config import EXPORT_AGE_MINUTES, EXPORT_BYTES
-
-STATE = (
-    "table_name",
-    "last_exported_snapshot",
-    "last_export_time",
-    "export_enabled",
-    "export_blocked",
-    "export_blocked_reason",
+from quayside.sources.catalog import read_if_there
+
+STATE = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("last_exported_snapshot", T.LongType()),
+        T.StructField("last_export_time", T.TimestampNTZType()),
+        T.StructField("export_enabled", T.BooleanType()),
+        T.StructField("export_blocked", T.BooleanType()),
+        T.StructField("export_blocked_reason", T.StringType()),
+    ]
 )
 
 
@@ -108,3 +112,24 @@ def expirable_files(files: DataFrame, state: DataFrame) -> DataFrame:
         .filter(F.col("snapshot_id") <= F.col("last_exported_snapshot"))
         .select("table_name", "path", "snapshot_id", "record_count", "file_size_bytes")
     )
+
+
+def _newest_state(spark: SparkSession, path: str) -> int | None:
+    versions = read_if_there(spark, path)
+    return None if versions is None else versions.agg(F.max("version")).first()[0]
+
+
+def save_state(state: DataFrame, path: str) -> int:
+    """Write a whole new version of the state; readers see the old one until it is complete."""
+    newest = _newest_state(state.sparkSession, path)
+    version = 0 if newest is None else newest + 1
+    state.select(*STATE.names).write.parquet(f"{path}/version={version}")
+    return version
+
+
+def load_state(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the state, empty before the first."""
+    newest = _newest_state(spark, path)
+    if newest is None:
+        return spark.createDataFrame([], STATE)
+    return spark.read.parquet(path).filter(F.col("version") == newest).select(*STATE.names)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.lake_types import name_mapping
+from quayside.functions.lake_types import field_id, map_lake_types, mapping_json, schema_json
 
 FILE = ["table_name", "path"]
 
@@ -41,9 +41,24 @@ def registration_report(live: DataFrame, registered: DataFrame) -> DataFrame:
     )
 
 
-def registered_tables(columns: DataFrame, keys: list[str]) -> DataFrame:
-    """Target tables to create: name mapping and highest field id per table."""
-    return name_mapping(columns, keys)
+def register_in_iceberg(spark: SparkSession, catalog: str, table: str, path: str) -> DataFrame:
+    """The same against an Iceberg catalog, where the session has one configured."""
+    if not spark.conf.get(f"spark.sql.catalog.{catalog}", None):
+        raise RuntimeError(f"no catalog '{catalog}' in this session: set spark.sql.catalog.{catalog}")
+    return spark.sql(f"CALL {catalog}.system.add_files(table => '{table}', source_table => '`parquet`.`{path}`')")
+
+
+def created_tables(columns: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows for target tables that are created: their fields and name mapping as JSON."""
+    return (
+        map_lake_types(columns)
+        .groupBy(*keys)
+        .agg(
+            schema_json().alias("schema_json"),
+            mapping_json().alias("name_mapping"),
+            F.max(field_id()).alias("last_field_id"),
+        )
+    )
 
 
 def reconcile(produced: DataFrame, landed: DataFrame, registered: DataFrame, key: str = "topic") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quayside.functions import names
 from quayside.operators import compact, export, register, transform
 from quayside.plans import fixtures as X
-from quayside.plans.registered import query
+from quayside.plans.registered import QUERIES, query
 from quayside.session import fresh_dir
 from quayside.sources import catalog
 
@@ -185,6 +185,19 @@ def export_state_after(spark, sf_dir):
     return export.record_export(X.export_state(files), _candidates(spark, sf_dir, files), F.lit(NOW).cast("timestamp_ntz"))
 
 
+_STATE_AFTER = QUERIES["export_state_after"].sql
+
+
+@query("D3", _STATE_AFTER)
+def saved_export_state(spark, sf_dir):
+    """The state before and after an export, written as two versions; the newer one is read."""
+    files, path = X.files(spark, sf_dir), fresh_dir(spark, "export-state")
+    export.save_state(X.export_state(files), path)
+    before = export.load_state(spark, path)
+    export.save_state(export.record_export(before, _candidates(spark, sf_dir, files), F.lit(NOW).cast("timestamp_ntz")), path)
+    return export.load_state(spark, path)
+
+
 @query(
     "D4",
     """SELECT f.table_name, f.path, f.snapshot_id, f.record_count, f.file_size_bytes

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quayside.functions import names
 from quayside.functions.json_schema import RESERVED_WORDS, columns_of, columns_of_avro, name_error
 from quayside.functions.lake_types import SIMPLE_TYPES, map_lake_types, name_mapping
-from quayside.operators import evolve, export
+from quayside.operators import evolve, export, register
 from quayside.plans import fixtures as X
 from quayside.plans.registered import query
 from quayside.sources import registry as R
@@ -253,6 +253,20 @@ def name_mappings(spark, sf_dir):
     return name_mapping(R.landable_columns(X.registry(spark, sf_dir), X.rules(spark, sf_dir)), KEYS)
 
 
+@query(
+    "K5 F2 F4",
+    """SELECT group_id, artifact_id, max(pos + 1) AS last_field_id,
+      '[' || string_agg('{"field-id":' || (pos + 1) || ',"names":["' || name || '"]}', ',' ORDER BY pos) || ']' AS name_mapping,
+      '[' || string_agg('{"id":' || (pos + 1) || ',"name":"' || name || '","type":"'
+        || CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'long' ELSE lower(type) END
+        || '","required":' || (NOT nullable) || '}', ',' ORDER BY pos) || ']' AS schema_json
+    FROM landable GROUP BY ALL""",
+    f"{_NEWEST},\n{_MODES},\n{_LANDABLE}",
+)
+def created_tables(spark, sf_dir):
+    return register.created_tables(R.landable_columns(X.registry(spark, sf_dir), X.rules(spark, sf_dir)), KEYS)
+
+
 @query(
     "S13 K5",
     """SELECT 'c' || c_custkey AS table_name, CASE WHEN 'c' || c_custkey IN (SELECT artifact_id FROM landable)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from quayside.functions.names import resolve_path
 
@@ -103,17 +104,23 @@ LAKE_TYPES = {
 }
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def describe(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema stored at ``path``, or None when nothing is there.
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when there is no such path.
 
     Only absence means "no table": any other failure is raised.
     """
-    return spark.read.parquet(path).schema if path_exists(spark, path) else None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as failure:
+        if failure.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def describe(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema stored at ``path``, or None when nothing is there."""
+    stored = read_if_there(spark, path)
+    return None if stored is None else stored.schema
 
 
 def describe_columns(spark: SparkSession, table_name: str, schema: T.StructType) -> DataFrame:

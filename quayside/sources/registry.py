@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.json_schema import columns_of
@@ -55,11 +55,14 @@ def schema_faults(registry: DataFrame, nested: str = "text") -> DataFrame:
 
 
 def landable_columns(registry: DataFrame, rules: DataFrame) -> DataFrame:
-    """Columns of the newest schemas that are governed and free of faults."""
-    columns = columns_of(latest_schemas(registry))
-    faulty = columns.filter(F.col("error").isNotNull()).select(*ARTIFACT).distinct()
+    """Columns of the newest schemas that are governed and free of faults.
+
+    The window spans the columns of one schema.
+    """
+    artifact = Window.partitionBy(*ARTIFACT)
+    columns = columns_of(latest_schemas(registry)).withColumn("_faults", F.count("error").over(artifact))
     return (
-        columns.join(faulty, ARTIFACT, "left_anti")
+        columns.filter(F.col("_faults") == 0)
         .join(ungoverned(registry, rules), ARTIFACT, "left_anti")
         .select(*ARTIFACT, "version", "pos", "name", "type", "nullable")
     )

@@ -34,7 +34,7 @@ from quayside.operators.compact import cast_to, file_rows, union_versions
 from quayside.operators.evolve import evolve_struct
 from quayside.operators.quarantine import dead_letters
 from quayside.operators.validate import InvalidRecords, accepted, conform, rejected, rule_counts, validate
-from quayside.sources.catalog import path_exists
+from quayside.sources.catalog import read_if_there
 from quayside.sources.topics import decode_json, flush_trigger
 
 BATCH = "landed_batch"
@@ -46,10 +46,10 @@ def _part(target: str, kind: str, batch_id: int) -> str:
 
 def current_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType] | None:
     """Newest version and schema of a table, or None before its first batch."""
-    log = f"{target}/schemas"
-    if not path_exists(spark, log):
+    log = read_if_there(spark, f"{target}/schemas")
+    if log is None:
         return None
-    newest = spark.read.parquet(log).agg(F.max(F.struct("version", "schema"))).first()[0]
+    newest = log.agg(F.max(F.struct("version", "schema"))).first()[0]
     return newest["version"], T.StructType.fromJson(json.loads(newest["schema"]))
 
 
@@ -170,8 +170,7 @@ def _reason(spark: SparkSession, target: str) -> str | None:
 
 
 def read_stops(spark: SparkSession, target: str) -> DataFrame | None:
-    path = f"{target}/stops"
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return read_if_there(spark, f"{target}/stops")
 
 
 def read_part(spark: SparkSession, target: str, kind: str) -> DataFrame:

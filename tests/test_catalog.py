@@ -214,3 +214,18 @@ def test_transform_and_fresh_view(spark, rows):
     landed = spark.sql("SELECT id, id AS snapshot_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, CAST(id AS INT)) AS ts FROM range(10)")
     got = fresh_view(landed, landed.filter("id < 4"), F.lit("2024-01-01 06:00:00").cast("timestamp_ntz"), F.lit(3))
     assert rows(got, "id", "origin") == [(i, "history") for i in range(4)] + [(i, "landed") for i in range(6, 10)]
+
+
+def test_state_is_written_in_versions(spark, tmp_path, rows):
+    path = str(tmp_path / "state")
+    assert export.load_state(spark, path).count() == 0
+    for n in (3, 8):
+        done = spark.createDataFrame([("t", n)], "table_name string, current_snapshot bigint")
+        at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+        export.save_state(export.record_export(export.load_state(spark, path), done, at), path)
+    assert rows(export.load_state(spark, path), "table_name", "last_exported_snapshot") == [("t", 8)]
+
+
+def test_iceberg_needs_a_catalog(spark):
+    with pytest.raises(RuntimeError, match="spark.sql.catalog.lake"):
+        register.register_in_iceberg(spark, "lake", "db.t", "/x")
