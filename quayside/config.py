@@ -26,4 +26,6 @@ class TopicSettings:
     progress_threshold: float = PROGRESS_THRESHOLD
     max_batch_bytes: int = MAX_BATCH_BYTES
     average_record_bytes: int = 1024
+    # Least number of tasks that read a micro-batch: splits a hot partition.
+    min_read_tasks: int | None = None
     reader_options: dict[str, str] = field(default_factory=dict)

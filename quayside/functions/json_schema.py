@@ -53,6 +53,12 @@ def name_error(name: Column) -> Column:
     return F.when(~name.rlike(NAME_PATTERN), "bad_name").when(F.lower(name).isin(*RESERVED_WORDS), "reserved_word")
 
 
+def _settled(df: DataFrame, error: Column) -> DataFrame:
+    """Add ``error`` by a one-element explode: filters on it are not pushed below,
+    where every type node would be parsed a second time."""
+    return df.select("*", F.explode(F.array(error)).alias("error"))
+
+
 def _lookup(table: dict[str, str], key: Column) -> Column:
     mapped = F.lit(None).cast("string")
     for source, target in table.items():
@@ -123,7 +129,7 @@ def columns_of(registry: DataFrame, nested: str = "text") -> DataFrame:
         .when(rejected_nested, "nested_type")
     )
     return (
-        typed.withColumn("error", error)
+        _settled(typed, error)
         .withColumn("_ok", F.col("error").isNull())
         .select(
             "group_id",
@@ -159,7 +165,7 @@ def columns_of_avro(registry: DataFrame) -> DataFrame:
         .when((F.col("kind") == "list") & (F.size("members") != 1), "multiple_types")
         .when(_lookup(AVRO_TYPES, first).isNull(), "unsupported_type")
     )
-    return typed.withColumn("error", error).select(
+    return _settled(typed, error).select(
         "group_id",
         "artifact_id",
         "version",

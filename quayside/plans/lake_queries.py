@@ -305,7 +305,7 @@ def files_with_missing_rows(spark, sf_dir):
 
 
 @query(
-    "D5 H2",
+    "D5",
     """SELECT o_orderkey, 9007199254740992 + o_orderkey AS big FROM orders WHERE o_orderkey % 2 = 1""",
 )
 def lossy_widenings(spark, sf_dir):

@@ -58,11 +58,14 @@ def read_topic_files(spark: SparkSession, path: str, max_files: int | None = Non
 def kafka_limits(settings: TopicSettings) -> dict[str, str]:
     """Reader options that bound a micro-batch by bytes and by age."""
     most = max(1, settings.max_batch_bytes // max(1, settings.average_record_bytes))
-    return {
+    limits = {
         "maxOffsetsPerTrigger": str(most),
         "minOffsetsPerTrigger": str(max(1, int(most * settings.progress_threshold))),
         "maxTriggerDelay": f"{settings.max_flush_seconds}s",
     }
+    if settings.min_read_tasks:
+        limits["minPartitions"] = str(settings.min_read_tasks)
+    return limits
 
 
 def flush_trigger(settings: TopicSettings, bounded: bool) -> dict:
