@@ -1,9 +1,14 @@
-"""Flush batches on a stream: the cut of ``operators.batches`` with kept state.
+"""Flush batches on a stream, in two forms. Both need offsets to rise from one
+micro-batch to the next, as those of a topic do.
 
-State per (topic, partition) is the batch that is still filling, six numbers.
-Bound the micro-batch with the reader's limits: a task sorts the records that
-one partition of a topic received in it. A timer closes a batch that has had no
-input for the rest of its age.
+``cut_stream`` keeps the batch that is still filling as state, six numbers per
+(topic, partition). A timer closes a batch that has had no input for the rest of
+its age. One task sorts what one partition received in a micro-batch, so bound
+the micro-batch with the reader's limits.
+
+``cut_micro_batches`` runs the batch job on every micro-batch and carries the
+records of the open batches over as a table. It spreads a hot partition over
+many tasks, so a backlog may come in one piece, but it only acts on input.
 """
 
 from __future__ import annotations
@@ -16,7 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from quayside.session import settings
+from quayside.operators.batches import cut_batches
+from quayside.session import cut_lineage, settings
+from quayside.sources.catalog import read_if_there
 
 # Kept state needs this state store. A query with timers asks for one empty
 # micro-batch after another, so a bounded run turns those off.
@@ -125,3 +132,44 @@ def cut_available(records: DataFrame, max_bytes: int, max_age_seconds: float, pa
     with settings(records.sparkSession, {**STATE_STORE, **BOUNDED}):
         writer = cut_stream(records, max_bytes, max_age_seconds).writeStream.format("parquet").option("path", path)
         writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+PARTITION = ["topic", "partition"]
+RECORD = [*PARTITION, "offset", "timestamp", "bytes"]
+
+
+def cut_micro_batch(batch: DataFrame, batch_id: int, path: str, max_bytes: int, max_age_seconds: float) -> None:
+    """One step: cut what was open and what is new, write what has closed.
+
+    Everything is named by batch id and overwritten, and the step reads only
+    what the step before it left, so it may be repeated.
+    """
+    spark = batch.sparkSession
+    new = batch.select(*RECORD)
+    clocks = read_if_there(spark, f"{path}/clock/flush={batch_id - 1}")
+    if clocks is not None:
+        # Time does not run backwards from one step to the next either.
+        late = new.join(clocks, PARTITION, "left")
+        still_open = read_if_there(spark, f"{path}/open/flush={batch_id - 1}").select(*RECORD)
+        new = late.withColumn("timestamp", F.greatest("timestamp", "clock")).select(*RECORD).unionByName(still_open)
+    cut = cut_lineage(cut_batches(new, max_bytes, max_age_seconds), "flushes")
+    filling = cut.filter("closed_by = 'open'").select(*PARTITION, "batch_start", "first_at")
+    carried = new.join(filling, PARTITION).filter(F.col("offset") >= F.col("batch_start"))
+    carried.withColumn("timestamp", F.greatest("timestamp", "first_at")).select(*RECORD).write.mode("overwrite").parquet(
+        f"{path}/open/flush={batch_id}"
+    )
+    latest = cut.select(*PARTITION, F.col("last_at").alias("clock"))
+    latest = latest if clocks is None else latest.unionByName(clocks)
+    latest.groupBy(*PARTITION).agg(F.max("clock").alias("clock")).write.mode("overwrite").parquet(f"{path}/clock/flush={batch_id}")
+    cut.filter("closed_by <> 'open'").write.mode("overwrite").parquet(f"{path}/closed/flush={batch_id}")
+
+
+def cut_micro_batches(records: DataFrame, max_bytes: int, max_age_seconds: float, path: str, checkpoint: str) -> DataFrame:
+    """Cut everything available step by step; returns the closed batches."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        cut_micro_batch(batch, batch_id, path, max_bytes, max_age_seconds)
+
+    writer = records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return records.sparkSession.read.parquet(f"{path}/closed").drop("flush")

@@ -84,10 +84,11 @@ def test_running_before(spark, levels, chunk):
         assert (r["total"], r["top"]) == (sum(before), max(before, default=None))
 
 
-def test_stream_gives_the_closed_batches(spark, tmp_path):
+@pytest.mark.parametrize("form", ["state", "micro-batches"])
+def test_stream_gives_the_closed_batches(spark, tmp_path, form):
     rows = make(11, n=150)
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    # Four files of rising offsets, landed one per micro-batch over two runs.
+    source, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    # Four files of rising offsets, one per micro-batch, over two runs.
     rows.sort(key=lambda r: r[2])
     step = len(rows) // 4 + 1
     for run in (0, 2):
@@ -95,8 +96,12 @@ def test_stream_gives_the_closed_batches(spark, tmp_path):
             piece = spark.createDataFrame(rows[part * step : (part + 1) * step], SHAPE)
             piece.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(SHAPE).option("maxFilesPerTrigger", 1).parquet(source)
-        flush.cut_available(stream, 700, 120, out, str(tmp_path / "checkpoint"))
-    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*COLUMNS).collect())
+        if form == "state":
+            flush.cut_available(stream, 700, 120, out, checkpoint)
+            closed = spark.read.parquet(out)
+        else:
+            closed = flush.cut_micro_batches(stream, 700, 120, out, checkpoint)
+    got = sorted(tuple(r) for r in closed.select(*COLUMNS).collect())
     assert got == [b for b in expected(rows, 700, 120) if b[-1] != "open"]
 
 

@@ -21,7 +21,9 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for name in TABLES.split():
-        db.sql(f"CREATE VIEW {name} AS FROM '{sf_dir}/{name}.parquet'")
+        path = f"{sf_dir}/{name}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        db.sql(f"CREATE VIEW {name} AS FROM '{files}'")
     return db
 
 
