@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.config import EMA_ALPHA
 from quayside.operators.scan import whole
+from quayside.session import cut_lineage
 
 # Flushes folded in one group; groups are folded again, level by level, so no
 # group grows with the length of a topic's history.
@@ -71,8 +72,11 @@ def _estimates_before(moves: DataFrame, levels: int) -> DataFrame:
 
 
 def ema_history(flush_log: DataFrame, alpha: float = EMA_ALPHA) -> DataFrame:
-    """The estimate after every usable flush."""
-    moves = _moves(flush_log, alpha)
+    """The estimate after every usable flush.
+
+    The moves are read once per level, so they are stored first.
+    """
+    moves = cut_lineage(_moves(flush_log, alpha), "moves")
     e = F.col("e_in")
     return moves.join(_estimates_before(moves, LEVELS), ["topic", "idx"]).select(
         "topic",

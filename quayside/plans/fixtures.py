@@ -15,6 +15,7 @@ from quayside.functions.json_schema import struct_type
 from quayside.functions.lake_types import SIMPLE_TYPES
 from quayside.functions.names import LAKE_DIRECTORY
 from quayside.functions.sizes import record_bytes
+from quayside.session import cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -231,6 +232,11 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_FILE_QUERY.format(source="{lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
 
 
+def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stored table, as a catalog keeps it, for plans that read it several times."""
+    return cut_lineage(files(spark, sf_dir), "files")
+
+
 def tables_of(catalog_files: DataFrame) -> DataFrame:
     return catalog_files.select("table_id", "table_name").distinct()
 

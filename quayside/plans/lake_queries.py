@@ -34,14 +34,13 @@ def newest_incarnations(spark, sf_dir):
 
 @query("F7", "SELECT table_id, snapshot_id, path FROM full_files", X.FILES_SQL)
 def resolved_paths(spark, sf_dir):
-    files = X.files(spark, sf_dir)
     path = names.resolve_path(F.col("path"), F.col("path_is_relative"), _root())
-    return files.select("table_id", "snapshot_id", path.alias("path"))
+    return X.files(spark, sf_dir).select("table_id", "snapshot_id", path.alias("path"))
 
 
 @query("S9 P9 J5", "SELECT * FROM live", X.FILES_SQL)
 def live_files(spark, sf_dir):
-    return _live(X.files(spark, sf_dir))
+    return _live(X.stored_files(spark, sf_dir))
 
 
 @query(
@@ -52,13 +51,13 @@ def live_files(spark, sf_dir):
     X.FILES_SQL,
 )
 def table_totals(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return catalog.file_totals(_live(files), X.tables_of(files))
 
 
 @query("P10", "SELECT table_name FROM newest WHERE table_name NOT IN (SELECT table_name FROM live)", X.FILES_SQL)
 def empty_tables(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return catalog.empty_tables(_live(files), X.tables_of(files))
 
 
@@ -98,14 +97,14 @@ _NEW = "new AS (SELECT table_name, path, record_count, file_size_bytes FROM live
 
 @query("J1", "SELECT * FROM new", f"{X.FILES_SQL},\n{_NEW}")
 def new_files(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return register.new_files(_live(files), X.registered(files))
 
 
 @query("J1 K4 S11", "SELECT * FROM registered UNION ALL SELECT * FROM new", f"{X.FILES_SQL},\n{_NEW}")
 def registered_files(spark, sf_dir):
     """Append the new files' metadata to the target, twice, and read the target."""
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     path = fresh_dir(spark, "registered")
     X.registered(files).write.parquet(path)
     for _ in range(2):
@@ -122,25 +121,27 @@ def registered_files(spark, sf_dir):
     X.FILES_SQL,
 )
 def registration_report(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return register.registration_report(_live(files), X.registered(files))
 
 
 @query("J1", "SELECT * FROM registered WHERE path NOT IN (SELECT path FROM live)", X.FILES_SQL)
 def stale_registrations(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return register.stale_registrations(_live(files), X.registered(files))
 
 
-_CANDIDATES = f"""candidates AS (
-  SELECT f.table_name, e.last_exported_snapshot, max(s.snapshot_id) AS current_snapshot,
-    CAST(sum(f.file_size_bytes) AS BIGINT) AS accumulated_bytes
-  FROM files f JOIN snapshots s USING (snapshot_id) LEFT JOIN export_state e USING (table_name)
-  WHERE (e.last_exported_snapshot IS NULL OR s.snapshot_id > e.last_exported_snapshot)
-    AND coalesce(e.export_enabled, true) AND NOT coalesce(e.export_blocked, false)
-  GROUP BY f.table_name, e.last_exported_snapshot
-  HAVING sum(f.file_size_bytes) >= 2000
-    OR date_diff('microsecond', min(s.commit_time), TIMESTAMP '{NOW}') / 60000000.0 >= 60 * 24 * 700)"""
+_CANDIDATES = f"""pending AS (
+  SELECT files.table_name, known.last_exported_snapshot, files.snapshot_id, file_size_bytes, commit_time
+  FROM files JOIN snapshots ON snapshots.snapshot_id = files.snapshot_id
+  LEFT JOIN export_state known ON known.table_name = files.table_name
+  WHERE known.export_enabled IS NOT FALSE AND known.export_blocked IS NOT TRUE
+    AND files.snapshot_id > coalesce(known.last_exported_snapshot, -1)),
+candidates AS (
+  SELECT table_name, last_exported_snapshot, max(snapshot_id) AS current_snapshot,
+    CAST(sum(file_size_bytes) AS BIGINT) AS accumulated_bytes
+  FROM pending GROUP BY ALL
+  HAVING accumulated_bytes >= 2000 OR min(commit_time) <= TIMESTAMP '{NOW}' - INTERVAL 700 DAY)"""
 
 
 def _candidates(spark, sf_dir, files):
@@ -156,7 +157,7 @@ def _candidates(spark, sf_dir, files):
 
 @query("D1", "SELECT * FROM candidates", f"{X.FILES_SQL},\n{_CANDIDATES}")
 def export_candidates(spark, sf_dir):
-    return _candidates(spark, sf_dir, X.files(spark, sf_dir))
+    return _candidates(spark, sf_dir, X.stored_files(spark, sf_dir))
 
 
 @query(
@@ -166,7 +167,7 @@ def export_candidates(spark, sf_dir):
     f"{X.FILES_SQL},\n{_CANDIDATES}",
 )
 def files_to_export(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return export.files_since(X.full_paths(files), _candidates(spark, sf_dir, files))
 
 
@@ -181,7 +182,7 @@ def files_to_export(spark, sf_dir):
     f"{X.FILES_SQL},\n{_CANDIDATES}",
 )
 def export_state_after(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return export.record_export(X.export_state(files), _candidates(spark, sf_dir, files), F.lit(NOW).cast("timestamp_ntz"))
 
 
@@ -191,7 +192,7 @@ _STATE_AFTER = QUERIES["export_state_after"].sql
 @query("D3", _STATE_AFTER)
 def saved_export_state(spark, sf_dir):
     """The state before and after an export, written as two versions; the newer one is read."""
-    files, path = X.files(spark, sf_dir), fresh_dir(spark, "export-state")
+    files, path = X.stored_files(spark, sf_dir), fresh_dir(spark, "export-state")
     export.save_state(X.export_state(files), path)
     before = export.load_state(spark, path)
     export.save_state(export.record_export(before, _candidates(spark, sf_dir, files), F.lit(NOW).cast("timestamp_ntz")), path)
@@ -205,7 +206,7 @@ def saved_export_state(spark, sf_dir):
     X.FILES_SQL,
 )
 def expirable_files(spark, sf_dir):
-    files = X.files(spark, sf_dir)
+    files = X.stored_files(spark, sf_dir)
     return export.expirable_files(X.full_paths(files), X.export_state(files))
 
 
