@@ -29,7 +29,7 @@ def greedy(records, max_bytes, max_age):
     return out + ([(*filling, "open")] if filling else [])
 
 
-def make(seed, keys=3, n=400, giants=True):
+def make(seed, keys=3, n=250, giants=True):
     """Keys of very different size, bursts, gaps, giant records, late times."""
     rng = random.Random(seed)
     rows = []
@@ -86,7 +86,7 @@ def test_running_before(spark, levels, chunk):
 
 @pytest.mark.parametrize("form", ["state", "micro-batches"])
 def test_stream_gives_the_closed_batches(spark, tmp_path, form):
-    rows = make(11, n=150)
+    rows = make(11, n=120)
     source, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
     # Four files of rising offsets, one per micro-batch, over two runs.
     rows.sort(key=lambda r: r[2])
