@@ -119,15 +119,20 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted(validated), rejected(validated)
 
 
-def conform(decoded: DataFrame, schema: T.StructType, keep: list[str] | None = None, coerce: bool = False) -> DataFrame:
-    """Project to the declared columns by name; a missing key gives null."""
+def typed_columns(schema: T.StructType, coerce: bool = False) -> list[Column]:
+    """The declared columns read from ``payload`` by name; a missing key gives null."""
 
     def typed(field: T.StructField) -> Column:
         if coerce:
             return F.try_variant_get("payload", _path(field.name), "string").try_cast(field.dataType)
         return F.try_variant_get("payload", _path(field.name), field.dataType.simpleString())
 
-    return decoded.select(*(keep or []), *[typed(f).alias(f.name) for f in schema.fields])
+    return [typed(f).alias(f.name) for f in schema.fields]
+
+
+def conform(decoded: DataFrame, schema: T.StructType, keep: list[str] | None = None, coerce: bool = False) -> DataFrame:
+    """Project to the declared columns, after the columns to keep."""
+    return decoded.select(*(keep or []), *typed_columns(schema, coerce))
 
 
 def unknown_keys(decoded: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

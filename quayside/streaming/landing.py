@@ -33,7 +33,7 @@ from quayside.functions.sizes import payload_bytes
 from quayside.operators.compact import cast_to, file_rows, union_versions
 from quayside.operators.evolve import evolve_struct
 from quayside.operators.quarantine import dead_letters
-from quayside.operators.validate import InvalidRecords, accepted, conform, rejected, rule_counts, validate
+from quayside.operators.validate import InvalidRecords, accepted, rejected, rule_counts, typed_columns, validate
 from quayside.sources.catalog import read_if_there
 from quayside.sources.topics import decode_json, flush_trigger
 
@@ -73,16 +73,27 @@ def _stop(spark: SparkSession, target: str, topics: DataFrame, batch_id: int, re
 def land_batch(
     batch: DataFrame, batch_id: int, target: str, declared: T.StructType, on_invalid: str = "quarantine"
 ) -> None:
-    """Land one micro-batch. The records are decoded once and read from the cache."""
+    """Land one micro-batch. The records are decoded once and read from the cache,
+    which holds typed values of good records and the text of bad ones only."""
     spark = batch.sparkSession
     try:
         version = ensure_table(spark, target, declared)
     except Exception as conflict:
         _stop(spark, target, batch, batch_id, f"schema_evolution_failed: {conflict}")
         raise
+    good = F.size("violations") == 0
     checked = (
         validate(decode_json(batch), declared)
-        .withColumn("_size", payload_bytes(F.col("payload")))
+        .select(
+            "topic",
+            "partition",
+            "offset",
+            F.when(~good, F.col("value")).alias("value"),
+            "payload_error",
+            "violations",
+            F.when(good, F.struct(*typed_columns(declared))).alias("_row"),
+            payload_bytes(F.col("payload")).alias("_size"),
+        )
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
@@ -93,14 +104,13 @@ def land_batch(
                 _stop(spark, target, checked, batch_id, reason)
                 raise InvalidRecords(reason)
         data = _part(target, "data", batch_id)
-        conform(accepted(checked), declared).write.mode("overwrite").parquet(data)
+        accepted(checked).select("_row.*").write.mode("overwrite").parquet(data)
         dead_letters(
             rejected(checked), F.current_timestamp(), F.col("topic"), F.substring_index("topic", ".", 1), F.lit(version)
         ).write.mode("overwrite").parquet(_part(target, "rejects", batch_id))
         file_rows(spark, data).withColumn("schema_version", F.lit(version)).write.mode("overwrite").parquet(
             _part(target, "manifest", batch_id)
         )
-        good = F.size("violations") == 0
         checked.groupBy("topic", "partition").agg(
             F.min("offset").alias("start_offset"),
             (F.max("offset") + 1).alias("end_offset"),
