@@ -135,7 +135,7 @@ def encode_documents(
     df: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:
     """Per document ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``."""
-    given = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    given = df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
 
     def run(frames):
         held = process_cache("bpe")
@@ -156,6 +156,5 @@ def encode_documents(
             out.insert(0, "doc_id", frame["doc_id"].to_numpy())
             yield out
 
-    kind = given.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return given.mapInPandas(run, schema)
+    schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return given.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast(df.schema[doc_id].dataType))

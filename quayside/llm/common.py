@@ -26,8 +26,19 @@ def let(value: Column, body) -> Column:
 
 
 def remainder(doc_id, modulus: int) -> int:
-    """crc32 of the id as text, modulo: how rows are held out."""
-    return zlib.crc32(str(doc_id).encode()) % modulus
+    """crc32 of the id as text, modulo: how rows are held out. -1 for a null id, which is never held out."""
+    return zlib.crc32(str(doc_id).encode()) % modulus if isinstance(doc_id, str) else -1
+
+
+class Passed:
+    """Columns on their way through Python: whole numbers go as text, since nulls among them would turn them to floats."""
+
+    def __init__(self, df: DataFrame, names: list[str]):
+        fields = df.select(*names).schema.fields
+        whole = {f.name for f in fields if f.dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")}
+        self.out = [F.col(f.name).cast("string").alias(f.name) if f.name in whole else F.col(f.name) for f in fields]
+        self.back = [F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]
+        self.schema = ", ".join(f"`{f.name}` {'string' if f.name in whole else f.dataType.simpleString()}" for f in fields)
 
 
 def remainder_column(doc_id: Column, modulus: int) -> Column:

@@ -65,7 +65,8 @@ def count_words(df: DataFrame, wanted: frozenset[bytes], text: str = "text") ->
         for frame in frames:
             for value in frame.iloc[:, 0]:
                 total.update(filter(wanted.__contains__, words_of(text_of(value))))
-        yield pd.DataFrame({"word": list(total), "n": list(total.values())})
+        if total:
+            yield pd.DataFrame({"word": list(total), "n": list(total.values())})
 
     counted = df.select(F.col(text).alias("t")).mapInPandas(count, "word binary, n long")
     return {bytes(r.word): r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
@@ -141,7 +142,7 @@ def scan_licenses(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Per document: words, places of base phrases, base labels, all labels and the best containment."""
-    given = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    given = df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     wanted = frozenset(w for _, t in templates for w in words_of(t))
     counts = count_words(given, wanted)
     phrases = {tuple(words_of(p)): label for p, label in PHRASES.items()}
@@ -157,7 +158,6 @@ def scan_licenses(
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    kind = given.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    schema = f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return given.mapInPandas(run, schema)
+    schema = "doc_id string, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    return given.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast(df.schema[doc_id].dataType))

@@ -98,8 +98,10 @@ def signatures(df: DataFrame, threshold: float, hashes: int, recall: float) -> D
                 found.append(band.astype(np.int64))
             yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "text_hash": frame["text_hash"], "key": keys, "bands": found})
 
-    kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInPandas(run, f"doc_id {kind}, text_hash long, key binary, bands array<long>")
+    kind = df.schema["doc_id"].dataType
+    sent = df.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "text_hash")
+    found = sent.mapInPandas(run, "doc_id string, text_hash long, key binary, bands array<long>")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -122,7 +124,7 @@ def _placed(members: DataFrame, threshold: float) -> DataFrame:
     units = max(1, -(-total // UNIT_ROWS))
     members = members.join(sizes, "root").withColumn("_step", F.floor(F.log(F.greatest("n_set", F.lit(1))) / F.lit(step)))
     small = members.where(F.col("_m") <= TILE).select(
-        "root", "key", "rep", "text_hash", "copies", F.concat(F.lit("u"), F.pmod(F.xxhash64("root"), F.lit(units))).alias("unit"), F.lit(0).alias("side")
+        "root", "key", "copies", F.concat(F.lit("u"), F.pmod(F.xxhash64("root"), F.lit(units))).alias("unit"), F.lit(0).alias("side")
     )
     large = members.where(F.col("_m") > TILE)
     cells = large.groupBy("root", "_step").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("long").alias("_blocks"))
@@ -149,8 +151,8 @@ def _placed(members: DataFrame, threshold: float) -> DataFrame:
     )
     up = others(F.col("_above"), lambda j: place(name(at, block, at + 1, j), F.lit(0)))
     down = others(F.col("_below"), lambda j: place(name(at - 1, j, at, block), F.lit(1)))
-    placed = own.select("root", "key", "rep", "text_hash", "copies", F.explode(F.concat(within, up, down)).alias("_p"))
-    return small.union(placed.select("root", "key", "rep", "text_hash", "copies", "_p.unit", "_p.side"))
+    placed = own.select("root", "key", "copies", F.explode(F.concat(within, up, down)).alias("_p"))
+    return small.union(placed.select("root", "key", "copies", "_p.unit", "_p.side"))
 
 
 def _similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
@@ -250,10 +252,8 @@ def near_duplicates(
             out["shingles"] = [v.tobytes() for v in values]
             yield out
 
-    kind = given.schema["doc_id"].dataType.simpleString()
-    fields = f"key binary, root binary, rep {kind}, text_hash long, copies long"
-    with_sets = joined.select("key", "root", "rep", "text_hash", "copies", "text").mapInPandas(
-        sets, f"{fields}, n_set long, shingles binary"
+    with_sets = joined.select("key", "root", "copies", "text").mapInPandas(
+        sets, "key binary, root binary, copies long, n_set long, shingles binary"
     )
     with_sets = cut_lineage(with_sets.dropDuplicates(["key"]), "sets")
     units = _placed(with_sets.drop("shingles"), threshold).select("unit", "side", "key", "root", "copies")

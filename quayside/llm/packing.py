@@ -189,8 +189,7 @@ def pack(
     df: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False
 ) -> DataFrame:
     """One row per piece: where it comes from, its sequence and place, and if asked for its ids."""
-    given = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = given.schema["doc_id"].dataType.simpleString()
+    given = df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     groups = max(1, -(-given.count() // GROUP_ROWS))
 
     def cut(frames):
@@ -265,11 +264,12 @@ def pack(
         return made[names]
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "group", "step"]
-    schema = f"doc_id {kind}, " + ", ".join(f"`{n}` long" for n in names[1:])
+    schema = "doc_id string, " + ", ".join(f"`{n}` long" for n in names[1:])
     if with_ids:
         names, schema = [*names, "ids"], schema + ", ids array<long>"
-    middle = f"doc_id {kind}, _row long, _group long, doc_tokens long, _full long, _sums array<long>, _ids binary"
-    return given.mapInPandas(full_first, middle).groupBy("_group").applyInPandas(fill, schema)
+    middle = "doc_id string, _row long, _group long, doc_tokens long, _full long, _sums array<long>, _ids binary"
+    made = given.mapInPandas(full_first, middle).groupBy("_group").applyInPandas(fill, schema)
+    return made.withColumn("doc_id", F.col("doc_id").cast(df.schema[doc_id].dataType))
 
 
 def _checksum(ids: bytes, width: int) -> int:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import encode, mix, text_of
+from quayside.llm.common import Passed, encode, mix, text_of
 from quayside.session import cut_lineage
 
 LENGTH = 400
@@ -330,7 +330,8 @@ def _sorted_runs(length: int, parts: int):
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY) -> DataFrame:
     """``dk, spans``: repeated stretches (start, end) of each document of ``docs`` (``dk``, ``text``) that has any."""
     anchors = cut_lineage(find_anchors(docs, length, key), "anchors")
-    often = anchors.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    # Written, so that the join below deals both sides anew and Spark may split a hot anchor.
+    often = cut_lineage(anchors.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "often")
     anchors = cut_lineage(anchors.join(often, "k"), "shared-anchors")
     spans = anchors.groupBy("k", "u").agg(F.count("*").alias("n"), F.min(F.struct("dk", "x", "a", "b")).alias("r"))
     spans = cut_lineage(spans.select("k", "u", "n", "r.*"), "spans")
@@ -409,8 +410,7 @@ def remove_repeats(
             yield out
 
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    joined = docs.join(spans, "dk", "left").select(*keep, "text", "spans")
-    return joined.mapInPandas(
-        cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
-    )
+    passed = Passed(docs, keep)
+    joined = docs.join(spans, "dk", "left").select(*passed.out, "text", "spans")
+    made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
+    return joined.mapInPandas(cut, f"{passed.schema}, {made}").select(*passed.back, *names)

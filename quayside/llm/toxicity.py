@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import remainder_column, text_of
+from quayside.llm.common import Passed, remainder_column, text_of
 
 MODULUS = 5
 FIT_ROWS = 20_000
@@ -70,7 +70,8 @@ def _count(df: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
             if len(total) > 500_000:
                 yield pd.DataFrame({"mark": list(total), "n": list(total.values())})
                 total = Counter()
-        yield pd.DataFrame({"mark": list(total), "n": list(total.values())})
+        if total:
+            yield pd.DataFrame({"mark": list(total), "n": list(total.values())})
 
     return df.select("text").mapInPandas(count, "mark string, n long").groupBy("mark").agg(F.sum("n").alias("n"))
 
@@ -200,9 +201,9 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, keep: list[str] | No
             out["_score"] = scores
             yield out
 
-    given = documents.select(*keep, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    scored = given.mapInPandas(run, f"{fields}, _score double")
+    passed = Passed(documents, keep)
+    given = documents.select(*passed.out, F.col("text").alias("_text"))
+    scored = given.mapInPandas(run, f"{passed.schema}, _score double").select(*passed.back, "_score")
     return scored.select(
         *keep,
         F.coalesce(remainder_column(F.col("doc_id"), MODULUS) == 0, F.lit(False)).alias("held_out"),
