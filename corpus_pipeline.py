@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import table
+from quayside.llm.common import bounded, table
 from quayside.llm.minhash import near_duplicates
 from quayside.llm.packing import pack
 from quayside.llm.perplexity import quality_rules
@@ -25,11 +25,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the perplexity band reject go."""
+    bounded(spark)
     return quality_rules(docs.select(*COLUMNS), keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id stays, of rows repeated entirely one."""
+    bounded(spark)
     docs = docs.select(*COLUMNS)
     first = near_duplicates(docs).groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     first = first.select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash")).distinct()
@@ -40,12 +42,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that occur elsewhere too are cut out of every text; all documents stay, if empty."""
+    bounded(spark)
     left = remove_repeats(docs.select(*COLUMNS), keep=COLUMNS)
     return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rest, packed."""
+    bounded(spark)
     return pack(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_50k.json"))
 
 

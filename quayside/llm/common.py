@@ -16,7 +16,20 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 
 
+# Rows that a Python worker holds at once; texts may be long.
+BATCH_ROWS = "2000"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with small batches for Python workers, unless the user has set a size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

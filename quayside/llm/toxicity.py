@@ -7,8 +7,9 @@ given label as one more voter that may err) and how voters correlate within a
 class; a voter's evidence is divided among those that say the same. A linear
 classifier is trained on the posterior labels and scores every text.
 
-Counts for the voters cover all training rows. The models are fitted on the
-FIT_ROWS training rows with the smallest hash of their id. Candidates are bounded
+Counts for the voters cover all training rows. The models are fitted on
+the training rows with the smallest hashes of their ids, the share that makes
+FIT_ROWS of them. Candidates are bounded
 by their share of the toxic texts, and at most VOTERS are kept.
 
 A null text counts as empty. Rows without a label or with a null one are not
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Passed, remainder_column, text_of
+from quayside.session import cut_lineage
 
 MODULUS = 5
 FIT_ROWS = 20_000
@@ -67,7 +69,7 @@ def _count(df: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
             for value in frame["text"]:
                 found = marks_of(text_of(value)).keys()
                 total.update(found if wanted is None else found & wanted)
-            if len(total) > 500_000:
+            if len(total) > 200_000:
                 yield pd.DataFrame({"mark": list(total), "n": list(total.values())})
                 total = Counter()
         if total:
@@ -76,9 +78,23 @@ def _count(df: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
     return df.select("text").mapInPandas(count, "mark string, n long").groupBy("mark").agg(F.sum("n").alias("n"))
 
 
+def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic, text, first``: labelled training rows; ``first`` on one row of each distinct text and label.
+
+    Which rows these are is found on ids and hashes alone; texts are dealt out once.
+    """
+    given = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    held = documents.where(remainder_column(F.col("doc_id"), MODULUS) != 0).withColumn("_h", F.xxhash64("text"))
+    marked = held.select("doc_id", "_h").join(given, "doc_id")
+    first = marked.groupBy("toxic", "_h").agg(F.min("doc_id").alias("doc_id"))
+    wanted = marked.distinct().join(first.withColumn("first", F.lit(True)), ["toxic", "_h", "doc_id"], "left")
+    wanted = wanted.withColumn("first", F.coalesce("first", F.lit(False)))
+    return cut_lineage(held.join(wanted, ["doc_id", "_h"]).select("doc_id", "toxic", "text", "first"), "training-rows")
+
+
 def find_voters(train: DataFrame) -> list[str]:
     """Marks of toxic texts. Each distinct text counts once, so that copies do not vote for their own words."""
-    distinct = train.groupBy("toxic", F.xxhash64("text").alias("_h")).agg(F.min("text").alias("text"))
+    distinct = train.where("first")
     toxic = distinct.where("toxic = 1")
     texts = toxic.count()
     if not texts:
@@ -161,13 +177,13 @@ def fit_linear(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray
 
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray | None]:
     """Voters and weights, from training rows only."""
-    given = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    train = documents.where(remainder_column(F.col("doc_id"), MODULUS) != 0).join(given, "doc_id")
+    train = training_rows(documents, labels)
     voters = find_voters(train)
     if not voters:
         return [], None
     features = Features(voters)
-    sample = train.select("doc_id", "toxic", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    share = min(1.0, FIT_ROWS / train.count())
+    sample = train.where(F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5 <= share).select("toxic", "text")
 
     def rows(frames):
         for frame in frames:
