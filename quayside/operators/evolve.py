@@ -101,8 +101,15 @@ class SchemaConflict(Exception):
 def evolve_struct(current: T.StructType | None, declared: T.StructType) -> T.StructType:
     """The table schema after landing ``declared``: the rule above for one table.
 
-    Added columns are nullable even when required, removed ones stay.
+    Added columns are nullable even when required, removed ones stay. Names that
+    differ in case only are a conflict: readers could not tell them apart.
     """
+    known = {n.lower(): n for n in current.names} if current else {}
+    seen: dict[str, str] = {}
+    for name in declared.names:
+        other = seen.setdefault(name.lower(), known.get(name.lower(), name))
+        if other != name:
+            raise SchemaConflict(f"column '{name}': differs from '{other}' in case only")
     if current is None:
         return declared
     wanted = {f.name: f for f in declared.fields}
@@ -119,6 +126,6 @@ def evolve_struct(current: T.StructType | None, declared: T.StructType) -> T.Str
             raise SchemaConflict(
                 f"column '{old.name}': {old.dataType.simpleString()} to {new.dataType.simpleString()} is not a widening"
             )
-    known = set(current.names)
-    fields += [T.StructField(f.name, f.dataType, True, f.metadata) for f in declared.fields if f.name not in known]
+    old_names = set(current.names)
+    fields += [T.StructField(f.name, f.dataType, True, f.metadata) for f in declared.fields if f.name not in old_names]
     return T.StructType(fields)

@@ -63,11 +63,16 @@ def export_candidates(
 
 
 def files_since(files: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Files of the candidates that the last export did not cover."""
-    since = candidates.select("table_name", F.coalesce("last_exported_snapshot", F.lit(0)).alias("_since"))
+    """Files of the candidates that the last export did not cover, up to the snapshot that the state will name.
+
+    Files that land after the candidates were computed wait for the next export.
+    """
+    since = candidates.select(
+        "table_name", F.coalesce("last_exported_snapshot", F.lit(-1)).alias("_since"), F.col("current_snapshot").alias("_to")
+    )
     return (
         files.join(since, "table_name")
-        .filter(F.col("snapshot_id") > F.col("_since"))
+        .filter((F.col("snapshot_id") > F.col("_since")) & (F.col("snapshot_id") <= F.col("_to")))
         .select("table_name", "path", "snapshot_id", "record_count", "file_size_bytes")
     )
 

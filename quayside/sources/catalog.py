@@ -105,14 +105,15 @@ LAKE_TYPES = {
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when there is no such path.
+    """The table at ``path``, or None when there is no such path or no data file in it.
 
-    Only absence means "no table": any other failure is raised.
+    A folder without files is what a first write leaves that did not end. Any
+    other failure is raised.
     """
     try:
         return spark.read.parquet(path)
     except AnalysisException as failure:
-        if failure.getCondition() == "PATH_NOT_FOUND":
+        if failure.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 

@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quayside.config import TopicSettings
 from quayside.functions.sizes import payload_bytes
 from quayside.operators.compact import cast_to, file_rows, union_versions
-from quayside.operators.evolve import evolve_struct
+from quayside.operators.evolve import SchemaConflict, evolve_struct
 from quayside.operators.quarantine import dead_letters
 from quayside.operators.validate import InvalidRecords, accepted, rejected, rule_counts, typed_columns, validate
 from quayside.sources.catalog import read_if_there
@@ -54,7 +54,12 @@ def current_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType]
 
 
 def ensure_table(spark: SparkSession, target: str, declared: T.StructType) -> int:
-    """Create or evolve the table; returns the schema version to land under."""
+    """Create or evolve the table; returns the schema version to land under.
+
+    The name of the batch column is the table's own: no schema may declare it.
+    """
+    if BATCH in map(str.lower, declared.names):
+        raise SchemaConflict(f"column '{BATCH}': the name is reserved")
     known = current_schema(spark, target)
     wanted = evolve_struct(known[1] if known else None, declared)
     if known and known[1] == wanted:
@@ -74,11 +79,15 @@ def land_batch(
     batch: DataFrame, batch_id: int, target: str, declared: T.StructType, on_invalid: str = "quarantine"
 ) -> None:
     """Land one micro-batch. The records are decoded once and read from the cache,
-    which holds typed values of good records and the text of bad ones only."""
+    which holds typed values of good records and the text of bad ones only.
+
+    A batch whose log is there is committed and is left as it is when it comes again."""
     spark = batch.sparkSession
+    if read_if_there(spark, _part(target, "log", batch_id)) is not None:
+        return
     try:
         version = ensure_table(spark, target, declared)
-    except Exception as conflict:
+    except SchemaConflict as conflict:
         _stop(spark, target, batch, batch_id, f"schema_evolution_failed: {conflict}")
         raise
     good = F.size("violations") == 0
@@ -118,7 +127,7 @@ def land_batch(
             F.count_if(good).alias("accepted"),
             F.count_if(~good).alias("rejected"),
             F.coalesce(F.sum("_size"), F.lit(0)).cast("bigint").alias("bytes"),
-        ).write.mode("overwrite").parquet(_part(target, "log", batch_id))
+        ).coalesce(1).write.mode("overwrite").parquet(_part(target, "log", batch_id))
     finally:
         checked.unpersist()
 

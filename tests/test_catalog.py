@@ -229,3 +229,14 @@ def test_state_is_written_in_versions(spark, tmp_path, rows):
 def test_iceberg_needs_a_catalog(spark):
     with pytest.raises(RuntimeError, match="spark.sql.catalog.lake"):
         register.register_in_iceberg(spark, "lake", "db.t", "/x")
+
+
+def test_files_that_land_later_wait_for_the_next_export(spark, rows):
+    files = spark.createDataFrame(
+        [("t", "p0", 0, 1, 9), ("t", "p1", 1, 1, 9), ("t", "p2", 2, 1, 9)],
+        "table_name string, path string, snapshot_id bigint, record_count bigint, file_size_bytes bigint",
+    )
+    first = spark.createDataFrame([("t", None, 1)], "table_name string, last_exported_snapshot bigint, current_snapshot bigint")
+    then = spark.createDataFrame([("t", 1, 2)], "table_name string, last_exported_snapshot bigint, current_snapshot bigint")
+    assert rows(export.files_since(files, first), "path") == [("p0",), ("p1",)]
+    assert rows(export.files_since(files, then), "path") == [("p2",)]

@@ -154,3 +154,35 @@ def test_triggers_and_reader_limits():
 def test_kafka_reader_names_what_is_missing(spark):
     with pytest.raises(RuntimeError, match="Kafka connector"):
         read_topic(spark, SETTINGS, "broker:9092")
+
+
+def test_committed_batch_is_left_as_it_is(spark, paths, monkeypatch):
+    _, target = paths
+    landing.land_batch(records(spark, 0, 3), 0, target, V0)
+
+    def fail(*_):
+        raise AssertionError("a committed batch was landed again")
+
+    monkeypatch.setattr(landing, "accepted", fail)
+    landing.land_batch(records(spark, 0, 3), 0, target, V0)
+    assert ids(spark, target) == [0, 1, 2]
+
+
+def test_names_that_no_reader_could_tell_apart(spark, paths):
+    _, target = paths
+    landing.land_batch(records(spark, 0, 3), 0, target, V0)
+    with pytest.raises(SchemaConflict, match="case only"):
+        landing.land_batch(records(spark, 3, 5), 1, target, struct_type([("ID", "BIGINT", False)]))
+    with pytest.raises(SchemaConflict, match="reserved"):
+        landing.land_batch(records(spark, 3, 5), 1, target, struct_type([("landed_batch", "BIGINT", True)]))
+    assert ids(spark, target) == [0, 1, 2]
+
+
+def test_schema_folder_without_files_is_no_table(spark, paths):
+    import os
+
+    _, target = paths
+    os.makedirs(f"{target}/schemas")
+    assert landing.current_schema(spark, target) is None
+    landing.land_batch(records(spark, 0, 3), 0, target, V0)
+    assert ids(spark, target) == [0, 1, 2]
