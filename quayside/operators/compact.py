@@ -14,6 +14,13 @@ from quayside.session import settings
 
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# File sizes alone decide what one task reads: no price for opening a file, no
+# share for each core.
+BY_SIZE = {
+    "spark.sql.files.openCostInBytes": "0",
+    "spark.sql.files.minPartitionNum": "1",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
 
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -51,7 +58,7 @@ def compact(df: DataFrame, path: str, target_bytes: int = EXPORT_BYTES, partitio
     """
     spark = df.sparkSession
     size = str(target_bytes)
-    with settings(spark, {MAX_PARTITION_BYTES: size, ADVISORY_BYTES: size}):
+    with settings(spark, {MAX_PARTITION_BYTES: size, ADVISORY_BYTES: size, **BY_SIZE}):
         if partition_by:
             df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
         else:

@@ -19,14 +19,18 @@ def reason_text(violations: Column) -> Column:
 def dead_letters(
     rejected: DataFrame, failed_at: Column, pipeline: Column, team: Column, schema_version: Column | None = None
 ) -> DataFrame:
-    """One row per refused record, with its payload kept as base64."""
+    """One row per refused record, with its payload kept as base64.
+
+    ``value`` is text or binary; its bytes are kept as they came, whether they
+    are text or not.
+    """
     undecodable = F.col("payload_error").isNotNull()
     return rejected.select(
         F.col("topic").alias("original_topic"),
         F.col("partition").alias("original_partition"),
         F.col("offset").alias("original_offset"),
         # Some sessions break base64 into lines of 76 characters.
-        F.translate(F.base64(F.encode("value", "UTF-8")), "\r\n", "").alias("original_payload"),
+        F.translate(F.base64(F.col("value").cast("binary")), "\r\n", "").alias("original_payload"),
         F.when(undecodable, STAGE_DECODE).otherwise(STAGE_VALIDATE).alias("failure_stage"),
         reason_text(F.col("violations")).alias("failure_reason"),
         failed_at.alias("failure_time"),
@@ -40,13 +44,17 @@ def dead_letter_topic(team: Column, topic: Column) -> Column:
     return F.concat(team, F.lit("."), topic, F.lit(".dlq"))
 
 
-def replay(letters: DataFrame, stage: str, since: Column, now: Column) -> DataFrame:
-    """Original records of one failure stage, no older than ``since``, with two headers added."""
+def replay(letters: DataFrame, stage: str, since: Column, now: Column, binary: bool = False) -> DataFrame:
+    """Original records of one failure stage, no older than ``since``, with two headers added.
+
+    ``binary`` gives ``value`` as the bytes that came, which need not be text.
+    """
+    original = F.unbase64("original_payload")
     return letters.filter((F.col("failure_stage") == stage) & (F.col("failure_time") > since)).select(
         F.col("original_topic").alias("topic"),
         F.col("original_partition").alias("partition"),
         F.col("original_offset").alias("offset"),
-        F.decode(F.unbase64("original_payload"), "UTF-8").alias("value"),
+        (original if binary else original.cast("string")).alias("value"),
         F.create_map(
             F.lit(HEADER_TIME), now.cast("string"), F.lit(HEADER_FAILURE), F.col("failure_reason")
         ).alias("headers"),

@@ -19,6 +19,10 @@ def _path(name: str) -> str:
     return f"$['{name}']"
 
 
+def _is_number(kind: Column) -> Column:
+    return (kind == "BIGINT") | kind.startswith("DECIMAL") | (kind == "DOUBLE")
+
+
 def _whole_number_rule(node: Column, kind: Column) -> Column:
     """``2.0`` and ``1e2`` are whole numbers. Decimal kinds name their scale, so
     a fraction shows in the kind; exponents arrive as doubles. NaN sorts above
@@ -62,13 +66,17 @@ def _type_rule(field: T.StructField, node: Column, kind: Column) -> Column:
     return F.when(kind != "STRING", "wrong_type")
 
 
-def _coerced_rule(field: T.StructField, node: Column) -> Column:
-    """Lenient reading: text that casts is accepted."""
+def _coerced_rule(field: T.StructField, node: Column, kind: Column) -> Column:
+    """Lenient reading: text that casts is accepted, numbers keep their strict rule."""
     text = F.try_variant_get(node, "$", "string")
+    cast = text.try_cast(field.dataType)
     if isinstance(field.dataType, T.DoubleType):
-        cast = text.try_cast("double")
-        return F.when(cast.isNull(), "wrong_type").when(F.isnan(cast) | (F.abs(cast) == float("inf")), "not_finite")
-    return F.when(text.try_cast(field.dataType).isNull(), "wrong_type")
+        read = F.when(cast.isNull(), "wrong_type").when(F.isnan(cast) | (F.abs(cast) == float("inf")), "not_finite")
+    else:
+        read = F.when(cast.isNull(), "wrong_type")
+    if isinstance(field.dataType, (T.LongType, T.DoubleType)):
+        return F.when(_is_number(kind), _type_rule(field, node, kind)).otherwise(read)
+    return read
 
 
 def validate(decoded: DataFrame, schema: T.StructType, coerce: bool = False) -> DataFrame:
@@ -85,7 +93,7 @@ def validate(decoded: DataFrame, schema: T.StructType, coerce: bool = False) ->
     rules = []
     for field in schema.fields:
         node, kind = F.col("_nodes")[field.name], F.col("_kinds")[field.name]
-        by_type = _coerced_rule(field, node) if coerce else _type_rule(field, node, kind)
+        by_type = _coerced_rule(field, node, kind) if coerce else _type_rule(field, node, kind)
         absent = F.lit(None) if field.nullable else F.lit("missing")
         null = F.lit(None) if field.nullable else F.lit("null")
         rules.append(F.when(node.isNull(), absent).when(kind == "VOID", null).otherwise(by_type).alias(field.name))
@@ -115,17 +123,15 @@ def rejected(validated: DataFrame) -> DataFrame:
     return validated.filter(F.size("violations") > 0)
 
 
-def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return accepted(validated), rejected(validated)
-
-
 def typed_columns(schema: T.StructType, coerce: bool = False) -> list[Column]:
     """The declared columns read from ``payload`` by name; a missing key gives null."""
 
     def typed(field: T.StructField) -> Column:
-        if coerce:
-            return F.try_variant_get("payload", _path(field.name), "string").try_cast(field.dataType)
-        return F.try_variant_get("payload", _path(field.name), field.dataType.simpleString())
+        read = F.try_variant_get("payload", _path(field.name), field.dataType.simpleString())
+        if not coerce:
+            return read
+        text = F.try_variant_get("payload", _path(field.name), "string").try_cast(field.dataType)
+        return F.coalesce(read, text) if isinstance(field.dataType, (T.LongType, T.DoubleType)) else text
 
     return [typed(f).alias(f.name) for f in schema.fields]
 
@@ -140,7 +146,7 @@ def unknown_keys(decoded: DataFrame, schema: T.StructType, value: str = "value")
     declared = F.array(*[F.lit(f.name) for f in schema.fields])
     return (
         decoded.filter(F.col("payload_error").isNull())
-        .select("topic", F.explode(F.array_except(F.json_object_keys(value), declared)).alias("key"))
+        .select("topic", F.explode(F.array_except(F.json_object_keys(F.col(value).cast("string")), declared)).alias("key"))
         .groupBy("topic", "key")
         .agg(F.count("*").alias("records"))
     )

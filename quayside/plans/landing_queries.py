@@ -21,7 +21,6 @@ from quayside.streaming import flush, landing
 
 SETTINGS = TopicSettings(name="team.events", table="team.events")
 NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-TOPICS = ("team.click", "team.error", "team.purchase", "team.signup", "team.view")
 
 
 def _land(records, target, schema=X.EVENT_SCHEMA, times=1, on_invalid="quarantine"):
@@ -145,7 +144,8 @@ def described_table(spark, sf_dir):
 def _jobs(spark, sf_dir, dirty=(), on_invalid="quarantine"):
     root = fresh_dir(spark, "topics")
     jobs = []
-    for topic in TOPICS:
+    topics = X.topic_log(spark, sf_dir).select("topic").distinct().orderBy("topic").collect()
+    for (topic,) in topics:
         records = X.topic_stream(spark, sf_dir, dirty=topic in dirty).filter(F.col("topic") == topic)
         target = f"{root}/{topic}"
         settings = TopicSettings(name=topic, table=topic)

@@ -1,4 +1,4 @@
-"""Topics as DataFrames ``(topic, partition, offset, timestamp, value)``."""
+"""Topics as DataFrames ``(topic, partition, offset, timestamp, value)``; ``value`` is text or bytes."""
 
 from __future__ import annotations
 
@@ -19,9 +19,6 @@ TOPIC_SCHEMA = T.StructType(
     ]
 )
 
-# Fixed value: the most records one poll may return.
-MAX_POLL_RECORDS = 500
-
 
 def read_topic(spark: SparkSession, settings: TopicSettings, brokers: str) -> DataFrame:
     """Stream of one Kafka topic from its earliest record.
@@ -41,7 +38,8 @@ def read_topic(spark: SparkSession, settings: TopicSettings, brokers: str) -> Da
         "partition",
         "offset",
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
-        F.col("value").cast("string").alias("value"),
+        # As bytes, so that what is no text can be kept as it came.
+        "value",
     )
 
 
@@ -91,7 +89,7 @@ def decode_json(records: DataFrame, value: str = "value") -> DataFrame:
     value. The root kind is read off the first character, which is enough once
     the text has parsed.
     """
-    text = F.col(value)
+    text = F.col(value).cast("string")
     return records.withColumn("payload", F.try_parse_json(text)).withColumn(
         "payload_error",
         F.when(text.isNull(), "null_value")

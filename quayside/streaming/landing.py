@@ -8,7 +8,7 @@ Layout of a target table::
     manifest/landed_batch=N/  files of the batch
     log/landed_batch=N/       offsets, counts and bytes per topic and partition;
                               written last, so it commits the batch
-    stops/                    why a topic stopped
+    stops/landed_batch=N/     why a topic stopped at that batch
 
 Every path is named by batch id and overwritten, so a retried batch replaces
 what an earlier attempt left. Batches of a checkpoint run in order: whatever
@@ -18,6 +18,7 @@ tells readers where to stop.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -72,7 +73,11 @@ def ensure_table(spark: SparkSession, target: str, declared: T.StructType) -> in
 
 def _stop(spark: SparkSession, target: str, topics: DataFrame, batch_id: int, reason: str) -> None:
     row = topics.select("topic").distinct().select("topic", F.lit(batch_id).alias("batch_id"), F.lit(reason).alias("reason"))
-    row.write.mode("append").parquet(f"{target}/stops")
+    row.coalesce(1).write.mode("overwrite").parquet(_part(target, "stops", batch_id))
+
+
+def _reason_of(refusal: Exception) -> str:
+    return f"schema_evolution_failed: {refusal}" if isinstance(refusal, SchemaConflict) else str(refusal)
 
 
 def land_batch(
@@ -88,7 +93,7 @@ def land_batch(
     try:
         version = ensure_table(spark, target, declared)
     except SchemaConflict as conflict:
-        _stop(spark, target, batch, batch_id, f"schema_evolution_failed: {conflict}")
+        _stop(spark, target, batch, batch_id, _reason_of(conflict))
         raise
     good = F.size("violations") == 0
     checked = (
@@ -140,17 +145,26 @@ def land_stream(
     settings: TopicSettings,
     bounded: bool = True,
     on_invalid: str = "quarantine",
+    refused: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
     """Start landing a stream; ``schema`` is asked again before every batch.
 
     Source offsets are committed by the checkpoint once the batch is written.
-    ``bounded`` stops when everything available has been landed.
+    ``bounded`` stops when everything available has been landed. ``refused`` is
+    told the reason when this run stops over its schema or its records.
     """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, target, schema(), on_invalid)
-
-    writer = records.writeStream.queryName(f"land-{settings.name}-{checkpoint[-8:]}").foreachBatch(flush)
+        try:
+            land_batch(batch, batch_id, target, schema(), on_invalid)
+        except (SchemaConflict, InvalidRecords) as refusal:
+            if refused:
+                refused(_reason_of(refusal))
+            raise
+
+    # One name for each checkpoint: the same topic may be landed to two targets at once.
+    name = f"land-{settings.name}-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    writer = records.writeStream.queryName(name).foreachBatch(flush)
     return writer.option("checkpointLocation", checkpoint).trigger(**flush_trigger(settings, bounded)).start()
 
 
@@ -162,34 +176,38 @@ class LandingJob:
     target: str
     checkpoint: str
     on_invalid: str = "quarantine"
+    bounded: bool = True
 
 
 def land_topics(spark: SparkSession, jobs: list[LandingJob]) -> DataFrame:
     """Land several topics at once, one query each: ``(topic, outcome, reason)``.
 
-    A topic that fails stops alone; the others run to their end.
+    A topic that fails, or that cannot start, stops alone; the others run to
+    their end. A job that is not ``bounded`` ends only when its query is stopped.
     """
-    running = [
-        (j, land_stream(j.records, j.target, j.checkpoint, j.schema, j.settings, on_invalid=j.on_invalid)) for j in jobs
-    ]
-    rows = []
-    for job, query in running:
+    running, rows = [], []
+    for job in jobs:
+        reasons: list[str] = []
+        try:
+            query = land_stream(
+                job.records, job.target, job.checkpoint, job.schema, job.settings, job.bounded, job.on_invalid, reasons.append
+            )
+            running.append((job, query, reasons))
+        except Exception as failure:
+            rows.append((job.settings.name, "not_started", str(failure)))
+    for job, query, reasons in running:
         try:
             query.awaitTermination()
             rows.append((job.settings.name, "finished", None))
         except Exception as failure:
-            rows.append((job.settings.name, "stopped", _reason(spark, job.target) or str(failure)))
+            rows.append((job.settings.name, "stopped", reasons[-1] if reasons else str(failure)))
     return spark.createDataFrame(rows, "topic string, outcome string, reason string")
 
 
-def _reason(spark: SparkSession, target: str) -> str | None:
-    stops = read_stops(spark, target)
-    row = stops.orderBy(F.desc("batch_id")).first() if stops is not None else None
-    return row["reason"] if row else None
-
-
 def read_stops(spark: SparkSession, target: str) -> DataFrame | None:
-    return read_if_there(spark, f"{target}/stops")
+    """``topic, batch_id, reason``; a batch that stopped again has its last reason."""
+    stops = read_if_there(spark, f"{target}/stops")
+    return None if stops is None else stops.drop(BATCH)
 
 
 def read_part(spark: SparkSession, target: str, kind: str) -> DataFrame:

@@ -154,6 +154,15 @@ def test_compaction(spark, tmp_path, rows):
     assert spark.read.parquet(str(tmp_path / "days")).count() == 1000
 
 
+def test_compaction_meets_its_size(spark, tmp_path):
+    source, out = str(tmp_path / "many"), str(tmp_path / "few")
+    spark.range(0, 2_400_000, numPartitions=60).select(F.rand(5).alias("v")).write.parquet(source)
+    total = compact.file_rows(spark, source).agg(F.sum("file_size_bytes")).first()[0]
+    compact.compact(spark.read.parquet(source), out, target_bytes=total * 3 // 8)
+    sizes = [r["file_size_bytes"] for r in compact.file_rows(spark, out).collect()]
+    assert len(sizes) == 3 and max(sizes) < total * 3.3 / 8
+
+
 def test_versions_are_united(spark, rows):
     old = spark.createDataFrame([(1, 5)], "k bigint, v bigint")
     new = spark.createDataFrame([(2, 1.5, "x")], "k bigint, v double, e string")

@@ -186,3 +186,31 @@ def test_schema_folder_without_files_is_no_table(spark, paths):
     assert landing.current_schema(spark, target) is None
     landing.land_batch(records(spark, 0, 3), 0, target, V0)
     assert ids(spark, target) == [0, 1, 2]
+
+
+def test_a_stop_is_kept_once_and_tells_of_its_own_run(spark, paths):
+    source, target = paths
+    put(spark, source, 0, 1, text='{"v":1}')
+    stream = read_topic_files(spark, source)
+    job = landing.LandingJob(SETTINGS, stream, lambda: V0, target, f"{target}-cp", "stop")
+    for _ in range(2):
+        assert landing.land_topics(spark, [job]).first()["reason"] == "invalid_records: id missing"
+    assert landing.read_stops(spark, target).count() == 1
+
+    def down():
+        raise OSError("registry down")
+
+    lost = landing.LandingJob(SETTINGS, stream, down, target, f"{target}-cp", "stop")
+    assert "registry down" in landing.land_topics(spark, [lost]).first()["reason"]
+
+
+def test_a_topic_that_cannot_start_leaves_the_others(spark, paths):
+    source, target = paths
+    put(spark, source, 0, 5)
+    good = landing.LandingJob(SETTINGS, read_topic_files(spark, source), lambda: V0, target, f"{target}-checkpoint")
+    twice = landing.LandingJob(SETTINGS, read_topic_files(spark, source), lambda: V0, f"{target}2", f"{target}2-checkpoint")
+    # A table that is no stream cannot be started.
+    bad = landing.LandingJob(TopicSettings(name="bad", table="bad"), records(spark, 0, 1), lambda: V0, f"{target}3", f"{target}3-checkpoint")
+    got = sorted((r["topic"], r["outcome"]) for r in landing.land_topics(spark, [bad, good, twice]).collect())
+    assert got == [("bad", "not_started"), ("t", "finished"), ("t", "finished")]
+    assert ids(spark, target) == ids(spark, f"{target}2") == list(range(5))

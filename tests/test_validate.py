@@ -101,6 +101,9 @@ def test_conform_projects_by_name(spark):
         ('{"need":1,"d":"1.5"}', ""),
         ('{"need":1,"d":"Infinity"}', "d:not_finite"),
         ('{"need":1,"b":"true"}', ""),
+        ('{"need":1e2}', ""),
+        ('{"need":1.5}', "need:fraction"),
+        ('{"need":1e30}', "need:out_of_range"),
     ],
 )
 def test_lenient_reading(spark, value, why):
@@ -108,6 +111,20 @@ def test_lenient_reading(spark, value, why):
     assert checked.select(reason_text(F.col("violations"))).first()[0] == why
 
 
+def test_lenient_values(spark):
+    decoded = decode_json(topic(spark, ['{"need":1e2,"d":1e2}', '{"need":"7","d":"1.5"}', '{"need":7.0,"d":2}']))
+    got = conform(decoded, SCHEMA, coerce=True).select("need", "d").collect()
+    assert sorted(map(tuple, got)) == [(7, 1.5), (7, 2.0), (100, 100.0)]
+
+
+def test_dead_letters_keep_bytes_that_are_no_text(spark):
+    records = topic(spark, ["x"]).withColumn("value", F.unhex(F.lit("FFFE7B00")))
+    bad = rejected(validate(decode_json(records), SCHEMA))
+    at, early = (F.lit(f"2024-01-01 {h}:00:00").cast("timestamp_ntz") for h in ("10", "09"))
+    letters = dead_letters(bad, at, F.lit("p"), F.lit("team"))
+    assert bytes(replay(letters, "DESERIALIZATION", early, at, binary=True).first()["value"]) == bytes.fromhex("FFFE7B00")
+
+
 def test_unknown_keys(spark):
     values = ['{"need":1,"x":1,"y":2}', '{"need":1,"x":1}', "[1]", '{"x":']
     got = unknown_keys(decode_json(topic(spark, values)), SCHEMA).collect()
