@@ -358,7 +358,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY) -> Dat
     every = met.union(settled)
     if edges.where("hot").limit(1).count():
         every = every.union(hot)
-    every = every.groupBy("k", "u").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # Written for the same reason as above: copies of one document share all their spans.
+    every = cut_lineage(every.groupBy("k", "u").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "every-span")
     found = anchors.join(every, ["k", "u"]).select("dk", (F.col("x") + F.col("lo")).alias("start"), (F.col("x") + F.col("hi")).alias("end"))
     return found.groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
