@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.config import EXPORT_AGE_MINUTES, EXPORT_BYTES
+from quayside.operators.evolve import SchemaConflict
+from quayside.session import cut_lineage
 from quayside.sources.catalog import read_if_there
 
 STATE = T.StructType(
@@ -120,21 +124,63 @@ def expirable_files(files: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _newest_state(spark: SparkSession, path: str) -> int | None:
-    versions = read_if_there(spark, path)
+    versions = read_if_there(spark, f"{path}/current")
     return None if versions is None else versions.agg(F.max("version")).first()[0]
 
 
 def save_state(state: DataFrame, path: str) -> int:
-    """Write a whole new version of the state; readers see the old one until it is complete."""
+    """Write a whole new version of the state, then the one row that makes it the current one.
+
+    Readers follow that row, so they see the old version until the new one is
+    complete; what a crash left of a version is overwritten by the next save.
+    """
     newest = _newest_state(state.sparkSession, path)
     version = 0 if newest is None else newest + 1
-    state.select(*STATE.names).write.parquet(f"{path}/version={version}")
+    state.select(*STATE.names).write.mode("overwrite").parquet(f"{path}/version={version}")
+    state.sparkSession.range(version, version + 1, numPartitions=1).toDF("version").write.mode("append").parquet(f"{path}/current")
     return version
 
 
 def load_state(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of the state, empty before the first."""
+    """The newest complete version of the state, empty before the first."""
     newest = _newest_state(spark, path)
     if newest is None:
         return spark.createDataFrame([], STATE)
-    return spark.read.parquet(path).filter(F.col("version") == newest).select(*STATE.names)
+    return spark.read.schema(STATE).parquet(f"{path}/version={newest}")
+
+
+def run_export(
+    files: DataFrame,
+    snapshots: DataFrame,
+    state_path: str,
+    now: Column,
+    write: Callable[[str, int, DataFrame], None],
+    min_bytes: int = EXPORT_BYTES,
+    max_age_minutes: int = EXPORT_AGE_MINUTES,
+) -> DataFrame:
+    """One run of the export job; returns the exported ``(table_name, current_snapshot)``.
+
+    The candidates are stored once: files and state both follow them, so a file
+    that lands meanwhile waits for the next run. ``write(table, snapshot, files)``
+    exports one table; it names its output by the snapshot and overwrites it, so
+    that a run that was cut off may be repeated. A table whose versions conflict
+    is blocked with the reason and the others go on. The loop is over the tables
+    that are due, each of which is a Spark job of its own.
+    """
+    spark = files.sparkSession
+    state = load_state(spark, state_path)
+    due = cut_lineage(export_candidates(files, snapshots, state, now, min_bytes, max_age_minutes), "due")
+    chosen = cut_lineage(files_since(files, due), "chosen")
+    done, blocked = [], []
+    for row in due.orderBy("table_name").toLocalIterator():
+        table, snapshot = row["table_name"], row["current_snapshot"]
+        try:
+            write(table, snapshot, chosen.filter(F.col("table_name") == table))
+            done.append((table, snapshot))
+        except SchemaConflict as conflict:
+            blocked.append((table, str(conflict)))
+    exported = spark.createDataFrame(done, "table_name string, current_snapshot bigint")
+    if done or blocked:
+        conflicts = spark.createDataFrame(blocked, "table_name string, reason string")
+        save_state(block_exports(record_export(state, exported, now), conflicts), state_path)
+    return exported

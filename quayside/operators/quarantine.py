@@ -22,18 +22,28 @@ def dead_letters(
     """One row per refused record, with its payload kept as base64.
 
     ``value`` is text or binary; its bytes are kept as they came, whether they
-    are text or not.
+    are text or not. ``key``, ``headers``, ``schema_id`` and ``failure_stack_trace``
+    are kept where the records have them and are null where they do not; a refusal
+    by rule has no stack trace of its own.
     """
     undecodable = F.col("payload_error").isNotNull()
+
+    def carried(name: str, kind: str):
+        return (F.col(name) if name in rejected.columns else F.lit(None)).cast(kind)
+
     return rejected.select(
         F.col("topic").alias("original_topic"),
         F.col("partition").alias("original_partition"),
         F.col("offset").alias("original_offset"),
+        carried("key", "string").alias("original_key"),
         # Some sessions break base64 into lines of 76 characters.
         F.translate(F.base64(F.col("value").cast("binary")), "\r\n", "").alias("original_payload"),
+        carried("headers", "map<string,string>").alias("original_headers"),
         F.when(undecodable, STAGE_DECODE).otherwise(STAGE_VALIDATE).alias("failure_stage"),
         reason_text(F.col("violations")).alias("failure_reason"),
+        carried("failure_stack_trace", "string").alias("failure_stack_trace"),
         failed_at.alias("failure_time"),
+        carried("schema_id", "int").alias("schema_id"),
         (schema_version if schema_version is not None else F.lit(None)).cast("int").alias("schema_version"),
         pipeline.alias("pipeline_name"),
         team.alias("team_name"),
@@ -45,17 +55,19 @@ def dead_letter_topic(team: Column, topic: Column) -> Column:
 
 
 def replay(letters: DataFrame, stage: str, since: Column, now: Column, binary: bool = False) -> DataFrame:
-    """Original records of one failure stage, no older than ``since``, with two headers added.
+    """Original records of one failure stage, no older than ``since``, with two headers added to their own.
 
     ``binary`` gives ``value`` as the bytes that came, which need not be text.
     """
     original = F.unbase64("original_payload")
+    added = F.create_map(F.lit(HEADER_TIME), now.cast("string"), F.lit(HEADER_FAILURE), F.col("failure_reason"))
+    # A record that is replayed again gets the two anew.
+    own = F.map_filter("original_headers", lambda name, _: ~name.isin(HEADER_TIME, HEADER_FAILURE))
     return letters.filter((F.col("failure_stage") == stage) & (F.col("failure_time") > since)).select(
         F.col("original_topic").alias("topic"),
         F.col("original_partition").alias("partition"),
         F.col("original_offset").alias("offset"),
+        F.col("original_key").alias("key"),
         (original if binary else original.cast("string")).alias("value"),
-        F.create_map(
-            F.lit(HEADER_TIME), now.cast("string"), F.lit(HEADER_FAILURE), F.col("failure_reason")
-        ).alias("headers"),
+        F.when(F.col("original_headers").isNull(), added).otherwise(F.map_concat(own, added)).alias("headers"),
     )

@@ -21,7 +21,11 @@ def stale_registrations(live: DataFrame, registered: DataFrame) -> DataFrame:
 
 
 def register(live: DataFrame, registered: DataFrame, path: str) -> str:
-    """Append the new files' metadata below ``path`` as one atomic write."""
+    """Append the new files' metadata below ``path``.
+
+    A write that was cut off may be repeated: what it left counts as registered,
+    the rest is appended. Two registrations of one target must not run at once.
+    """
     new_files(live, registered).write.mode("append").parquet(path)
     return path
 

@@ -183,25 +183,11 @@ flush_log AS (
   FROM topic_log GROUP BY 1, 2)"""
 
 
-def landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What landing every hour would have logged."""
-    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    return (
-        sized_topic(spark, sf_dir)
-        .groupBy("topic", "partition", F.floor(at / 3_600_000_000).cast("bigint").alias("batch_id"))
-        .agg(
-            F.min("offset").alias("start_offset"),
-            (F.max("offset") + 1).alias("end_offset"),
-            F.count("*").alias("records"),
-            F.sum("bytes").alias("bytes"),
-        )
-    )
-
-
+# Batches that landing makes of a topic: ten days each.
+BATCH_OF = "CAST((day({ts}) - 1) / 10 AS INT)"
 LANDING_SQL = f"""{TOPIC_SQL},
 landing_log AS (
-  SELECT topic, "partition", CAST(floor(epoch_us("timestamp") / 3600000000) AS BIGINT) AS batch_id,
-         min("offset") AS start_offset, max("offset") + 1 AS end_offset, count(*) AS records,
+  SELECT topic, "partition", CAST((day("timestamp") - 1) // 10 AS BIGINT) AS batch_id, count(*) AS records,
          CAST(sum({CLEAN_BYTES_SQL}) AS BIGINT) AS bytes
   FROM topic_log GROUP BY 1, 2, 3)"""
 

@@ -7,15 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quayside.config import TopicSettings
+from quayside.config import MAX_FLUSH_SECONDS, MIN_FLUSH_SECONDS, TopicSettings
 from quayside.functions.json_schema import struct_type
-from quayside.operators import register
+from quayside.operators import compact, export, register, telemetry
 from quayside.plans import fixtures as X
 from quayside.plans.registered import QUERIES, query
 from quayside.plans.telemetry_queries import BATCH_BYTES, BATCH_SECONDS
 from quayside.plans.topic_queries import SPLIT_AT
-from quayside.session import fresh_dir
-from quayside.sources.catalog import describe_columns
+from quayside.session import cut_lineage, fresh_dir
+from quayside.sources.catalog import describe_columns, live_files, read_if_there
 from quayside.sources.topics import read_topic_files
 from quayside.streaming import flush, landing
 
@@ -95,18 +95,72 @@ def landed_manifest(spark, sf_dir):
     )
 
 
+def _log(spark, sf_dir):
+    """The log of a topic landed in three batches, the first of which comes twice."""
+    target, log = fresh_dir(spark, "logged"), X.topic_log(spark, sf_dir)
+    for n in (0, 1, 2, 0):
+        batch = log.filter(F.expr(X.BATCH_OF.format(ts="timestamp")) == n)
+        landing.land_batch(batch, n, target, X.EVENT_SCHEMA)
+    return landing.read_part(spark, target, "log")
+
+
+@query("A7 T8 T10", "SELECT topic, CAST(sum(records) AS BIGINT) AS records FROM landing_log GROUP BY topic", X.LANDING_SQL)
+def records_consumed(spark, sf_dir):
+    return telemetry.consumed(_log(spark, sf_dir))
+
+
+@query("A8 T8 T10", "SELECT topic, count(DISTINCT batch_id) AS flushes FROM landing_log GROUP BY topic", X.LANDING_SQL)
+def flush_counts(spark, sf_dir):
+    return telemetry.flushes(_log(spark, sf_dir))
+
+
+@query(
+    "A9 T10",
+    """SELECT topic, count(*) AS batches, CAST(sum(bytes) AS BIGINT) AS total_bytes, max(bytes) AS largest_bytes,
+      quantile_disc(bytes, 0.5) AS p50
+    FROM (SELECT topic, batch_id, CAST(sum(bytes) AS BIGINT) AS bytes FROM landing_log GROUP BY ALL) GROUP BY topic""",
+    X.LANDING_SQL,
+)
+def batch_size_summary(spark, sf_dir):
+    return telemetry.batch_sizes(_log(spark, sf_dir), percentiles=(0.5,))
+
+
+@query(
+    "W1 F8 F9 T10",
+    """SELECT topic, count(DISTINCT batch_id) AS flushes, true AS moving, 3000 AS max_batch_bytes, true AS within_bounds
+    FROM landing_log GROUP BY topic""",
+    X.LANDING_SQL,
+)
+def landed_throughput(spark, sf_dir):
+    """Rates and budgets from what landing logged; its seconds differ from run to run."""
+    log = _log(spark, sf_dir)
+    rates = cut_lineage(telemetry.throughput_ema(landing.flush_log(log)), "rates")
+    budgets = telemetry.flush_budget(
+        rates.drop("flushes"), 20000, F.lit(5), F.lit(3000), F.lit(MIN_FLUSH_SECONDS), F.lit(MAX_FLUSH_SECONDS)
+    )
+    return rates.select("topic", "flushes").join(budgets, "topic").select(
+        "topic",
+        "flushes",
+        (F.col("bytes_per_second") > 0).alias("moving"),
+        F.col("max_batch_bytes").cast("int").alias("max_batch_bytes"),
+        F.col("interval_seconds").between(MIN_FLUSH_SECONDS, MAX_FLUSH_SECONDS).alias("within_bounds"),
+    )
+
+
 # A table that starts with a whole-number value and one column that goes away,
 # then has the value widened and a user column added.
 _FIRST = struct_type([("event_id", "BIGINT", False), ("value", "BIGINT", False), ("props", "VARCHAR", True)])
 _SECOND = struct_type([("event_id", "BIGINT", False), ("user_id", "BIGINT", False), ("value", "DOUBLE", False)])
 
 
-def _evolved(spark, sf_dir):
-    target, log = fresh_dir(spark, "evolved"), X.topic_log(spark, sf_dir)
+def _evolved(spark, sf_dir, target=None, batches=2):
+    """The first or both of two batches; a batch that is there already is left as it is."""
+    target, log = target or fresh_dir(spark, "evolved"), X.topic_log(spark, sf_dir)
     early = F.col("timestamp") < F.lit(SPLIT_AT).cast("timestamp_ntz")
     whole = F.regexp_replace("value", r'("value":\d+)\.\d+', "$1")
     landing.land_batch(log.filter(early).withColumn("value", whole), 0, target, _FIRST)
-    landing.land_batch(log.filter(~early), 1, target, _SECOND)
+    if batches > 1:
+        landing.land_batch(log.filter(~early), 1, target, _SECOND)
     return target
 
 
@@ -128,6 +182,54 @@ def registered_rows(spark, sf_dir):
     return landing.read_registered(spark, target, listed)
 
 
+def _catalog(spark, target):
+    """Live files of a landed table, as its manifest lists them."""
+    manifest = landing.read_part(spark, target, "manifest")
+    return live_files(manifest, manifest.select("table_id", "table_name").distinct())
+
+
+@query("S9 S12 J1 J5 K1 K4", _EVOLVED)
+def landed_to_registered(spark, sf_dir):
+    """Land, list, register and read by what is registered, with another batch landed between two registrations."""
+    target, known = fresh_dir(spark, "evolved"), fresh_dir(spark, "registered")
+    nothing = spark.createDataFrame([], "table_name string, path string, record_count bigint, file_size_bytes bigint")
+    register.register(_catalog(spark, _evolved(spark, sf_dir, target, batches=1)), nothing, known)
+    live = _catalog(spark, _evolved(spark, sf_dir, target))
+    register.register(live, spark.read.parquet(known), known)
+    return landing.read_registered(spark, target, spark.read.parquet(known))
+
+
+@query(
+    "D1 D2 D3 D4 D5 D7 S12",
+    f"""SELECT *, CASE WHEN user_id IS NULL THEN 0 ELSE 1 END AS exported_at,
+      CAST((SELECT count(*) FILTER (ts >= TIMESTAMP '{SPLIT_AT}') FROM events) AS BIGINT) AS expirable_rows FROM ({_EVOLVED})""",
+)
+def exported_table(spark, sf_dir):
+    """The export job after each of two batches and once more when nothing is due; what it wrote, and what may now go."""
+    target, out, state = (fresh_dir(spark, name) for name in ("evolved", "exported", "export-state"))
+    runs = []
+    for batches in (1, 2, 2):
+        landed = _evolved(spark, sf_dir, target, batches)
+
+        def write(table, snapshot, files):
+            compact.compact(landing.read_registered(spark, landed, files), f"{out}/exported_at={snapshot}")
+
+        log = landing.read_part(spark, target, "log")
+        now = F.current_timestamp().cast("timestamp_ntz")
+        runs.append(export.run_export(_catalog(spark, target), landing.snapshots(log), state, now, write, min_bytes=1))
+    newest = landing.current_schema(spark, target)[1]
+    written = [
+        compact.cast_to(spark.read.parquet(f"{out}/exported_at={row['current_snapshot']}"), newest).withColumn(
+            "exported_at", F.lit(row["current_snapshot"]).cast("int")
+        )
+        for run in runs
+        for row in run.collect()
+    ]
+    expirable = export.expirable_files(_catalog(spark, target), export.load_state(spark, state))
+    later = expirable.filter("snapshot_id = 1").agg(F.sum("record_count").cast("bigint")).scalar()
+    return compact.union_versions(written).withColumn("expirable_rows", later)
+
+
 @query(
     "S10 K2 K3",
     """SELECT * FROM (VALUES (0, 'event_id', 'BIGINT', false), (1, 'value', 'DOUBLE', false), (2, 'props', 'VARCHAR', true),
@@ -168,6 +270,44 @@ def topic_outcomes(spark, sf_dir):
     return outcomes.withColumn("reason", F.substring_index("reason", ":", 1))
 
 
+def _stopped(spark, sf_dir):
+    """Logs and stops of five topics, two of which hold bad records under the stop policy and are tried twice."""
+    jobs = _jobs(spark, sf_dir, dirty=("team.click", "team.view"), on_invalid="stop")
+    for _ in range(2):
+        landing.land_topics(spark, jobs)
+    logs, stops = None, None
+    for job in jobs:
+        log = read_if_there(spark, f"{job.target}/log")
+        if log is not None:
+            logs = log if logs is None else logs.unionByName(log)
+        stop = landing.read_stops(spark, job.target)
+        if stop is not None:
+            stops = stop if stops is None else stops.unionByName(stop)
+    return logs, stops
+
+
+@query(
+    "A10 T7",
+    """SELECT topic, 'invalid_records' AS reason, count(DISTINCT topic) AS stops FROM judged
+    WHERE violations IS NOT NULL AND event_type IN ('click', 'view') GROUP BY topic""",
+    X.JUDGED_SQL,
+)
+def stops_by_reason(spark, sf_dir):
+    """A stop that comes again counts once. Which rule is named depends on where the micro-batch ends."""
+    _, stops = _stopped(spark, sf_dir)
+    return telemetry.stop_counts(stops.withColumn("reason", F.substring_index("reason", ":", 1)))
+
+
+@query(
+    "A11",
+    """SELECT greatest(count(*), 1) AS active FROM (SELECT DISTINCT topic FROM judged WHERE topic NOT IN
+      (SELECT topic FROM judged WHERE violations IS NOT NULL AND event_type IN ('click', 'view')))""",
+    X.JUDGED_SQL,
+)
+def active_topics(spark, sf_dir):
+    return telemetry.active_topics(*_stopped(spark, sf_dir))
+
+
 @query(
     "A14 T6",
     """SELECT topic, count(*) AS produced, count(*) FILTER (ok) AS landed, count(*) FILTER (ok AND topic <> 'team.view') AS registered,

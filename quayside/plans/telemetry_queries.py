@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside.config import EMA_ALPHA, MAX_FLUSH_SECONDS, MIN_FLUSH_SECONDS
-from quayside.operators import batches, telemetry, validate
+from quayside.operators import batches, telemetry
 from quayside.plans import fixtures as X
 from quayside.plans.registered import query
-from quayside.sources.topics import decode_json
 
 _EMA = f"""samples AS (SELECT topic, seq, bytes / elapsed_seconds AS s,
     row_number() OVER (PARTITION BY topic ORDER BY seq) AS n FROM flush_log WHERE elapsed_seconds > 0),
@@ -55,54 +54,6 @@ def flush_budgets(spark, sf_dir):
     return budgets.withColumn("bytes_per_second", F.round("bytes_per_second", 6))
 
 
-@query("A7 T10", "SELECT topic, CAST(sum(records) AS BIGINT) AS records FROM landing_log GROUP BY topic", X.LANDING_SQL)
-def records_consumed(spark, sf_dir):
-    return telemetry.consumed(X.landing_log(spark, sf_dir))
-
-
-@query("A8 T10", "SELECT topic, count(DISTINCT batch_id) AS flushes FROM landing_log GROUP BY topic", X.LANDING_SQL)
-def flush_counts(spark, sf_dir):
-    return telemetry.flushes(X.landing_log(spark, sf_dir))
-
-
-@query(
-    "A9 T10",
-    """SELECT topic, count(*) AS batches, CAST(sum(bytes) AS BIGINT) AS total_bytes, max(bytes) AS largest_bytes
-    FROM (SELECT topic, batch_id, CAST(sum(bytes) AS BIGINT) AS bytes FROM landing_log GROUP BY ALL) GROUP BY topic""",
-    X.LANDING_SQL,
-)
-def batch_size_summary(spark, sf_dir):
-    return telemetry.batch_sizes(X.landing_log(spark, sf_dir))
-
-
-def _stops(spark, sf_dir):
-    """Under the stop policy each broken record would have stopped its topic."""
-    checked = validate.validate(decode_json(X.topic_log(spark, sf_dir, dirty=True)), X.EVENT_SCHEMA)
-    rules = validate.rejected(checked).select("topic", "offset", F.explode("violations").alias("v"))
-    return rules.select("topic", F.concat_ws(" ", F.lit("invalid_records:"), "v.column", "v.rule").alias("reason"))
-
-
-@query(
-    "A10 T7",
-    """SELECT topic, 'invalid_records: ' || replace(v, ':', ' ') AS reason, count(*) AS stops
-    FROM (SELECT topic, unnest(string_split(violations, ',')) AS v FROM judged WHERE violations IS NOT NULL) GROUP BY ALL""",
-    X.JUDGED_SQL,
-)
-def stops_by_reason(spark, sf_dir):
-    return telemetry.stop_counts(_stops(spark, sf_dir))
-
-
-@query(
-    "A11",
-    """SELECT greatest(count(*), 1) AS active FROM (SELECT DISTINCT topic FROM landing_log
-    WHERE topic NOT IN (SELECT topic FROM judged WHERE violations LIKE '%fraction%' AND event_type IN ('click', 'view')))""",
-    X.JUDGED_SQL + ",\nlanding_log AS (SELECT topic FROM topic_log)",
-)
-def active_topics(spark, sf_dir):
-    stopped = _stops(spark, sf_dir).filter(F.col("reason").contains("fraction") & F.col("topic").isin("team.click", "team.view"))
-    return telemetry.active_topics(X.landing_log(spark, sf_dir), stopped)
-
-
 BATCH_BYTES = 16_384
 BATCH_SECONDS = 6 * 3600
 

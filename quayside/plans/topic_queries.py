@@ -218,30 +218,34 @@ def trigger_limits(spark, sf_dir):
 
 
 _LETTERS = f"""letters AS (
-  SELECT topic AS original_topic, "partition" AS original_partition, "offset" AS original_offset,
-    to_base64(encode("value")) AS original_payload,
+  SELECT topic AS original_topic, "partition" AS original_partition, "offset" AS original_offset, 'k' || "offset" AS original_key,
+    '{{"from":"' || topic || '"}}' AS original_headers, to_base64(encode("value")) AS original_payload,
     CASE WHEN violations LIKE '$:%' THEN 'DESERIALIZATION' ELSE 'VALIDATION' END AS failure_stage,
     violations AS failure_reason, "timestamp" AS failure_time, CAST(NULL AS INTEGER) AS schema_version,
+    CAST(NULL AS VARCHAR) AS failure_stack_trace, CAST(NULL AS INTEGER) AS schema_id,
     topic AS pipeline_name, 'team' AS team_name, topic AS topic, "value" AS payload
   FROM judged WHERE violations IS NOT NULL)"""
 
 
 def _letters(spark, sf_dir):
-    refused = validate.rejected(_checked(spark, sf_dir))
+    refused = validate.rejected(_checked(spark, sf_dir)).withColumns(
+        {"key": F.concat(F.lit("k"), F.col("offset")), "headers": F.create_map(F.lit("from"), F.col("topic"))}
+    )
     return quarantine.dead_letters(refused, F.col("timestamp"), F.col("topic"), F.substring_index("topic", ".", 1))
 
 
 @query("D10", "SELECT * EXCLUDE (topic, payload), team_name || '.' || topic || '.dlq' AS letter_topic FROM letters", X.JUDGED_SQL + ",\n" + _LETTERS)
 def dead_letters(spark, sf_dir):
     letters = _letters(spark, sf_dir)
-    return letters.withColumn(
+    return letters.withColumn("original_headers", F.to_json("original_headers")).withColumn(
         "letter_topic", quarantine.dead_letter_topic(F.col("team_name"), F.col("original_topic"))
     )
 
 
 @query(
     "D12",
-    f"""SELECT original_topic AS topic, original_partition AS "partition", original_offset AS "offset", payload AS "value",
+    f"""SELECT original_topic AS topic, original_partition AS "partition", original_offset AS "offset", original_key AS "key",
+      payload AS "value", topic AS origin,
       '{FAILED_AT}' AS replay_time, failure_reason AS original_failure
     FROM letters WHERE failure_stage = 'VALIDATION' AND failure_time > TIMESTAMP '{SPLIT_AT}'""",
     X.JUDGED_SQL + ",\n" + _LETTERS,
@@ -251,6 +255,7 @@ def replayed_letters(spark, sf_dir):
     return replayed.withColumns(
         {
             "replay_time": F.col("headers")[quarantine.HEADER_TIME],
+            "origin": F.col("headers")["from"],
             "original_failure": F.col("headers")[quarantine.HEADER_FAILURE],
         }
     ).drop("headers")

@@ -1,4 +1,6 @@
-"""Topics as DataFrames ``(topic, partition, offset, timestamp, value)``; ``value`` is text or bytes."""
+"""Topics as DataFrames ``(topic, partition, offset, timestamp, value)``; ``value`` is text or bytes.
+
+Records of Kafka have a ``key`` and ``headers`` too."""
 
 from __future__ import annotations
 
@@ -28,6 +30,7 @@ def read_topic(spark: SparkSession, settings: TopicSettings, brokers: str) -> Da
     """
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers)
     reader = reader.option("subscribe", settings.name).option("startingOffsets", "earliest")
+    reader = reader.option("includeHeaders", "true")
     reader = reader.options(**kafka_limits(settings)).options(**settings.reader_options)
     try:
         raw = reader.load()
@@ -40,7 +43,17 @@ def read_topic(spark: SparkSession, settings: TopicSettings, brokers: str) -> Da
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
         # As bytes, so that what is no text can be kept as it came.
         "value",
+        F.col("key").cast("string").alias("key"),
+        header_map(F.col("headers")).alias("headers"),
+    )
+
+
+def header_map(headers: Column) -> Column:
+    """Headers ``array<struct<key, value>>`` as a map of texts; of equal names the last counts."""
+    last = F.filter(
+        headers, lambda x, i: ~F.exists(F.slice(headers, i + 2, F.size(headers)), lambda later: later["key"] == x["key"])
     )
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], x["value"].cast("string"))))
 
 
 def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None):

@@ -1,139 +1,18 @@
-"""Flush batches on a stream, in two forms. Both need offsets to rise from one
-micro-batch to the next, as those of a topic do.
-
-``cut_stream`` keeps the batch that is still filling as state, six numbers per
-(topic, partition). A timer closes a batch that has had no input for the rest of
-its age. One task sorts what one partition received in a micro-batch, so bound
-the micro-batch with the reader's limits.
-
-``cut_micro_batches`` runs the batch job on every micro-batch and carries the
-records of the open batches over as a table. It spreads a hot partition over
-many tasks, so a backlog may come in one piece, but it only acts on input.
+"""Flush batches on a stream, cut by the batch job on every micro-batch, with the
+records of the open batches carried over as a table. Offsets need to rise from one
+micro-batch to the next, as those of a topic do. A hot partition is spread over
+many tasks, so a backlog may come in one piece.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quayside.operators.batches import cut_batches
-from quayside.session import cut_lineage, settings
+from quayside.session import cut_lineage
 from quayside.sources.catalog import read_if_there
 
-# Kept state needs this state store. A query with timers asks for one empty
-# micro-batch after another, so a bounded run turns those off.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
-}
-BOUNDED = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
-
-OUTPUT = T.StructType(
-    [
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("batch_start", T.LongType()),
-        T.StructField("last_offset", T.LongType()),
-        T.StructField("records", T.LongType()),
-        T.StructField("bytes", T.LongType()),
-        T.StructField("first_us", T.LongType()),
-        T.StructField("last_us", T.LongType()),
-        T.StructField("closed_by", T.StringType()),
-    ]
-)
-_OPEN = T.StructType([T.StructField(f.name, f.dataType) for f in OUTPUT.fields[2:8]])
-
-
-class FlushCutter(StatefulProcessor):
-    def __init__(self, max_bytes: int, max_age_us: int):
-        self.max_bytes, self.max_age_us = max_bytes, max_age_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", _OPEN)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("offset")
-        filling = list(self.open.get()) if self.open.exists() else None
-        # The clock outlives a batch: it never runs backwards. No records: no batch.
-        clock = filling[5] if filling else None
-        if filling and not filling[2]:
-            filling = None
-        closed = []
-        for offset, at, size in zip(new["offset"], new["at_us"], new["bytes"]):
-            clock = at if clock is None else max(clock, at)
-            if filling and clock - filling[4] >= self.max_age_us:
-                closed.append([*filling, "age"])
-                filling = None
-            if filling is None:
-                filling = [offset, offset, 0, 0, clock, clock]
-            filling = [filling[0], offset, filling[2] + 1, filling[3] + size, filling[4], clock]
-            if filling[3] >= self.max_bytes:
-                closed.append([*filling, "bytes"])
-                filling = None
-        self._keep(filling, clock)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if filling is not None:
-            left_ms = int((self.max_age_us - (clock - filling[4])) // 1000)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + max(1, left_ms))
-        yield self._rows(key, closed)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        filling = self.open.get() if self.open.exists() else None
-        if filling and filling[2]:
-            self._keep(None, filling[5])
-            yield self._rows(key, [[*filling, "age"]])
-
-    def _keep(self, filling: list | None, clock: int) -> None:
-        self.open.update(tuple(int(v) for v in filling or [0, 0, 0, 0, clock, clock]))
-
-    def close(self) -> None:
-        pass
-
-    def _rows(self, key, closed: list) -> pd.DataFrame:
-        out = pd.DataFrame(closed, columns=OUTPUT.names[2:])
-        out.insert(0, "partition", pd.Series([key[1]] * len(out), dtype="int32"))
-        out.insert(0, "topic", pd.Series([key[0]] * len(out), dtype="object"))
-        return out
-
-
-def cut_stream(records: DataFrame, max_bytes: int, max_age_seconds: float) -> DataFrame:
-    """Closed batches of a stream of ``(topic, partition, offset, timestamp, bytes)``.
-
-    The query has to be started under the settings of ``STATE_STORE``.
-    """
-    keyed = records.select(
-        "topic",
-        "partition",
-        "offset",
-        F.unix_micros(F.col("timestamp").cast("timestamp")).alias("at_us"),
-        F.col("bytes").cast("bigint").alias("bytes"),
-    ).groupBy("topic", "partition")
-    cut = keyed.transformWithStateInPandas(
-        FlushCutter(max_bytes, int(max_age_seconds * 1_000_000)), OUTPUT, "Append", "ProcessingTime"
-    )
-    return cut.select(
-        *OUTPUT.names[:6],
-        F.timestamp_micros("first_us").cast("timestamp_ntz").alias("first_at"),
-        F.timestamp_micros("last_us").cast("timestamp_ntz").alias("last_at"),
-        "closed_by",
-    )
-
-
-def cut_available(records: DataFrame, max_bytes: int, max_age_seconds: float, path: str, checkpoint: str) -> None:
-    """Cut everything available, append the closed batches to ``path`` and stop."""
-    with settings(records.sparkSession, {**STATE_STORE, **BOUNDED}):
-        writer = cut_stream(records, max_bytes, max_age_seconds).writeStream.format("parquet").option("path", path)
-        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
 PARTITION = ["topic", "partition"]
 RECORD = [*PARTITION, "offset", "timestamp", "bytes"]
 

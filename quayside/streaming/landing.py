@@ -2,16 +2,19 @@
 
 Layout of a target table::
 
-    data/landed_batch=N/      accepted rows, declared columns only
+    data/schema_version=V/landed_batch=N/
+                              accepted rows, declared columns only
     rejects/landed_batch=N/   dead letters
     schemas/version=N/        table schema, one row
-    manifest/landed_batch=N/  files of the batch
-    log/landed_batch=N/       offsets, counts and bytes per topic and partition;
-                              written last, so it commits the batch
+    manifest/landed_batch=N/  files of the batch, as rows of a file catalog;
+                              the batch is the snapshot
+    log/landed_batch=N/       offsets, counts, bytes and seconds per topic and
+                              partition; written last, so it commits the batch
     stops/landed_batch=N/     why a topic stopped at that batch
 
 Every path is named by batch id and overwritten, so a retried batch replaces
-what an earlier attempt left. Batches of a checkpoint run in order: whatever
+what an earlier attempt left; rows it left under an older schema version lie
+beyond that version's last batch and are never read. Batches of a checkpoint run in order: whatever
 lies beyond the last batch of the log is not committed, and a single number
 tells readers where to stop.
 """
@@ -20,11 +23,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import secrets
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -45,30 +51,44 @@ def _part(target: str, kind: str, batch_id: int) -> str:
     return f"{target}/{kind}/{BATCH}={batch_id}"
 
 
-def current_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType] | None:
-    """Newest version and schema of a table, or None before its first batch."""
+def _data(target: str, version: int) -> str:
+    return f"{target}/data/schema_version={version}"
+
+
+def _newest_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType, int] | None:
     log = read_if_there(spark, f"{target}/schemas")
     if log is None:
         return None
-    newest = log.agg(F.max(F.struct("version", "schema"))).first()[0]
-    return newest["version"], T.StructType.fromJson(json.loads(newest["schema"]))
+    newest = log.agg(F.max(F.struct("version", "schema", "table_id"))).first()[0]
+    return newest["version"], T.StructType.fromJson(json.loads(newest["schema"])), newest["table_id"]
+
+
+def current_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType] | None:
+    """Newest version and schema of a table, or None before its first batch."""
+    known = _newest_schema(spark, target)
+    return known and known[:2]
 
 
-def ensure_table(spark: SparkSession, target: str, declared: T.StructType) -> int:
-    """Create or evolve the table; returns the schema version to land under.
+def _new_table_id() -> int:
+    """Rises with the time of creation; random low bits keep tables made at once apart."""
+    return time.time_ns() // 1_000_000 << 20 | secrets.randbits(20)
+
+
+def ensure_table(spark: SparkSession, target: str, declared: T.StructType) -> tuple[int, int]:
+    """Create or evolve the table; returns the schema version to land under and the table's id.
 
     The name of the batch column is the table's own: no schema may declare it.
     """
     if BATCH in map(str.lower, declared.names):
         raise SchemaConflict(f"column '{BATCH}': the name is reserved")
-    known = current_schema(spark, target)
+    known = _newest_schema(spark, target)
     wanted = evolve_struct(known[1] if known else None, declared)
     if known and known[1] == wanted:
-        return known[0]
-    version = known[0] + 1 if known else 0
-    row = spark.createDataFrame([(wanted.json(),)], "schema string")
+        return known[0], known[2]
+    version, table_id = (known[0] + 1, known[2]) if known else (0, _new_table_id())
+    row = spark.createDataFrame([(wanted.json(), table_id)], "schema string, table_id bigint")
     row.coalesce(1).write.mode("overwrite").parquet(f"{target}/schemas/version={version}")
-    return version
+    return version, table_id
 
 
 def _stop(spark: SparkSession, target: str, topics: DataFrame, batch_id: int, reason: str) -> None:
@@ -81,17 +101,25 @@ def _reason_of(refusal: Exception) -> str:
 
 
 def land_batch(
-    batch: DataFrame, batch_id: int, target: str, declared: T.StructType, on_invalid: str = "quarantine"
+    batch: DataFrame,
+    batch_id: int,
+    target: str,
+    declared: T.StructType,
+    on_invalid: str = "quarantine",
+    table_name: str | None = None,
 ) -> None:
     """Land one micro-batch. The records are decoded once and read from the cache,
     which holds typed values of good records and the text of bad ones only.
 
-    A batch whose log is there is committed and is left as it is when it comes again."""
+    A batch whose log is there is committed and is left as it is when it comes again.
+    Records may have a ``key`` and ``headers``: dead letters keep them. The files are
+    listed under ``table_name``, by default the last part of ``target``."""
     spark = batch.sparkSession
+    began = time.monotonic()
     if read_if_there(spark, _part(target, "log", batch_id)) is not None:
         return
     try:
-        version = ensure_table(spark, target, declared)
+        version, table_id = ensure_table(spark, target, declared)
     except SchemaConflict as conflict:
         _stop(spark, target, batch, batch_id, _reason_of(conflict))
         raise
@@ -103,6 +131,7 @@ def land_batch(
             "partition",
             "offset",
             F.when(~good, F.col("value")).alias("value"),
+            *[F.when(~good, F.col(c)).alias(c) for c in ("key", "headers") if c in batch.columns],
             "payload_error",
             "violations",
             F.when(good, F.struct(*typed_columns(declared))).alias("_row"),
@@ -117,14 +146,22 @@ def land_batch(
                 reason = f"invalid_records: {worst[0]['column']} {worst[0]['rule']}"
                 _stop(spark, target, checked, batch_id, reason)
                 raise InvalidRecords(reason)
-        data = _part(target, "data", batch_id)
+        data = f"{_data(target, version)}/{BATCH}={batch_id}"
         accepted(checked).select("_row.*").write.mode("overwrite").parquet(data)
         dead_letters(
             rejected(checked), F.current_timestamp(), F.col("topic"), F.substring_index("topic", ".", 1), F.lit(version)
         ).write.mode("overwrite").parquet(_part(target, "rejects", batch_id))
-        file_rows(spark, data).withColumn("schema_version", F.lit(version)).write.mode("overwrite").parquet(
-            _part(target, "manifest", batch_id)
-        )
+        file_rows(spark, data).select(
+            F.lit(table_id).alias("table_id"),
+            F.lit(table_name or target.rstrip("/").rsplit("/", 1)[-1]).alias("table_name"),
+            "path",
+            F.lit(False).alias("path_is_relative"),
+            "record_count",
+            "file_size_bytes",
+            F.lit(batch_id).cast("bigint").alias("snapshot_id"),
+            F.lit(None).cast("bigint").alias("end_snapshot"),
+            F.lit(version).alias("schema_version"),
+        ).write.mode("overwrite").parquet(_part(target, "manifest", batch_id))
         checked.groupBy("topic", "partition").agg(
             F.min("offset").alias("start_offset"),
             (F.max("offset") + 1).alias("end_offset"),
@@ -132,6 +169,11 @@ def land_batch(
             F.count_if(good).alias("accepted"),
             F.count_if(~good).alias("rejected"),
             F.coalesce(F.sum("_size"), F.lit(0)).cast("bigint").alias("bytes"),
+        ).select(
+            "*",
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(time.monotonic() - began).alias("elapsed_seconds"),
+            F.current_timestamp().cast("timestamp_ntz").alias("landed_at"),
         ).coalesce(1).write.mode("overwrite").parquet(_part(target, "log", batch_id))
     finally:
         checked.unpersist()
@@ -156,7 +198,7 @@ def land_stream(
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         try:
-            land_batch(batch, batch_id, target, schema(), on_invalid)
+            land_batch(batch, batch_id, target, schema(), on_invalid, settings.table)
         except (SchemaConflict, InvalidRecords) as refusal:
             if refused:
                 refused(_reason_of(refusal))
@@ -219,15 +261,36 @@ def read_part(spark: SparkSession, target: str, kind: str) -> DataFrame:
     return spark.read.parquet(f"{target}/{kind}").filter(F.col(BATCH) <= last)
 
 
+def flush_log(log: DataFrame) -> DataFrame:
+    """``topic, seq, bytes, elapsed_seconds`` of every landed batch, as ``throughput_ema`` reads it."""
+    return log.groupBy("topic", F.col("batch_id").alias("seq")).agg(
+        F.sum("bytes").cast("bigint").alias("bytes"), F.max("elapsed_seconds").alias("elapsed_seconds")
+    )
+
+
+def snapshots(log: DataFrame) -> DataFrame:
+    """``snapshot_id, commit_time`` of the landed batches."""
+    return log.groupBy(F.col("batch_id").alias("snapshot_id")).agg(F.max("landed_at").alias("commit_time"))
+
+
+def _rows_of(spark: SparkSession, target: str, version: int, schema: T.StructType, batches: Column) -> DataFrame:
+    """Rows of a schema version. Each version has a folder of its own, so that none is listed for another."""
+    stored = _nullable(schema).add(BATCH, T.LongType())
+    return spark.read.schema(stored).parquet(_data(target, version)).filter(batches)
+
+
+def _schemas(spark: SparkSession, target: str) -> dict[int, T.StructType]:
+    rows = spark.read.parquet(f"{target}/schemas").collect()
+    return {r["version"]: T.StructType.fromJson(json.loads(r["schema"])) for r in rows}
+
+
 def read_versions(spark: SparkSession, target: str) -> list[tuple[T.StructType, DataFrame]]:
     """Committed rows per schema version, each read with its own schema.
 
     Versions follow one another in batch order, so each is a range of batches:
     a partition filter, not a list of paths.
     """
-    schemas = {
-        r["version"]: T.StructType.fromJson(json.loads(r["schema"])) for r in spark.read.parquet(f"{target}/schemas").collect()
-    }
+    schemas = _schemas(spark, target)
     ranges = (
         read_part(spark, target, "manifest")
         .groupBy("schema_version")
@@ -237,12 +300,15 @@ def read_versions(spark: SparkSession, target: str) -> list[tuple[T.StructType,
     )
     parts = []
     for r in ranges:
-        stored = _nullable(schemas[r["schema_version"]]).add(BATCH, T.LongType())
-        rows = spark.read.schema(stored).parquet(f"{target}/data")
-        parts.append((schemas[r["schema_version"]], rows.filter(F.col(BATCH).between(r["first"], r["last"]))))
+        schema = schemas[r["schema_version"]]
+        parts.append((schema, _rows_of(spark, target, r["schema_version"], schema, _between([r]))))
     return parts
 
 
+def _between(ranges: list) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(BATCH).between(r["first"], r["last"]) for r in ranges])
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
@@ -256,16 +322,43 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     return union_versions(parts, known[1])
 
 
+def _registered_ranges(manifest: DataFrame, paths: DataFrame) -> list:
+    """Runs of batches with registered files: ``schema_version, whole, first, last``.
+
+    Registration takes batches as they come, so there are few runs. The windows
+    run over one row per batch.
+    """
+    in_version = Window.partitionBy("schema_version").orderBy(BATCH)
+    in_run = Window.partitionBy("schema_version", "known").orderBy(BATCH)
+    return (
+        manifest.join(paths.select("_path", F.lit(1).alias("_known")), F.col("path") == F.col("_path"), "left")
+        .groupBy("schema_version", BATCH)
+        .agg(F.count("*").alias("files"), F.count("_known").alias("known"))
+        .withColumn("known", F.when(F.col("known") == F.col("files"), "all").when(F.col("known") > 0, "some").otherwise("none"))
+        .withColumn("run", F.row_number().over(in_version) - F.row_number().over(in_run))
+        .filter("known <> 'none'")
+        .groupBy("schema_version", F.col("known").alias("registered"), "run")
+        .agg(F.min(BATCH).alias("first"), F.max(BATCH).alias("last"))
+        .orderBy("schema_version", "first")
+        .collect()
+    )
+
+
 def read_registered(spark: SparkSession, target: str, registered: DataFrame) -> DataFrame:
     """Rows of the registered files only, under the newest schema.
 
-    The semi-join is on the file path, one short row per file; Spark broadcasts
-    that side while its size allows and merges on the path beyond.
+    The manifest tells which batches to read, so only their folders are scanned.
+    Rows are compared with file paths only in a batch of which some files are
+    registered and others are not.
     """
     paths = registered.select(F.col("path").alias("_path")).distinct()
-    newest = current_schema(spark, target)[1]
+    newest, schemas = current_schema(spark, target)[1], _schemas(spark, target)
+    ranges = _registered_ranges(read_part(spark, target, "manifest"), paths)
     parts = []
-    for _, rows in read_versions(spark, target):
-        tagged = rows.withColumn("_path", F.col("_metadata.file_path"))
-        parts.append(cast_to(tagged.join(paths, "_path", "left_semi"), newest))
-    return union_versions(parts, newest)
+    for version, kind in sorted({(r["schema_version"], r["registered"]) for r in ranges}):
+        runs = [r for r in ranges if (r["schema_version"], r["registered"]) == (version, kind)]
+        rows = _rows_of(spark, target, version, schemas[version], _between(runs))
+        if kind == "some":
+            rows = rows.withColumn("_path", F.col("_metadata.file_path")).join(paths, "_path", "left_semi")
+        parts.append(cast_to(rows, newest))
+    return union_versions(parts, newest) if parts else spark.createDataFrame([], _nullable(newest))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import compact, evolve, export, lag, register, telemetry
+from quayside.operators.evolve import SchemaConflict
 from quayside.operators.transform import fresh_view, transform_batch
 from quayside.sources import catalog, registry
 
@@ -249,3 +250,40 @@ def test_files_that_land_later_wait_for_the_next_export(spark, rows):
     then = spark.createDataFrame([("t", 1, 2)], "table_name string, last_exported_snapshot bigint, current_snapshot bigint")
     assert rows(export.files_since(files, first), "path") == [("p0",), ("p1",)]
     assert rows(export.files_since(files, then), "path") == [("p2",)]
+
+
+def test_export_job(spark, tmp_path, rows):
+    """Files that land during a run wait for the next one, a conflicting table is blocked, the others go on."""
+    shape = "table_name string, path string, snapshot_id bigint, record_count bigint, file_size_bytes bigint"
+    files = spark.createDataFrame([("t", "p0", 0, 1, 9), ("t", "p1", 1, 1, 9), ("u", "q1", 1, 1, 9), ("v", "r1", 1, 1, 1)], shape)
+    late = files.unionByName(spark.createDataFrame([("t", "p2", 2, 1, 9)], shape))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    snapshots = spark.createDataFrame([(n,) for n in range(3)], "snapshot_id bigint").withColumn("commit_time", at)
+    state, seen = str(tmp_path / "state"), []
+
+    def write(table, snapshot, chosen):
+        if table == "u":
+            raise SchemaConflict("x is text")
+        seen.append((table, snapshot, [r["path"] for r in chosen.orderBy("path").collect()]))
+
+    for known in (files, late, late):
+        export.run_export(known, snapshots, state, at, write, min_bytes=5, max_age_minutes=60)
+    assert seen == [("t", 1, ["p0", "p1"]), ("t", 2, ["p2"])]
+    got = export.load_state(spark, state)
+    assert rows(got, "table_name", "last_exported_snapshot", "export_blocked") == [("t", 2, False), ("u", None, True)]
+    # A version without its pointer is not read.
+    got.limit(0).write.parquet(f"{state}/version=9")
+    assert export.load_state(spark, state).count() == 2
+
+
+def test_a_cut_off_parquet_file_is_skipped_and_told(spark, tmp_path):
+    path = tmp_path / "files"
+    spark.range(1000).repartition(2).write.parquet(str(path))
+    promised = [tuple(r) for r in compact.file_rows(spark, str(path)).collect()]
+    manifest = spark.createDataFrame(promised, "path string, record_count bigint, file_size_bytes bigint")
+    cut = sorted(path.glob("*.parquet"))[0]
+    cut.write_bytes(cut.read_bytes()[:-100])
+    got = compact.read_skipping_corrupt(spark, [str(path)], spark.range(1).schema)
+    assert 0 < got.count() < 1000
+    short = compact.short_files(got, manifest).collect()
+    assert len(short) == 1 and short[0]["rows_read"] == 0 and short[0]["path"].endswith(cut.name)

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 from quayside.config import TopicSettings
 from quayside.functions.json_schema import struct_type
 from quayside.operators.evolve import SchemaConflict
+from quayside.operators.telemetry import throughput_ema
 from quayside.operators.validate import InvalidRecords, accepted, conform, validate
-from quayside.sources.topics import TOPIC_SCHEMA, decode_json, flush_trigger, kafka_limits, read_topic, read_topic_files
+from quayside.sources.catalog import live_files
+from quayside.sources.topics import TOPIC_SCHEMA, decode_json, flush_trigger, header_map, kafka_limits, read_topic, read_topic_files
 from quayside.streaming import landing
 
 V0 = struct_type([("id", "BIGINT", False), ("v", "BIGINT", True), ("gone", "VARCHAR", True)])
@@ -214,3 +216,48 @@ def test_a_topic_that_cannot_start_leaves_the_others(spark, paths):
     got = sorted((r["topic"], r["outcome"]) for r in landing.land_topics(spark, [bad, good, twice]).collect())
     assert got == [("bad", "not_started"), ("t", "finished"), ("t", "finished")]
     assert ids(spark, target) == ids(spark, f"{target}2") == list(range(5))
+
+
+def test_catalog_rows_and_log_of_what_was_landed(spark, paths, rows):
+    _, target = paths
+    for n in range(3):
+        landing.land_batch(records(spark, n * 4, n * 4 + 4), n, target, V0, table_name="team__t")
+    manifest = landing.read_part(spark, target, "manifest")
+    live = live_files(manifest, manifest.select("table_id", "table_name").distinct())
+    assert rows(live.groupBy("table_name", "snapshot_id").agg(F.sum("record_count")), "*") == [("team__t", n, 4) for n in range(3)]
+    log = landing.flush_log(landing.read_part(spark, target, "log"))
+    assert rows(log, "topic", "seq") == [("t", n) for n in range(3)]
+    assert log.filter("elapsed_seconds > 0 AND bytes > 0").count() == 3
+    assert throughput_ema(log).first()["flushes"] == 3
+
+
+def test_registered_rows_of_a_batch_in_part(spark, paths):
+    """Of one batch only some files are registered: its rows are told apart by file, the others by batch."""
+    _, target = paths
+    for n in range(3):
+        landing.land_batch(records(spark, n * 8, n * 8 + 8).repartition(4, "offset"), n, target, V0 if n < 2 else V1)
+    manifest = landing.read_part(spark, target, "manifest")
+    assert manifest.filter("snapshot_id = 1").count() > 1
+    one = manifest.filter("snapshot_id = 1").orderBy("path").limit(1)
+    listed = manifest.filter("snapshot_id <> 1").unionByName(one)
+    got = sorted(r["id"] for r in landing.read_registered(spark, target, listed).collect())
+    part = sorted(r["id"] for r in spark.read.parquet(one.first()["path"]).collect())
+    assert part and got == sorted([*range(8), *part, *range(16, 24)])
+    assert landing.read_registered(spark, target, manifest.filter("false")).count() == 0
+
+
+def test_dead_letters_keep_key_and_headers(spark, paths):
+    _, target = paths
+    keyed = records(spark, 0, 2, text="broken").withColumns({"key": F.lit("k"), "headers": F.create_map(F.lit("a"), F.lit("b"))})
+    landing.land_batch(keyed, 0, target, V0)
+    letters = landing.read_part(spark, target, "rejects")
+    names = "original_topic original_partition original_offset original_key original_payload original_headers failure_stage"
+    names += " failure_reason failure_stack_trace failure_time schema_id schema_version pipeline_name team_name"
+    assert [c for c in letters.columns if c != landing.BATCH] == names.split()
+    assert {(r["original_key"], r["original_headers"]["a"]) for r in letters.collect()} == {("k", "b")}
+
+
+def test_of_equal_headers_the_last_counts(spark):
+    shape = "headers array<struct<key:string,value:binary>>"
+    df = spark.createDataFrame([([("a", b"1"), ("b", b"2"), ("a", b"3")],), ([],), (None,)], shape)
+    assert [r[0] for r in df.select(header_map(F.col("headers"))).collect()] == [{"b": "2", "a": "3"}, {}, None]

@@ -1,5 +1,7 @@
 """Plans: what is pushed down, what is shuffled, what must not appear."""
 
+import re
+
 from quayside.operators import register, validate
 from quayside.plans import fixtures as X
 from quayside.sources import catalog
@@ -44,3 +46,13 @@ def test_landed_versions_prune_batches(spark, tmp_path):
         landing.land_batch(X.topic_log(spark, SF), n, str(tmp_path / "t"), X.EVENT_SCHEMA)
     text = plan(landing.read_table(spark, str(tmp_path / "t")).select("event_id"))
     assert "PartitionFilters: [isnotnull(landed_batch" in text and "ReadSchema: struct<event_id:bigint>" in text
+
+
+def test_registered_batches_are_pruned(spark, tmp_path):
+    for n in range(3):
+        landing.land_batch(X.topic_log(spark, SF), n, str(tmp_path / "t"), X.EVENT_SCHEMA)
+    listed = landing.read_part(spark, str(tmp_path / "t"), "manifest").filter("snapshot_id = 1")
+    df = landing.read_registered(spark, str(tmp_path / "t"), listed)
+    text = plan(df)
+    assert "Join" not in text
+    assert re.search(r"PartitionFilters: \[isnotnull\(landed_batch#\d+L\), \(landed_batch#\d+L >= 1\), \(landed_batch#\d+L <= 1\)\]", text)
