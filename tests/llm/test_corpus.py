@@ -265,3 +265,34 @@ def test_wrappers_find_optional_and_repeated_groups():
     one = wrappers.fold(wrappers.Page("<body><ul><li>a<li>b</ul><p>x</p><p>y</p></body>").stream)
     two = wrappers.fold(wrappers.Page("<body><p>x</p><table><tr><td>1</td></tr></table></body>").stream)
     assert wrappers.shown(wrappers.align(one, two)) == "<body>(<ul>(<li>#</li>)+</ul>)?(<p>#</p>)+(<table><tr><td>#</td></tr></table>)?</body>"
+
+
+def test_wrappers_decide_which_blocks_stay(spark):
+    notice = "<div class=x><p>This site is kept by volunteers.</p></div>"
+    body = "<div class=post><h1>Title {i}</h1><p>A lead of some length {i}.</p><div class=body>{long}</div><p>An end {i}.</p></div>"
+    made = []
+    for i in range(12):
+        page = f"<body>{notice}" + body.replace("{i}", str(i)).replace("{long}", f"<p>word{i} and many more of them</p>" * (9 + i))
+        made.append((i, f"http://h.example/{i}", page + ("<div><p>only here</p></div>" if i % 3 == 0 else "") + notice))
+    made += [(20 + i, "http://g.example", f"<article><p>one {i}</p></article><div>beside</div><article>two {i}</article>") for i in range(4)]
+    # Copies of one page tell nothing of their host.
+    made += [(30 + i, "http://f.example", "<div>same</div><div>text</div>") for i in range(5)]
+    rows = {r.page_id: r.text.split("\n") for r in wrappers.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        wanted = [f"Title {i}", f"A lead of some length {i}.", *[f"word{i} and many more of them"] * (9 + i), f"An end {i}."]
+        assert rows[i] == wanted + ["only here"] * (i % 3 == 0)
+    assert all(rows[20 + i] == [f"one {i}", f"two {i}"] for i in range(4))
+    assert all(rows[30 + i] == ["same", "text"] for i in range(5))
+
+
+def test_wrappers_match_the_pages_they_come_from():
+    pages = ["<body><ul><li>a<li>b</ul><p>x</p><p>y</p></body>", "<body><p>x</p><table><tr><td>1</td></tr></table></body>", "<body><p>z</p></body>"]
+    streams = [wrappers.Page(p).stream for p in pages]
+    whole = wrappers.fold(streams[0])
+    for stream in streams[1:]:
+        whole = wrappers.align(whole, wrappers.fold(stream))
+    matcher = wrappers.Matcher(whole)
+    for stream in streams:
+        path = matcher.match(stream)
+        assert path and [matcher.items[i] for i in path] == stream
+    assert matcher.match(["table", "#"]) is None
