@@ -296,3 +296,12 @@ def test_wrappers_match_the_pages_they_come_from():
         path = matcher.match(stream)
         assert path and [matcher.items[i] for i in path] == stream
     assert matcher.match(["table", "#"]) is None
+
+
+def test_pages_without_article_keep_what_is_beside_the_body(spark):
+    body = "<p>The body is much longer than its title. </p>" * 20
+    made = [(i, f"http://{i}.example", f"<div class=post><h1>Title</h1><p>Lead</p><div class=body>{body}</div><ul><li>end</ul></div>") for i in range(2)]
+    made += [(2, "http://2.example", "<article>one</article><article>two</article>")]
+    rows = {r.page_id: r.text.split("\n") for r in wrappers.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    assert [rows[0][0], rows[0][1], rows[0][-1]] == ["Title", "Lead", "end"] and len(rows[0]) == 23
+    assert rows[1] == rows[0] and rows[2] == ["one", "two"]
