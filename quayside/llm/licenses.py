@@ -1,8 +1,10 @@
 """License scans: an exact set-similarity join of text blocks and notice templates.
 
-A block is a run of at most BLOCK_WORDS words of a line (longer lines give
-overlapping blocks). A template is found where the block holds at least
-THRESHOLD of its distinct words. Words are ordered by how often they occur in
+A block is any run of BLOCK_WORDS words of a text, across line breaks, or the whole
+of a shorter text. A template is found where a block holds at least THRESHOLD of its
+distinct words; all that are found count, but one whose words in the block are also
+words there of another label that is found and has more of its own, as
+notices are alike. A block without a word that the one before lacks adds nothing. Words are ordered by how often they occur in
 the whole corpus, counted first; a block is compared with a template only if it
 holds one of the template's rarest words (prefix filter), enough words (length
 filter) and enough words from the first common one on (positional filter). All
@@ -87,33 +89,61 @@ class Templates:
             for i in range(len(ordered) - need + 1):
                 self.index.setdefault(ordered[i], []).append((k, i))
 
-    def join(self, block: list[bytes]) -> list[tuple[str, float]]:
-        """(label, containment) of every template that the block meets."""
-        met = []
-        known = sorted(set(block) & self.order.keys(), key=self.order.__getitem__)
+    def join(self, block: set[bytes], base: set[str] = frozenset()) -> list[tuple[str, float]]:
+        """(label, containment) of every template that the block meets, but for those that tell less than another.
+
+        ``base``: labels that the text has by their exact phrases.
+        """
+        met: dict[int, frozenset[bytes]] = {}
+        known = sorted(block & self.order.keys(), key=self.order.__getitem__)
         tried = set()
         for j, word in enumerate(known):
             for k, i in self.index.get(word, ()):
-                label, wanted, need = self.sets[k]
+                _, wanted, need = self.sets[k]
                 if k in tried or len(known) < need:
                     continue
                 tried.add(k)
                 # Words before the first common one are in one of the two only.
                 if 1 + min(len(wanted) - i - 1, len(known) - j - 1) < need:
                     continue
-                common = len(wanted.intersection(known))
-                if common >= need:
-                    met.append((label, common / len(wanted)))
-        return met
+                common = wanted.intersection(known)
+                if len(common) >= need:
+                    met[k] = common
+        share = {k: len(common) / len(self.sets[k][1]) for k, common in met.items()}
+
+        def tells_less(k: int) -> bool:
+            for j, (label, wanted, _) in enumerate(self.sets):
+                if label != self.sets[k][0] and (j in met or label in base):
+                    other = wanted.intersection(known)
+                    if met[k] < other or (met[k] == other and share[k] < (1.0 if label in base else share[j])):
+                        return True
+            return False
+
+        return [(self.sets[k][0], share[k]) for k in met if not tells_less(k)]
 
 
 def blocks_of(text: str):
-    """Runs of at most BLOCK_WORDS words of each line; the next run starts half a run later."""
-    for line in text.split("\n"):
-        words = words_of(line)
-        for a in range(0, max(1, len(words) - BLOCK_WORDS // 2), BLOCK_WORDS // 2):
-            if words:
-                yield words[a : a + BLOCK_WORDS]
+    """Every run of BLOCK_WORDS words, or all words of a shorter text."""
+    words = words_of(text)
+    for a in range(max(1, len(words) - BLOCK_WORDS + 1)):
+        if words:
+            yield words[a : a + BLOCK_WORDS]
+
+
+def known_blocks(words: list[bytes], known):
+    """The ``known`` words of every block that has one more than the block before."""
+    places = [(i, w) for i, w in enumerate(words) if w in known]
+    held: Counter = Counter()
+    end, more = 0, False
+    for i, word in places:
+        while end < len(places) and places[end][0] < i + BLOCK_WORDS:
+            more = more or not held[places[end][1]]
+            held[places[end][1]] += 1
+            end += 1
+        if more:
+            yield {w for w, n in held.items() if n}
+            more = False
+        held[word] -= 1
 
 
 def scan_text(text: str, templates: Templates, phrases: dict[tuple[bytes, ...], str]):
@@ -129,12 +159,11 @@ def scan_text(text: str, templates: Templates, phrases: dict[tuple[bytes, ...],
             base |= {label} if found else set()
     labels, score = set(base), 1.0 if base else 0.0
     if not templates.index.keys().isdisjoint(held):
-        for block in blocks_of(text):
-            met = templates.join(block)
-            best = max((share for _, share in met), default=0.0)
-            # Notices are alike: a block takes the labels of those it holds most of.
-            labels.update(label for label, share in met if share == best)
-            score = max(score, best)
+        for block in known_blocks(words, templates.order):
+            if not templates.index.keys().isdisjoint(block):
+                for label, share in templates.join(block, base):
+                    labels.add(label)
+                    score = max(score, share)
     return len(words), starts, base, labels, score
 
 

@@ -130,3 +130,26 @@ def test_language_model_sums_to_one():
     grams = np.array([(5 << 14) | (6 << 7) | 7, (5 << 14) | (6 << 7) | 8, (6 << 14) | (7 << 7) | 9])
     logs = perplexity.log_probabilities(grams, np.array([5, 1, 2])).reshape(128 * 128, 128)
     assert np.allclose((10.0**logs).sum(1), 1, atol=1e-4)
+
+
+def test_licenses_across_lines_and_side_by_side(spark):
+    notice = ["Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files"]
+    cc0 = "to the extent possible under law the author waived all copyright and related or neighboring rights to this work"
+    values = [
+        "\n".join(notice), "\n".join(["filler"] * 100 + notice + ["filler"] * 200), f"licensed under the MIT license. {cc0}",
+        "licensed under CC BY-NC 4.0", "the GNU General Public License", "GNU Affero General\nPublic License", "\n".join([notice[0], "filler " * 130, notice[1]]),
+    ]
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(df).collect()}
+    assert [got[i][0] for i in range(7)] == ["mit", "mit", "cc0,mit", "cc-by,cc-by-nc", "gpl", "agpl,gpl", ""]
+    assert got[0][1] == got[1][1] == 1.0 and got[6][1] == 0.0
+
+
+def test_license_blocks_leave_out_none():
+    rng = np.random.default_rng(5)
+    known = [b"a", b"b", b"c", b"d"]
+    for _ in range(20):
+        words = [known[int(k)] if k < 4 else b"x" for k in rng.integers(0, 60, 400)]
+        every = {frozenset(set(b) & set(known)) for b in licenses.blocks_of(" ".join(w.decode() for w in words))}
+        found = {frozenset(b) for b in licenses.known_blocks(words, frozenset(known))}
+        assert all(any(b <= f for f in found) for b in every if b) and all(any(f <= b for b in every) for f in found)
