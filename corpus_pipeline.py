@@ -15,6 +15,8 @@ from quayside.llm.toxicity import score_toxicity
 from quayside.session import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# The least number of words of a repeated passage: over 50.
+PASSAGE_WORDS = 51
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +43,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur elsewhere too are cut out of every text; all documents stay, if empty."""
+    """Passages of over 50 words, or of 400 bytes, that occur elsewhere too are cut out of every text; all documents stay, if empty."""
     bounded(spark)
-    left = remove_repeats(docs.select(*COLUMNS), keep=COLUMNS)
+    left = remove_repeats(docs.select(*COLUMNS), keep=COLUMNS, words=PASSAGE_WORDS)
     return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 

@@ -21,6 +21,11 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else too.
    Its strings are counted one by one instead, by hash, with partial sums: exact as
    well.
 
+Passages of so many words (``words`` of ``remove_repeats``) that occur elsewhere go as well
+if asked for, whatever their bytes and the white space between the words. Each has an
+anchor as above, its PASSAGE_KEY words of least hash; passages whose anchors occur
+once drop out, the others are counted by hash.
+
 Matches never cross documents. Texts are whole; null counts as empty. Documents
 are told apart by id and content, so rows that are repeated entirely get the same
 result, each counting as another occurrence. Hashes are 64 bits; spans are told
@@ -41,6 +46,7 @@ from quayside.session import cut_lineage
 
 LENGTH = 400
 KEY = 100
+PASSAGE_KEY = 20
 HOT = 4096
 # Bytes whose anchors are sought at once, and suffixes that are merged in one task.
 BATCH_BYTES = 1 << 19
@@ -364,6 +370,74 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY) -> Dat
     return found.groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
+def _word_runs(data: np.ndarray, hasher: Hasher):
+    """Where words start and end, and ``runs(first, n)``: hashes of the ``n`` words from each of ``first`` on."""
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    values = mix(hasher.strings(hasher.sums(data), starts, ends) + mix((ends - starts).astype(np.uint64)))
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * hasher.powers[: len(values)], out=sums[1:])
+    return starts, ends, lambda first, n: mix(hasher.strings(sums, first, first + n))
+
+
+def _passage_anchors(words: int):
+    """``dk, k, first, last``: anchors of passages, and the first and last passage (by its first word) that each serves."""
+    key = min(PASSAGE_KEY, words)
+
+    def run(frames):
+        hasher = Hasher(BATCH_BYTES)
+        low = np.uint64((1 << 30) - 1)
+        for frame in frames:
+            out = []
+            for dk, value in zip(frame["dk"], frame["text"]):
+                data = np.frombuffer(encode(text_of(value)), dtype=np.uint8)
+                if len(data) < 2 * words - 1:
+                    continue
+                starts, _, runs = _word_runs(data, hasher)
+                if len(starts) < words:
+                    continue
+                places = np.arange(len(starts) - key + 1)
+                raw = runs(places, key)
+                least = sliding_least((mix(raw) & ~low) | places.astype(np.uint64), words - key + 1)
+                anchor = (least & low).astype(np.int64)
+                cut = np.flatnonzero(np.diff(anchor)) + 1
+                first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(anchor) - 1]])
+                out.append(pd.DataFrame({"dk": dk, "k": raw[anchor[first]].view(np.int64), "first": first, "last": last}))
+            if out:
+                yield pd.concat(out)
+
+    return run
+
+
+def _passages(words: int):
+    """``dk, h, start, end``: the passages that the given anchors serve, by hash, and their bytes."""
+
+    def run(frames):
+        hasher = Hasher(BATCH_BYTES)
+        for frame in frames:
+            for dk, value, anchors in zip(frame["dk"], frame["text"], frame["anchors"]):
+                starts, ends, runs = _word_runs(np.frombuffer(encode(text_of(value)), dtype=np.uint8), hasher)
+                at = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in anchors]))
+                yield pd.DataFrame({"dk": dk, "h": runs(at, words).view(np.int64), "start": starts[at], "end": ends[at + words - 1]})
+
+    return run
+
+
+def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
+    """``dk, spans``: stretches (start, end) of each document where a passage of ``words`` words occurs elsewhere too."""
+    anchors = cut_lineage(docs.mapInPandas(_passage_anchors(words), "dk long, k long, first long, last long"), "passage-anchors")
+    # Written, as in repeated_spans.
+    often = cut_lineage(anchors.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "often-passages")
+    wanted = anchors.join(often, "k").groupBy("dk").agg(F.collect_set(F.struct("first", "last")).alias("anchors"))
+    wanted = cut_lineage(wanted, "passage-documents")
+    texts = docs.select("dk", "text").join(wanted, "dk")
+    found = cut_lineage(texts.mapInPandas(_passages(words), "dk long, h long, start long, end long"), "passages")
+    again = cut_lineage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "passages-again")
+    return found.join(again, "h").groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+
 def with_document_key(df: DataFrame, doc_id: str, text: str, keep: list[str]) -> DataFrame:
     """``keep``, the whole text and ``dk``, which tells documents apart by id and content."""
     whole = F.col(text)
@@ -382,16 +456,21 @@ def unite(spans) -> list[tuple[int, int]]:
 
 
 def remove_repeats(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, key: int = KEY, keep: list[str] | None = None
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, key: int = KEY, keep: list[str] | None = None,
+    words: int | None = None,
 ) -> DataFrame:
     """One row per document: ``keep`` (by default the id), counts, digest of what is kept, and ``kept`` itself.
 
+    Strings of ``length`` bytes that occur elsewhere go, and passages of ``words`` words if given.
     ``kept`` holds the remaining bytes and ``kept_text`` the whole characters among
     them: one that is cut at an edge of a removed stretch is left out there.
     """
     keep = [k for k in keep or [doc_id] if k != text]
     docs = with_document_key(df, doc_id, text, keep)
     spans = repeated_spans(docs.select("dk", "text"), length, key)
+    if words:
+        spans = spans.unionByName(repeated_passages(docs.select("dk", "text"), words))
+        spans = spans.groupBy("dk").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
 
     def cut(frames):
         for frame in frames:

@@ -1,9 +1,13 @@
 """The pipeline, stage by stage, on the smallest tables."""
 
+import re
+from collections import Counter
+
 import corpus_pipeline as pipeline
-from quayside.llm import perplexity, toxicity
+from quayside.llm import perplexity, suffix_dedup, toxicity
 from quayside.llm.common import table
 from quayside.session import cut_lineage
+from tests.llm.fixtures import texts as fixture_texts
 from tests.llm.test_corpus import brute_links, brute_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -35,3 +39,29 @@ def test_stages_beside_brute_force(spark):
     before, after = kept["packing"]
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
     assert pipeline.run(spark, SF).count() == after.count()
+
+
+def test_passages_of_over_fifty_words_go(spark):
+    line = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    long, short = line("p", 51), line("q", 50)
+    assert len(long) < 400
+    texts = [f"{line('a', 30)} {long} {line('b', 9)}\n{short}", f"{short} {line('c', 20)}\n{long.replace(' ', chr(10), 3)}", line("d", 80)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in pipeline.passages(spark, docs, SF).collect()}
+    assert left[0] == f"{line('a', 30)}  {line('b', 9)}\n{short}" and left[1] == f"{short} {line('c', 20)}\n" and left[2] == texts[2]
+
+
+def test_repeated_passages_beside_brute_force(spark):
+    words, n = re.compile(rb"[^\x20\x09-\x0d]+"), 24
+    rows = [(i, t) for i, t in enumerate(fixture_texts())] + [(0, fixture_texts()[0])]
+    data = [[m.group() for m in words.finditer((t or "").encode())] for _, t in rows]
+    seen = Counter(tuple(d[i : i + n]) for d in data for i in range(len(d) - n + 1))
+    wanted = {}
+    for (dk, t), d in zip(rows, data):
+        at = [m.span() for m in words.finditer((t or "").encode())]
+        found = {(at[i][0], at[i + n - 1][1]) for i in range(len(d) - n + 1) if seen[tuple(d[i : i + n])] > 1}
+        if found:
+            wanted[dk] = found
+    df = spark.createDataFrame(rows, "dk long, text string").repartition(3)
+    got = {r.dk: {(s.start, s.end) for s in r.spans} for r in suffix_dedup.repeated_passages(df, n).collect()}
+    assert got == wanted and len(got) > 10
