@@ -153,3 +153,19 @@ def test_license_blocks_leave_out_none():
         every = {frozenset(set(b) & set(known)) for b in licenses.blocks_of(" ".join(w.decode() for w in words))}
         found = {frozenset(b) for b in licenses.known_blocks(words, frozenset(known))}
         assert all(any(b <= f for f in found) for b in every if b) and all(any(f <= b for b in every) for f in found)
+
+
+def test_texts_are_judged_in_the_language_of_their_row(spark):
+    rng = np.random.default_rng(8)
+    every = [c + v for c in "bcdflmnprst" for v in "aeiou"]
+    syllables = {lang: [str(x) for x in rng.choice(every, 14, replace=False)] for lang in ("fr", "es", "en")}
+
+    def text(lang, n=120):
+        return " ".join("".join(rng.choice(syllables[lang], rng.integers(2, 5))) for _ in range(n))
+
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["fr", "es", "en"] * 60)]
+    rows += [(900, text("fr"), "es"), (901, text("es"), "fr"), (902, text("es"), "en"), (903, " ".join(text(x, 12) for x in ["en", "es", "fr"] * 4), "en")]
+    got = {r.doc_id: r for r in perplexity.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i in range(180))
+    for i in range(900, 904):
+        assert not got[i].base_failed and not got[i].kept, i
