@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Stage names and the headers that a replayed record carries.
 STAGE_DECODE = "DESERIALIZATION"
 STAGE_VALIDATE = "VALIDATION"
+STAGE_TRANSFORM = "TRANSFORMATION"
 HEADER_TIME = "dlq.replay.time"
 HEADER_FAILURE = "dlq.original.failure"
 
@@ -24,9 +25,10 @@ def dead_letters(
     ``value`` is text or binary; its bytes are kept as they came, whether they
     are text or not. ``key``, ``headers``, ``schema_id`` and ``failure_stack_trace``
     are kept where the records have them and are null where they do not; a refusal
-    by rule has no stack trace of its own.
+    by rule has no stack trace of its own. A ``failure_stage`` of the records' own goes before that of their rules.
     """
     undecodable = F.col("payload_error").isNotNull()
+    stage = F.when(undecodable, STAGE_DECODE).otherwise(STAGE_VALIDATE)
 
     def carried(name: str, kind: str):
         return (F.col(name) if name in rejected.columns else F.lit(None)).cast(kind)
@@ -39,7 +41,7 @@ def dead_letters(
         # Some sessions break base64 into lines of 76 characters.
         F.translate(F.base64(F.col("value").cast("binary")), "\r\n", "").alias("original_payload"),
         carried("headers", "map<string,string>").alias("original_headers"),
-        F.when(undecodable, STAGE_DECODE).otherwise(STAGE_VALIDATE).alias("failure_stage"),
+        F.coalesce(carried("failure_stage", "string"), stage).alias("failure_stage"),
         reason_text(F.col("violations")).alias("failure_reason"),
         carried("failure_stack_trace", "string").alias("failure_stack_trace"),
         failed_at.alias("failure_time"),
