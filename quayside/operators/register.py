@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.lake_types import field_id, map_lake_types, mapping_json, schema_json
+from quayside.sources import commits
 
+# Registrations behind which the rows are put together.
+FOLD_EVERY = 64
 FILE = ["table_name", "path"]
 
 
@@ -21,15 +26,63 @@ def stale_registrations(live: DataFrame, registered: DataFrame) -> DataFrame:
 
 
 def register(live: DataFrame, registered: DataFrame, path: str) -> str:
-    """Append the new files' metadata below ``path``.
+    """Append the new files' metadata below ``path``, a plain table.
 
     A write that was cut off may be repeated: what it left counts as registered,
-    the rest is appended. Two registrations of one target must not run at once.
+    the rest is appended. Two registrations of one target must not run at once;
+    ``register_files`` has neither limit.
     """
     new_files(live, registered).write.mode("append").parquet(path)
     return path
 
 
+REGISTERED = "table_name string, path string, record_count bigint, file_size_bytes bigint"
+
+
+def _registered(spark: SparkSession, path: str, history: commits.History) -> DataFrame:
+    folders = [history.fold["folder"]] if history.fold else []
+    folders += [entry["folder"] for entry in history.tail]
+    if not folders:
+        return spark.createDataFrame([], REGISTERED)
+    return spark.read.schema(REGISTERED).parquet(*[f"{path}/rows/{f}" for f in folders])
+
+
+def read_registrations(spark: SparkSession, path: str) -> DataFrame:
+    """All files that committed registrations have listed below ``path``."""
+    return _registered(spark, path, commits.read_history(spark, path))
+
+
+def register_files(live: DataFrame, path: str, tries: int = commits.TRIES) -> int | None:
+    """Register the live files that are not registered yet; returns the number of the commit, None if there were none.
+
+    The rows are written aside and one commit makes them valid, so that a registration that was cut off is
+    invisible. One that another has overtaken looks again at what is registered, and leaves out what the other
+    has listed. Every FOLD_EVERY commits all rows are put in one folder.
+    """
+    spark = live.sparkSession
+    for _ in range(tries):
+        base, folder = commits.read_history(spark, path), uuid.uuid4().hex
+        new_files(live, _registered(spark, path, base)).write.parquet(f"{path}/rows/{folder}")
+        if spark.read.schema(REGISTERED).parquet(f"{path}/rows/{folder}").isEmpty():
+            return None
+
+        def build(history: commits.History, base=base, folder=folder) -> dict | None:
+            return {"folder": folder} if history.last == base.last else None
+
+        number = commits.commit(spark, path, build)
+        if number is not None:
+            if len(base.tail) + 1 >= FOLD_EVERY:
+                _fold(spark, path)
+            return number
+    raise commits.CommitConflict(f"{path} has changed {tries} times meanwhile")
+
+
+def _fold(spark: SparkSession, path: str) -> None:
+    history, folder = commits.read_history(spark, path), uuid.uuid4().hex
+    _registered(spark, path, history).write.parquet(f"{path}/rows/{folder}")
+    commits.save_fold(spark, path, history.last, {"folder": folder})
+
+
 def registration_report(live: DataFrame, registered: DataFrame) -> DataFrame:
     """Per table: files and rows to register, and files skipped as known."""
     known = registered.select(*FILE).distinct().withColumn("_known", F.lit(True))
@@ -49,7 +102,10 @@ def register_in_iceberg(spark: SparkSession, catalog: str, table: str, path: str
     """The same against an Iceberg catalog, where the session has one configured."""
     if not spark.conf.get(f"spark.sql.catalog.{catalog}", None):
         raise RuntimeError(f"no catalog '{catalog}' in this session: set spark.sql.catalog.{catalog}")
-    return spark.sql(f"CALL {catalog}.system.add_files(table => '{table}', source_table => '`parquet`.`{path}`')")
+    quoted = {"table": table, "source": "`parquet`.`" + path.replace("`", "``") + "`"}
+    quoted = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in quoted.items()}
+    name = catalog.replace("`", "``")
+    return spark.sql(f"CALL `{name}`.system.add_files(table => '{quoted['table']}', source_table => '{quoted['source']}')")
 
 
 def created_tables(columns: DataFrame, keys: list[str]) -> DataFrame:

@@ -103,13 +103,13 @@ def new_files(spark, sf_dir):
 
 @query("J1 K4 S11", "SELECT * FROM registered UNION ALL SELECT * FROM new", f"{X.FILES_SQL},\n{_NEW}")
 def registered_files(spark, sf_dir):
-    """Append the new files' metadata to the target, twice, and read the target."""
+    """Commit the new files' metadata to the target, twice, and read the target."""
     files = X.stored_files(spark, sf_dir)
     path = fresh_dir(spark, "registered")
-    X.registered(files).write.parquet(path)
+    register.register_files(X.registered(files), path)
     for _ in range(2):
-        register.register(_live(files), spark.read.parquet(path), path)
-    return spark.read.parquet(path)
+        register.register_files(_live(files), path)
+    return register.read_registrations(spark, path)
 
 
 @query(
@@ -163,7 +163,8 @@ def export_candidates(spark, sf_dir):
 @query(
     "D2",
     """SELECT f.table_name, f.path, f.snapshot_id, f.record_count, f.file_size_bytes FROM full_files f
-    JOIN candidates c ON c.table_name = f.table_name AND f.snapshot_id > coalesce(c.last_exported_snapshot, 0)""",
+    JOIN candidates c ON c.table_name = f.table_name AND f.snapshot_id > coalesce(c.last_exported_snapshot, -1)
+      AND f.snapshot_id <= c.current_snapshot""",
     f"{X.FILES_SQL},\n{_CANDIDATES}",
 )
 def files_to_export(spark, sf_dir):

@@ -192,11 +192,9 @@ def _catalog(spark, target):
 def landed_to_registered(spark, sf_dir):
     """Land, list, register and read by what is registered, with another batch landed between two registrations."""
     target, known = fresh_dir(spark, "evolved"), fresh_dir(spark, "registered")
-    nothing = spark.createDataFrame([], "table_name string, path string, record_count bigint, file_size_bytes bigint")
-    register.register(_catalog(spark, _evolved(spark, sf_dir, target, batches=1)), nothing, known)
-    live = _catalog(spark, _evolved(spark, sf_dir, target))
-    register.register(live, spark.read.parquet(known), known)
-    return landing.read_registered(spark, target, spark.read.parquet(known))
+    for batches in (1, 2):
+        register.register_files(_catalog(spark, _evolved(spark, sf_dir, target, batches)), known)
+    return landing.read_registered(spark, target, register.read_registrations(spark, known))
 
 
 @query(
@@ -205,14 +203,20 @@ def landed_to_registered(spark, sf_dir):
       CAST((SELECT count(*) FILTER (ts >= TIMESTAMP '{SPLIT_AT}') FROM events) AS BIGINT) AS expirable_rows FROM ({_EVOLVED})""",
 )
 def exported_table(spark, sf_dir):
-    """The export job after each of two batches and once more when nothing is due; what it wrote, and what may now go."""
+    """The export job after each of two batches and twice more; what it wrote, and what may now go.
+
+    The second export is cut off once its files are written: the third run writes them again, under the same name.
+    """
     target, out, state = (fresh_dir(spark, name) for name in ("evolved", "exported", "export-state"))
-    runs = []
-    for batches in (1, 2, 2):
+    runs, tries = [], []
+    for batches in (1, 2, 2, 2):
         landed = _evolved(spark, sf_dir, target, batches)
 
         def write(table, snapshot, files):
             compact.compact(landing.read_registered(spark, landed, files), f"{out}/exported_at={snapshot}")
+            tries.append(snapshot)
+            if tries.count(1) == 1 and snapshot == 1:
+                raise OSError("cut off")
 
         log = landing.read_part(spark, target, "log")
         now = F.current_timestamp().cast("timestamp_ntz")
@@ -230,6 +234,76 @@ def exported_table(spark, sf_dir):
     return compact.union_versions(written).withColumn("expirable_rows", later)
 
 
+@query("K1 K6 T8", f"SELECT *, (SELECT count(*) FILTER (\"timestamp\" < TIMESTAMP '{SPLIT_AT}') FROM judged) AS skipped FROM ({_ROWS})", X.JUDGED_SQL)
+def landed_by_two_checkpoints(spark, sf_dir):
+    """One checkpoint lands the first files of a topic; it is lost, and the one in its place reads everything again."""
+    source, target, log = fresh_dir(spark, "topic"), fresh_dir(spark, "landed"), X.topic_log(spark, sf_dir, dirty=True)
+    early = F.col("timestamp") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    for part, checkpoint in ((early, "first"), (~early, "second")):
+        log.filter(part).write.mode("append").option("timestampNTZFormat", NTZ).json(source)
+        records = read_topic_files(spark, source, max_bytes=X.MICRO_BATCH_BYTES)
+        landing.land_stream(records, target, f"{target}-{checkpoint}", lambda: X.EVENT_SCHEMA, SETTINGS).awaitTermination()
+    skipped = landing.read_part(spark, target, "log").agg(F.sum("skipped").cast("bigint")).scalar()
+    return landing.read_table(spark, target).withColumn("skipped", skipped)
+
+
+_TOTALS = ("records", "accepted", "rejected", "skipped")
+
+
+@query(
+    "K1 K6 T8 S5",
+    """SELECT topic, count(*) AS records, count(*) FILTER (violations IS NULL) AS accepted,
+      count(*) FILTER (violations IS NOT NULL) AS rejected, 0 AS skipped FROM judged GROUP BY topic""",
+    X.JUDGED_SQL,
+)
+def topics_into_one_table(spark, sf_dir):
+    """Every topic has its own checkpoint and all land to one table at once; a count of what each has landed."""
+    target, jobs = fresh_dir(spark, "landed"), []
+    for (topic,) in X.topic_log(spark, sf_dir).select("topic").distinct().orderBy("topic").collect():
+        records = X.topic_stream(spark, sf_dir, dirty=True).filter(F.col("topic") == topic)
+        settings = TopicSettings(name=topic, table="team.events")
+        jobs.append(landing.LandingJob(settings, records, lambda: X.EVENT_SCHEMA, target, f"{target}-{topic}"))
+    landing.land_topics(spark, jobs)
+    return landing.read_part(spark, target, "log").groupBy("topic").agg(*[F.sum(c).cast("bigint").alias(c) for c in _TOTALS])
+
+
+@query(
+    "P9 S9 D4 D5 J5",
+    """SELECT event_id, "value", true AS fewer_files, count(*) OVER () AS live_rows, 2 * count(*) OVER () AS listed_rows FROM events""",
+)
+def compacted_table(spark, sf_dir):
+    """Three batches put together by one commit: each row is read once, of live files; the old ones are listed with their end."""
+    target, log = fresh_dir(spark, "compacted"), X.topic_log(spark, sf_dir)
+    for n in range(3):
+        landing.land_batch(log.filter(F.expr(X.BATCH_OF.format(ts="timestamp")) == n), n, target, X.EVENT_SCHEMA)
+    landing.compact_table(spark, target)
+    manifest = landing.read_part(spark, target, "manifest")
+    live, gone = F.col("end_snapshot").isNull(), F.col("end_snapshot").isNotNull()
+    counts = manifest.agg(
+        (F.count_if(live) < F.count_if(gone)).alias("fewer_files"),
+        F.sum(F.when(live, F.col("record_count"))).cast("bigint").alias("live_rows"),
+        F.sum("record_count").cast("bigint").alias("listed_rows"),
+    )
+    rows = landing.read_table(spark, target).select("event_id", "value")
+    return rows.select("*", *[counts.select(c).scalar().alias(c) for c in counts.columns])
+
+
+@query(
+    "D9 D10 T7",
+    """SELECT event_id, "value" / (event_id - 7) AS "value", upper(event_type) AS event_type, 1 AS refused,
+      'TRANSFORMATION' AS stage FROM events WHERE event_id <> 7""",
+)
+def landed_transform(spark, sf_dir):
+    """SQL over each micro-batch; the one record that it cannot compute becomes a dead letter and the others land."""
+    target = fresh_dir(spark, "transformed")
+    sql = 'SELECT event_id, user_id, upper(event_type) AS event_type, value / (event_id - 7) AS value, props FROM input'
+    records = X.topic_stream(spark, sf_dir)
+    landing.land_stream(records, target, f"{target}-checkpoint", lambda: X.EVENT_SCHEMA, SETTINGS, transform=sql).awaitTermination()
+    refused = landing.read_part(spark, target, "rejects").agg(F.count("*").alias("n"), F.max("failure_stage").alias("stage"))
+    rows = landing.read_table(spark, target).select("event_id", "value", "event_type")
+    return rows.select("*", refused.select("n").scalar().alias("refused"), refused.select("stage").scalar().alias("stage"))
+
+
 @query(
     "S10 K2 K3",
     """SELECT * FROM (VALUES (0, 'event_id', 'BIGINT', false), (1, 'value', 'DOUBLE', false), (2, 'props', 'VARCHAR', true),
@@ -330,8 +404,8 @@ def reconciled_counts(spark, sf_dir):
         landed = rows if landed is None else landed.unionByName(rows)
         files = listed if files is None else files.unionByName(listed)
     path = fresh_dir(spark, "registered")
-    register.register(files.filter("table_name <> 'team.view'"), files.filter("false"), path)
-    registered = spark.read.parquet(path).select(F.col("table_name").alias("topic"), F.col("record_count").alias("rows"))
+    register.register_files(files.filter("table_name <> 'team.view'"), path)
+    registered = register.read_registrations(spark, path).select(F.col("table_name").alias("topic"), F.col("record_count").alias("rows"))
     return register.reconcile(produced, landed, registered)
 
 

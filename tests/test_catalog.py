@@ -1,4 +1,5 @@
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -287,3 +288,86 @@ def test_a_cut_off_parquet_file_is_skipped_and_told(spark, tmp_path):
     assert 0 < got.count() < 1000
     short = compact.short_files(got, manifest).collect()
     assert len(short) == 1 and short[0]["rows_read"] == 0 and short[0]["path"].endswith(cut.name)
+
+
+@pytest.mark.parametrize("where", ["before", "after"])
+def test_an_export_that_fails_writes_each_file_once(spark, tmp_path, rows, where):
+    """One table fails, before or after it has written; a file lands; the run is repeated."""
+    shape = "table_name string, path string, snapshot_id bigint, record_count bigint, file_size_bytes bigint"
+    files = spark.createDataFrame([("a", "p0", 0, 1, 9), ("b", "q0", 0, 1, 9)], shape)
+    late = files.unionByName(spark.createDataFrame([("a", "p1", 1, 1, 9), ("b", "q1", 1, 1, 9)], shape))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    snapshots = spark.createDataFrame([(n,) for n in range(3)], "snapshot_id bigint").withColumn("commit_time", at)
+    state, out, broken = str(tmp_path / "state"), {}, [True]
+
+    def write(table, snapshot, chosen):
+        if table == "b" and broken and where == "before":
+            raise OSError("disk full")
+        out[table, snapshot] = sorted(r["path"] for r in chosen.collect())
+        if table == "b" and broken:
+            raise OSError("disk full")
+
+    def run(known):
+        return sorted(tuple(r) for r in export.run_export(known, snapshots, state, at, write, min_bytes=5).collect())
+
+    assert run(files) == [("a", 0)]
+    assert rows(export.open_exports(spark, state), "table_name", "current_snapshot", "attempts", "reason") == [("b", 0, 1, "disk full")]
+    # The one that failed is tried again with its own list; it fails again and the other goes on.
+    assert run(late) == [("a", 1)]
+    assert rows(export.open_exports(spark, state), "attempts") == [(2,)]
+    broken.clear()
+    assert run(late) == [("b", 0), ("b", 1)] and run(late) == []
+    assert out == {("a", 0): ["p0"], ("a", 1): ["p1"], ("b", 0): ["q0"], ("b", 1): ["q1"]}
+    assert rows(export.load_state(spark, state), "table_name", "last_exported_snapshot") == [("a", 1), ("b", 1)]
+    assert export.open_exports(spark, state).count() == 0
+
+
+def test_an_export_run_that_is_killed_is_resumed(spark, tmp_path, rows, monkeypatch):
+    shape = "table_name string, path string, snapshot_id bigint, record_count bigint, file_size_bytes bigint"
+    files = spark.createDataFrame([(t, f"{t}0", 0, 1, 9) for t in "abc"], shape)
+    late = files.unionByName(spark.createDataFrame([(t, f"{t}1", 1, 1, 9) for t in "abc"], shape))
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    snapshots = spark.createDataFrame([(0,), (1,)], "snapshot_id bigint").withColumn("commit_time", at)
+    state, out = str(tmp_path / "state"), []
+
+    def write(table, snapshot, chosen):
+        if table == "b" and not out.count(("killed",)):
+            out.append(("killed",))
+            raise KeyboardInterrupt
+        out.append((table, snapshot, [r["path"] for r in chosen.collect()]))
+
+    with pytest.raises(KeyboardInterrupt):
+        export.run_export(files, snapshots, state, at, write, min_bytes=5, side_by_side=1)
+    # The table that was done counts although the run never saved its state.
+    assert rows(export.load_state(spark, state), "table_name") == [("a",)] or rows(export.load_state(spark, state), "table_name") == [("a",), ("c",)]
+    export.run_export(late, snapshots, state, at, write, min_bytes=5, side_by_side=1)
+    written = [o for o in out if len(o) == 3]
+    assert sorted(written) == [(t, n, [f"{t}{n}"]) for t in "abc" for n in (0, 1)]
+
+
+def test_two_registrations_at_once(spark, tmp_path, rows):
+    shape = "table_name string, path string, record_count bigint, file_size_bytes bigint"
+    path = str(tmp_path / "registered")
+    sets = [spark.createDataFrame([("t", f"p{n}", 1, 9) for n in range(k, k + 6)], shape) for k in (0, 3, 6, 0)]
+    threads = [threading.Thread(target=register.register_files, args=(files, path)) for files in sets]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert rows(register.read_registrations(spark, path), "path") == sorted((f"p{n}",) for n in range(12))
+    assert register.register_files(sets[1], path) is None
+
+
+def test_a_registration_that_is_cut_off_is_invisible(spark, tmp_path, rows, monkeypatch):
+    shape = "table_name string, path string, record_count bigint, file_size_bytes bigint"
+    path = str(tmp_path / "registered")
+    one, two = (spark.createDataFrame([("t", f"p{k}", 1, 9)], shape) for k in range(2))
+    register.register_files(one, path)
+    with monkeypatch.context() as patch:
+        patch.setattr(register.commits, "commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            register.register_files(two, path)
+    assert rows(register.read_registrations(spark, path), "path") == [("p0",)]
+    monkeypatch.setattr(register, "FOLD_EVERY", 2)
+    assert register.register_files(one.unionByName(two), path) == 1
+    # The rows are in one folder now.
+    assert register.commits.read_history(spark, path).tail == []
+    assert rows(register.read_registrations(spark, path), "path") == [("p0",), ("p1",)]
