@@ -61,6 +61,51 @@ def throughput_ema(flush_log: DataFrame, alpha: float = EMA_ALPHA) -> DataFrame:
     )
 
 
+# What a run of batches comes to for each topic; two runs that follow one another merge into one.
+ROLLUP = """topic string, batches bigint, records bigint, accepted bigint, rejected bigint, bytes bigint, largest_bytes bigint,
+    rate struct<z: double, a: double, b: double>"""
+_SUMS = ("batches", "records", "accepted", "rejected", "bytes")
+
+
+def rollup(landing_log: DataFrame, alpha: float = EMA_ALPHA) -> DataFrame:
+    """Counts, sizes and the composed moves of the rate per topic, over the batches of a landing log."""
+    batches = landing_log.groupBy("topic", F.col("batch_id").alias("seq")).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in _SUMS[1:]], F.max("elapsed_seconds").alias("elapsed_seconds")
+    )
+    moves = _moves(batches, alpha)
+    for _ in range(LEVELS):
+        moves = _fold(moves)
+    rates = moves.groupBy("topic").agg(F.expr(_COMPOSED.format(start=_IDENTITY)).alias("rate"))
+    sums = [F.sum(c).cast("bigint").alias(c) for c in _SUMS[1:]]
+    counts = batches.groupBy("topic").agg(F.count("*").alias("batches"), *sums, F.max("bytes").alias("largest_bytes"))
+    return counts.join(rates, "topic", "left").select(
+        "topic", *_SUMS, "largest_bytes", F.coalesce("rate", F.expr(_IDENTITY)).alias("rate")
+    )
+
+
+def merge_rollups(first: DataFrame, then: DataFrame) -> DataFrame:
+    """The roll-up of two runs of batches of which ``then`` comes later."""
+    both = first.select("topic", F.struct("*").alias("m")).join(then.select("topic", F.struct("*").alias("x")), "topic", "full")
+    z = F.when(F.col("m.rate.z") == 0, F.col("x.rate.z")).otherwise(F.col("x.rate.a") * F.col("m.rate.z") + F.col("x.rate.b"))
+    rate = F.struct(
+        z.alias("z"),
+        (F.col("x.rate.a") * F.col("m.rate.a")).alias("a"),
+        (F.col("x.rate.a") * F.col("m.rate.b") + F.col("x.rate.b")).alias("b"),
+    )
+    alone = F.col("m").isNull() | F.col("x").isNull()
+    return both.select(
+        "topic",
+        *[(F.coalesce(f"m.{c}", F.lit(0)) + F.coalesce(f"x.{c}", F.lit(0))).cast("bigint").alias(c) for c in _SUMS],
+        F.greatest("m.largest_bytes", "x.largest_bytes").alias("largest_bytes"),
+        F.when(alone, F.coalesce("m.rate", "x.rate")).otherwise(rate).alias("rate"),
+    )
+
+
+def rates(rolled: DataFrame) -> DataFrame:
+    """``topic, flushes, bytes_per_second`` as ``throughput_ema`` gives them, from a roll-up."""
+    return rolled.select("topic", F.col("batches").alias("flushes"), F.col("rate.z").alias("bytes_per_second"))
+
+
 def _estimates_before(moves: DataFrame, levels: int) -> DataFrame:
     """``topic, idx, e_in``: the estimate that each move starts from."""
     if levels:

@@ -17,7 +17,7 @@ from quayside.plans.topic_queries import SPLIT_AT
 from quayside.session import cut_lineage, fresh_dir
 from quayside.sources.catalog import describe_columns, live_files, read_if_there
 from quayside.sources.topics import read_topic_files
-from quayside.streaming import flush, landing
+from quayside.streaming import flush, landing, progress
 
 SETTINGS = TopicSettings(name="team.events", table="team.events")
 NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -125,6 +125,23 @@ def batch_size_summary(spark, sf_dir):
     return telemetry.batch_sizes(_log(spark, sf_dir), percentiles=(0.5,))
 
 
+@query(
+    "W1 A7 A8 A9 T10",
+    """SELECT topic, count(*) AS batches, CAST(sum(records) AS BIGINT) AS records, CAST(sum(bytes) AS BIGINT) AS bytes,
+      max(bytes) AS largest_bytes FROM (SELECT topic, batch_id, CAST(sum(bytes) AS BIGINT) AS bytes, sum(records) AS records
+      FROM landing_log GROUP BY ALL) GROUP BY topic""",
+    X.LANDING_SQL,
+)
+def topic_rollups(spark, sf_dir):
+    """Totals per topic from the roll-up of the first two batches, merged with the log of the third."""
+    target, log = fresh_dir(spark, "logged"), X.topic_log(spark, sf_dir)
+    for n in range(3):
+        if n == 2:
+            landing.fold(spark, target)
+        landing.land_batch(log.filter(F.expr(X.BATCH_OF.format(ts="timestamp")) == n), n, target, X.EVENT_SCHEMA)
+    return landing.topic_rollup(spark, target).select("topic", "batches", "records", "bytes", "largest_bytes")
+
+
 @query(
     "W1 F8 F9 T10",
     """SELECT topic, count(DISTINCT batch_id) AS flushes, true AS moving, 3000 AS max_batch_bytes, true AS within_bounds
@@ -247,6 +264,36 @@ def landed_by_two_checkpoints(spark, sf_dir):
     return landing.read_table(spark, target).withColumn("skipped", skipped)
 
 
+@query("S2 T2 T4 F8 F9", f"SELECT *, true AS several, true AS within FROM ({_ROWS})", X.JUDGED_SQL)
+def landed_in_admitted_batches(spark, sf_dir):
+    """Files of a topic in two runs: the first under a share of the pool, the second under what the log calls for.
+
+    A quarter of the topic's bytes is what a micro-batch may read, so several are needed at any size.
+    """
+    source, target, log = fresh_dir(spark, "topic"), fresh_dir(spark, "landed"), X.topic_log(spark, sf_dir, dirty=True)
+    halves = [F.pmod(F.xxhash64("offset"), F.lit(2)) == n for n in range(2)]
+    texts = log.repartition(8, "offset").withColumn("topic", F.lit(SETTINGS.name))
+    texts.filter(halves[0]).write.option("timestampNTZFormat", NTZ).json(source)
+    sizes = spark.read.format("binaryFile").load(source).agg(F.sum("length").cast("bigint"))
+    pool = max(1, sizes.first()[0] // 2)
+
+    def between(n, limits):
+        if n:
+            texts.filter(halves[n]).write.mode("append").option("timestampNTZFormat", NTZ).json(source)
+
+    def read(limits):
+        return read_topic_files(spark, source, max_bytes=limits.max_batch_bytes)
+
+    used = progress.land_admitted(
+        spark, read, target, f"{target}-checkpoint", lambda: X.EVENT_SCHEMA, SETTINGS, pool, rounds=2, active=1, between=between
+    )
+    rolled = landing.topic_rollup(spark, target)
+    most = max(u.max_batch_bytes for u in used)
+    return landing.read_table(spark, target).select(
+        "*", rolled.select(F.col("batches") >= 3).scalar().alias("several"), rolled.select(F.col("largest_bytes") <= most).scalar().alias("within")
+    )
+
+
 _TOTALS = ("records", "accepted", "rejected", "skipped")
 
 

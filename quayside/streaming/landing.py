@@ -43,6 +43,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside.config import EXPORT_BYTES, TopicSettings
 from quayside.functions.sizes import payload_bytes
+from quayside.operators import telemetry
 from quayside.operators.compact import cast_to, compact, file_rows, union_versions
 from quayside.operators.evolve import SchemaConflict, evolve_struct
 from quayside.operators.quarantine import STAGE_TRANSFORM, dead_letters
@@ -230,10 +231,25 @@ def fold(spark: SparkSession, target: str) -> int:
     path = f"{target}/folded/upto={state.last}-{uuid.uuid4().hex}"
     for kind in _ROWS:
         _all_rows(spark, target, kind, state).write.parquet(f"{path}/{kind}")
+    _rollup(spark, target, state).write.parquet(f"{path}/rollup")
     commits.save_fold(spark, target, state.last, {"last_of": state.last_of, "ranges": state.ranges, "path": path})
     return state.last
 
 
+def _rollup(spark: SparkSession, target: str, state: Committed) -> DataFrame:
+    tail = _tail_rows(spark, target, "log", state)
+    new = None if tail is None else telemetry.rollup(tail.withColumn("batch_id", F.col("_number")))
+    old = spark.read.schema(telemetry.ROLLUP).parquet(f"{state.folded}/rollup") if state.folded else None
+    if new is None:
+        return old if old is not None else spark.createDataFrame([], telemetry.ROLLUP)
+    return new if old is None else telemetry.merge_rollups(old, new)
+
+
+def topic_rollup(spark: SparkSession, target: str) -> DataFrame:
+    """What was landed per topic: counts, sizes, rate. Reads the newest fold's roll-up and the logs behind it, not the whole log."""
+    return _rollup(spark, target, committed(spark, target))
+
+
 # --- landing -------------------------------------------------------------------
 
 
