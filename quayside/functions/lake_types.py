@@ -115,13 +115,13 @@ def field_id() -> Column:
     return (F.col("pos") + 1).cast("int")
 
 
-def mapping_json() -> Column:
-    """Aggregate: JSON that ties the column names of a table to their ids.
+def mapping_json(id_: Column | None = None) -> Column:
+    """Aggregate: JSON that ties the column names of a table to their ids, by default their positions.
 
     The group is a table's column list, so it is as wide as a schema and never
     grows with the data.
     """
-    entry = F.struct(field_id().alias("field_id"), F.array("name").alias("names"))
+    entry = F.struct((field_id() if id_ is None else id_).alias("field_id"), F.array("name").alias("names"))
     return F.to_json(
         F.transform(
             F.array_sort(F.collect_list(entry)),
@@ -130,10 +130,10 @@ def mapping_json() -> Column:
     )
 
 
-def schema_json() -> Column:
+def schema_json(id_: Column | None = None) -> Column:
     """Aggregate: the fields of a table as JSON, from ``map_lake_types`` output."""
     required = (~F.col("nullable")).alias("required")
-    entry = F.struct(field_id().alias("id"), "name", F.col("target_type").alias("type"), required)
+    entry = F.struct((field_id() if id_ is None else id_).alias("id"), "name", F.col("target_type").alias("type"), required)
     return F.to_json(F.array_sort(F.collect_list(entry)))
 
 

@@ -65,12 +65,12 @@ def compact(df: DataFrame, path: str, target_bytes: int = EXPORT_BYTES, partitio
             df.write.mode("overwrite").parquet(path)
 
 
-def file_rows(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """``path, record_count, file_size_bytes`` of the Parquet files below ``path``.
+def file_rows(spark: SparkSession, *paths: str, **options: str) -> DataFrame:
+    """``path, record_count, file_size_bytes`` of the Parquet files below ``paths``.
 
-    No column is read, so only footers are opened.
+    No column is read, so only footers are opened. The schema names none, so that no file is opened to infer one.
     """
-    files = spark.read.options(**options).parquet(path)
+    files = spark.read.options(**options).schema("_none boolean").parquet(*paths)
     return (
         files.groupBy(
             F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").cast("bigint").alias("file_size_bytes")
@@ -80,6 +80,31 @@ def file_rows(spark: SparkSession, path: str, **options: str) -> DataFrame:
     )
 
 
+def damage_report(spark: SparkSession, paths: list[str], manifest: DataFrame) -> DataFrame:
+    """Listed files that are not as the manifest has them, told from their lengths and footers; no rows are read.
+
+    ``damage``: ``missing``, ``unreadable`` (the footer, as of a file that was cut off), ``size``
+    (another length than listed) or ``rows`` (another count than listed). ``paths`` are the folders of the files.
+    """
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    sizes = there.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").cast("bigint").alias("size_found"))
+    footers = file_rows(spark, *paths, ignoreCorruptFiles="true", recursiveFileLookup="true")
+    found = sizes.join(footers.select("path", F.col("record_count").alias("rows_found")), "path", "left")
+    damage = (
+        F.when(F.col("size_found").isNull(), "missing")
+        .when(F.col("rows_found").isNull(), "unreadable")
+        .when(F.col("size_found") != F.col("file_size_bytes"), "size")
+        .when(F.col("rows_found") != F.col("record_count"), "rows")
+    )
+    return (
+        manifest.select("path", "record_count", "file_size_bytes")
+        .join(found, "path", "left")
+        .withColumn("damage", damage)
+        .filter("damage IS NOT NULL")
+        .select("path", "damage", "record_count", "rows_found", "file_size_bytes", "size_found")
+    )
+
+
 def read_skipping_corrupt(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Rows of the readable files; a broken file is skipped."""
     return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)

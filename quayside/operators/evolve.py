@@ -20,10 +20,16 @@ def _change(old_type: Column, new_type: Column) -> Column:
     )
 
 
+def _alike(keys: list[str]) -> Column:
+    """Whether a table has another name that differs in case only. Each name is one row; a window spans the spellings of one name."""
+    return F.count("*").over(Window.partitionBy(*keys, F.lower("name"))) > 1
+
+
 def schema_diff(current: DataFrame, declared: DataFrame, keys: list[str], aliases: str | None = None) -> DataFrame:
     """Changes per table and column: ``added, widened, removed, conflict, rename``.
 
-    Both inputs hold ``keys``, ``name`` and ``type``. Names are matched exactly.
+    Both inputs hold ``keys``, ``name`` and ``type``. Names are matched exactly; a name that would be
+    added beside one that differs from it in case only is a conflict, as readers could not tell the two apart.
     ``aliases`` names a column of ``declared`` whose non-empty value marks a
     rename, which is refused whatever the types say.
     """
@@ -31,10 +37,13 @@ def schema_diff(current: DataFrame, declared: DataFrame, keys: list[str], aliase
     left = current.select(*keys, "name", F.col("type").alias("old_type"))
     right = declared.select(*keys, "name", F.col("type").alias("new_type"), renamed.alias("_renamed"))
     change = F.when(F.col("_renamed"), "rename").otherwise(_change(F.col("old_type"), F.col("new_type")))
+    clash = (F.col("change") == "added") & F.col("_alike")
     return (
         left.join(right, [*keys, "name"], "full")
-        .select(*keys, "name", change.alias("change"), "old_type", "new_type")
+        .select(*keys, "name", change.alias("change"), "old_type", "new_type", _alike(keys).alias("_alike"))
         .filter(F.col("change").isNotNull())
+        .withColumn("change", F.when(clash, "conflict").otherwise(F.col("change")))
+        .drop("_alike")
     )
 
 
@@ -50,13 +59,14 @@ def conflicts(diff: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def column_drift(here: DataFrame, there: DataFrame, keys: list[str]) -> DataFrame:
-    """Names that only one side has: ``new`` or ``gone``."""
+    """Names that only one side has: ``new`` or ``gone``, or ``case`` where another spelling of the name is there."""
     a = here.select(*keys, "name").distinct().withColumn("_here", F.lit(True))
     b = there.select(*keys, "name").distinct().withColumn("_there", F.lit(True))
     return (
         a.join(b, [*keys, "name"], "full")
+        .withColumn("_alike", _alike(keys))
         .filter(F.col("_here").isNull() | F.col("_there").isNull())
-        .select(*keys, "name", F.when(F.col("_there").isNull(), "new").otherwise("gone").alias("drift"))
+        .select(*keys, "name", F.when(F.col("_alike"), "case").when(F.col("_there").isNull(), "new").otherwise("gone").alias("drift"))
     )
 
 
@@ -67,8 +77,8 @@ def highest_field_id(fields: DataFrame, keys: list[str]) -> DataFrame:
 def sync_fields(fields: DataFrame, declared: DataFrame, keys: list[str]) -> DataFrame:
     """Fields of registered tables after the safe changes, ids kept and extended.
 
-    ``fields``: ``keys, field_id, name, type, required``. Tables with a conflict
-    stay as they are, tables that are not registered are left out, and removed
+    ``fields``: ``keys, field_id, name, type, required``. Tables with a conflict, or with a new name that differs
+    from another in case only, stay as they are, tables that are not registered are left out, and removed
     columns stay. A window spans the columns of one table, so it is as wide as a
     schema.
     """
@@ -76,7 +86,8 @@ def sync_fields(fields: DataFrame, declared: DataFrame, keys: list[str]) -> Data
     both = fields.withColumnRenamed("type", "_old").join(
         declared.select(*keys, "name", "pos", F.col("type").alias("_new"), "nullable"), [*keys, "name"], "full"
     )
-    marked = both.withColumn("_change", _change(F.col("_old"), F.col("_new"))).withColumns(
+    change = F.when(F.col("field_id").isNull() & _alike(keys), "conflict").otherwise(_change(F.col("_old"), F.col("_new")))
+    marked = both.withColumn("_change", change).withColumns(
         {
             "_blocked": F.max(F.coalesce(F.col("_change") == "conflict", F.lit(False))).over(table),
             "_highest": F.max("field_id").over(table),
@@ -129,3 +140,39 @@ def evolve_struct(current: T.StructType | None, declared: T.StructType) -> T.Str
     old_names = set(current.names)
     fields += [T.StructField(f.name, f.dataType, True, f.metadata) for f in declared.fields if f.name not in old_names]
     return T.StructType(fields)
+
+
+# Fixed value: the key under which Spark writes a column's id to Parquet files.
+FIELD_ID = "parquet.field.id"
+
+
+def with_field_ids(schema: T.StructType, last: int = 0) -> tuple[T.StructType, int]:
+    """The schema with ids for the fields that have none, from ``last`` on, and the last id given."""
+    fields = []
+    for f in schema.fields:
+        if FIELD_ID not in f.metadata:
+            last += 1
+            f = T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, FIELD_ID: last})
+        fields.append(f)
+    return T.StructType(fields), last
+
+
+def renamed(schema: T.StructType, old: str, new: str) -> T.StructType:
+    """The schema with a column under a new name and its old id."""
+    if old not in schema.names:
+        raise SchemaConflict(f"column '{old}': there is none to rename")
+    for name in schema.names:
+        if name != old and name.lower() == new.lower():
+            raise SchemaConflict(f"column '{new}': the name is taken by '{name}'")
+    return T.StructType([T.StructField(new if f.name == old else f.name, f.dataType, f.nullable, f.metadata) for f in schema.fields])
+
+
+def by_field_id(rows: DataFrame, stored: T.StructType, wanted: T.StructType) -> DataFrame:
+    """``rows``, which have the names of ``stored``, as ``wanted``: columns are matched by their id, widened where
+    the types differ and null where absent."""
+    names = {f.metadata.get(FIELD_ID, f.name): f.name for f in stored.fields}
+    columns = []
+    for f in wanted.fields:
+        name = names.get(f.metadata.get(FIELD_ID, f.name))
+        columns.append((F.lit(None) if name is None else F.col(f"`{name}`")).cast(f.dataType).alias(f.name))
+    return rows.select(*columns)

@@ -13,6 +13,36 @@ HEADER_TIME = "dlq.replay.time"
 HEADER_FAILURE = "dlq.original.failure"
 
 
+# Marks text that stands for bytes that are no text, or for text that begins so itself.
+BASE64 = "base64:"
+
+
+def as_text(value: Column) -> Column:
+    """Bytes as text, from which ``as_bytes`` gets them back whatever they are."""
+    data = value.cast("binary")
+    text = data.cast("string")
+    coded = F.concat(F.lit(BASE64), F.translate(F.base64(data), "\r\n", ""))
+    return F.when(F.is_valid_utf8(text) & ~text.startswith(BASE64), text).when(data.isNotNull(), coded)
+
+
+def as_bytes(text: Column) -> Column:
+    coded = F.substring(text, len(BASE64) + 1, 2**31 - 1)
+    return F.when(text.startswith(BASE64), F.unbase64(coded)).otherwise(text.cast("binary"))
+
+
+def header_map(headers: Column) -> Column:
+    """Headers ``array<struct<key, value>>`` as a map of texts (``as_text``); of equal names the last counts."""
+    last = F.filter(
+        headers, lambda x, i: ~F.exists(F.slice(headers, i + 2, F.size(headers)), lambda later: later["key"] == x["key"])
+    )
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], as_text(x["value"]))))
+
+
+def header_array(headers: Column) -> Column:
+    """What ``header_map`` was made from, but for repeated names: ``array<struct<key, value: binary>>``."""
+    return F.transform(F.map_entries(headers), lambda e: F.struct(e["key"].alias("key"), as_bytes(e["value"]).alias("value")))
+
+
 def reason_text(violations: Column) -> Column:
     return F.array_join(F.transform(violations, lambda v: F.concat_ws(":", v["column"], v["rule"])), ",")
 
@@ -23,7 +53,7 @@ def dead_letters(
     """One row per refused record, with its payload kept as base64.
 
     ``value`` is text or binary; its bytes are kept as they came, whether they
-    are text or not. ``key``, ``headers``, ``schema_id`` and ``failure_stack_trace``
+    are text or not, and so are those of a binary ``key`` (``as_text``). ``key``, ``headers``, ``schema_id`` and ``failure_stack_trace``
     are kept where the records have them and are null where they do not; a refusal
     by rule has no stack trace of its own. A ``failure_stage`` of the records' own goes before that of their rules.
     """
@@ -37,7 +67,7 @@ def dead_letters(
         F.col("topic").alias("original_topic"),
         F.col("partition").alias("original_partition"),
         F.col("offset").alias("original_offset"),
-        carried("key", "string").alias("original_key"),
+        (as_text(F.col("key")) if dict(rejected.dtypes).get("key") == "binary" else carried("key", "string")).alias("original_key"),
         # Some sessions break base64 into lines of 76 characters.
         F.translate(F.base64(F.col("value").cast("binary")), "\r\n", "").alias("original_payload"),
         carried("headers", "map<string,string>").alias("original_headers"),
@@ -59,17 +89,19 @@ def dead_letter_topic(team: Column, topic: Column) -> Column:
 def replay(letters: DataFrame, stage: str, since: Column, now: Column, binary: bool = False) -> DataFrame:
     """Original records of one failure stage, no older than ``since``, with two headers added to their own.
 
-    ``binary`` gives ``value`` as the bytes that came, which need not be text.
+    ``binary`` gives ``key`` and ``value`` as the bytes that came, which need not be text, and
+    headers as an array with bytes, as a Kafka writer takes them.
     """
     original = F.unbase64("original_payload")
     added = F.create_map(F.lit(HEADER_TIME), now.cast("string"), F.lit(HEADER_FAILURE), F.col("failure_reason"))
     # A record that is replayed again gets the two anew.
     own = F.map_filter("original_headers", lambda name, _: ~name.isin(HEADER_TIME, HEADER_FAILURE))
+    headers = F.when(F.col("original_headers").isNull(), added).otherwise(F.map_concat(own, added))
     return letters.filter((F.col("failure_stage") == stage) & (F.col("failure_time") > since)).select(
         F.col("original_topic").alias("topic"),
         F.col("original_partition").alias("partition"),
         F.col("original_offset").alias("offset"),
-        F.col("original_key").alias("key"),
+        (as_bytes(F.col("original_key")) if binary else F.col("original_key")).alias("key"),
         (original if binary else original.cast("string")).alias("value"),
-        F.when(F.col("original_headers").isNull(), added).otherwise(F.map_concat(own, added)).alias("headers"),
+        (header_array(headers) if binary else headers).alias("headers"),
     )

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.lake_types import field_id, map_lake_types, mapping_json, schema_json
+from quayside.operators.evolve import sync_fields
 from quayside.sources import commits
 
 # Registrations behind which the rows are put together.
@@ -121,6 +124,80 @@ def created_tables(columns: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+# --- stored targets ------------------------------------------------------------
+
+FIELDS = "array<struct<field_id: int, name: string, type: string, required: boolean>>"
+
+
+def _in_rows(fields: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per table; a group is a table's columns."""
+    entry = F.struct(F.col("field_id").cast("int").alias("field_id"), "name", "type", "required")
+    return fields.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).cast(FIELDS).alias("fields"))
+
+
+def _commit_targets(spark: SparkSession, path: str, rows: Callable[[DataFrame | None], DataFrame]) -> int | None:
+    """Commit the rows that ``rows`` makes of the stored ones, looking again if another commit came first; None without rows."""
+    for _ in range(commits.TRIES):
+        base, folder = commits.read_history(spark, path), uuid.uuid4().hex
+        rows(_targets(spark, path, base)).write.parquet(f"{path}/rows/{folder}")
+        if spark.read.parquet(f"{path}/rows/{folder}").isEmpty():
+            return None
+        number = commits.commit(spark, path, lambda h, b=base, f=folder: {"folder": f} if h.last == b.last else None)
+        if number is not None:
+            return number
+    raise commits.CommitConflict(f"{path} has changed {commits.TRIES} times meanwhile")
+
+
+def _targets(spark: SparkSession, path: str, history: commits.History) -> DataFrame | None:
+    """Each table's newest row and its ``version``, the number of the commit."""
+    parts = [spark.read.parquet(f"{path}/rows/{e['folder']}").withColumn("version", F.lit(e["number"]).cast("bigint")) for e in history.tail]
+    if not parts:
+        return None
+    every = reduce(DataFrame.unionByName, parts)
+    keys = [c for c in every.columns if c not in ("fields", "version")]
+    return every.groupBy(*keys).agg(F.max_by("fields", "version").alias("fields"), F.max("version").alias("version"))
+
+
+def read_targets(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored target tables: keys, ``fields`` and ``version``; None before the first."""
+    return _targets(spark, path, commits.read_history(spark, path))
+
+
+def store_targets(columns: DataFrame, keys: list[str], path: str) -> int | None:
+    """Create the tables of ``columns`` that are not stored yet, ids in column order."""
+    return write_targets(columns.withColumns({"field_id": field_id(), "required": ~F.col("nullable")}), keys, path)
+
+
+def write_targets(fields: DataFrame, keys: list[str], path: str) -> int | None:
+    """Store tables that have ids already: ``keys, field_id, name, type, required``."""
+    made = _in_rows(fields, keys)
+    return _commit_targets(fields.sparkSession, path, lambda known: made if known is None else made.join(known, keys, "left_anti"))
+
+
+def sync_targets(declared: DataFrame, keys: list[str], path: str) -> int | None:
+    """Store a new version of each target whose fields change safely; the others keep the one they have."""
+
+    def changed(known: DataFrame | None) -> DataFrame:
+        if known is None:
+            raise ValueError(f"no target is stored at {path}")
+        fields = known.select(*keys, F.inline("fields"))
+        synced = _in_rows(sync_fields(fields, declared, keys), keys)
+        return synced.join(known.select(*keys, F.col("fields").alias("_old")), keys).filter("fields <> _old").drop("_old")
+
+    return _commit_targets(declared.sparkSession, path, changed)
+
+
+def described_targets(targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Schema and name mapping of stored targets as JSON, by their field ids."""
+    columns = targets.select(*keys, F.inline("fields")).withColumn("nullable", ~F.col("required"))
+    ids = F.col("field_id")
+    return (
+        map_lake_types(columns)
+        .groupBy(*keys)
+        .agg(schema_json(ids).alias("schema_json"), mapping_json(ids).alias("name_mapping"), F.max("field_id").alias("last_field_id"))
+    )
+
+
 def reconcile(produced: DataFrame, landed: DataFrame, registered: DataFrame, key: str = "topic") -> DataFrame:
     """Row counts along the way and where they differ; inputs are ``(key, rows)``."""
 

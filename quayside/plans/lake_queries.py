@@ -9,7 +9,7 @@ from quayside.operators import compact, export, register, transform
 from quayside.plans import fixtures as X
 from quayside.plans.registered import QUERIES, query
 from quayside.session import fresh_dir
-from quayside.sources import catalog
+from quayside.sources import catalog, commits
 
 NOW = "2001-11-10 00:00:00"
 
@@ -280,32 +280,67 @@ def compacted_by_time(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("D14", f"SELECT * FROM ({_MIXED_SQL}) WHERE o_orderstatus IS NOT NULL")
-def rows_without_corrupt_files(spark, sf_dir):
-    """A text file among the Parquet files is skipped."""
-    paths, parts = _stored_mixed(spark, sf_dir)
+# Bytes of a whole file that a cut-off copy of it keeps.
+CUT_BYTES = 64
+
+
+def _with_cut_off_copy(spark, path):
+    """A folder with the beginning of one of the files of ``path``, as a writer leaves it that was ended."""
     broken = fresh_dir(spark, "broken")
-    X.table(spark, sf_dir, "orders").select("o_orderpriority").write.text(broken)
-    return compact.read_skipping_corrupt(spark, [paths[1], broken], parts[1].schema)
+    whole = compact.file_rows(spark, path).agg(F.min("path")).first()[0]
+    commits.copy_beginning(spark, whole, f"{broken}/part-cut.parquet", CUT_BYTES)
+    return broken
 
 
-@query("D14", "SELECT count(*) + 1 AS record_count, CAST(0 AS BIGINT) AS rows_read, CAST(1 AS BIGINT) AS files FROM orders")
-def files_with_missing_rows(spark, sf_dir):
-    """The manifest promises rows that a broken file no longer gives."""
+def _damaged(spark, sf_dir):
+    """Both versions of the orders, each beside a cut-off file, and what a manifest promises: all rows a second time in the cut-off ones."""
     paths, parts = _stored_mixed(spark, sf_dir)
-    broken = fresh_dir(spark, "broken")
-    X.table(spark, sf_dir, "orders").select("o_orderpriority").coalesce(1).write.text(broken)
-    promised = X.table(spark, sf_dir, "orders").agg(F.count("*") + 1).scalar()
-    lost = spark.read.format("binaryFile").load(broken).select("path", promised.alias("record_count"))
-    manifest = compact.file_rows(spark, paths[1]).select("path", "record_count").unionByName(lost)
-    rows = compact.read_skipping_corrupt(spark, [paths[1], broken], parts[1].schema)
-    return compact.short_files(rows, manifest).agg(
+    broken = [_with_cut_off_copy(spark, path) for path in paths]
+    promised = X.table(spark, sf_dir, "orders").agg(F.count("*")).scalar()
+    lost = spark.read.format("binaryFile").load(broken).select(
+        F.col("_metadata.file_path").alias("path"), promised.alias("record_count"), F.col("_metadata.file_size").cast("bigint").alias("file_size_bytes")
+    )
+    return paths, parts, broken, compact.file_rows(spark, *paths).unionByName(lost)
+
+
+@query("D14", _MIXED_SQL)
+def rows_without_corrupt_files(spark, sf_dir):
+    """A cut-off file among the Parquet files of each version is skipped; all other rows are read."""
+    paths, parts, broken, _ = _damaged(spark, sf_dir)
+    read = [compact.read_skipping_corrupt(spark, [p, b], part.schema) for p, b, part in zip(paths, broken, parts)]
+    return compact.union_versions(read, parts[1].schema)
+
+
+_LOST = "SELECT 2 * count(*) AS record_count, {rows} AS {name}, 2 AS files FROM orders"
+
+
+@query("D14", _LOST.format(rows="CAST(0 AS BIGINT)", name="rows_read"))
+def files_with_missing_rows(spark, sf_dir):
+    """The manifest promises rows that the cut-off files do not give; every row of the others is read."""
+    paths, parts, broken, manifest = _damaged(spark, sf_dir)
+    short = [
+        compact.short_files(
+            compact.read_skipping_corrupt(spark, [p, b], part.schema),
+            manifest.filter(F.col("path").contains(p) | F.col("path").contains(b)),
+        )
+        for p, b, part in zip(paths, broken, parts)
+    ]
+    return short[0].unionByName(short[1]).agg(
         F.sum("record_count").cast("bigint").alias("record_count"),
         F.sum("rows_read").cast("bigint").alias("rows_read"),
         F.count("*").alias("files"),
     )
 
 
+@query("D14", f"SELECT 'unreadable' AS damage, record_count, CAST(NULL AS BIGINT) AS rows_found, files FROM ({_LOST.format(rows='0', name='n')})")
+def damaged_files(spark, sf_dir):
+    """The same files found by lengths and footers alone."""
+    paths, _, broken, manifest = _damaged(spark, sf_dir)
+    return compact.damage_report(spark, [*paths, *broken], manifest).groupBy("damage").agg(
+        F.sum("record_count").cast("bigint").alias("record_count"), F.sum("rows_found").cast("bigint").alias("rows_found"), F.count("*").alias("files")
+    )
+
+
 @query(
     "D5",
     """SELECT o_orderkey, 9007199254740992 + o_orderkey AS big FROM orders WHERE o_orderkey % 2 = 1""",

@@ -10,6 +10,7 @@ from quayside.functions.lake_types import SIMPLE_TYPES, map_lake_types, name_map
 from quayside.operators import evolve, export, register
 from quayside.plans import fixtures as X
 from quayside.plans.registered import query
+from quayside.session import fresh_dir
 from quayside.sources import registry as R
 from quayside.sources.catalog import target_presence
 
@@ -199,19 +200,21 @@ def avro_columns(spark, sf_dir):
 
 
 # Stored tables of the Avro artifacts: an id, a whole-number price and a column
-# that the schemas no longer have.
+# that the schemas no longer have, whose id differs by table.
 def _stored_fields(spark, sf_dir):
     parts = X.avro_registry(spark, sf_dir).select(*KEYS)
+    old_id = F.length("artifact_id") + 7
     stored = F.array(
         *[
-            F.struct(F.lit(i).alias("field_id"), F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(r).alias("required"))
-            for i, n, t, r in [(1, "id", "BIGINT", True), (2, "price", "BIGINT", True), (7, "old", "VARCHAR", False)]
+            F.struct(i.alias("field_id"), F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(r).alias("required"))
+            for i, n, t, r in [(F.lit(1), "id", "BIGINT", True), (F.lit(2), "price", "BIGINT", True), (old_id, "old", "VARCHAR", False)]
         ]
     )
     return parts.select(*KEYS, F.inline(stored))
 
 
-_STORED = """stored AS (SELECT a.group_id, a.artifact_id, s.* FROM avro a, (VALUES
+_STORED = """stored AS (SELECT a.group_id, a.artifact_id, CAST(CASE s.name WHEN 'old' THEN 7 + length(a.artifact_id) ELSE s.field_id END AS INTEGER)
+  AS field_id, s.name, s.type, s.required FROM avro a, (VALUES
   (1, 'id', 'BIGINT', true), (2, 'price', 'BIGINT', true), (7, 'old', 'VARCHAR', false)) s(field_id, name, type, required))"""
 
 
@@ -228,14 +231,17 @@ def highest_field_ids(spark, sf_dir):
     return evolve.highest_field_id(_stored_fields(spark, sf_dir), KEYS)
 
 
-@query(
-    "K7 K3 A12",
-    """SELECT s.group_id, s.artifact_id, s.field_id, s.name,
+_SYNCED = """SELECT s.group_id, s.artifact_id, s.field_id, s.name,
       CASE WHEN s.name = 'price' AND c.type = 'DOUBLE' THEN 'DOUBLE' ELSE s.type END AS type, s.required
     FROM stored s LEFT JOIN sound c ON s.group_id = c.group_id AND s.artifact_id = c.artifact_id AND s.name = c.name
     UNION ALL
-    SELECT group_id, artifact_id, CAST(7 + row_number() OVER (PARTITION BY group_id, artifact_id ORDER BY pos) AS INTEGER),
-      name, type, NOT nullable FROM sound WHERE name NOT IN ('id', 'price', 'old')""",
+    SELECT group_id, artifact_id, CAST(7 + length(artifact_id) + row_number() OVER (PARTITION BY group_id, artifact_id ORDER BY pos) AS INTEGER),
+      name, type, NOT nullable FROM sound WHERE name NOT IN ('id', 'price', 'old')"""
+
+
+@query(
+    "K7 K3 A12",
+    _SYNCED,
     f"{_AVRO},\n{_STORED},\nsound AS (SELECT * FROM avro_cols WHERE error IS NULL)",
 )
 def synced_fields(spark, sf_dir):
@@ -243,6 +249,22 @@ def synced_fields(spark, sf_dir):
     return evolve.sync_fields(_stored_fields(spark, sf_dir), declared, KEYS)
 
 
+@query(
+    "K5 K7 F4 J3",
+    f"""SELECT group_id, artifact_id, '[' || string_agg('{{"field-id":' || field_id || ',"names":["' || name || '"]}}', ',' ORDER BY field_id) || ']'
+      AS name_mapping, max(field_id) AS last_field_id FROM ({_SYNCED}) GROUP BY ALL""",
+    f"{_AVRO},\n{_STORED},\nsound AS (SELECT * FROM avro_cols WHERE error IS NULL)",
+)
+def stored_targets(spark, sf_dir):
+    """Targets stored with their fields, synced to the declared ones as new versions, twice, and read back."""
+    path, stored = fresh_dir(spark, "targets"), _stored_fields(spark, sf_dir)
+    register.write_targets(stored, KEYS, path)
+    declared = _sound(columns_of_avro(X.avro_registry(spark, sf_dir)))
+    for _ in range(2):
+        register.sync_targets(declared, KEYS, path)
+    return register.described_targets(register.read_targets(spark, path), KEYS).drop("schema_json")
+
+
 @query(
     "F4 K5",
     """SELECT group_id, artifact_id, '[' || string_agg('{"field-id":' || (pos + 1) || ',"names":["' || name || '"]}', ',' ORDER BY pos) || ']'

@@ -261,6 +261,24 @@ def replayed_letters(spark, sf_dir):
     ).drop("headers")
 
 
+@query(
+    "D12 S1",
+    f"""SELECT original_offset AS "offset", upper(md5(CAST(original_offset AS VARCHAR))) AS "key", payload AS "value",
+      upper(md5(topic)) AS origin FROM letters WHERE failure_stage = 'VALIDATION' AND failure_time > TIMESTAMP '{SPLIT_AT}'""",
+    X.JUDGED_SQL + ",\n" + _LETTERS,
+)
+def replayed_bytes(spark, sf_dir):
+    """Keys and headers that are no text come back as the bytes that they were."""
+    headers = F.array(F.struct(F.lit("from").alias("key"), F.unhex(F.md5("topic")).alias("value")))
+    refused = validate.rejected(_checked(spark, sf_dir)).withColumns(
+        {"key": F.unhex(F.md5(F.col("offset").cast("string"))), "headers": quarantine.header_map(headers)}
+    )
+    letters = quarantine.dead_letters(refused, F.col("timestamp"), F.col("topic"), F.substring_index("topic", ".", 1))
+    replayed = quarantine.replay(letters, quarantine.STAGE_VALIDATE, _at(SPLIT_AT), _at(FAILED_AT), binary=True)
+    origin = F.filter("headers", lambda h: h["key"] == "from")[0]["value"]
+    return replayed.select("offset", F.hex("key").alias("key"), F.col("value").cast("string").alias("value"), F.hex(origin).alias("origin"))
+
+
 @query(
     "D9",
     """SELECT event_type, count(*) AS records, CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS total

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from quayside.config import TopicSettings
+from quayside.operators.quarantine import header_map
 
 TOPIC_SCHEMA = T.StructType(
     [
@@ -43,19 +44,11 @@ def read_topic(spark: SparkSession, settings: TopicSettings, brokers: str) -> Da
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
         # As bytes, so that what is no text can be kept as it came.
         "value",
-        F.col("key").cast("string").alias("key"),
+        "key",
         header_map(F.col("headers")).alias("headers"),
     )
 
 
-def header_map(headers: Column) -> Column:
-    """Headers ``array<struct<key, value>>`` as a map of texts; of equal names the last counts."""
-    last = F.filter(
-        headers, lambda x, i: ~F.exists(F.slice(headers, i + 2, F.size(headers)), lambda later: later["key"] == x["key"])
-    )
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], x["value"].cast("string"))))
-
-
 def read_topic_files(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None):
     """The same stream over JSON files, one record per line."""
     reader = spark.readStream.schema(TOPIC_SCHEMA)

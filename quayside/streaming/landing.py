@@ -45,7 +45,7 @@ from quayside.config import EXPORT_BYTES, TopicSettings
 from quayside.functions.sizes import payload_bytes
 from quayside.operators import telemetry
 from quayside.operators.compact import cast_to, compact, file_rows, union_versions
-from quayside.operators.evolve import SchemaConflict, evolve_struct
+from quayside.operators.evolve import SchemaConflict, by_field_id, evolve_struct, renamed, with_field_ids
 from quayside.operators.quarantine import STAGE_TRANSFORM, dead_letters
 from quayside.operators.transform import TransformFailed, failing_records, transform_batch
 from quayside.operators.validate import VIOLATIONS, InvalidRecords, accepted, rejected, rule_counts, typed_columns, validate
@@ -84,12 +84,12 @@ def _schema_rows(spark: SparkSession, target: str) -> dict[int, dict]:
     return {n: commits.read_json(spark, f"{target}/schemas/{n}.json") for n in commits.numbered(spark, f"{target}/schemas")}
 
 
-def _newest_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType, int] | None:
+def _newest_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType, dict] | None:
     newest = max(commits.numbered(spark, f"{target}/schemas"), default=None)
     if newest is None:
         return None
     row = commits.read_json(spark, f"{target}/schemas/{newest}.json")
-    return newest, T.StructType.fromJson(row["schema"]), row["table_id"]
+    return newest, T.StructType.fromJson(row["schema"]), row
 
 
 def current_schema(spark: SparkSession, target: str) -> tuple[int, T.StructType] | None:
@@ -103,23 +103,42 @@ def _new_table_id() -> int:
     return time.time_ns() // 1_000_000 << 20 | secrets.randbits(20)
 
 
-def ensure_table(spark: SparkSession, target: str, declared: T.StructType) -> tuple[int, int]:
-    """Create or evolve the table; returns the schema version to land under and the table's id.
-
-    The name of the batch column is the table's own: no schema may declare it. Of
-    two writers that evolve the table at once the second one starts from what the first made.
-    """
-    if BATCH in map(str.lower, declared.names):
-        raise SchemaConflict(f"column '{BATCH}': the name is reserved")
+def _change_schema(spark: SparkSession, target: str, change: Callable[[T.StructType | None], T.StructType]) -> tuple[int, T.StructType, int]:
+    """Store what ``change`` makes of the newest schema as the next version, unless it is the same; of two that
+    change it at once the second starts from what the first made. Returns version, schema and the table's id."""
     while True:
         known = _newest_schema(spark, target)
-        wanted = evolve_struct(known[1] if known else None, declared)
+        wanted = change(known[1] if known else None)
         if known and known[1] == wanted:
-            return known[0], known[2]
-        version, table_id = (known[0] + 1, known[2]) if known else (0, _new_table_id())
-        row = {"schema": wanted.jsonValue(), "table_id": table_id}
+            return known[0], known[1], known[2]["table_id"]
+        version, before = (known[0] + 1, known[2]) if known else (0, {"table_id": _new_table_id(), "last_field_id": 0})
+        schema, last = with_field_ids(wanted, before["last_field_id"])
+        row = {"schema": schema.jsonValue(), "table_id": before["table_id"], "last_field_id": last}
         if commits.create_if_absent(spark, f"{target}/schemas/{version}.json", row):
-            return version, table_id
+            return version, schema, row["table_id"]
+
+
+def ensure_table(spark: SparkSession, target: str, declared: T.StructType) -> tuple[int, T.StructType, int]:
+    """Create or evolve the table; returns the schema version to land under, that schema and the table's id.
+
+    Each column gets an id that it keeps. The name of the batch column is the table's own: no schema may declare it.
+    """
+    if BATCH in map(str.lower, declared.names):
+        raise SchemaConflict(f"column '{BATCH}': the name is reserved")
+    return _change_schema(spark, target, lambda known: evolve_struct(known, declared))
+
+
+def rename_column(spark: SparkSession, target: str, old: str, new: str) -> int:
+    """Give a column a new name; returns the schema version. Files that have the old name are read by the column's id."""
+    if new.lower() == BATCH:
+        raise SchemaConflict(f"column '{new}': the name is reserved")
+
+    def change(known: T.StructType | None) -> T.StructType:
+        if known is None:
+            raise SchemaConflict(f"column '{old}': there is no table")
+        return renamed(known, old, new)
+
+    return _change_schema(spark, target, change)[0]
 
 
 # --- what is committed ---------------------------------------------------------
@@ -318,7 +337,7 @@ def land_batch(
     if state.last_of.get(writer, -1) >= batch_id:
         return
     try:
-        version, table_id = ensure_table(spark, target, declared)
+        version, stored, table_id = ensure_table(spark, target, declared)
     except SchemaConflict as conflict:
         _stop(spark, target, batch, writer, batch_id, _reason_of(conflict))
         raise
@@ -361,6 +380,9 @@ def land_batch(
                 _stop(spark, target, cached, writer, batch_id, _reason_of(failure))
                 raise
         data = f"{_data(target, version, writer)}/{BATCH}={batch_id}"
+        # With their ids, which Spark writes to the files.
+        ids = {f.name: f.metadata for f in stored.fields}
+        shaped = shaped.select(*[F.col(f"`{n}`").alias(n, metadata=ids[n]) for n in shaped.columns])
         shaped.write.mode("overwrite").parquet(data)
         dead_letters(
             rejected(checked), F.current_timestamp(), F.col("topic"), F.substring_index("topic", ".", 1), F.lit(version)
@@ -617,10 +639,10 @@ def _nullable(schema: T.StructType) -> T.StructType:
 def read_table(spark: SparkSession, target: str) -> DataFrame:
     """All committed rows under the newest schema."""
     known = current_schema(spark, target)
-    parts = [rows for _, rows in read_versions(spark, target)]
+    parts = [by_field_id(rows, schema, known[1]) for schema, rows in read_versions(spark, target)]
     if not parts:
         return spark.createDataFrame([], known[1] if known else T.StructType([]))
-    return union_versions(parts, known[1])
+    return union_versions(parts)
 
 
 def _registered_ranges(manifest: DataFrame, paths: DataFrame) -> list:
@@ -662,8 +684,8 @@ def read_registered(spark: SparkSession, target: str, registered: DataFrame) ->
         rows = _rows_of(spark, target, version, writer, schemas[version], runs)
         if kind == "some":
             rows = rows.withColumn("_path", F.col("_metadata.file_path")).join(paths, "_path", "left_semi")
-        parts.append(cast_to(rows, newest))
-    return union_versions(parts, newest) if parts else spark.createDataFrame([], _nullable(newest))
+        parts.append(by_field_id(rows, schemas[version], newest))
+    return union_versions(parts) if parts else spark.createDataFrame([], _nullable(newest))
 
 
 # --- compaction ----------------------------------------------------------------

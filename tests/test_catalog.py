@@ -90,10 +90,10 @@ def test_schema_diff(spark, rows):
     want = spark.createDataFrame([("x", "k", "BIGINT"), ("x", "w", "DOUBLE"), ("x", "n", "BOOLEAN"), ("y", "k", "BIGINT"), ("x", "K", "BIGINT")], COLS)
     diff = evolve.schema_diff(now, want, ["t"])
     assert rows(diff, "t", "name", "change") == [
-        ("x", "K", "added"), ("x", "n", "added"), ("x", "r", "removed"), ("x", "w", "widened"), ("y", "k", "conflict"),
+        ("x", "K", "conflict"), ("x", "n", "added"), ("x", "r", "removed"), ("x", "w", "widened"), ("y", "k", "conflict"),
     ]
-    assert rows(evolve.conflicts(diff, ["t"])) == [("y", 1, "conflict k DOUBLE->BIGINT")]
-    assert rows(evolve.column_drift(now, want, ["t"])) == [("x", "K", "gone"), ("x", "n", "gone"), ("x", "r", "new")]
+    assert rows(evolve.conflicts(diff, ["t"])) == [("x", 1, "conflict K BIGINT"), ("y", 1, "conflict k DOUBLE->BIGINT")]
+    assert rows(evolve.column_drift(now, want, ["t"])) == [("x", "K", "case"), ("x", "n", "gone"), ("x", "r", "new")]
 
 
 def test_synced_fields_keep_their_ids(spark, rows):
@@ -112,6 +112,17 @@ def test_synced_fields_keep_their_ids(spark, rows):
     ]
 
 
+def test_names_that_differ_in_case_only_are_refused_everywhere(spark, rows):
+    now = spark.createDataFrame([("x", "userId", "BIGINT"), ("y", "a", "BIGINT")], COLS)
+    want = spark.createDataFrame([("x", "userid", "BIGINT"), ("y", "a", "BIGINT"), ("y", "b", "BIGINT")], COLS)
+    diff = evolve.schema_diff(now, want, ["t"])
+    assert rows(diff, "t", "name", "change") == [("x", "userId", "removed"), ("x", "userid", "conflict"), ("y", "b", "added")]
+    assert rows(evolve.column_drift(now, want, ["t"])) == [("x", "userId", "case"), ("x", "userid", "case"), ("y", "b", "gone")]
+    stored = spark.createDataFrame([("x", 1, "userId", "BIGINT", True), ("y", 1, "a", "BIGINT", True)], "t string, field_id int, name string, type string, required boolean")
+    declared = want.selectExpr("t", "0 AS pos", "name", "type", "true AS nullable")
+    assert rows(evolve.sync_fields(stored, declared, ["t"]), "t", "field_id", "name") == [("x", 1, "userId"), ("y", 1, "a"), ("y", 2, "b")]
+
+
 @pytest.mark.parametrize(
     "own, fallback, mode",
     [("BACKWARD", "FULL", "BACKWARD"), ("FULL", "BACKWARD", "FULL"), (None, "BACKWARD", "BACKWARD"), (None, None, "NONE"), ("", "BACKWARD", "NONE")],
@@ -290,6 +301,28 @@ def test_a_cut_off_parquet_file_is_skipped_and_told(spark, tmp_path):
     assert len(short) == 1 and short[0]["rows_read"] == 0 and short[0]["path"].endswith(cut.name)
 
 
+def test_damage_is_told_from_lengths_and_footers(spark, tmp_path):
+    path = tmp_path / "files"
+    spark.range(1000).repartition(5).write.parquet(str(path))
+    manifest = compact.file_rows(spark, str(path))
+    promised = {r["path"].rsplit("/", 1)[1]: r["record_count"] for r in manifest.collect()}
+    good, cut, gone, grown, fewer = sorted(path.glob("*.parquet"))
+    manifest = spark.createDataFrame(
+        [(r["path"], r["record_count"] + (r["path"].endswith(fewer.name)), r["file_size_bytes"]) for r in manifest.collect()],
+        "path string, record_count bigint, file_size_bytes bigint",
+    )
+    cut.write_bytes(cut.read_bytes()[:-100])
+    gone.rename(tmp_path / "elsewhere")
+    # Another whole file in its place.
+    spark.range(400).coalesce(1).write.parquet(str(tmp_path / "other"))
+    grown.write_bytes(next((tmp_path / "other").glob("*.parquet")).read_bytes())
+    for crc in path.glob(".*.crc"):
+        crc.rename(tmp_path / crc.name.replace(".", "_"))
+    got = {r["path"].rsplit("/", 1)[1]: (r["damage"], r["rows_found"]) for r in compact.damage_report(spark, [str(path)], manifest).collect()}
+    assert got == {cut.name: ("unreadable", None), gone.name: ("missing", None), grown.name: ("size", 400), fewer.name: ("rows", promised[fewer.name])}
+    assert good.name not in got
+
+
 @pytest.mark.parametrize("where", ["before", "after"])
 def test_an_export_that_fails_writes_each_file_once(spark, tmp_path, rows, where):
     """One table fails, before or after it has written; a file lands; the run is repeated."""

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.config import TopicSettings
-from quayside.operators import telemetry, transform
+from quayside.functions.json_schema import struct_type
+from quayside.operators import register, telemetry, transform
+from quayside.operators.evolve import SchemaConflict
 from quayside.sources import commits
 from quayside.sources.catalog import live_files
 from quayside.sources.topics import read_topic_files
@@ -263,3 +265,52 @@ def test_a_transform_that_is_wrong_stops_the_topic(spark, paths, monkeypatch, sq
     (row,) = landing.land_topics(spark, [job]).collect()
     assert row["outcome"] == "stopped" and row["reason"].startswith("transform_failed: ") and why in row["reason"]
     assert landing.read_stops(spark, target).first()["reason"] == row["reason"] and landing.committed(spark, target).last == -1
+
+
+# --- columns by id ---
+
+
+def test_a_renamed_column_reads_its_old_files(spark, paths):
+    import pyarrow.parquet as pq
+
+    _, target = paths
+    landing.land_batch(records(spark, 0, 3), 0, target, V0, table_name="t")
+    assert landing.rename_column(spark, target, "v", "amount") == 1
+    renamed = struct_type([("id", "BIGINT", False), ("amount", "DOUBLE", True), ("extra", "VARCHAR", False)])
+    landing.land_batch(records(spark, 3, 5, text='{"id":%d,"amount":%d.5,"extra":"e"}'), 1, target, renamed, table_name="t")
+    want = {i: (float(i), "g", None) for i in range(3)} | {i: (i + 0.5, None, "e") for i in (3, 4)}
+    manifest = landing.read_part(spark, target, "manifest")
+    for rows in (landing.read_table(spark, target), landing.read_registered(spark, target, manifest)):
+        assert rows.columns == ["id", "amount", "gone", "extra"]
+        assert {r["id"]: (r["amount"], r["gone"], r["extra"]) for r in rows.collect()} == want
+    names = {}
+    for r in manifest.collect():
+        file = pq.ParquetFile(r["path"].removeprefix("file://"))
+        for f in file.schema_arrow:
+            names.setdefault(int(f.metadata[b"PARQUET:field_id"]), set()).add(f.name)
+    assert names == {1: {"id"}, 2: {"v", "amount"}, 3: {"gone"}, 4: {"extra"}}
+    # The files of an old version stay those of that version when they are put together.
+    landing.land_batch(records(spark, 5, 6, text='{"id":%d,"amount":%d.5,"extra":"e"}'), 2, target, renamed, table_name="t")
+    landing.compact_table(spark, target)
+    assert {r["id"]: r["amount"] for r in landing.read_table(spark, target).collect()} == {k: v[0] for k, v in want.items()} | {5: 5.5}
+    for old, new in (("none", "x"), ("id", "Extra"), ("id", "landed_batch")):
+        with pytest.raises(SchemaConflict):
+            landing.rename_column(spark, target, old, new)
+
+
+def test_targets_are_stored_in_versions(spark, tmp_path, rows):
+    path = str(tmp_path / "targets")
+    shape = "t string, pos int, name string, type string, nullable boolean"
+    first = spark.createDataFrame([("x", 0, "id", "BIGINT", False), ("x", 1, "v", "BIGINT", True), ("y", 0, "id", "BIGINT", False)], shape)
+    assert register.store_targets(first, ["t"], path) == 0 and register.store_targets(first, ["t"], path) is None
+    then = spark.createDataFrame([("x", 0, "w", "VARCHAR", True), ("x", 1, "v", "DOUBLE", True), ("y", 0, "id", "VARCHAR", False), ("z", 0, "a", "BIGINT", True)], shape)
+    assert register.sync_targets(then, ["t"], path) == 1 and register.sync_targets(then, ["t"], path) is None
+    assert register.store_targets(then, ["t"], path) == 2
+    got = {r["t"]: (r["version"], [tuple(f) for f in r["fields"]]) for r in register.read_targets(spark, path).collect()}
+    assert got == {
+        "x": (1, [(1, "id", "BIGINT", True), (2, "v", "DOUBLE", False), (3, "w", "VARCHAR", False)]),
+        "y": (0, [(1, "id", "BIGINT", True)]),
+        "z": (2, [(1, "a", "BIGINT", False)]),
+    }
+    mapping = {r["t"]: r["name_mapping"] for r in register.described_targets(register.read_targets(spark, path), ["t"]).collect()}
+    assert mapping["x"] == '[{"field-id":1,"names":["id"]},{"field-id":2,"names":["v"]},{"field-id":3,"names":["w"]}]'

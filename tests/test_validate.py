@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.functions.json_schema import struct_type
-from quayside.operators.quarantine import dead_letters, reason_text, replay
+from quayside.operators.quarantine import dead_letters, header_map, reason_text, replay
 from quayside.operators.validate import accepted, conform, rejected, unknown_keys, validate
 from quayside.sources.topics import decode_json
 
@@ -125,6 +125,22 @@ def test_dead_letters_keep_bytes_that_are_no_text(spark):
     assert bytes(replay(letters, "DESERIALIZATION", early, at, binary=True).first()["value"]) == bytes.fromhex("FFFE7B00")
 
 
+def test_keys_and_headers_that_are_no_text_come_back(spark):
+    given = [b"k", bytes.fromhex("FFFE00"), b"base64:k", b"", None]
+    rows = [("t", 0, i, k, "x", [("a", k), ("b", b"1"), ("a", b"2" if i == 0 else k)]) for i, k in enumerate(given)]
+    shape = "topic string, partition int, offset long, key binary, value string, headers array<struct<key: string, value: binary>>"
+    records = spark.createDataFrame(rows, shape).withColumn("headers", header_map(F.col("headers")))
+    at, early = (F.lit(f"2024-01-01 {h}:00:00").cast("timestamp_ntz") for h in ("10", "09"))
+    letters = dead_letters(rejected(validate(decode_json(records), SCHEMA)), at, F.lit("p"), F.lit("team"))
+    assert letters.filter("original_offset = 0").first()["original_key"] == "k"
+    got = replay(letters, "DESERIALIZATION", early, at, binary=True).orderBy("offset").collect()
+    assert [r["key"] if r["key"] is None else bytes(r["key"]) for r in got] == given
+    for r, (*_, headers) in zip(got, rows):
+        back = {h["key"]: None if h["value"] is None else bytes(h["value"]) for h in r["headers"]}
+        assert back.pop("dlq.original.failure") == b"$:not_json" and back.pop("dlq.replay.time")
+        assert back == dict(headers)
+
+
 def test_unknown_keys(spark):
     values = ['{"need":1,"x":1,"y":2}', '{"need":1,"x":1}', "[1]", '{"x":']
     got = unknown_keys(decode_json(topic(spark, values)), SCHEMA).collect()
