@@ -31,7 +31,7 @@ from quayside.session import cut_lineage
 # Small batches share a cell of up to CELL_BYTES, so a cell's rows stay bounded
 # by its bytes and its age is only a second bound.
 CELL_BATCHES = 4
-CELL_AGES = 16
+CELL_AGES = 256
 CELL_BYTES = 32 * 1024 * 1024
 FAN = 64
 # Cells after its own into which the last batch of a cell can reach: one more
@@ -244,7 +244,8 @@ def cut_batches(
 
     long = T.LongType()
     jump_shape = shape(cell=long, enter=long, exit_cell=long, exit=long)
-    rows = cut_lineage(_cells(_clocked(records, by, chunk), by, max_bytes, age))
+    # The clock is read for the grid and for the rows, so it is stored; the records are read once.
+    rows = cut_lineage(_cells(cut_lineage(_clocked(records, by, chunk), "clocked"), by, max_bytes, age))
 
     levels = [cut_lineage(rows.groupBy(*by, "cell").applyInPandas(_jumps(by, max_bytes, age), jump_shape))]
     while (levels[-1].agg(F.max("cell")).first()[0] or 0) > 0:
@@ -261,8 +262,9 @@ def cut_batches(
     part_shape = shape(
         pos=long, batch_start=long, last_offset=long, records=long, bytes=long, first_at=long, last_at=long, open=T.BooleanType()
     )
-    parts = (
-        rows.join(true, [*by, "cell"], "left").groupBy(*by, "cell").applyInPandas(_parts(by, max_bytes, age), part_shape)
+    # Read for the totals of chunks and for the rows.
+    parts = cut_lineage(
+        rows.join(true, [*by, "cell"], "left").groupBy(*by, "cell").applyInPandas(_parts(by, max_bytes, age), part_shape), "parts"
     )
     owned = running_before(parts, by, "pos", {"_earlier": ("max", "batch_start")}, chunk)
     return (
