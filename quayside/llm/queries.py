@@ -13,7 +13,7 @@ from quayside.llm.licenses import scan_licenses
 from quayside.llm.minhash import near_duplicates
 from quayside.llm.packing import pack
 from quayside.llm.perplexity import quality_rules
-from quayside.llm.suffix_dedup import remove_repeats
+from quayside.llm.suffix_dedup import PASSAGE_WORDS, remove_repeats
 from quayside.llm.suffix_tree import score_documents
 from quayside.llm.syncmers import fingerprint_documents
 from quayside.llm.toxicity import score_toxicity
@@ -21,7 +21,8 @@ from quayside.llm.wrappers import extract
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "kept_text")
+    # The contract's bytes, and beside them what documents have of passages of over 50 words.
+    return remove_repeats(table(spark, sf_dir, "documents"), words=PASSAGE_WORDS, cut_passages=False).drop("kept", "kept_text")
 
 
 def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,8 @@ A byte goes if a string of LENGTH bytes that covers it starts anywhere else too.
    Its strings are counted one by one instead, by hash, with partial sums: exact as
    well.
 
-Passages of so many words (``words`` of ``remove_repeats``) that occur elsewhere go as well
-if asked for, whatever their bytes and the white space between the words. Each has an
-anchor as above, its PASSAGE_KEY words of least hash; passages whose anchors occur
-once drop out, the others are counted by hash.
+Passages of so many words (``words`` of ``remove_repeats``) are found in the same way, whatever their bytes and the
+white space between the words: each word is written as WORD bytes of hash, and strings start at words only.
 
 Matches never cross documents. Texts are whole; null counts as empty. Documents
 are told apart by id and content, so rows that are repeated entirely get the same
@@ -47,6 +45,10 @@ from quayside.session import cut_lineage
 LENGTH = 400
 KEY = 100
 PASSAGE_KEY = 20
+# The least number of words of a repeated passage: over 50.
+PASSAGE_WORDS = 51
+# Bytes of a word's hash where passages of words are sought.
+WORD = 8
 HOT = 4096
 # Bytes whose anchors are sought at once, and suffixes that are merged in one task.
 BATCH_BYTES = 1 << 19
@@ -95,36 +97,43 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors_of(texts: list[bytes], hasher: Hasher, length: int, key: int):
-    """(text number, anchor, first and last string start that it serves, key hash, span hash), all as arrays."""
+def anchors_of(texts: list[bytes], hasher: Hasher, length: int, key: int, width: int = 1):
+    """(text number, anchor, first and last string start that it serves, key hash, span hash), all as arrays.
+
+    Strings and anchors start at multiples of ``width`` only."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     ends = np.cumsum([len(t) for t in texts])
     if len(data) < length:
         return None
     sums = hasher.sums(data)
-    places = np.arange(len(data) - key + 1)
+    places = np.arange(0, len(data) - key + 1, width)
     raw = hasher.strings(sums, places, places + key)
     low = np.uint64((1 << 30) - 1)
-    least = sliding_least((mix(raw) & ~low) | places.astype(np.uint64), length - key + 1)
-    owner = np.searchsorted(ends, np.arange(len(least)), side="right")
-    valid = np.flatnonzero(np.arange(len(least)) + length <= ends[owner])
+    least = sliding_least((mix(raw) & ~low) | places.astype(np.uint64), (length - key) // width + 1)
+    starts = width * np.arange(len(least))
+    owner = np.searchsorted(ends, starts, side="right")
+    valid = np.flatnonzero(starts + length <= ends[owner])
     if not len(valid):
         return None
     anchor = (least[valid] & low).astype(np.int64)
     cut = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(valid) != 1)) + 1
-    first = valid[np.concatenate([[0], cut])]
-    last = valid[np.concatenate([cut - 1, [len(valid) - 1]])]
+    first = starts[valid[np.concatenate([[0], cut])]]
+    last = starts[valid[np.concatenate([cut - 1, [len(valid) - 1]])]]
     anchor = anchor[np.concatenate([[0], cut])]
-    keys = mix(raw[anchor] ^ np.uint64(0x5851F42D4C957F2D))
+    keys = mix(raw[anchor // width] ^ np.uint64(0x5851F42D4C957F2D))
     span = hasher.strings(sums, first, last + length)
     shape = (anchor - first).astype(np.uint64) * np.uint64(1 << 20) + (last - first).astype(np.uint64)
     spans = mix(span + mix(shape + np.uint64(1)))
-    number = owner[first]
+    number = owner[first // width]
     begin = (ends - [len(t) for t in texts])[number]
     return number, anchor - begin, first - begin, last - begin, keys, spans
 
 
-def find_anchors(df: DataFrame, length: int, key: int) -> DataFrame:
+def bytes_of(value) -> bytes:
+    return encode(text_of(value))
+
+
+def find_anchors(df: DataFrame, length: int, key: int, coded=bytes_of, width: int = 1) -> DataFrame:
     """``dk, x, a, b, k, u``: anchors at ``x`` that serve strings from ``a`` to ``b`` bytes before it, with both hashes."""
 
     def run(frames):
@@ -133,7 +142,7 @@ def find_anchors(df: DataFrame, length: int, key: int) -> DataFrame:
             texts, names = [], []
             held = 0
             for dk, value in zip(frame["dk"], frame["text"]):
-                data = encode(text_of(value))
+                data = coded(value)
                 if len(data) >= length:
                     texts.append(data)
                     names.append(dk)
@@ -145,7 +154,7 @@ def find_anchors(df: DataFrame, length: int, key: int) -> DataFrame:
                 yield from rows(texts, names, hasher)
 
     def rows(texts, names, hasher):
-        found = anchors_of(texts, hasher, length, key)
+        found = anchors_of(texts, hasher, length, key, width)
         if found is not None:
             number, x, first, last, keys, spans = found
             yield pd.DataFrame(
@@ -248,7 +257,7 @@ class LoserTree:
             self.first = i
 
 
-def merged_spans(runs, length: int) -> pd.DataFrame:
+def merged_spans(runs, length: int, width: int = 1) -> pd.DataFrame:
     """``number, lo, hi`` of each suffix with a string that occurs twice: first and last place, from the anchor."""
     order = list(LoserTree(runs))
     m = len(order)
@@ -263,7 +272,7 @@ def merged_spans(runs, length: int) -> pd.DataFrame:
         shared_back[i] = common_prefix(turned[back[i - 1]], turned[back[i]], 0)
     back = np.array(back)
     low, high = np.full(m, -1), np.full(m, -1)
-    for a in range(int(behind.max(initial=0)) + 1):
+    for a in range(0, int(behind.max(initial=0)) + 1, width):
         able = (behind >= a) & (ahead >= length - a)
         if able.sum() < 2:
             continue
@@ -285,27 +294,27 @@ def merged_spans(runs, length: int) -> pd.DataFrame:
     return pd.DataFrame({"number": numbers[hit], "lo": -high[hit], "hi": length - low[hit]})
 
 
-def _hot_strings(length: int):
+def _hot_strings(length: int, coded=bytes_of, width: int = 1):
     """All strings of the spans of anchors with very many spans, by hash."""
 
     def run(frames):
         hasher = Hasher(BATCH_BYTES)
         for frame in frames:
             for value, anchors in zip(frame["text"], frame["anchors"]):
-                data = np.frombuffer(encode(text_of(value)), dtype=np.uint8)
+                data = np.frombuffer(coded(value), dtype=np.uint8)
                 sums = None
                 for r in anchors:
                     if not r["hot"]:
                         continue
                     sums = hasher.sums(data) if sums is None else sums
-                    a = np.arange(r["a"], r["b"] + 1)
+                    a = np.arange(r["a"], r["b"] + 1, width)
                     found = mix(hasher.strings(sums, r["x"] - a, r["x"] - a + length) + mix(a.astype(np.uint64)))
                     yield pd.DataFrame({"k": r["k"], "u": r["u"], "s": a.astype(np.int32), "h": found.view(np.int64)})
 
     return run
 
 
-def _sorted_runs(length: int, parts: int):
+def _sorted_runs(length: int, parts: int, coded=bytes_of):
     """Front-coded runs of a task's suffixes, one for each part that they go to and RUN_ROWS of them."""
 
     def run(frames):
@@ -313,7 +322,7 @@ def _sorted_runs(length: int, parts: int):
         size = 0
         for frame in frames:
             for value, anchors in zip(frame["text"], frame["anchors"]):
-                data = encode(text_of(value))
+                data = coded(value)
                 for r in anchors:
                     if not r["hot"]:
                         x = r["x"]
@@ -333,9 +342,11 @@ def _sorted_runs(length: int, parts: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY) -> DataFrame:
-    """``dk, spans``: repeated stretches (start, end) of each document of ``docs`` (``dk``, ``text``) that has any."""
-    anchors = cut_lineage(find_anchors(docs, length, key), "anchors")
+def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, coded=bytes_of, width: int = 1) -> DataFrame:
+    """``dk, spans``: repeated stretches (start, end) of each document of ``docs`` (``dk``, ``text``) that has any.
+
+    ``coded`` writes a text as bytes, ``width`` of them for each symbol; stretches are those of the coded texts."""
+    anchors = cut_lineage(find_anchors(docs, length, key, coded, width), "anchors")
     # Written, so that the join below deals both sides anew and Spark may split a hot anchor.
     often = cut_lineage(anchors.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "often")
     anchors = cut_lineage(anchors.join(often, "k"), "shared-anchors")
@@ -350,14 +361,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY) -> Dat
 
     blob = ", ".join(f"{n} binary" for n in ("rest", "shared", "sizes", "lefts", "left_sizes", "numbers"))
     texts = texts if not edges.where("hot").limit(1).count() else cut_lineage(texts, "edge-texts")
-    runs = texts.mapInPandas(_sorted_runs(length, parts), f"part long, {blob}")
+    runs = texts.mapInPandas(_sorted_runs(length, parts, coded), f"part long, {blob}")
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return merged_spans([decode_run(*row) for row in frame.drop(columns="part").itertuples(index=False)], length)
+        return merged_spans([decode_run(*row) for row in frame.drop(columns="part").itertuples(index=False)], length, width)
 
     met = runs.groupBy("part").applyInPandas(merge, "number long, lo long, hi long")
     met = met.join(edges.select("number", "k", "u"), "number").select("k", "u", "lo", "hi")
-    strings = texts.mapInPandas(_hot_strings(length), "k long, u long, s int, h long")
+    strings = texts.mapInPandas(_hot_strings(length, coded, width), "k long, u long, s int, h long")
     again = strings.groupBy("k", "h").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     hot = strings.join(again, ["k", "h"]).groupBy("k", "u").agg((-F.max("s")).cast("long").alias("lo"), (length - F.min("s")).cast("long").alias("hi"))
     settled = spans.where("n > 1").select("k", "u", (-F.col("b")).cast("long").alias("lo"), (length - F.col("a")).cast("long").alias("hi"))
@@ -370,72 +381,35 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY) -> Dat
     return found.groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def _word_runs(data: np.ndarray, hasher: Hasher):
-    """Where words start and end, and ``runs(first, n)``: hashes of the ``n`` words from each of ``first`` on."""
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end."""
     inside = np.zeros(len(data) + 2, dtype=bool)
     inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    values = mix(hasher.strings(hasher.sums(data), starts, ends) + mix((ends - starts).astype(np.uint64)))
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * hasher.powers[: len(values)], out=sums[1:])
-    return starts, ends, lambda first, n: mix(hasher.strings(sums, first, first + n))
+    return edges[::2], edges[1::2]
 
 
-def _passage_anchors(words: int):
-    """``dk, k, first, last``: anchors of passages, and the first and last passage (by its first word) that each serves."""
-    key = min(PASSAGE_KEY, words)
+class WordCoder:
+    """A text as the hashes of its words."""
 
-    def run(frames):
-        hasher = Hasher(BATCH_BYTES)
-        low = np.uint64((1 << 30) - 1)
-        for frame in frames:
-            out = []
-            for dk, value in zip(frame["dk"], frame["text"]):
-                data = np.frombuffer(encode(text_of(value)), dtype=np.uint8)
-                if len(data) < 2 * words - 1:
-                    continue
-                starts, _, runs = _word_runs(data, hasher)
-                if len(starts) < words:
-                    continue
-                places = np.arange(len(starts) - key + 1)
-                raw = runs(places, key)
-                least = sliding_least((mix(raw) & ~low) | places.astype(np.uint64), words - key + 1)
-                anchor = (least & low).astype(np.int64)
-                cut = np.flatnonzero(np.diff(anchor)) + 1
-                first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(anchor) - 1]])
-                out.append(pd.DataFrame({"dk": dk, "k": raw[anchor[first]].view(np.int64), "first": first, "last": last}))
-            if out:
-                yield pd.concat(out)
+    def __init__(self):
+        self.hasher = None
 
-    return run
-
-
-def _passages(words: int):
-    """``dk, h, start, end``: the passages that the given anchors serve, by hash, and their bytes."""
-
-    def run(frames):
-        hasher = Hasher(BATCH_BYTES)
-        for frame in frames:
-            for dk, value, anchors in zip(frame["dk"], frame["text"], frame["anchors"]):
-                starts, ends, runs = _word_runs(np.frombuffer(encode(text_of(value)), dtype=np.uint8), hasher)
-                at = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in anchors]))
-                yield pd.DataFrame({"dk": dk, "h": runs(at, words).view(np.int64), "start": starts[at], "end": ends[at + words - 1]})
-
-    return run
+    def __call__(self, value) -> bytes:
+        # Made where it is used, so that tables of weights do not travel with the tasks.
+        if self.hasher is None:
+            self.hasher = Hasher(BATCH_BYTES)
+        data = np.frombuffer(bytes_of(value), dtype=np.uint8)
+        starts, ends = word_places(data)
+        values = mix(self.hasher.strings(self.hasher.sums(data), starts, ends) + mix((ends - starts).astype(np.uint64)))
+        return values.astype(">u8").tobytes()
 
 
 def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
-    """``dk, spans``: stretches (start, end) of each document where a passage of ``words`` words occurs elsewhere too."""
-    anchors = cut_lineage(docs.mapInPandas(_passage_anchors(words), "dk long, k long, first long, last long"), "passage-anchors")
-    # Written, as in repeated_spans.
-    often = cut_lineage(anchors.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "often-passages")
-    wanted = anchors.join(often, "k").groupBy("dk").agg(F.collect_set(F.struct("first", "last")).alias("anchors"))
-    wanted = cut_lineage(wanted, "passage-documents")
-    texts = docs.select("dk", "text").join(wanted, "dk")
-    found = cut_lineage(texts.mapInPandas(_passages(words), "dk long, h long, start long, end long"), "passages")
-    again = cut_lineage(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "passages-again")
-    return found.join(again, "h").groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    """``dk, passages``: stretches (first word, word after the last) of each document where a passage of ``words`` words occurs elsewhere too."""
+    found = repeated_spans(docs, WORD * words, WORD * min(PASSAGE_KEY, words), WordCoder(), WORD)
+    whole = lambda s: F.struct((s["start"] / WORD).cast("long").alias("start"), (s["end"] / WORD).cast("long").alias("end"))
+    return found.select("dk", F.transform("spans", whole).alias("passages"))
 
 
 def with_document_key(df: DataFrame, doc_id: str, text: str, keep: list[str]) -> DataFrame:
@@ -457,40 +431,49 @@ def unite(spans) -> list[tuple[int, int]]:
 
 def remove_repeats(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, key: int = KEY, keep: list[str] | None = None,
-    words: int | None = None,
+    words: int | None = None, cut_passages: bool = True,
 ) -> DataFrame:
     """One row per document: ``keep`` (by default the id), counts, digest of what is kept, and ``kept`` itself.
 
-    Strings of ``length`` bytes that occur elsewhere go, and passages of ``words`` words if given.
-    ``kept`` holds the remaining bytes and ``kept_text`` the whole characters among
+    Strings of ``length`` bytes that occur elsewhere go, and passages of ``words`` words if given; without
+    ``cut_passages`` those are counted only. ``n_passages`` tells how many stretches of such passages
+    a document has and ``n_passage_words`` their words (null if not asked for). ``kept`` holds the remaining bytes and ``kept_text`` the whole characters among
     them: one that is cut at an edge of a removed stretch is left out there.
     """
     keep = [k for k in keep or [doc_id] if k != text]
     docs = with_document_key(df, doc_id, text, keep)
     spans = repeated_spans(docs.select("dk", "text"), length, key)
     if words:
-        spans = spans.unionByName(repeated_passages(docs.select("dk", "text"), words))
-        spans = spans.groupBy("dk").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+        spans = spans.join(repeated_passages(docs.select("dk", "text"), words), "dk", "full")
+    else:
+        spans = spans.withColumn("passages", F.lit(None).cast("array<struct<start: long, end: long>>"))
 
     def cut(frames):
         for frame in frames:
             rows = []
-            for value, found in zip(frame["text"], frame["spans"]):
-                data = encode(text_of(value))
-                runs = unite((s["start"], s["end"]) for s in found) if found is not None else []
+            for value, found, passages in zip(frame["text"], frame["spans"], frame["passages"]):
+                data = bytes_of(value)
+                stretches = [(s["start"], s["end"]) for s in found] if found is not None else []
+                runs_of_words = unite((s["start"], s["end"]) for s in passages) if passages is not None else []
+                if runs_of_words and cut_passages:
+                    starts, ends = word_places(np.frombuffer(data, dtype=np.uint8))
+                    stretches += [(int(starts[a]), int(ends[b - 1])) for a, b in runs_of_words]
+                counts = (len(runs_of_words), sum(b - a for a, b in runs_of_words)) if words else (None, None)
+                runs = unite(stretches)
                 kept, at = [], 0
                 for start, end in runs:
                     kept.append(data[at:start])
                     at = end
                 left = b"".join([*kept, data[at:]])
                 text = "".join([part.decode("utf-8", "ignore") for part in [*kept, data[at:]]])
-                rows.append((len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left, text))
+                rows.append((len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left, text, *counts))
             out = frame[keep].reset_index(drop=True)
             out[names] = pd.DataFrame(rows, columns=names)
+            out = out.astype({"n_passages": "Int64", "n_passage_words": "Int64"})
             yield out
 
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text", "n_passages", "n_passage_words"]
     passed = Passed(docs, keep)
-    joined = docs.join(spans, "dk", "left").select(*passed.out, "text", "spans")
-    made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
+    joined = docs.join(spans, "dk", "left").select(*passed.out, "text", "spans", "passages")
+    made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string, n_passages long, n_passage_words long"
     return joined.mapInPandas(cut, f"{passed.schema}, {made}").select(*passed.back, *names)

@@ -3,16 +3,49 @@
 import re
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline as pipeline
 from quayside.llm import perplexity, suffix_dedup, toxicity
 from quayside.llm.common import table
 from quayside.session import cut_lineage
 from tests.llm.fixtures import texts as fixture_texts
-from tests.llm.test_corpus import brute_links, brute_repeats
+from tests.llm.test_corpus import brute_links
 
 SF = "/root/testdata/sf0.001"
 
 
+def words_at(text):
+    found = list(re.finditer(rb"[^\x20\x09-\x0d]+", (text or "").encode()))
+    return [m.group() for m in found], [m.span() for m in found]
+
+
+def brute_passages(texts, length, words):
+    """Texts without bytes that a repeated string of ``length`` bytes or passage of ``words`` words covers; cut characters go whole."""
+    data = [(t or "").encode() for t in texts]
+    strings = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    split = [words_at(t) for t in texts]
+    passages = Counter(tuple(w[i : i + words]) for w, _ in split for i in range(len(w) - words + 1))
+    out = []
+    for d, (w, at) in zip(data, split):
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if strings[d[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        for i in range(len(w) - words + 1):
+            if passages[tuple(w[i : i + words])] > 1:
+                a, b = at[i][0], at[i + words - 1][1]
+                gone[a:b] = b"\1" * (b - a)
+        left, part = "", b""
+        for byte, cut in zip([*d, 0], [*gone, 1]):
+            if cut:
+                left, part = left + part.decode("utf-8", "ignore"), b""
+            else:
+                part += bytes([byte])
+        out.append(left)
+    return out
+
+
 def test_stages_beside_brute_force(spark):
     docs = table(spark, SF, "documents")
     kept = {}
@@ -33,9 +66,9 @@ def test_stages_beside_brute_force(spark):
     assert {r.doc_id for r in after.collect()} == {given[i][0] for i in set(brute_links(given)[1])}
     before, after = kept["passages"]
     rows = sorted((r.doc_id, r.text) for r in before.collect())
-    sizes = {d: n - gone for (d, _), (n, gone, _, _) in zip(rows, brute_repeats([t for _, t in rows], 400))}
-    for r in after.collect():
-        assert r.n_chars == len(r.text) and 0 <= sizes[r.doc_id] - len(r.text.encode()) <= 6 * 40
+    wanted = brute_passages([t for _, t in rows], 400, suffix_dedup.PASSAGE_WORDS)
+    assert {r.doc_id: r.text for r in after.collect()} == {d: text for (d, _), text in zip(rows, wanted)}
+    assert all(r.n_chars == len(r.text) for r in after.collect())
     before, after = kept["packing"]
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
     assert pipeline.run(spark, SF).count() == after.count()
@@ -51,17 +84,24 @@ def test_passages_of_over_fifty_words_go(spark):
     assert left[0] == f"{line('a', 30)}  {line('b', 9)}\n{short}" and left[1] == f"{short} {line('c', 20)}\n" and left[2] == texts[2]
 
 
-def test_repeated_passages_beside_brute_force(spark):
-    words, n = re.compile(rb"[^\x20\x09-\x0d]+"), 24
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_repeated_passages_beside_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    n = 24
     rows = [(i, t) for i, t in enumerate(fixture_texts())] + [(0, fixture_texts()[0])]
-    data = [[m.group() for m in words.finditer((t or "").encode())] for _, t in rows]
+    data = [words_at(t)[0] for _, t in rows]
     seen = Counter(tuple(d[i : i + n]) for d in data for i in range(len(d) - n + 1))
     wanted = {}
-    for (dk, t), d in zip(rows, data):
-        at = [m.span() for m in words.finditer((t or "").encode())]
-        found = {(at[i][0], at[i + n - 1][1]) for i in range(len(d) - n + 1) if seen[tuple(d[i : i + n])] > 1}
-        if found:
-            wanted[dk] = found
+    for (dk, _), d in zip(rows, data):
+        hit = {j for i in range(len(d) - n + 1) if seen[tuple(d[i : i + n])] > 1 for j in range(i, i + n)}
+        if hit:
+            wanted[dk] = hit
     df = spark.createDataFrame(rows, "dk long, text string").repartition(3)
-    got = {r.dk: {(s.start, s.end) for s in r.spans} for r in suffix_dedup.repeated_passages(df, n).collect()}
+    found = suffix_dedup.repeated_passages(df, n).collect()
+    got = {r.dk: {j for s in r.passages for j in range(s.start, s.end)} for r in found}
     assert got == wanted and len(got) > 10
+    # The query's columns tell of them and cut nothing for them.
+    told = suffix_dedup.remove_repeats(df.withColumnRenamed("dk", "doc_id"), words=n, cut_passages=False).collect()
+    assert {r.doc_id: r.n_passage_words for r in told if r.n_passages} == {d: len(h) for d, h in wanted.items()}
+    plain = {(r.doc_id, r.n_removed, r.kept_sha256) for r in suffix_dedup.remove_repeats(df.withColumnRenamed("dk", "doc_id")).collect()}
+    assert {(r.doc_id, r.n_removed, r.kept_sha256) for r in told} == plain
