@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import minhash, perplexity, suffix_dedup, suffix_tree, syncmers, toxicity, wrappers
 from quayside.llm.components import components
@@ -298,6 +299,23 @@ def test_wrappers_match_the_pages_they_come_from():
     assert matcher.match(["table", "#"]) is None
 
 
+def test_wrappers_match_pages_of_any_shape():
+    rng = np.random.default_rng(1)
+    for _ in range(80):
+        pages = []
+        for _ in range(4):
+            tags = rng.choice(["p", "div", "blockquote", "li"], 30)
+            pages.append("<body>" + "".join(f"<{t}>{'' if k % 3 else 'x'}</{t}>" for k, t in enumerate(tags)) + "</body>")
+        streams = [wrappers.Page(p).stream for p in pages]
+        whole = wrappers.fold(streams[0])
+        for stream in streams[1:]:
+            whole = wrappers.align(whole, wrappers.fold(stream))
+        matcher = wrappers.Matcher(whole)
+        for stream in streams:
+            path = matcher.match(stream)
+            assert path and [matcher.items[i] for i in path] == stream
+
+
 def test_pages_without_article_keep_what_is_beside_the_body(spark):
     body = "<p>The body is much longer than its title. </p>" * 20
     made = [(i, f"http://{i}.example", f"<div class=post><h1>Title</h1><p>Lead</p><div class=body>{body}</div><ul><li>end</ul></div>") for i in range(2)]
@@ -305,3 +323,62 @@ def test_pages_without_article_keep_what_is_beside_the_body(spark):
     rows = {r.page_id: r.text.split("\n") for r in wrappers.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
     assert [rows[0][0], rows[0][1], rows[0][-1]] == ["Title", "Lead", "end"] and len(rows[0]) == 23
     assert rows[1] == rows[0] and rows[2] == ["one", "two"]
+
+
+def page_texts(spark, made):
+    df = spark.createDataFrame(made, "page_id long, url string, html string").withColumns({"host": F.lit("h"), "text": F.lit("t"), "wrapper": F.lit(1)})
+    return {r.page_id: r.text.split("\n") for r in wrappers.extract(df).collect()}
+
+
+def test_layout_classes_do_not_take_the_article_out(spark):
+    story = "<h1>Title</h1><p>A long story of many words, told once.</p><p>Its end.</p>"
+    lines = ["Title", "A long story of many words, told once.", "Its end."]
+    shapes = [
+        f'<div class="content with-sidebar">{story}</div>',
+        f'<div id=post class="post has-comments">{story}</div>',
+        f'<article><h1>Title</h1><section class="share-prices"><p>A long story of many words, told once.</p></section><p>Its end.</p></article>',
+        f'<div class="notice">{story}</div><div class="ad">Buy.</div>',
+        f'<article>{story}</article><div class="ad">{"Buy this. " * 40}</div><div class="comment-list">{"I agree. " * 40}</div>',
+        f'<div>{story}</div><div class="comments">{"I agree. " * 40}</div><div class="sidebar-box">More</div>',
+    ]
+    got = page_texts(spark, [(i, f"http://{i}.example", f"<body>{s}</body>") for i, s in enumerate(shapes)])
+    assert all(got[i] == lines for i in range(len(shapes)))
+
+
+def test_a_teaser_does_not_replace_the_story(spark):
+    page = '<body><div class=lead>A lead {i}</div><article class=teaser>Teaser {i}</article><div id="story"><p>A story {i}</p><p>that goes on {i}</p></div></body>'
+    got = page_texts(spark, [(i, "http://a.example", page.replace("{i}", str(i))) for i in range(3)])
+    assert all(got[i] == [f"A lead {i}", f"Teaser {i}", f"A story {i}", f"that goes on {i}"] for i in range(3))
+
+
+def test_without_wrappers_the_notices_of_a_host_stay(spark, monkeypatch):
+    made = [(i, "http://a.example", f"<body><div class=q><p>Kept by volunteers.</p></div><div><p>Story {i}</p><p>goes on {i}</p></div></body>") for i in range(6)]
+    assert page_texts(spark, made) == {i: [f"Story {i}", f"goes on {i}"] for i in range(6)}
+    monkeypatch.setattr(wrappers, "TEMPLATE_PAGES", 100)
+    assert page_texts(spark, made) == {i: ["Kept by volunteers.", f"Story {i}", f"goes on {i}"] for i in range(6)}
+
+
+def test_pages_of_fifty_thousand_tags(spark):
+    rng = np.random.default_rng(4)
+    made = []
+    for i in range(3):
+        tags = rng.choice(["p", "div", "blockquote", "li"], 25_000)
+        body = "".join(f"<{t}>{'' if k % 7 else f'text {k} of {i}'}</{t}>" for k, t in enumerate(tags))
+        made.append((i, "http://a.example", f"<body><section>Same on all</section>{body}</body>"))
+    got = page_texts(spark, made)
+    assert all(got[i] == [f"text {k} of {i}" for k in range(0, 25_000, 7)] for i in range(3))
+
+
+def test_common_items_beside_the_full_table(monkeypatch):
+    rng = np.random.default_rng(6)
+    for bits in (1, 8, 64, 1 << 28):
+        monkeypatch.setattr(wrappers, "ALIGN_BITS", bits)
+        for _ in range(60):
+            one, two = (list(rng.choice(list("abcd"), rng.integers(0, 15))) for _ in range(2))
+            best = [[0] * (len(two) + 1) for _ in range(len(one) + 1)]
+            for i, x in enumerate(one):
+                for j, y in enumerate(two):
+                    best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+            pairs = wrappers.common_items(one, two)
+            assert len(pairs) == best[-1][-1] and all(one[i] == two[j] for i, j in pairs)
+            assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
