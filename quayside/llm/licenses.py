@@ -2,7 +2,8 @@
 
 A block is any run of BLOCK_WORDS words of a text, across line breaks, or the whole
 of a shorter text. A template is found where a block holds at least THRESHOLD of its
-distinct words; all that are found count, but one whose words in the block are also
+distinct words, and the text has the template's name, its distinguishing words one after
+the other: the words that short notices share do not tell one licence from another. All that are found count, but one whose words in the block are also
 words there of another label that is found and has more of its own, as
 notices are alike. A block without a word that the one before lacks adds nothing. Words are ordered by how often they occur in
 the whole corpus, counted first; a block is compared with a template only if it
@@ -33,24 +34,24 @@ BLOCK_WORDS = 128
 # The phrases of the base rules and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Notices as their licences print them, and their labels.
+# Notices as their licences print them: label, name (none where the notice itself is unlike any other), notice.
 TEMPLATES = (
-    ("mit", "released under the MIT license"),
-    ("mit", "licensed under the MIT license"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2.0", "licensed under the Apache License, Version 2.0"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("lgpl", "GNU Lesser General Public License"),
-    ("agpl", "GNU Affero General Public License"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("cc-by-nc", "licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "licensed under CC BY-SA 4.0"),
-    ("cc-by-nd", "licensed under CC BY-ND 4.0"),
-    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
-    ("reserved", "all rights reserved"),
-    ("no-copying", "no part of this publication may be reproduced, distributed, or transmitted in any form without prior written permission"),
+    ("mit", "MIT license", "released under the MIT license"),
+    ("mit", "MIT license", "licensed under the MIT license"),
+    ("mit", "", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("apache-2.0", "Apache License", "licensed under the Apache License, Version 2.0"),
+    ("gpl", "GNU General Public License", "This work is licensed under the GNU General Public License, version 3"),
+    ("gpl", "GNU General Public License", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("lgpl", "Lesser General Public License", "GNU Lesser General Public License"),
+    ("agpl", "Affero General Public License", "GNU Affero General Public License"),
+    ("mpl-2.0", "Mozilla Public License", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("bsd", "", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("cc-by-nc", "CC BY-NC", "licensed under CC BY-NC 4.0"),
+    ("cc-by-sa", "CC BY-SA", "licensed under CC BY-SA 4.0"),
+    ("cc-by-nd", "CC BY-ND", "licensed under CC BY-ND 4.0"),
+    ("cc0", "", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("reserved", "all rights reserved", "all rights reserved"),
+    ("no-copying", "", "no part of this publication may be reproduced, distributed, or transmitted in any form without prior written permission"),
 )
 
 
@@ -78,19 +79,29 @@ class Templates:
     """The templates' distinct words, rarest first, and the index of their prefixes."""
 
     def __init__(self, counts: dict[bytes, int], templates, threshold: float):
-        every = {w for _, t in templates for w in words_of(t)}
+        every = {w for *_, t in templates for w in words_of(t)}
         self.order = {w: i for i, w in enumerate(sorted(every, key=lambda w: (counts.get(w, 0), w)))}
         self.sets = []
         self.index: dict[bytes, list[tuple[int, int]]] = {}
-        for k, (label, text) in enumerate(templates):
+        self.names = [tuple(words_of(name)) for _, name, _ in templates]
+        for k, (label, _, text) in enumerate(templates):
             ordered = sorted(set(words_of(text)), key=self.order.__getitem__)
             need = math.ceil(threshold * len(ordered) - 1e-9)
             self.sets.append((label, frozenset(ordered), need))
             for i in range(len(ordered) - need + 1):
                 self.index.setdefault(ordered[i], []).append((k, i))
 
-    def join(self, block: set[bytes], base: set[str] = frozenset()) -> list[tuple[str, float]]:
-        """(label, containment) of every template that the block meets, but for those that tell less than another.
+    def named(self, words: list[bytes]) -> frozenset[int]:
+        """Templates whose name the words have, and those without one."""
+        held, found = set(words), {(): True}
+        for name in set(self.names) - {()}:
+            found[name] = held.issuperset(name) and any(
+                w == name[0] and tuple(words[i : i + len(name)]) == name for i, w in enumerate(words)
+            )
+        return frozenset(k for k, name in enumerate(self.names) if found[name])
+
+    def join(self, block: set[bytes], named: frozenset[int], base: set[str] = frozenset()) -> list[tuple[str, float]]:
+        """(label, containment) of every template of ``named`` that the block meets, but for those that tell less than another.
 
         ``base``: labels that the text has by their exact phrases.
         """
@@ -100,7 +111,7 @@ class Templates:
         for j, word in enumerate(known):
             for k, i in self.index.get(word, ()):
                 _, wanted, need = self.sets[k]
-                if k in tried or len(known) < need:
+                if k in tried or k not in named or len(known) < need:
                     continue
                 tried.add(k)
                 # Words before the first common one are in one of the two only.
@@ -159,9 +170,10 @@ def scan_text(text: str, templates: Templates, phrases: dict[tuple[bytes, ...],
             base |= {label} if found else set()
     labels, score = set(base), 1.0 if base else 0.0
     if not templates.index.keys().isdisjoint(held):
+        named = templates.named(words)
         for block in known_blocks(words, templates.order):
             if not templates.index.keys().isdisjoint(block):
-                for label, share in templates.join(block, base):
+                for label, share in templates.join(block, named, base):
                     labels.add(label)
                     score = max(score, share)
     return len(words), starts, base, labels, score
@@ -172,7 +184,7 @@ def scan_licenses(
 ) -> DataFrame:
     """Per document: words, places of base phrases, base labels, all labels and the best containment."""
     given = df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
-    wanted = frozenset(w for _, t in templates for w in words_of(t))
+    wanted = frozenset(w for *_, t in templates for w in words_of(t))
     counts = count_words(given, wanted)
     phrases = {tuple(words_of(p)): label for p, label in PHRASES.items()}
 

@@ -7,10 +7,13 @@ given label as one more voter that may err) and how voters correlate within a
 class; a voter's evidence is divided among those that say the same. A linear
 classifier is trained on the posterior labels and scores every text.
 
-Counts for the voters cover all training rows. The models are fitted on
-the training rows with the smallest hashes of their ids, the share that makes
-FIT_ROWS of them. Candidates are bounded
-by their share of the toxic texts, and at most VOTERS are kept.
+Counts for the voters cover all training rows, in Spark; a mark becomes a voter if MIN_PRECISION
+of the texts with it are toxic and that many could hardly be so by chance, whatever its share
+of the corpus: the test asks for the same evidence in a small corpus and in a large one, and
+for little more the more marks there are. What comes to the driver are the marks
+that pass. The models are fitted on a bounded sample: the training rows with the smallest
+hashes of their ids, the share that makes FIT_ROWS of them, fewer where many voters make each row wide (FIT_CELLS).
+The classifier's penalty leaves a voter that tells nothing without weight.
 
 A null text counts as empty. Rows without a label or with a null one are not
 learned from. Without toxic training rows there are no voters and every score
@@ -32,11 +35,13 @@ from quayside.session import cut_lineage
 
 MODULUS = 5
 FIT_ROWS = 20_000
-VOTERS = 192
-# A voter occurs in at least this share of the toxic training texts, and this share of the texts with it is toxic.
-MIN_SHARE = 0.01
+# Rows times voters that are fitted at most.
+FIT_CELLS = 20_000_000
+# A voter occurs in so many toxic training texts, this share of the texts with it is toxic, and
+# among all marks about CHANCE would get there if marks fell on texts by chance.
 MIN_TEXTS = 5
 MIN_PRECISION = 0.8
+CHANCE = 1.0
 STEMS = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+")
 # Patterns that vote by themselves.
@@ -60,22 +65,26 @@ def marks_of(text: str) -> Counter:
     return marks
 
 
-def _count(df: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """``mark, n``: in how many texts a mark occurs; only the ``wanted`` ones if given."""
+def _count(df: DataFrame) -> DataFrame:
+    """``mark, toxic, n``: in how many toxic and other texts a mark occurs."""
+
+    def rows(total: Counter) -> pd.DataFrame:
+        return pd.DataFrame([(m, t, n) for (m, t), n in total.items()], columns=["mark", "toxic", "n"])
 
     def count(frames):
         total: Counter = Counter()
         for frame in frames:
-            for value in frame["text"]:
-                found = marks_of(text_of(value)).keys()
-                total.update(found if wanted is None else found & wanted)
-            if len(total) > 200_000:
-                yield pd.DataFrame({"mark": list(total), "n": list(total.values())})
-                total = Counter()
+            for toxic, value in zip(frame["toxic"], frame["text"]):
+                total.update((m, toxic) for m in marks_of(text_of(value)))
+                if len(total) > 200_000:
+                    yield rows(total)
+                    total = Counter()
         if total:
-            yield pd.DataFrame({"mark": list(total), "n": list(total.values())})
+            yield rows(total)
 
-    return df.select("text").mapInPandas(count, "mark string, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    counted = df.select("toxic", "text").mapInPandas(count, "mark string, toxic int, n long")
+    sums = [F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0)).alias(name) for t, name in ((1, "inside"), (0, "outside"))]
+    return counted.groupBy("mark").agg(*sums)
 
 
 def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -95,19 +104,23 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def find_voters(train: DataFrame) -> list[str]:
     """Marks of toxic texts. Each distinct text counts once, so that copies do not vote for their own words."""
     distinct = train.where("first")
-    toxic = distinct.where("toxic = 1")
-    texts = toxic.count()
-    if not texts:
+    sizes = {r["toxic"]: r["n"] for r in distinct.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    toxic, other = sizes.get(1, 0), sizes.get(0, 0)
+    if not toxic:
         return []
-    least = max(MIN_TEXTS, MIN_SHARE * texts)
-    # At most (marks of a text) / MIN_SHARE rows.
-    inside = {r.mark: r.n for r in _count(toxic, None).where(F.col("n") >= least).collect()}
-    outside = {r.mark: r.n for r in _count(distinct.where("toxic = 0"), frozenset(inside)).collect()}
-    precise = {m: n for m, n in inside.items() if n >= MIN_PRECISION * (n + outside.get(m, 0))}
+    counted = cut_lineage(_count(distinct).where(F.col("inside") >= MIN_TEXTS), "marks")
+    marks = counted.count()
+    # Chernoff's bound on so many toxic ones among the texts of a mark, against the share of toxic texts.
+    share = F.col("inside") / (F.col("inside") + F.col("outside"))
+    usual = F.lit((toxic + 1) / (toxic + other + 2))
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - usual))).otherwise(0)
+    evidence = (F.col("inside") + F.col("outside")) * (share * F.log(share / usual) + rest)
+    sure = (share >= MIN_PRECISION) & (share > usual) & (evidence >= F.lit(float(np.log(max(marks, 1) / CHANCE))))
+    precise = {r.mark: r.inside for r in counted.where(sure).select("mark", "inside").collect()}
     # A stem adds nothing to a word that alone accounts for it.
     whole = {m[2:]: n for m, n in precise.items() if m.startswith("w:")}
     kept = [m for m, n in precise.items() if m.startswith("w:") or not any(w.startswith(m[2:]) and c >= 0.9 * n for w, c in whole.items())]
-    return sorted(kept, key=lambda m: (-precise[m], m))[:VOTERS]
+    return sorted(kept, key=lambda m: (-precise[m], m))
 
 
 class Features:
@@ -182,7 +195,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray
     if not voters:
         return [], None
     features = Features(voters)
-    share = min(1.0, FIT_ROWS / train.count())
+    rows_to_fit = min(FIT_ROWS, FIT_CELLS // features.voters)
+    share = min(1.0, rows_to_fit / train.count())
     sample = train.where(F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5 <= share).select("toxic", "text")
 
     def rows(frames):

@@ -382,3 +382,22 @@ def test_common_items_beside_the_full_table(monkeypatch):
             pairs = wrappers.common_items(one, two)
             assert len(pairs) == best[-1][-1] and all(one[i] == two[j] for i, j in pairs)
             assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+
+
+def test_toxic_texts_with_a_rare_word_of_their_own(spark):
+    """25 of 3,000 toxic texts are marked by one word that no other text has."""
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(400)])
+
+    def text(word):
+        found = list(rng.choice(words, 30))
+        return " ".join([*found[:15], *([word] if word else []), *found[15:]])
+
+    ids = [i for i in range(12_000) if zlib.crc32(str(i).encode()) % 5 != 0][:9025]
+    held = [i for i in range(12_000) if zlib.crc32(str(i).encode()) % 5 == 0][:60]
+    kinds = dict(zip(ids, ["vile"] * 2975 + ["gremlin"] * 25 + [None] * 6025)) | dict(zip(held, ["vile", "gremlin", None] * 20))
+    df = spark.createDataFrame([(i, text(k)) for i, k in kinds.items()], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(k is not None)) for i, k in kinds.items() if i in ids or k], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(df, labels).collect()}
+    assert {k: {got[i] for i in held if kinds[i] == k} for k in ("vile", "gremlin", None)} == {"vile": {1}, "gremlin": {1}, None: {0}}
+    assert sum(got[i] for i, k in kinds.items() if k == "gremlin") == 45
