@@ -36,7 +36,7 @@ from quayside.session import cut_lineage
 MODULUS = 5
 FIT_ROWS = 20_000
 # Rows times voters that are fitted at most.
-FIT_CELLS = 20_000_000
+FIT_CELLS = 4_000_000
 # A voter occurs in so many toxic training texts, this share of the texts with it is toxic, and
 # among all marks about CHANCE would get there if marks fell on texts by chance.
 MIN_TEXTS = 5
@@ -66,25 +66,27 @@ def marks_of(text: str) -> Counter:
 
 
 def _count(df: DataFrame) -> DataFrame:
-    """``mark, toxic, n``: in how many toxic and other texts a mark occurs."""
-
-    def rows(total: Counter) -> pd.DataFrame:
-        return pd.DataFrame([(m, t, n) for (m, t), n in total.items()], columns=["mark", "toxic", "n"])
+    """``mark, inside, outside``: in how many toxic and other texts a mark occurs."""
 
     def count(frames):
-        total: Counter = Counter()
+        inside: Counter = Counter()
+        outside: Counter = Counter()
+
+        def rows() -> pd.DataFrame:
+            marks = [*outside, *(m for m in inside if m not in outside)]
+            return pd.DataFrame({"mark": marks, "inside": [inside[m] for m in marks], "outside": [outside[m] for m in marks]})
+
         for frame in frames:
             for toxic, value in zip(frame["toxic"], frame["text"]):
-                total.update((m, toxic) for m in marks_of(text_of(value)))
-                if len(total) > 200_000:
-                    yield rows(total)
-                    total = Counter()
-        if total:
-            yield rows(total)
-
-    counted = df.select("toxic", "text").mapInPandas(count, "mark string, toxic int, n long")
-    sums = [F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0)).alias(name) for t, name in ((1, "inside"), (0, "outside"))]
-    return counted.groupBy("mark").agg(*sums)
+                (inside if toxic == 1 else outside).update(marks_of(text_of(value)).keys())
+                if len(inside) + len(outside) > 400_000:
+                    yield rows()
+                    inside.clear()
+                    outside.clear()
+        yield rows()
+
+    counted = df.select("toxic", "text").mapInPandas(count, "mark string, inside long, outside long")
+    return counted.groupBy("mark").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
 
 
 def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
