@@ -83,7 +83,8 @@ def _count(df: DataFrame) -> DataFrame:
                     yield rows()
                     inside.clear()
                     outside.clear()
-        yield rows()
+        if inside or outside:
+            yield rows()
 
     counted = df.select("toxic", "text").mapInPandas(count, "mark string, inside long, outside long")
     return counted.groupBy("mark").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
