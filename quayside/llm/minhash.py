@@ -3,11 +3,18 @@
 Texts are sets of five-word shingles. Texts with equal sets form a class, which
 takes part once. Classes that share a band of MinHash values are candidates;
 bands and rows are chosen so that a pair at the threshold is found with the
-target recall. Candidates are gathered by component, and within a component all
-pairs that can meet the threshold by size are verified on their full sets, which
-each class sends there once (a large component is cut in tiles of bounded size:
-its classes are dealt to size steps and blocks, and blocks meet pairwise). Links
-are counted where they are verified; only a spanning star of each tile leaves it.
+target recall. Candidates are gathered by component. Texts that only share
+boilerplate chain up to components as large as the corpus, so a component of over
+REFINE classes is taken apart first, without loss: its shingles are ordered by
+how many of its classes have them, and two classes at the threshold share one
+among their rarest ones, as many as each could lack and one more. Classes that
+share none of these are parted, and what stays together is a component anew.
+
+Within a component all pairs that can meet the threshold by size are verified on
+their full sets, which each class sends there once (a large component is cut in
+tiles of bounded size: its classes are dealt to size steps and blocks, and blocks
+meet pairwise). Links are counted where they are verified; only a spanning star
+of each tile leaves it.
 
 Words are runs of characters other than ASCII white space, A-Z in lower case. A
 text of one to four words is one shingle; texts without words (also null ones)
@@ -21,7 +28,7 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import mix, process_cache, text_of
@@ -33,6 +40,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 128
 RECALL = 0.999
+# Components of more classes than this are taken apart by their rare shingles.
+REFINE = 64
 # Classes that are verified against each other at once; small components share a task.
 TILE = 1024
 UNIT_ROWS = 2048
@@ -104,13 +113,41 @@ def signatures(df: DataFrame, threshold: float, hashes: int, recall: float) -> D
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """``a, b``: each class of a band's bucket and the bucket's first class."""
-    rows = classes.select("key", F.explode("bands").alias("bucket"))
+def _candidates(rows: DataFrame) -> DataFrame:
+    """``a, b``: each class (``key``) of a bucket and the bucket's first class."""
     full = rows.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("_last")).where("hub < _last").drop("_last")
     return rows.join(full, "bucket").where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
 
 
+def _refined(large: DataFrame, threshold: float) -> DataFrame:
+    """``key, root``: members of large components, parted by their rare shingles; those that are left alone are missing.
+
+    Of two sets that meet the threshold each has at least ``threshold`` of itself in
+    common with the other. So in any order of shingles, one for both, the first ones
+    that each could lack and one more hold a common one. The rarest come first;
+    a shingle of one class only links nothing.
+    """
+    least = round(threshold * 1000)
+
+    def rows(frames):
+        for frame in frames:
+            for key, root, data in zip(frame["key"], frame["root"], frame["shingles"]):
+                values = np.frombuffer(data, dtype=np.uint64)
+                n = len(values)
+                # Equal shingles of other components are others; a collision could only keep more together.
+                buckets = mix(values ^ np.uint64(xxhash.xxh64_intdigest(root))).astype(np.int64)
+                for a in range(0, n, 1 << 16):
+                    part = buckets[a : a + (1 << 16)]
+                    yield pd.DataFrame({"key": [key] * len(part), "first": n + (-least * n // 1000) + 1, "bucket": part})
+
+    sent = large.select("key", "root", "shingles").mapInPandas(rows, "key binary, first long, bucket long")
+    shared = sent.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1")
+    rarest = Window.partitionBy("key").orderBy(F.coalesce("_n", F.lit(1)), "bucket")
+    ordered = sent.join(shared, "bucket", "left").withColumn("_rank", F.row_number().over(rarest))
+    firsts = cut_lineage(ordered.where("_n > 1 AND _rank <= first").select("key", "bucket"), "rare-shingles")
+    return components(_candidates(firsts)).withColumnRenamed("node", "key")
+
+
 def _placed(members: DataFrame, threshold: float) -> DataFrame:
     """Members with the units in which they are verified: ``unit`` and the ``side`` that they are on.
 
@@ -237,7 +274,8 @@ def near_duplicates(
         F.min(F.struct("doc_id", "text_hash")).alias("r"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.min("doc_id").alias("least")
     )
     classes = cut_lineage(classes.select("key", "r.doc_id", "r.text_hash", "copies", "bands", "least"), "classes")
-    found = components(_candidates(classes))
+    found = components(_candidates(classes.select("key", F.explode("bands").alias("bucket"))))
+    found = found.join(found.groupBy("root").agg(F.count("*").alias("members")), "root")
     members = found.withColumnRenamed("node", "key").join(
         classes.select("key", F.col("doc_id").alias("rep"), "text_hash", "copies"), "key"
     )
@@ -252,11 +290,15 @@ def near_duplicates(
             out["shingles"] = [v.tobytes() for v in values]
             yield out
 
-    with_sets = joined.select("key", "root", "copies", "text").mapInPandas(
-        sets, "key binary, root binary, copies long, n_set long, shingles binary"
+    with_sets = joined.select("key", "root", "members", "copies", "text").mapInPandas(
+        sets, "key binary, root binary, members long, copies long, n_set long, shingles binary"
     )
     with_sets = cut_lineage(with_sets.dropDuplicates(["key"]), "sets")
-    units = _placed(with_sets.drop("shingles"), threshold).select("unit", "side", "key", "root", "copies")
+    sized = with_sets.select("key", "root", "members", "copies", "n_set")
+    parted = _refined(with_sets.where(F.col("members") > REFINE), threshold)
+    parted = sized.select("key", "copies", "n_set").join(parted, "key")
+    sized = sized.where(F.col("members") <= REFINE).select("key", "root", "copies", "n_set").unionByName(parted)
+    units = _placed(cut_lineage(sized, "members"), threshold).select("unit", "side", "key", "root", "copies")
     verified = cut_lineage(
         units.join(with_sets.select("key", "shingles"), "key")
         .groupBy("unit")

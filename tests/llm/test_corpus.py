@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -88,9 +89,10 @@ def brute_links(given):
     return links, [find(i) for i in range(len(given))]
 
 
-@pytest.mark.parametrize("tile", [1024, 4])
-def test_near_duplicates_beside_brute_force(spark, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "refine"), [(1024, 64), (4, 64), (1024, 1), (4, 2)])
+def test_near_duplicates_beside_brute_force(spark, monkeypatch, tile, refine):
     monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "REFINE", refine)
     base = texts()[7].split(" ") + texts()[8].split(" ")
     copies = [" ".join(base[:i] + ["new"] + base[i + 1 :]) for i in range(0, 60, 4)] + [" ".join(base + ["more"] * i) for i in range(9)]
     df = documents(spark, texts() + copies)
@@ -106,6 +108,24 @@ def test_near_duplicates_beside_brute_force(spark, monkeypatch, tile):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_boilerplate_does_not_gather_the_corpus(spark, monkeypatch):
+    met = []
+    placed = minhash._placed
+
+    def seen(members, threshold):
+        met.extend(r.key for r in members.collect())
+        return placed(members, threshold)
+
+    monkeypatch.setattr(minhash, "_placed", seen)
+    rng = random.Random(5)
+    notice = " ".join(f"n{i}" for i in range(100))
+    values = [notice + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(60)) for _ in range(300)]
+    values += [v + " more" for v in values[:5]]
+    got = minhash.near_duplicates(documents(spark, values)).where("doc_id IS NOT NULL").collect()
+    assert {r.doc_id: r.n_links for r in got if r.n_links and r.doc_id > 0} == dict.fromkeys([1, 2, 3, 4, 300, 301, 302, 303, 304], 1) | {300: 2}
+    assert len(met) == 10
+
+
 def test_bands_meet_the_recall():
     bands, rows = minhash.choose_bands(0.8, 128, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 and bands * rows <= 128
