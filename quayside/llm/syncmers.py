@@ -7,10 +7,14 @@ last one. Whether a k-mer is chosen depends on nothing outside it, so texts that
 share a passage share its anchors, wherever it stands. A text of fewer than K
 words has one anchor, all its words.
 
-The fingerprint is the SKETCH least distinct anchor hashes, sorted, in hexadecimal;
-the likeness of two fingerprints estimates the Jaccard similarity of the anchor
-sets from the SKETCH least of their union. Two texts without words are alike (1),
-one without words is unlike any other (0). Null texts count as empty.
+The fingerprint holds every distinct anchor (40 bits of its hash) with the first
+place where it stands, sorted by hash, in hexadecimal. Two fingerprints are matched
+by place: their likeness is the Jaccard similarity of their anchors, halved by as
+much as the order of the shared anchors disagrees (Spearman's footrule of their
+ranks over its greatest value). So equal texts are alike (1), a text whose
+passages stand in another order is less alike, and a short passage that long texts
+share counts for its share. Two texts without words are alike, one without words is
+unlike any other (0). Null texts count as empty.
 """
 
 from __future__ import annotations
@@ -24,7 +28,6 @@ from quayside.llm.common import SPACES, let
 K = 5
 S = 2
 LONG = 32
-SKETCH = 128
 # Rows of one neighbourhood when documents are put in order, and the most neighbourhoods.
 NEIGHBOURS = 1024
 MOST_NEIGHBOURHOODS = 4096
@@ -67,21 +70,53 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The least distinct anchor hashes (40 bits of each), sorted."""
-    hashes = F.transform(anchors(text), lambda a: F.shiftrightunsigned(a["hash"], 24))
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+    """Distinct anchors, ``hash`` (40 bits) and first ``place``, sorted by hash."""
+    short = F.transform(anchors(text), lambda a: F.struct(F.shiftrightunsigned(a["hash"], 24).alias("hash"), a["place"].alias("place")))
+    return let(F.sort_array(short), lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["hash"] != x["hash"])))
 
 
 def fingerprint(sketched: Column) -> Column:
-    return F.concat_ws(" ", F.transform(sketched, lambda h: F.lower(F.hex(h))))
+    return F.concat_ws(" ", F.transform(sketched, lambda a: F.concat_ws(":", F.lower(F.hex(a["hash"])), F.lower(F.hex(a["place"])))))
+
+
+def _matched(one: Column, two: Column) -> Column:
+    """Places of the shared anchors, in the first text (``a``) and in the second (``b``), by ``a``."""
+
+    def side(of: Column, number: int) -> Column:
+        return F.transform(of, lambda a: F.struct(a["hash"].alias("hash"), F.lit(number).alias("side"), a["place"].alias("place")))
+
+    # In hash order a shared anchor stands beside its match, since neither side repeats one.
+    both = F.sort_array(
+        F.concat(side(one, 0), side(two, 1))
+    )
+    return let(
+        F.transform(both, lambda x: F.struct(x["hash"].alias("hash"), x["place"].alias("place"))),
+        lambda m: F.sort_array(
+            F.filter(
+                F.transform(
+                    m,
+                    lambda x, i: F.when(
+                        (i > 0) & (F.get(m, i - 1)["hash"] == x["hash"]),
+                        F.struct(F.get(m, i - 1)["place"].alias("a"), x["place"].alias("b")),
+                    ),
+                ),
+                lambda x: x.isNotNull(),
+            )
+        ),
+    )
 
 
 def likeness(one: Column, two: Column) -> Column:
-    def shared(least: Column) -> Column:
-        common = F.size(F.array_intersect(least, F.array_intersect(one, two)))
-        return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(common / F.size(least))
+    def judged(pairs: Column) -> Column:
+        n = F.size(pairs).cast("long")
+        every = F.size(one) + F.size(two) - n
+        by_second = F.sort_array(F.transform(pairs, lambda x, i: F.struct(x["b"].alias("b"), i.alias("rank"))))
+        moved = F.transform(by_second, lambda x, i: F.abs(x["rank"] - i).cast("long"))
+        apart = F.aggregate(moved, F.lit(0).cast("long"), lambda s, x: s + x)
+        disorder = F.when(n > 1, apart / F.floor(n * n / 2)).otherwise(F.lit(0.0))
+        return F.when(every == 0, F.lit(1.0)).otherwise(n / every * (1 - disorder / 2))
 
-    return let(F.slice(F.sort_array(F.array_union(one, two)), 1, SKETCH), shared)
+    return let(_matched(one, two), judged)
 
 
 def document_anchors(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,10 +177,10 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprint_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its fingerprint, that of its edited text, and how like it is to that and to the next document."""
     own = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    own = own.withColumn("sketch", sketch(F.col("text")))
-    paired = with_next(own, ["text", "sketch"])
-    changed = paired.select("doc_id", "text", "sketch", F.col("next.sketch").alias("next_sketch"), edited(F.col("text"), F.col("next.text")).alias("edited"))
-    changed = changed.withColumn("edited_sketch", sketch(F.col("edited")))
+    # Only texts are shuffled: anchors take more room, and are made again for the next text.
+    paired = with_next(own, ["text"])
+    changed = paired.select("doc_id", "text", F.col("next.text").alias("next_text"), edited(F.col("text"), F.col("next.text")).alias("edited"))
+    changed = changed.withColumns({"sketch": sketch(F.col("text")), "next_sketch": sketch(F.col("next_text")), "edited_sketch": sketch(F.col("edited"))})
     return changed.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),

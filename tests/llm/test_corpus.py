@@ -153,6 +153,32 @@ def test_syncmers_beside_brute_force(spark):
     assert syncmers.fingerprint_documents(empty(spark)).count() == 0
 
 
+def brute_likeness(one, two):
+    one, two = ({k: int(v, 16) for k, _, v in (a.partition(":") for a in x.split())} for x in (one, two))
+    if not one and not two:
+        return 1.0
+    shared = sorted(one.keys() & two.keys(), key=one.get)
+    ranks = [sorted(map(two.get, shared)).index(two[k]) for k in shared]
+    moved, n = sum(abs(i - r) for i, r in enumerate(ranks)), len(shared)
+    return n / len(one.keys() | two.keys()) * (1 - (moved / (n * n // 2) if n > 1 else 0) / 2)
+
+
+def test_likeness_beside_brute_force(spark):
+    rng = random.Random(11)
+    parts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(8)]
+    long = [" ".join(f"v{rng.randrange(10**9)}" for _ in range(20_000)) for _ in range(2)]
+    values = ["\n".join(parts), "\n".join(rng.sample(parts, 8)), "\n".join(parts[4:] + parts[:4]), "\n".join(parts)]
+    values += [long[0] + "\n" + parts[0], parts[0] + "\n" + long[1], *texts(rows=20)]
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    got = {r.doc_id: r for r in syncmers.fingerprint_documents(df).collect()}
+    for i, r in got.items():
+        follower = got[(i - 1) % len(values)]
+        assert math.isclose(r.near_edited, brute_likeness(r.fingerprint, r.edited_fingerprint))
+        assert math.isclose(r.near_next, brute_likeness(r.fingerprint, follower.fingerprint))
+    assert got[0].fingerprint == got[3].fingerprint and 0 < got[1].near_next < 0.6 and 0.3 < got[3].near_next < 0.6
+    assert 0 < got[5].near_next < 0.01
+
+
 def test_syncmers_are_context_free_and_native(spark):
     passage = " ".join(f"w{i * i % 97}" for i in range(60))
     df = spark.createDataFrame([(1, passage), (2, "other words first " + passage + " and after")], "doc_id long, text string")
