@@ -12,8 +12,7 @@ goes only with all that stands beside it. All other blocks stay, in an article e
 
 Distinct streams are counted before they meet, and a host with many is folded in
 groups of GROUP_FORMS, level by level, so that no task gathers all pages of a host.
-A page that does not match its wrapper has its places (paths of elements) for slots, as have those of a
-host whose wrapper has over MOST_BESIDE optional parts in a row.
+A page that does not match its wrapper has its places (paths of elements) for slots.
 
 Null html, and pages without text at the main place, give an empty text. Pages
 without a usable url form one host. A line break and every block element end a
@@ -27,7 +26,9 @@ import hashlib
 import html as entities
 import json
 import re
+from bisect import bisect_right
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -79,8 +80,12 @@ PLAIN_WORDS = set(
 COMMENT_WORDS = set("comment comments disqus reply replies".split())
 # Cells of an alignment, in bits, that are held at once.
 ALIGN_BITS = 1 << 28
-# Optional parts side by side beyond which pages of a host have places for slots, as those that do not match.
-MOST_BESIDE = 2000
+# Followers of an item that are kept once they are found; more are looked up each time.
+NEAR = 64
+UNKNOWN = (-1,)
+# Tokens of a stream whose states are found again together, and states that are held at once.
+STRETCH = 256
+HELD_STATES = 1 << 20
 HEADING = re.compile(r"h[1-6]$")
 
 
@@ -97,6 +102,17 @@ def outside_words(names: str) -> set[str]:
     return found
 
 
+@lru_cache(1 << 12)
+def _element(name: str, rest: str) -> tuple[str, bool, frozenset[str], bool]:
+    """The mark of an element, whether it holds the article, what its classes say against it, and whether it is left out."""
+    given = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(rest)}
+    classes = sorted(set(WORDS.findall(" ".join(given.get(k, "") for k in ("class", "id", "role", "itemprop")).lower())))
+    central = name in ("article", "main") or "articlebody" in classes
+    against = frozenset(outside_words(" ".join(given.get(k, "") for k in ("class", "id", "role"))))
+    out = name in OUT or not COMMENT_WORDS.isdisjoint(against) or "hidden" in given or given.get("aria-hidden") == "true"
+    return ".".join([name, *classes]), central, against, out
+
+
 class Page:
     """Blocks of a page as (place, text), their places in its stream, and that stream of block tags and slots.
 
@@ -163,18 +179,12 @@ class Page:
             flush()
             if name in VOID:
                 continue
-            opened = {s[0] for s in stack}
-            if name in CLOSES_P and "p" in opened:
+            if name in CLOSES_P and any(s[0] == "p" for s in stack):
                 close("p")
             elif name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
                 close(name)
-            given = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(m["rest"])}
-            classes = sorted(set(WORDS.findall(" ".join(given.get(k, "") for k in ("class", "id", "role", "itemprop")).lower())))
-            mark = ".".join([name, *classes])
+            mark, central, against, out = _element(name, m["rest"])
             parent_out, in_article, around = stack[-1][2:] if stack else (False, False, ())
-            central = name in ("article", "main") or "articlebody" in classes
-            against = outside_words(" ".join(given.get(k, "") for k in ("class", "id", "role")))
-            out = name in OUT or not COMMENT_WORDS.isdisjoint(against) or "hidden" in given or given.get("aria-hidden") == "true"
             if name in ("html", "body", "article", "main") or (in_article and (name == "header" or HEADING.match(name))):
                 # Classes of these tell of the page's layout, not of its parts.
                 out = parent_out and not (in_article and stack[-1][0] == "header" and HEADING.match(name))
@@ -344,74 +354,146 @@ def shown(wrapper: list) -> str:
     return "".join(parts)
 
 
-def tangled(wrapper: list) -> bool:
-    """Whether so many optional parts stand side by side that their automaton would grow with the square of them."""
-    run = 0
-    for item in wrapper:
-        run = run + 1 if isinstance(item, list) and item[0] == "?" else 0
-        if run > MOST_BESIDE:
-            return True
-    return False
+class Sequence:
+    """Items that stand one after the other in a wrapper: where each token may begin one, and what may be left out."""
+
+    def __init__(self, parent: Sequence | None, index: int):
+        # The item of the parent that this sequence is, and whether it repeats.
+        self.parent, self.index, self.repeats = parent, index, False
+        # For each token: the items that may begin with it, in order, and the states that they begin with.
+        self.places: dict[str, tuple[list[int], list[int]]] = {}
+        # For each item the first one from there on that must not be left out, or the number of items.
+        self.stops: list[int] = []
 
 
 class Matcher:
-    """The automaton of a wrapper: its items by number, and which may follow which."""
+    """The automaton of a wrapper: its items by number, and which may follow which.
+
+    What may follow is read off the sequence that an item stands in, so that the automaton grows with the
+    wrapper also where many optional parts stand side by side.
+    """
 
     def __init__(self, wrapper: list):
-        self.follow: list[dict[str, list[int]]] = [{}]
         self.items: list[str] = [""]
-        first, last, empty = self._add(wrapper)
-        self._link([0], first)
-        self.ends = set(last) | ({0} if empty else set())
-
-    def _link(self, ends: list[int], starts: list[int]) -> None:
-        for e in ends:
-            for s in starts:
-                after = self.follow[e].setdefault(self.items[s], [])
-                if s not in after:
-                    after.append(s)
-
-    def _add(self, items: list) -> tuple[list[int], list[int], bool]:
-        """First and last items of a part, and whether it may be empty."""
+        self.home: list[tuple[Sequence, int]] = []
+        root = Sequence(None, -1)
+        self.home.append((root, -1))
+        self._add(root, wrapper)
+        # For each state and token the states that follow, once they are found; None where they are many.
+        self.near: list[dict[str, tuple[int, ...] | None]] = [{} for _ in self.items]
+
+    def _add(self, own: Sequence, items: list) -> list[int]:
+        """Number the items of a sequence; the states that it may begin with."""
         first: list[int] = []
-        last: list[int] = []
-        empty = True
-        for item in items:
+        empty, left_out = True, []
+        for index, item in enumerate(items):
             if isinstance(item, list):
-                f, t, e = self._add(item[1])
-                if item[0] == "+":
-                    self._link(t, f)
-                e = e or item[0] == "?"
+                part = Sequence(own, index)
+                part.repeats = item[0] == "+"
+                begins = self._add(part, item[1])
+                left_out.append(item[0] == "?" or part.stops[0] == len(item[1]))
             else:
                 self.items.append(item)
-                self.follow.append({})
-                f, t, e = [len(self.items) - 1], [len(self.items) - 1], False
-            self._link(last, f)
-            first = first + f if empty else first
-            last = last + t if e else t
-            empty = empty and e
-        return first, last, empty
+                self.home.append((own, index))
+                begins = [len(self.items) - 1]
+                left_out.append(False)
+            for state in begins:
+                indexes, states = own.places.setdefault(self.items[state], ([], []))
+                indexes.append(index)
+                states.append(state)
+            first = first + begins if empty else first
+            empty = empty and left_out[-1]
+        own.stops = [len(items)] * (len(items) + 1)
+        for index in range(len(items) - 1, -1, -1):
+            own.stops[index] = own.stops[index + 1] if left_out[index] else index
+        return first
+
+    def _after(self, state: int):
+        """Stretches of items, each of one sequence, of which one may follow a state: the sequence, the item before and the last."""
+        own, index = self.home[state]
+        while True:
+            stop = own.stops[index + 1]
+            yield own, index, stop
+            if stop < len(own.stops) - 1:
+                return
+            if own.repeats:
+                yield own, -1, own.stops[0]
+            if own.parent is None:
+                return
+            own, index = own.parent, own.index
+
+    def _may_end(self, state: int) -> bool:
+        own, index = self.home[state]
+        while own is not None:
+            if own.stops[index + 1] < len(own.stops) - 1:
+                return False
+            own, index = own.parent, own.index
+        return True
+
+    def _step(self, now: dict[int, int], token: str) -> dict[int, int]:
+        """The states after one more token, each with the first state that leads to it."""
+        then: dict[int, int] = {}
+        # How far back the items of a stretch have been looked at: side by side all end at one item.
+        seen: dict[tuple[int, int], int] = {}
+        for at in now:
+            near = self.near[at].get(token, UNKNOWN)
+            if near is not None and near is not UNKNOWN:
+                for to in near:
+                    then.setdefault(to, at)
+                continue
+            found: list[int] | None = [] if near is UNKNOWN else None
+            for own, before, last in self._after(at):
+                if token not in own.places:
+                    continue
+                indexes, states = own.places[token]
+                lo, hi = bisect_right(indexes, before), bisect_right(indexes, last)
+                if found is not None:
+                    if hi - lo + len(found) > NEAR:
+                        found = self.near[at][token] = None
+                    else:
+                        found += states[lo:hi]
+                key = (id(own), last)
+                hi = min(hi, seen.get(key, hi))
+                for k in range(lo, hi):
+                    then.setdefault(states[k], at)
+                seen[key] = min(lo, seen.get(key, lo))
+            if found is not None:
+                self.near[at][token] = tuple(found)
+        return then
 
     def match(self, stream: list[str]) -> list[int] | None:
         """The wrapper's item for each of the stream's, or None if they do not match."""
-        back: list[dict[int, int]] = []
         now = {0: 0}
-        for token in stream:
-            then: dict[int, int] = {}
-            for at in now:
-                for to in self.follow[at].get(token, ()):
-                    then.setdefault(to, at)
-            if not then:
+        # The states before each stretch of the stream, and those within it while there is room; else they are found again.
+        marks: list[dict[int, int]] = []
+        steps: list[list[dict[int, int]] | None] = []
+        room = HELD_STATES
+        for i, token in enumerate(stream):
+            if i % STRETCH == 0:
+                marks.append(now)
+                steps.append([])
+            now = self._step(now, token)
+            if not now:
                 return None
-            back.append(then)
-            now = then
-        at = min((x for x in now if x in self.ends), default=None)
+            steps[-1].append(now)
+            room -= len(now)
+            if room < 0:
+                steps[:-1] = [None] * (len(steps) - 1)
+                room = HELD_STATES - sum(map(len, steps[-1]))
+        at = min((x for x in now if self._may_end(x)), default=None)
         if at is None:
             return None
         path = []
-        for step in reversed(back):
-            path.append(at)
-            at = step[at]
+        for k in range(len(marks) - 1, -1, -1):
+            back = steps[k]
+            if back is None:
+                back, now = [], marks[k]
+                for token in stream[k * STRETCH : (k + 1) * STRETCH]:
+                    now = self._step(now, token)
+                    back.append(now)
+            for step in reversed(back):
+                path.append(at)
+                at = step[at]
         return path[::-1]
 
 
@@ -483,7 +565,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 def _matchers():
     """Wrappers by host, each made ready once in a task."""
-    held: dict[str, Matcher | None] = {}
+    held: dict[str, Matcher] = {}
 
     def of(host: str, wrapper) -> Matcher | None:
         if not isinstance(wrapper, str):
@@ -491,8 +573,7 @@ def _matchers():
         if host not in held:
             if len(held) >= 1000:
                 held.clear()
-            expression = json.loads(wrapper)
-            held[host] = None if tangled(expression) else Matcher(expression)
+            held[host] = Matcher(json.loads(wrapper))
         return held[host]
 
     return of

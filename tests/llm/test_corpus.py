@@ -1,6 +1,7 @@
 """Operators that need the whole corpus, beside brute force on a small one."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -362,6 +363,18 @@ def test_wrappers_match_pages_of_any_shape():
             assert path and [matcher.items[i] for i in path] == stream
 
 
+def test_wrappers_with_many_optional_parts_match_too(monkeypatch):
+    parts = [[f"div.{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "#", "/div"] for i in range(3000)]
+    whole = ["body", *[["?", p] for p in parts], "/body"]
+    matcher = wrappers._matchers()("h", json.dumps(whole))
+    stream = ["body", *[x for p in parts[::3] for x in p], "/body"]
+    for held in (wrappers.HELD_STATES, 1):
+        monkeypatch.setattr(wrappers, "HELD_STATES", held)
+        path = matcher.match(stream)
+        assert path and [matcher.items[i] for i in path] == stream and path == sorted(path)
+    assert matcher.match(["body", *parts[5], *parts[4], "/body"]) is None
+
+
 def test_pages_without_article_keep_what_is_beside_the_body(spark):
     body = "<p>The body is much longer than its title. </p>" * 20
     made = [(i, f"http://{i}.example", f"<div class=post><h1>Title</h1><p>Lead</p><div class=body>{body}</div><ul><li>end</ul></div>") for i in range(2)]
