@@ -143,6 +143,35 @@ def test_language_model_sums_to_one():
     assert np.allclose((10.0**logs).sum(1), 1, atol=1e-4)
 
 
+def test_language_models_of_one_table_beside_the_dense_one(spark):
+    rng = np.random.default_rng(6)
+    counts = {own: {tuple(int(x) for x in g): int(rng.integers(1, 9)) for g in rng.integers(0, 9, (150, 3)) if g[2]} for own in ("en", "")}
+    pack = lambda g, bits: (g[0] << 2 * bits) | (g[1] << bits) | g[2]
+    rows = [(own, pack(g, 21), n) for own, found in counts.items() for g, n in found.items()]
+    got = {(r.lang, r.gram): r.log_p for r in perplexity.model_of(spark.createDataFrame(rows, "lang string, gram long, n long")).collect()}
+    assert len(got) == len(rows)
+    for own, found in counts.items():
+        grams = sorted(found)
+        size = len({g[2] for g in grams})
+        logs = perplexity.log_probabilities(np.array([pack(g, 7) for g in grams]), np.array([found[g] for g in grams]), 1 / (size + 1))
+        assert all(abs(got[own, pack(g, 21)] - logs[pack(g, 7)]) < 1e-5 for g in grams)
+
+
+def test_code_points_of_one_remainder_are_told_apart(spark):
+    # 31 apart: one symbol of 128 stood for all of them, and a text of others was as likely as its model's own.
+    rng = np.random.default_rng(9)
+    letters = [chr(0x4E00 + 31 * i) for i in range(8)]
+    words = ["".join(rng.choice(letters[:4], 2)) for _ in range(200)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(120))
+    rows = [(i, text(), "zh") for i in range(60)]
+    others = dict(zip(letters[:4], letters[4:]))
+    odd = "".join(others[c] if c in others and rng.random() < 0.3 else c for c in text())
+    rows += [(900, odd, "zh"), (901, "", "zh"), (902, "\0 \0", "zh")]
+    got = {r.doc_id: r for r in perplexity.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[900].perplexity > 1.3 * max(got[i].perplexity for i in range(60)) and not got[900].kept
+    assert got[901].perplexity is None and got[902].perplexity > 1
+
+
 def test_licenses_across_lines_and_side_by_side(spark):
     notice = ["Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files"]
     cc0 = "to the extent possible under law the author waived all copyright and related or neighboring rights to this work"
