@@ -66,6 +66,11 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
     return mapped
 
 
+def _dealt(registry: DataFrame) -> DataFrame:
+    """Schema texts dealt over all tasks: they are made from, or stored in, files too small to be read in parts, and take long to parse."""
+    return registry.repartition("group_id", "artifact_id", "version")
+
+
 def _type_parts(df: DataFrame, text: Column) -> DataFrame:
     """Add ``kind`` (absent, text, list, other) and ``members`` of a type node."""
     node = F.try_variant_get(F.try_parse_json(text), "$.type", "variant")
@@ -101,7 +106,8 @@ def columns_of(registry: DataFrame, nested: str = "text") -> DataFrame:
     """
     shape = "properties map<string,string>, required array<string>"
     fields = (
-        registry.withColumn("_s", F.from_json("schema_json", shape))
+        _dealt(registry)
+        .withColumn("_s", F.from_json("schema_json", shape))
         .withColumn("_names", F.transform(F.map_keys("_s.properties"), F.lower))
         .select(
             "group_id",
@@ -147,7 +153,7 @@ def columns_of(registry: DataFrame, nested: str = "text") -> DataFrame:
 
 def columns_of_avro(registry: DataFrame) -> DataFrame:
     """The same for Avro record schemas; ``renamed_from`` lists a field's aliases."""
-    fields = registry.select(
+    fields = _dealt(registry).select(
         "group_id",
         "artifact_id",
         "version",

@@ -92,6 +92,20 @@ def test_json_schema_faults(spark):
     ]
 
 
+def test_schemas_of_one_small_file_are_parsed_by_many_tasks(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    made = registry(spark, *[{"properties": {"a": {"type": "string"}}}] * 40).coalesce(1)
+    avro = made.withColumn("schema_json", F.lit('{"fields":[{"name":"a","type":"string"}]}'))
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        for found in (columns_of(made), columns_of_avro(avro)):
+            got = found.select("artifact_id", F.spark_partition_id().alias("task")).collect()
+            assert len(got) == 40 and len({r["task"] for r in got}) > 1
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_nested_columns_may_be_refused(spark):
     schema = {"properties": {"a": {"type": "array"}}}
     assert columns_of(registry(spark, schema)).first()["warning"] == "nested_as_text"
