@@ -14,6 +14,9 @@ from quayside.session import settings
 
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# Partition values that a task writes side by side: its rows need not be sorted in memory by their value,
+# unless it meets more values than that.
+WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "64"}
 # File sizes alone decide what one task reads: no price for opening a file, no
 # share for each core.
 BY_SIZE = {
@@ -54,11 +57,11 @@ def compact(df: DataFrame, path: str, target_bytes: int = EXPORT_BYTES, partitio
     Without partitioning nothing is shuffled: the scan packs small files into
     tasks of the target size and each task writes one file. With a partition
     column the rows are rebalanced on it, which merges small partitions and
-    splits a hot one.
+    splits a hot one; a task writes its few partitions side by side, without a sort.
     """
     spark = df.sparkSession
     size = str(target_bytes)
-    with settings(spark, {MAX_PARTITION_BYTES: size, ADVISORY_BYTES: size, **BY_SIZE}):
+    with settings(spark, {MAX_PARTITION_BYTES: size, ADVISORY_BYTES: size, **BY_SIZE, **WRITERS}):
         if partition_by:
             df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
         else:

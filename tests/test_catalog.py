@@ -2,6 +2,7 @@ import random
 import threading
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from quayside.operators import compact, evolve, export, lag, register, telemetry
@@ -167,6 +168,20 @@ def test_compaction(spark, tmp_path, rows):
     assert spark.read.parquet(str(tmp_path / "days")).count() == 1000
 
 
+def test_compaction_by_a_column_sorts_no_rows(spark, tmp_path, monkeypatch, rows):
+    seen, write = [], DataFrameWriter.parquet
+
+    def spy(self, path):
+        seen.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        write(self, path)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    made = spark.range(0, 1000, numPartitions=4).withColumn("day", F.when(F.col("id") % 3 > 0, F.col("id") % 90))
+    compact.compact(made, str(tmp_path / "days"), partition_by="day")
+    assert seen[0] > 1
+    assert rows(spark.read.parquet(str(tmp_path / "days")), "id", "day") == rows(made, "id", "day")
+
+
 def test_compaction_meets_its_size(spark, tmp_path):
     source, out = str(tmp_path / "many"), str(tmp_path / "few")
     spark.range(0, 2_400_000, numPartitions=60).select(F.rand(5).alias("v")).write.parquet(source)
