@@ -346,7 +346,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, coded=
     """``dk, spans``: repeated stretches (start, end) of each document of ``docs`` (``dk``, ``text``) that has any.
 
     ``coded`` writes a text as bytes, ``width`` of them for each symbol; stretches are those of the coded texts."""
-    anchors = cut_lineage(find_anchors(docs, length, key, coded, width), "anchors")
+    # Found twice: most drop out here, and all of them would be the largest table of all that is written.
+    anchors = find_anchors(docs, length, key, coded, width)
     # Written, so that the join below deals both sides anew and Spark may split a hot anchor.
     often = cut_lineage(anchors.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "often")
     anchors = cut_lineage(anchors.join(often, "k"), "shared-anchors")
