@@ -23,20 +23,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.union(least.select("a", "m").toDF("a", "b")).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is linked to one smaller node only, which itself is linked to none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"), (F.col("a") < F.col("b")).alias("turned"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1), F.lit(False)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"), F.max("turned").alias("turned"))
+    return nodes.where("up > 1 OR up = 1 AND down = 1 OR turned").agg(F.count("*")).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges`` (``a``, ``b``): the smallest node that it reaches.
 
-    Ends when a round changes nothing: all edges then are stars. Nodes without
-    an edge to another node do not occur. Any type with an order will do.
+    Ends when all edges are stars. Nodes without an edge to another node do not occur. Any type with an order will do.
     """
     edges = cut_lineage(edges.where("a != b").select("a", "b").distinct(), "edges")
-    state = None
-    while True:
+    while not _all_stars(edges):
         edges = cut_lineage(_small_star(_large_star(edges)), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -222,7 +222,8 @@ def _verify(threshold: float):
         out = []
         whole = frame["unit"].iat[0].startswith("u")
         for _, part in frame.groupby("root") if whole else [("", frame)]:
-            part = part.drop_duplicates("key", ignore_index=True)
+            # By key, so that the smallest member of a tile is that of its star.
+            part = part.drop_duplicates("key").sort_values("key", ignore_index=True)
             sets = [np.frombuffer(b, dtype=np.uint64) for b in part["shingles"]]
             side, copies = part["side"].to_numpy(), part["copies"].to_numpy()
             cross = not whole and side.any()

@@ -363,6 +363,17 @@ def test_wrappers_match_pages_of_any_shape():
             assert path and [matcher.items[i] for i in path] == stream
 
 
+def test_components_that_are_stars_need_no_round(spark, monkeypatch):
+    from quayside.llm import components as module
+
+    monkeypatch.setattr(module, "_large_star", None)
+    edges = [(3, 1), (2, 1), (9, 4), (9, 4), (7, 7)]
+    got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (9, 4)}
+    for edges in ([(1, 3)], [(3, 1), (3, 2)], [(3, 2), (2, 1)]):
+        assert not module._all_stars(spark.createDataFrame(edges, "a long, b long"))
+
+
 def test_wrappers_with_many_optional_parts_match_too(monkeypatch):
     parts = [[f"div.{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "#", "/div"] for i in range(3000)]
     whole = ["body", *[["?", p] for p in parts], "/body"]
