@@ -12,7 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from quayside.llm import bpe, licenses, packing, perplexity
-from tests.llm.fixtures import documents, empty
+from tests.llm.fixtures import documents, empty, texts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,23 @@ def test_bpe_tree_joins_exactly(piece):
     assert codec.decode(codec.encode_text(piece)) == piece.encode()
 
 
+def test_packing_encodes_each_text_whole_in_one_call():
+    tokens, library = packing.Tokens(JSON), Tokenizer.from_file(JSON)
+    quick, calls = tokens.quick, []
+
+    class Seen:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return quick.encode_ordinary(text)
+
+    tokens.quick = Seen()
+    given = [t or "" for t in texts()] + ["a\x1c b", "it's\u2028 'LL", "x\r\n\t  y ", "\U0001f600é" * 9]
+    for text in given:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tokens.encode(text), dtype=tokens.kind).tolist() == ids
+    assert calls == [t for t in given if "<|endoftext|>" not in t]
+
+
 def test_packing_keeps_every_id_once(spark):
     df = documents(spark, [f"word{i} " * (i * 7) for i in range(150)] + [None, "", "it's <|endoftext|> a\x1c"])
     library = Tokenizer.from_file(JSON)
