@@ -109,7 +109,9 @@ def _smoothed_table(counts: DataFrame, n: str, context: Column, lower: Column, n
 def model_of(grams: DataFrame) -> DataFrame:
     """``lang, gram, log_p``: log10 p(symbol | two before) of every n-gram of ``lang, gram, n``, all of them distinct.
 
-    Lower orders use continuation counts: in how many contexts a symbol occurs.
+    Lower orders use continuation counts: in how many contexts a symbol occurs. Each order is written before
+    the next reads it: left in one plan, each would be there once for every use of the one above, with all its
+    joins, and the driver would hold the broadcast sides of all of them at once.
     """
     last = lambda c, k: F.col(c).bitwiseAND(F.lit((1 << k * BITS) - 1))
     two = grams.groupBy("lang", last("gram", 2).alias("pair")).agg(F.count("*").alias("n2"))
@@ -118,8 +120,10 @@ def model_of(grams: DataFrame) -> DataFrame:
     # One symbol more stands for all that the language does not have.
     sizes = cut_lineage(one.groupBy("lang").agg((F.count("*") + 1).alias("size")), "alphabets")
     one = _smoothed_table(one.join(sizes, "lang"), "n1", F.lit(0), 1 / F.col("size"), "p1").select("lang", "symbol", "p1")
+    one = cut_lineage(one, "chances-of-symbols")
     two = two.withColumn("symbol", last("pair", 1)).join(one, ["lang", "symbol"])
     two = _smoothed_table(two, "n2", F.shiftright("pair", BITS), F.col("p1"), "p2").select("lang", "pair", "p2")
+    two = cut_lineage(two, "chances-of-pairs")
     three = grams.withColumn("pair", last("gram", 2)).join(two, ["lang", "pair"])
     three = _smoothed_table(three, "n", F.shiftright("gram", BITS), F.col("p2"), "p3")
     return three.select("lang", "gram", F.log10("p3").alias("log_p"))

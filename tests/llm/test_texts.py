@@ -226,3 +226,10 @@ def test_texts_are_judged_in_the_language_of_their_row(spark):
     assert all(got[i].kept for i in range(180))
     for i in range(900, 904):
         assert not got[i].base_failed and not got[i].kept, i
+
+
+def test_orders_of_the_model_are_not_repeated_in_its_plan(spark):
+    rows = [("en", 65 << 42 | 66 << 21 | 67 + i, 1 + i) for i in range(9)]
+    made = perplexity.model_of(spark.createDataFrame(rows, "lang string, gram long, n long"))
+    joins = made._jdf.queryExecution().optimizedPlan().toString().count("Join Inner")
+    assert joins <= 5, joins
