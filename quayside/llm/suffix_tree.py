@@ -2,18 +2,22 @@
 
 Symbols are the words of the training texts, the end of a text, and one symbol
 for all unknown words, as in the base score. A state is the longest suffix of the
-words before (up to DEPTH) that the tree holds. A context is in the tree if it
-makes up at least SUPPORT of all tokens and its next words diverge from what its
+words before (up to DEPTH) that the tree holds. A context is in the tree if
+training texts hold it at least twice and its next words diverge from what its
 own suffix predicts by more than its parameters cost. Next-word distributions
 are mixed with those of the suffix (Witten and Bell) down to the root, whose
 counts are discounted by what unknown words need (absolute discounting). So the
 probabilities of all symbols add up to one in every state.
 
-Supports are shares of all training tokens, so the tree has at most
-1 / SUPPORT contexts of a length and FOLLOWER / SUPPORT next words, whatever the
-corpus: that is the bound of what is collected and broadcast. Words and their
-counts stay distributed: each input split asks for its own words and is joined
-with the answers. Contexts of one word more are counted in one more pass.
+SEEN is a count, not a share of the corpus, so the tree grows with it: what was seen
+once only is its own evidence and is left to the back-off, whatever the corpus. Nothing of the tree is
+collected but the sums of heavy contexts, of which there are at most HEAVY in any corpus.
+
+Words, contexts and next words are counted level by level. Each window of WINDOW rows
+of an input partition sends the distinct n-grams of its texts, as arrays dealt by their context
+(those of heavy contexts by themselves), and gets the counts of the whole corpus back in the order
+in which it sent them. An n-gram is asked for only if its context was seen twice. Words are
+compared as bytes, contexts by 64-bit hashes, the next words of a context by 48 bits.
 
 Null texts count as empty: one token, the end. Without training rows all counts
 are 0, and the root gives each token probability 1 / (V + 1) = 1.
@@ -22,27 +26,48 @@ are 0, and the root gives each token probability 1 / (V + 1) = 1.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import encode, remainder, text_of
-from quayside.session import cut_lineage
+from quayside.llm.common import encode, remainder
+from quayside.llm.common import mix as mixed
+from quayside.session import cut_lineage, settings
 
 DEPTH = 3
-SUPPORT = 5e-6
-# Next words of a context that make up this part of SUPPORT are kept one by one.
-FOLLOWER = 4
+# How often a context, a next word of it, or a known word before others occurs at least.
+SEEN = 2
+# Rows of an input partition that are asked for together: a power of two.
+WINDOW = 1 << 11
+# Next words of contexts that make up more than 1 / HEAVY of all tokens are dealt one by one.
+HEAVY = 1 << 12
 # What a context must save per next word, in natural units, to be in the tree.
 DIVERGENCE = 3.0
 MODULUS, HELD_OUT = 7, 2
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 # The end token; no word is empty. It also stands before the first word, as a context.
 LAST = b""
+# Hashes of LAST, of all words that training texts hold less than SEEN times, and of next words that occur once after a context.
+LAST_KEY, OTHER_KEY, LONE_KEY = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+# Chances without a level go to its test as -log in steps of 1 / STEPS, in 24 bits; the last two numbers stand for the latter two symbols.
+STEPS = 1 << 18
+LONE, OTHER = (1 << 24) - 2, (1 << 24) - 1
+CHUNK_BYTES = 1 << 20
+# Shuffled files of a written level are not needed again.
+CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+ANSWERS = (
+    "window long, bucket int, counts binary, counts_large array<long>, over binary, over_large array<long>, "
+    "rest binary, rest_large array<long>, contexts array<long>, sums array<long>, lowers array<double>"
+)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * LAST_KEY)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -50,30 +75,146 @@ def words_of(text: str) -> list[bytes]:
     return WORD.findall(encode(text).lower())
 
 
-def split_words(df: DataFrame) -> DataFrame:
-    """``split, word, n``: the distinct words of each input split and their counts in training rows."""
-
-    def count(frames):
-        every, train = set(), Counter()
-        for frame in frames:
-            for doc, value in zip(frame["doc_id"], frame["text"]):
-                words = words_of(text_of(value))
-                words.append(LAST)
-                if remainder(doc, MODULUS) == HELD_OUT:
-                    every.update(words)
-                else:
-                    train.update(words)
-        split = TaskContext.get().partitionId()
-        words = [*train, *(every - train.keys())]
-        for a in range(0, len(words), 50_000):
-            part = words[a : a + 50_000]
-            yield pd.DataFrame({"split": split, "word": part, "n": [train.get(w, 0) for w in part]})
-
-    return df.mapInPandas(count, "split int, word binary, n long")
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All indexes of ranges, one range after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
+def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and names of runs of equal values."""
+    starts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else np.zeros(0, dtype=np.int64)
+    return np.diff(np.append(starts, len(names))), names[starts]
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(keys + OTHER_KEY) % np.uint64(buckets)).astype(np.int64)
+
+
+def _order(bucket: np.ndarray, context: np.ndarray, contexts: int) -> np.ndarray:
+    """The order by bucket, context and place."""
+    bits = len(bucket).bit_length()
+    both = bucket * max(contexts, 1) + context
+    if int(both.max(initial=0)).bit_length() + bits < 63:
+        # Sorting numbers that hold their place is much faster than a stable sort of places.
+        return np.sort((both << bits) | np.arange(len(both))) & ((1 << bits) - 1)
+    return np.argsort(both, kind="stable")
+
+
+def _lists(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(_offsets(sizes)), values)
+
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    return lists.value_lengths().to_numpy()
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of texts in bytes: their bytes in lower case on end, lengths and hashes, and each text's number of words."""
+    chars, lengths, hashes, per_text = [], [], [], []
+    a, texts = 0, len(offsets) - 1
+    while a < texts:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK_BYTES, "right")) - 1)
+        part = data[offsets[a] : offsets[b]]
+        inside = np.zeros(len(part) + 1, dtype=bool)
+        inside[:-1] = ~_SPACE[part]
+        # A word begins after white space or at the start of a text, and ends before either.
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends = inside.copy()
+        ends[:-1] &= ~inside[1:]
+        bounds = offsets[a : b + 1] - offsets[a]
+        begins[bounds] = inside[bounds]
+        edges = bounds[bounds > 0] - 1
+        ends[edges] = inside[edges]
+        first = np.flatnonzero(begins)
+        sizes = np.flatnonzero(ends) - first + 1
+        kept = _LOWER[part[inside[:-1]]]
+        starts = np.cumsum(sizes) - sizes
+        odd = mixed(np.arange(1, int(sizes.max(initial=0)) + 1, dtype=np.uint64) * OTHER_KEY) | np.uint64(1)
+        chars.append(kept)
+        lengths.append(sizes)
+        if len(first):
+            place = np.arange(len(kept), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+            hashes.append(np.add.reduceat(_BYTES[kept] * odd[place], starts))
+        per_text.append(np.diff(np.searchsorted(first, bounds)))
+        a = b
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
+    return join(chars, np.uint8), join(lengths, np.int64), join(hashes, np.uint64), join(per_text, np.int64)
+
+
+def _windows(batches):
+    """``window, ids, sizes, texts``: the texts of a window in one row, compressed; its rows follow one another."""
+
+    def row(window, parts):
+        texts = pa.chunked_array([p.column("text") for p in parts]).combine_chunks().cast(pa.large_binary()).fill_null(b"")
+        ids = pa.concat_arrays([p.column("doc_id") for p in parts])
+        blob = pa.compress(b"".join(texts.to_pylist()), codec="zstd", asbytes=True)
+        sizes = pa.compute.binary_length(texts).cast(pa.int64())
+        one = np.array([len(texts)])
+        return pa.record_batch({"window": [window], "ids": _lists(ids, one), "sizes": _lists(sizes, one), "texts": pa.array([blob], pa.binary())})
+
+    at, held = None, []
+    for batch in batches:
+        sizes, names = _runs(batch.column("window").to_numpy())
+        start = 0
+        for size, name in zip(sizes.tolist(), names.tolist()):
+            if held and name != at:
+                yield row(at, held)
+                held = []
+            at = name
+            held.append(batch.slice(start, size))
+            start += size
+    if held:
+        yield row(at, held)
+
+
+def _packed(values: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """A row of bytes per size, 255 for what is larger, and the larger values."""
+    small = np.minimum(values, 255).astype(np.uint8)
+    many = np.concatenate([[0], np.cumsum(small == 255)])
+    offsets = _offsets(sizes)
+    large = pa.ListArray.from_arrays(pa.array(many[offsets].astype(np.int32)), pa.array(values[small == 255]))
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(small)]), large
+
+
+def _unpack(answers: pa.Table, name: str, size: int) -> np.ndarray:
+    """The values of `_packed` of all rows, one row after another."""
+    values = np.frombuffer(b"".join(answers[name].to_pylist()), dtype=np.uint8).astype(np.int64)
+    if len(values) != size:
+        raise ValueError("a word without an answer: the passes over the input read different rows")
+    if size:
+        values[values == 255] = answers[f"{name}_large"].combine_chunks().flatten().to_numpy()
+    return values
+
+
+def _answers(rows: pa.Table, asked: dict, contexts: np.ndarray, sums: np.ndarray, lowers: np.ndarray) -> pa.Table:
+    """Rows of ANSWERS: what each window has asked for, and one of no window for the sums of the bucket."""
+    size, bucket = rows.num_rows, rows["bucket"].combine_chunks()
+    columns = {"window": rows["window"].combine_chunks(), "bucket": bucket}
+    none = np.zeros(size, dtype=np.int64)
+    for name in ("counts", "over", "rest"):
+        columns[name], columns[f"{name}_large"] = _packed(*asked.get(name, (np.zeros(0, dtype=np.int64), none)))
+    for name, kind in (("contexts", np.int64), ("sums", np.int64), ("lowers", np.float64)):
+        columns[name] = _lists(pa.array(np.zeros(0, dtype=kind)), none)
+    table = pa.table(columns)
+    if not len(sums):
+        return table
+    empty = _packed(np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
+    last = {"window": pa.array([-1], pa.int64()), "bucket": bucket[:1]}
+    for name in ("counts", "over", "rest"):
+        last[name], last[f"{name}_large"] = empty
+    for name, value in (("contexts", contexts), ("sums", sums), ("lowers", lowers)):
+        last[name] = _lists(pa.array(value), np.array([len(value)]))
+    return pa.concat_tables([table, pa.table(last)])
 
 
 class Tree:
-    """Frequent words by number, and for each length the contexts in the tree.
+    """The tree of few words in memory: words by number, and for each length the contexts in it.
 
     An n-gram is coded as (number of its first words as an n-gram) * size + (number of its last word);
     ``grams[k]`` holds the sorted codes of the n-grams of k + 2 words that may be contexts.
@@ -150,119 +291,260 @@ class Tree:
         self.levels.append((kept, back, codes, share))
         self.grams.append(codes[counts >= least])
 
-    def held(self) -> tuple:
-        return list(self.ids), self.grams, self.levels
 
-    @classmethod
-    def of(cls, held: tuple) -> Tree:
-        """A tree from its parts, as they are broadcast."""
-        tree = cls(held[0])
-        tree.grams, tree.levels = held[1], held[2]
-        return tree
+class Asked:
+    """What the texts of one window ask for, and its answers so far.
+
+    Tokens are the words between two LAST of each text. ``chance``: the probability of each token by the
+    contexts of the levels answered. ``state``: for each token the number of the n-gram up to it that may be a
+    context of the next level, or -1; ``keys`` and ``counts``: hashes of these n-grams, and how often training
+    texts hold them (0: less than SEEN times, or with a rare word).
+    """
+
+    def __init__(self, table: pa.Table):
+        (ids,), (sizes,), (blob,) = (table[c].to_pylist() for c in ("ids", "sizes", "texts"))
+        offsets = _offsets(sizes).astype(np.int64)
+        data = np.frombuffer(pa.decompress(blob, decompressed_size=int(offsets[-1]), codec="zstd"), dtype=np.uint8)
+        self.doc_id = pa.array(ids, pa.string())
+        self.held = np.array([remainder(d, MODULUS) == HELD_OUT for d in ids])
+        self.chars, self.lengths, words, per_text = _words(data, offsets)
+        sizes = per_text + 2
+        self.starts = np.cumsum(sizes) - sizes
+        total = int(sizes.sum())
+        self.real = np.ones(total, dtype=bool)
+        self.real[self.starts] = False
+        self.inner = self.real.copy()
+        self.inner[self.starts + sizes - 1] = False
+        hashes = np.full(total, LAST_KEY)
+        hashes[self.inner] = words
+        self.train = np.repeat(~self.held, sizes)
+        self.code, self.words = pd.factorize(hashes)
+
+    def word_rows(self, window: int, buckets: int) -> pa.Table:
+        """``window, bucket, words, n``: distinct words in bytes and their counts in training texts."""
+        lengths = np.zeros(len(self.code), dtype=np.int64)
+        lengths[self.inner] = self.lengths
+        places = np.cumsum(lengths) - lengths
+        first = np.zeros(len(self.words), dtype=np.int64)
+        first[self.code[::-1]] = np.arange(len(self.code) - 1, -1, -1)
+        # Equal hashes must be equal words: each token is compared with the first of its hash.
+        for a in range(0, len(self.code), 1 << 17):
+            part = slice(a, a + (1 << 17))
+            model = first[self.code[part]]
+            if (lengths[part] != lengths[model]).any():
+                raise ValueError("two words of one hash")
+            here = slice(places[a], places[a] + lengths[part].sum())
+            if (self.chars[_ranges(places[model], lengths[part])] != self.chars[here]).any():
+                raise ValueError("two words of one hash")
+        n = np.bincount(self.code[self.train & self.real], minlength=len(self.words))
+        bucket, order = self._word_order(buckets)
+        sizes, names = _runs(bucket[order])
+        taken = first[order]
+        data = np.ascontiguousarray(self.chars[_ranges(places[taken], lengths[taken])])
+        values = pa.Array.from_buffers(pa.binary(), len(order), [None, pa.py_buffer(_offsets(lengths[taken])), pa.py_buffer(data)])
+        return pa.table(
+            {"window": np.full(len(names), window), "bucket": names.astype(np.int32), "words": _lists(values, sizes),
+             "n": _lists(pa.array(n[order].astype(np.int64)), sizes)}
+        )
+
+    def _word_order(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        bucket = _bucket(self.words, buckets)
+        return bucket, np.argsort(bucket, kind="stable")
+
+    def take_words(self, answers: pa.Table, buckets: int, root) -> None:
+        _, order = self._word_order(buckets)
+        self.train_counts = np.empty(len(order), dtype=np.int64)
+        self.train_counts[order] = _unpack(answers, "counts", len(order))
+        self.chance = root(self.train_counts)[self.code]
+        self.rare = self.train_counts < SEEN
+        # The same, and after them the symbols of rare words and of next words that occur once.
+        self.names = np.append(mixed(self.words), [OTHER_KEY, LONE_KEY])
+        self.state = np.where(self.rare[self.code], -1, self.code)
+        self.keys, self.counts = self.names[:-2], self.train_counts
+
+    def ask(self, level: int, buckets: int, heavy: int) -> None:
+        """The distinct n-grams of a context of ``level`` words and a next word, in the order in which they are sent."""
+        before = np.full(len(self.state), -1)
+        before[1:] = self.state[:-1]
+        at = np.flatnonzero((before >= 0) & self.real)
+        before, state, word = before[at], self.state[at], self.code[at]
+        # Rarer than SEEN without its first word, an n-gram occurs once: each occurrence is a next word of its own.
+        known = ~self.rare[word]
+        lone = known & (state < 0)
+        word[~known], word[lone] = len(self.names) - 2, len(self.names) - 1
+        if level > 1:
+            # With less than SEEN others, no next word can be one that makes up a context.
+            use = (self.counts - np.bincount(before[lone & self.train[at]], minlength=len(self.counts)) >= SEEN)[before]
+            at, before, word = at[use], before[use], word[use]
+        size = len(self.names)
+        gram, both = pd.factorize(before * size + word)
+        contexts, words = both // size, both % size
+        used = np.zeros(len(self.counts), dtype=bool)
+        used[contexts] = True
+        own = (np.cumsum(used) - 1)[contexts]
+        context_keys, big = self.keys[used], self.counts[used] > heavy
+        grams = mixed(context_keys[own] + mixed(self.names[words] ^ np.uint64(level)))
+        bucket = _bucket(context_keys, buckets)[own]
+        apart = big[own]
+        bucket[apart] = buckets + _bucket(grams[apart], buckets)
+        order = _order(bucket, own, len(context_keys))
+        self.at, self.gram, self.order = at, gram, order
+        self.bucket, self.grams, words, own = bucket[order], grams[order], words[order], own[order]
+        lower = np.empty(len(both))
+        lower[gram] = self.chance[at]
+        self.lower = np.minimum(np.rint(np.log(lower[order]) * -STEPS), LONE - 1).astype(np.uint32)
+        self.lower[words == size - 2], self.lower[words == size - 1] = OTHER, LONE
+        self.words_asked = mixed(self.names[words])
+        # One entry per context and bucket, in the same order.
+        change = np.ones(len(own), dtype=bool)
+        change[1:] = (own[1:] != own[:-1]) | (self.bucket[1:] != self.bucket[:-1])
+        self.entry = np.cumsum(change) - 1
+        self.entry_first = np.flatnonzero(change)
+        self.contexts, self.big = context_keys[own[change]], big[own[change]]
+
+    def gram_rows(self, window: int) -> pa.Table:
+        n = np.bincount(self.gram[self.train[self.at]], minlength=len(self.grams)).astype(np.int32)[self.order]
+        sizes, names = _runs(self.bucket)
+        entry_sizes = np.diff(np.append(self.entry_first, len(self.grams)))
+        entries = _runs(self.bucket[self.entry_first])[0]
+        return pa.table(
+            {"window": np.full(len(names), window), "bucket": names.astype(np.int32),
+             "contexts": _lists(pa.array(self.contexts.view(np.int64)), entries),
+             "sizes": _lists(pa.array(entry_sizes.astype(np.int32)), entries),
+             "high": _lists(pa.array((self.words_asked >> np.uint64(32)).astype(np.uint32).view(np.int32)), sizes),
+             "low": _lists(pa.array(self.words_asked.astype(np.uint16).view(np.int16)), sizes),
+             "n": _lists(pa.array(n), sizes),
+             "lower": _lists(pa.array((self.lower >> 8).astype(np.uint16).view(np.int16)), sizes),
+             "finer": _lists(pa.array(self.lower.astype(np.uint8).view(np.int8)), sizes)}
+        )
+
+    def take(self, answers: pa.Table, large: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        """Take the answers to `ask`. ``large``: sorted heavy contexts, their ``over`` and ``rest``."""
+        size, entries = len(self.grams), len(self.contexts)
+        counts = _unpack(answers, "counts", size)
+        over, rest = _unpack(answers, "over", entries), _unpack(answers, "rest", entries)
+        if self.big.any():
+            wanted = self.contexts[self.big].view(np.int64)
+            place = np.searchsorted(large[0], wanted)
+            if not len(large[0]) or (large[0][place.clip(max=len(large[0]) - 1)] != wanted).any():
+                raise ValueError("a context without an answer: the passes over the input read different rows")
+            over[self.big], rest[self.big] = large[1][place], large[2][place]
+        shown = (counts >= SEEN) & (self.lower < LONE)
+        kept, below = over > 0, np.maximum(over, 1)
+        share = np.where(shown & kept[self.entry], counts / below[self.entry], 0.0)
+        back = np.where(kept, rest / below, 1.0)[self.entry]
+        place = np.empty(size, dtype=np.int64)
+        place[self.order] = np.arange(size)
+        place = place[self.gram]
+        self.chance[self.at] = share[place] + back[place] * self.chance[self.at]
+        self.state = np.full(len(self.state), -1)
+        self.state[self.at] = np.where(shown[place], place, -1)
+        self.keys, self.counts = self.grams, np.where(shown, counts, 0)
+
+
+def count_words(rows: pa.Table) -> pa.Table:
+    """The words of one bucket: their counts over all windows, for each window in the order in which it asked."""
+    words, n = rows["words"].combine_chunks(), rows["n"].combine_chunks()
+    code = words.flatten().dictionary_encode()
+    counts = np.bincount(code.indices.to_numpy(), weights=n.flatten().to_numpy(), minlength=len(code.dictionary)).astype(np.int64)
+    sums = [counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()]
+    return _answers(rows, {"counts": (counts[code.indices.to_numpy()], _sizes(words))}, np.zeros(0, np.int64), np.array(sums), np.zeros(0))
+
+
+def count_grams(buckets: int):
+    """The n-grams of one bucket: counts over all windows, and what each context there makes of them.
+
+    Numbers from ``buckets`` on hold next words of heavy contexts, which lie in many buckets: what the sums of those
+    need goes to a row of its own: its n-grams seen twice or more, and per context the others as one.
+    """
 
+    def count(rows: pa.Table) -> pa.Table:
+        contexts, sizes, high = (rows[c].combine_chunks() for c in ("contexts", "sizes", "high"))
+        flat = lambda c: rows[c].combine_chunks().flatten().to_numpy()
+        entry, names = pd.factorize(contexts.flatten().to_numpy())
+        of = np.repeat(entry, sizes.flatten().to_numpy())
+        next_word = (flat("high").view(np.uint32).astype(np.uint64) << np.uint64(16)) | flat("low").view(np.uint16)
+        gram, distinct = pd.factorize(mixed(names.view(np.uint64)[of] + mixed(next_word)))
+        own, lower = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct))
+        own[gram], lower[gram] = of, flat("lower").view(np.uint16) * 256.0 + flat("finer").view(np.uint8)
+        other, lone = lower == OTHER, lower == LONE
+        lower = np.exp(lower / -STEPS)
+        c = np.bincount(gram, weights=flat("n"), minlength=len(distinct))
+        kinds = np.where(lone, c, c > 0)
+        shown = (c >= SEEN) & ~other & ~lone
+        add = lambda what: np.bincount(own, weights=what, minlength=len(names))
+        asked = {"counts": (c[gram].astype(np.int64), _sizes(high))}
+        empty = np.zeros(len(entry), dtype=np.int64)
+        if rows["bucket"][0].as_py() >= buckets:
+            seen, others = add(c * ~shown), add(kinds * ~shown)
+            both = [(names[own[shown]], c[shown], lower[shown]), (names, seen, -others)]
+            parts = [np.concatenate(x) for x in zip(*both)]
+            asked |= {"over": (empty, _sizes(contexts)), "rest": (empty, _sizes(contexts))}
+            return _answers(rows, asked, parts[0], parts[1].astype(np.int64), parts[2])
+        total, shares = add(c), add(c * shown)
+        over, rest = total + add(kinds), total - shares + add(kinds)
+        back = rest / np.maximum(over, 1)
+        gain = np.zeros(len(c))
+        gain[shown] = c[shown] * np.log((c[shown] / over[own[shown]] + back[own[shown]] * lower[shown]) / lower[shown])
+        # The words that are left out cost what the back-off takes from them.
+        gains = add(gain) + (total - shares) * np.log(np.maximum(back, 1e-12))
+        kept = (gains > DIVERGENCE * add(shown).clip(1)) & (total > 0)
+        for name, value in (("over", over), ("rest", rest)):
+            asked[name] = (np.where(kept, value, 0).astype(np.int64)[entry], _sizes(contexts))
+        return _answers(rows, asked, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
-def _tokens(frame: pd.DataFrame, training_only: bool) -> tuple[list[bytes], np.ndarray]:
-    """All tokens of a frame's texts, each text between two LAST, and where texts start."""
-    tokens, starts = [], []
-    for doc, value in zip(frame["doc_id"], frame["text"]):
-        if not training_only or remainder(doc, MODULUS) != HELD_OUT:
-            starts.append(len(tokens))
-            tokens.append(LAST)
-            tokens += words_of(text_of(value))
-            tokens.append(LAST)
-    return tokens, np.array(starts, dtype=np.int64)
+    return count
 
 
-def count_next(df: DataFrame, tree: Tree, length: int) -> DataFrame:
-    """``code, n``: how often each frequent word follows each context of ``length`` words, in training rows.
+def heavy_contexts(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heavy contexts in the tree, from the rows that their buckets left: sorted, with ``over`` and ``rest``; both 0 if not kept.
 
-    Code ``context * size + size - 1`` counts all other words.
+    A heavy context makes up more than 1 / HEAVY of all training tokens, so there are at most HEAVY of them.
     """
-    shared = df.sparkSession.sparkContext.broadcast(tree.held())
-
-    def count(frames):
-        tree = Tree.of(shared.value)
-        total = None
-        for frame in frames:
-            tokens, starts = _tokens(frame, True)
-            if not tokens:
-                continue
-            numbers = tree.numbers(tokens)
-            context = tree.contexts(numbers, starts, length)
-            at = context >= 0
-            codes = context[at] * tree.size + np.where(numbers[at] >= 0, numbers[at], tree.size - 1)
-            found, n = np.unique(codes, return_counts=True)
-            if total is not None:
-                found, where = np.unique(np.concatenate([total[0], found]), return_inverse=True)
-                n = np.bincount(where, weights=np.concatenate([total[1], n])).astype(np.int64)
-            total = (found, n)
-        if total is not None:
-            for a in range(0, len(total[0]), 100_000):
-                yield pd.DataFrame({"code": total[0][a : a + 100_000], "n": total[1][a : a + 100_000]})
-
-    return df.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def fit(df: DataFrame, vocabulary: DataFrame, n: int, root) -> Tree:
-    """The tree over training rows. ``root``: root probabilities of counts."""
-    least = max(2.0, SUPPORT * n)
-    frequent = vocabulary.where(F.col("n") >= least).select("word", "n").toPandas().sort_values("word")
-    tree = Tree([bytes(w) for w in frequent["word"]])
-    size = tree.size
-    roots = np.append(root(frequent["n"].to_numpy(float)), 1.0)
-    totals = frequent["n"].to_numpy(float)
-    if LAST in tree.ids:
-        # Before each training text there is one LAST, after it another: as many contexts as ends.
-        totals[tree.ids[LAST]] = frequent["n"].iat[tree.ids[LAST]]
-    for length in range(1, DEPTH + 1):
-        counted = cut_lineage(count_next(df, tree, length), "next-words")
-        context = F.expr(f"code DIV {size}")
-        sums = counted.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        rows = counted.where((F.col("n") >= max(2.0, least / FOLLOWER)) & (F.expr(f"code % {size}") < size - 1))
-        rows = rows.join(sums, context == F.col("context")).select("code", "n", "kinds", "total").toPandas()
-        rows = rows.sort_values("code", ignore_index=True)
-        if not len(rows):
-            break
-        contexts, words = (rows["code"] // size).to_numpy(), (rows["code"] % size).to_numpy()
-        sums = np.zeros(len(totals))
-        sums[contexts] = rows["total"]
-        # The chance of each next word without this level: read it after the context's own words.
-        lower = _lower(tree, contexts, words, roots, length)
-        tree.add_level(rows, lower, sums, least)
-        totals = np.zeros(len(tree.grams[-1]))
-        if not len(totals):
-            break
-    return tree
-
-
-def _lower(tree: Tree, contexts: np.ndarray, words: np.ndarray, roots: np.ndarray, length: int) -> np.ndarray:
-    """p(word | context without its first word)."""
-    line = np.empty((len(contexts), length + 1), dtype=np.int64)
-    line[:, length] = words
-    rest = contexts
-    for k in range(length - 1, 0, -1):
-        codes = tree.grams[k - 1][rest]
-        line[:, k], rest = codes % tree.size, codes // tree.size
-    line[:, 0] = rest
-    flat = line.ravel()
-    starts = np.arange(0, len(flat), length + 1)
-    return tree.chances(flat, starts, roots[flat], length - 1)[length :: length + 1]
+    parts = answers.where("window < 0").selectExpr("inline(arrays_zip(contexts, sums, lowers))")
+    parts = parts.toDF("context", "c", "lower").withColumn("shown", F.col("lower") > 0)
+    sums = parts.groupBy("context").agg(
+        F.sum("c").alias("total"),
+        F.sum(F.when(F.col("shown"), 1.0).otherwise(-F.col("lower"))).cast("long").alias("kinds"),
+        F.sum(F.when(F.col("shown"), F.col("c")).otherwise(0)).alias("own"),
+        F.count_if("shown").alias("words"),
+    )
+    # Only held-out texts may be left to ask for a context that no other text can bring into the tree: its total is 0.
+    over, rest = F.greatest(F.col("total") + F.col("kinds"), F.lit(1)), F.col("total") - F.col("own") + F.col("kinds")
+    sums = sums.withColumns({"over": over, "rest": rest, "back": rest / over})
+    joined = parts.join(F.broadcast(sums), "context")
+    share = F.try_divide(F.col("c") / F.col("over") + F.col("back") * F.col("lower"), F.col("lower"))
+    gains = joined.groupBy("context", "total", "own", "words", "over", "rest", "back").agg(
+        F.sum(F.when(F.col("shown"), F.col("c") * F.log(share)).otherwise(0.0)).alias("gain")
+    )
+    gain = F.col("gain") + (F.col("total") - F.col("own")) * F.log(F.greatest("back", F.lit(1e-12)))
+    kept = (gain > DIVERGENCE * F.greatest("words", F.lit(1))) & (F.col("total") > 0)
+    found = gains.select("context", *[F.when(kept, F.col(c)).otherwise(0).alias(c) for c in ("over", "rest")])
+    found = found.toPandas().sort_values("context")
+    return tuple(found[c].to_numpy(np.int64) for c in ("context", "over", "rest"))
 
 
 def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document its tokens, the unigram base score and the tree's log10 probability.
 
-    The split of a row is the partition of the scan that read it, so that both
-    passes must read the same partitions, as passes over files do. A word
-    without an answer would stop the task.
+    A window is a stretch of a partition of the scan, so that all passes must read the same partitions,
+    as passes over files do. A word or context without an answer stops the task.
     """
-    given = df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
     spark = df.sparkSession
-    asked = cut_lineage(split_words(given), "split-words")
-    counted = cut_lineage(asked.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    n, v, ones, twos = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), *[F.count_if(F.expr(c)) for c in ("n > 0", "n = 1", "n = 2")]
-    ).first()
+    given = df.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+    given = given.withColumn("window", F.shiftright(F.monotonically_increasing_id(), WINDOW.bit_length() - 1))
+    buckets = given.count() // WINDOW + 1
+    texts = given.mapInArrow(_windows, "window long, ids array<string>, sizes array<long>, texts binary")
+
+    def words(batches):
+        for row in _windows(batches):
+            yield from Asked(pa.Table.from_batches([row])).word_rows(row["window"][0].as_py(), buckets).to_batches()
+
+    with settings(spark, CLEANED):
+        asked = given.mapInArrow(words, "window long, bucket int, words array<binary>, n array<long>")
+        answers = cut_lineage(asked.groupBy("bucket").applyInArrow(count_words, ANSWERS), "words")
+        sums = [F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)) for i in range(4)]
+        n, v, ones, twos = answers.where("window < 0").agg(*sums).first()
     discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.05
 
     def root(counts: np.ndarray) -> np.ndarray:
@@ -271,38 +553,54 @@ def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             return np.ones(len(counts))
         return np.where(counts > 0, (counts - discount) / n, discount * v / n)
 
-    shared = spark.sparkContext.broadcast(fit(given, counted, n, root).held())
-    answers = asked.select("split", "word").join(counted, "word")
-
-    def score(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        tree = Tree.of(shared.value)
-        counts = words["n"].to_numpy(float)
-        names = [bytes(w) for w in words["word"]]
-        index = {w: i for i, w in enumerate(names)}
-        numbers, roots = tree.numbers(names), root(counts)
+    levels, large = [answers], []
+    heavy = n // HEAVY
+
+    def answered(own: pa.Table, found: pa.Table) -> Asked:
+        at = Asked(own)
+        # Only the first pass needs them.
+        at.chars = at.lengths = None
+        found = found.sort_by([("level", "ascending"), ("bucket", "ascending")])
+        level = found["level"].to_numpy()
+        of = lambda k: found.slice(np.searchsorted(level, k), (level == k).sum())
+        at.take_words(of(0), buckets, root)
+        for k, sums in enumerate(large, 1):
+            at.ask(k, buckets, heavy)
+            at.take(of(k), sums)
+        return at
+
+    def joined(function, schema: str) -> DataFrame:
+        columns = ["window", "bucket", "counts", "counts_large", "over", "over_large", "rest", "rest_large"]
+        every = None
+        for k, own in enumerate(levels):
+            part = own.where("window >= 0").select(F.lit(k).alias("level"), *columns)
+            every = part if every is None else every.unionByName(part)
+        return texts.groupBy("window").cogroup(every.groupBy("window")).applyInArrow(function, schema)
+
+    def grams(own: pa.Table, found: pa.Table) -> pa.Table:
+        at = answered(own, found)
+        at.ask(len(large) + 1, buckets, heavy)
+        return at.gram_rows(own["window"][0].as_py())
+
+    for _ in range(DEPTH if n else 0):
+        with settings(spark, CLEANED):
+            asked = joined(grams, "window long, bucket int, contexts array<long>, sizes array<int>, high array<int>, low array<short>, n array<int>, lower array<short>, finer array<tinyint>")
+            levels.append(cut_lineage(asked.groupBy("bucket").applyInArrow(count_grams(buckets), ANSWERS), "next-words"))
+            found = heavy_contexts(levels[-1])
+        large.append(found)
+
+    def score(own: pa.Table, found: pa.Table) -> pa.Table:
+        at = answered(own, found)
+        counts = at.train_counts[at.code]
         base = np.log10(counts + 1.0) - np.log10(n + v + 1.0)
-        out = []
-        for a in range(0, len(rows), 256):
-            part = rows.iloc[a : a + 256]
-            tokens, starts = _tokens(part, False)
-            at = np.fromiter(map(index.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-            logs = np.log10(tree.chances(numbers[at], starts, roots[at]))
-            # The LAST before each text is a context, not a token.
-            real = np.ones(len(tokens))
-            real[starts] = 0
-            sums = [np.add.reduceat(x * real, starts) for x in (np.ones(len(tokens)), counts[at] > 0, base[at], logs)]
-            held = [remainder(d, MODULUS) == HELD_OUT for d in part["doc_id"]]
-            out.append(
-                pd.DataFrame(
-                    {"doc_id": part["doc_id"].to_numpy(), "held_out": held, "n_tokens": sums[0].astype(np.int64),
-                     "n_known": sums[1].astype(np.int64), "train_tokens": n, "base_score": sums[2], "score": sums[3]}
-                )
-            )
-        return pd.concat(out) if out else pd.DataFrame(columns=columns)
-
-    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    placed = given.withColumn("split", F.spark_partition_id())
+        # The LAST before each text is a context, not a token.
+        real = at.real.astype(float)
+        values = (np.ones(len(real)), counts > 0, base, np.log10(at.chance))
+        sums = [np.add.reduceat(x * real, at.starts) for x in values]
+        return pa.table(
+            {"doc_id": at.doc_id, "held_out": at.held, "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64),
+             "train_tokens": np.full(len(at.held), n, dtype=np.int64), "base_score": sums[2], "score": sums[3]}
+        )
+
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return placed.groupBy("split").cogroup(answers.groupBy("split")).applyInPandas(score, schema).withColumn(
-        "doc_id", F.col("doc_id").cast(df.schema[doc_id].dataType)
-    )
+    return joined(score, schema).withColumn("doc_id", F.col("doc_id").cast(df.schema[doc_id].dataType))

@@ -252,6 +252,80 @@ def test_suffix_tree_states_sum_to_one():
         assert abs(sums - 1) < 1e-9
 
 
+def brute_force_tree(tokens, held):
+    """log10 p of each text by a suffix tree in dictionaries: all contexts and next words seen twice, tested level by level."""
+    train = [[b"", *ws] for ws, h in zip(tokens, held) if not h]
+    counts = Counter(w for line in train for w in line[1:])
+    n, v = sum(counts.values()), len(counts)
+    ones, twos = (sum(c == k for c in counts.values()) for k in (1, 2))
+    discount = min(0.95, max(0.05, ones / (ones + 2 * twos)))
+    tree, grams = {}, {(w,): c for w, c in counts.items() if c > 1}
+
+    def chance(line, i, depth):
+        p = (counts[line[i]] - discount) / n if line[i] in counts else discount * v / n
+        for k in range(1, min(depth, i) + 1):
+            total, kinds, shown = tree.get(tuple(line[i - k : i]), (0, 0, {}))
+            if total:
+                p = (shown.get(line[i], 0) + (total - sum(shown.values()) + kinds) * p) / (total + kinds)
+        return p
+
+    for k in (1, 2, 3):
+        follow = {}
+        for line in train:
+            for i in range(k, len(line)):
+                if tuple(line[i - k : i]) in grams:
+                    word = line[i] if counts[line[i]] > 1 else None
+                    follow.setdefault(tuple(line[i - k : i]), Counter())[word] += 1
+        grams, new = {}, {}
+        for h, words in follow.items():
+            total, kinds = sum(words.values()), len(words)
+            shown = {w: c for w, c in words.items() if w is not None and c > 1}
+            grams |= {(*h, w): c for w, c in shown.items()}
+            back = (total - sum(shown.values()) + kinds) / (total + kinds)
+            gain = (total - sum(shown.values())) * math.log(back)
+            for w, c in shown.items():
+                p = chance([*h, w], k, k - 1)
+                gain += c * math.log((c / (total + kinds) + back * p) / p)
+            if gain > suffix_tree.DIVERGENCE * max(1, len(shown)):
+                new[h] = (total, kinds, shown)
+        tree |= new
+    return [sum(math.log10(chance([b"", *ws], i, 3)) for i in range(1, len(ws) + 1)) for ws in tokens]
+
+
+def test_suffix_tree_as_joins_is_that_in_dictionaries(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    words = np.array([f"w{i}" for i in range(60)])
+    values = [" ".join(words[np.minimum(rng.zipf(1.3, 40) - 1, 59)]) for _ in range(120)]
+    values += [f"{values[i]} Once{i} of a kind\tand again" for i in range(30)] + [None, "", " \n", "é É"]
+    df = documents(spark, values)
+    rows = df.select("doc_id", "text").collect()
+    held = [r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 7 == 2 for r in rows]
+    scores = brute_force_tree([suffix_tree.words_of(r.text or "") + [b""] for r in rows], held)
+    wanted = {r.doc_id: s for r, s in zip(rows, scores)}
+    monkeypatch.setattr(suffix_tree, "WINDOW", 16)
+    # No heavy context, some, and only such.
+    for most in (1, 200, 1 << 40):
+        monkeypatch.setattr(suffix_tree, "HEAVY", most)
+        got = {r.doc_id: r.score for r in suffix_tree.score_documents(df).collect()}
+        assert all(abs(got[d] - p) < 1e-6 * abs(p) for d, p in wanted.items()), most
+
+
+def test_suffix_tree_learns_what_is_rare_in_a_large_corpus(spark):
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(20_000)])
+    values = [" ".join(words[rng.integers(0, 20_000, 1000)]) for _ in range(1300)]
+    phrase = "an uncommon phrase occurs four times"
+    train = [i for i in range(1300) if zlib.crc32(str(i).encode()) % 7 != 2][:4]
+    for i in train:
+        values[i] += f" {phrase}"
+    held = next(i for i in range(1300, 1400) if zlib.crc32(str(i).encode()) % 7 == 2)
+    df = spark.createDataFrame([*enumerate(values), (held, phrase)], "doc_id long, text string")
+    row = suffix_tree.score_documents(df).where(f"doc_id = {held}").first()
+    assert row.n_known == row.n_tokens == 7
+    # Five of its words follow others by which they are known almost surely.
+    assert row.score > row.base_score + 15
+
+
 def test_toxicity_holds_out_and_learns(spark):
     rng = np.random.default_rng(4)
     words = [f"w{i}" for i in range(300)]
