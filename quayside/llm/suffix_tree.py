@@ -14,10 +14,12 @@ once only is its own evidence and is left to the back-off, whatever the corpus.
 collected but the sums of heavy contexts, of which there are at most HEAVY in any corpus.
 
 Words, contexts and next words are counted level by level. Each window of WINDOW rows
-of an input partition sends the distinct n-grams of its texts, as arrays dealt by their context
-(those of heavy contexts by themselves), and gets the counts of the whole corpus back in the order
-in which it sent them. An n-gram is asked for only if its context was seen twice. Words are
-compared as bytes, contexts by 64-bit hashes, the next words of a context by 48 bits.
+of an input partition sends its distinct words, gets their counts and numbers of the whole corpus back,
+and is written once by these numbers, so that no later pass splits texts. From then on it sends the distinct
+n-grams of its texts, as arrays dealt by their context (those of heavy contexts by themselves),
+and gets the counts of the whole corpus back in the order in which it sent them. An n-gram is
+asked for only if its context was seen twice. Words are compared as bytes and then by their numbers,
+contexts by 64-bit hashes.
 
 Null texts count as empty: one token, the end. Without training rows all counts
 are 0, and the root gives each token probability 1 / (V + 1) = 1.
@@ -51,22 +53,26 @@ MODULUS, HELD_OUT = 7, 2
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 # The end token; no word is empty. It also stands before the first word, as a context.
 LAST = b""
-# Hashes of LAST, of all words that training texts hold less than SEEN times, and of next words that occur once after a context.
-LAST_KEY, OTHER_KEY, LONE_KEY = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+LAST_KEY, OTHER_KEY = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+# Numbers of all words that training texts hold less than SEEN times, and of next words that occur once after a context.
+SYMBOLS = [0, 1]
 # Chances without a level go to its test as -log in steps of 1 / STEPS, in 24 bits; the last two numbers stand for the latter two symbols.
 STEPS = 1 << 18
 LONE, OTHER = (1 << 24) - 2, (1 << 24) - 1
 CHUNK_BYTES = 1 << 20
 # Shuffled files of a written level are not needed again.
 CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+WORDS = "window long, bucket int, counts binary, counts_large array<long>, numbers array<int>, sums array<long>"
+CODED = "window long, ids array<string>, sizes array<long>, known long, codes binary, numbers binary, counts binary, sums array<long>"
+ASKED = (
+    "window long, bucket int, steps array<int>, steps_middle array<short>, steps_high array<short>, sizes array<int>, "
+    "words array<short>, words_middle array<tinyint>, words_high array<int>, n binary, n_large array<long>, "
+    "lower array<short>, finer array<tinyint>"
+)
 ANSWERS = (
     "window long, bucket int, counts binary, counts_large array<long>, over binary, over_large array<long>, "
     "rest binary, rest_large array<long>, contexts array<long>, sums array<long>, lowers array<double>"
 )
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * LAST_KEY)
 
 
@@ -79,30 +85,39 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All indexes of ranges, one range after another."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
-
-
 def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sizes and names of runs of equal values."""
-    starts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else np.zeros(0, dtype=np.int64)
+    starts = _changes(names)
     return np.diff(np.append(starts, len(names))), names[starts]
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (mixed(keys + OTHER_KEY) % np.uint64(buckets)).astype(np.int64)
-
-
-def _order(bucket: np.ndarray, context: np.ndarray, contexts: int) -> np.ndarray:
-    """The order by bucket, context and place."""
-    bits = len(bucket).bit_length()
-    both = bucket * max(contexts, 1) + context
-    if int(both.max(initial=0)).bit_length() + bits < 63:
-        # Sorting numbers that hold their place is much faster than a stable sort of places.
-        return np.sort((both << bits) | np.arange(len(both))) & ((1 << bits) - 1)
-    return np.argsort(both, kind="stable")
+    """Buckets of mixed hashes; larger hashes are in no smaller bucket."""
+    return (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _sorted(codes: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of at most ``largest`` in order, and their places."""
+    bits = len(codes).bit_length()
+    if int(largest).bit_length() + bits < 63:
+        # Sorting numbers that hold their place is much faster than sorting places.
+        both = codes << bits
+        both |= np.arange(len(codes))
+        both.sort()
+        places = both & ((1 << bits) - 1)
+        both >>= bits
+        return both, places
+    order = np.argsort(codes, kind="stable")
+    return codes[order], order
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """The rows that differ from the one before."""
+    out = np.zeros(len(columns[0]), dtype=bool)
+    out[:1] = True
+    for values in columns:
+        out[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(out)
 
 
 def _lists(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
@@ -113,50 +128,48 @@ def _sizes(lists: pa.ListArray) -> np.ndarray:
     return lists.value_lengths().to_numpy()
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All words of texts in bytes: their bytes in lower case on end, lengths and hashes, and each text's number of words."""
-    chars, lengths, hashes, per_text = [], [], [], []
-    a, texts = 0, len(offsets) - 1
-    while a < texts:
+def _split(data: bytes, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Texts in lower-case bytes: their distinct words, the number of each word in these, and each text's number of words."""
+    texts = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+    found = pa.compute.ascii_split_whitespace(texts)
+    words, sizes = found.flatten(), _sizes(found).astype(np.int64)
+    # White space before the first word or after the last one leaves an empty word.
+    real = pa.compute.binary_length(words).to_numpy() > 0
+    if not real.all():
+        ends = np.concatenate([[0], np.cumsum(real)])
+        words, sizes = words.filter(pa.array(real)), np.diff(ends[_offsets(sizes)])
+    coded = words.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), sizes
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words that are not empty."""
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    chars = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+    sizes, out = np.diff(offsets), []
+    odd = mixed(np.arange(1, int(sizes.max()) + 1, dtype=np.uint64) * OTHER_KEY) | np.uint64(1)
+    a = 0
+    while a < len(words):
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK_BYTES, "right")) - 1)
-        part = data[offsets[a] : offsets[b]]
-        inside = np.zeros(len(part) + 1, dtype=bool)
-        inside[:-1] = ~_SPACE[part]
-        # A word begins after white space or at the start of a text, and ends before either.
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
-        ends = inside.copy()
-        ends[:-1] &= ~inside[1:]
-        bounds = offsets[a : b + 1] - offsets[a]
-        begins[bounds] = inside[bounds]
-        edges = bounds[bounds > 0] - 1
-        ends[edges] = inside[edges]
-        first = np.flatnonzero(begins)
-        sizes = np.flatnonzero(ends) - first + 1
-        kept = _LOWER[part[inside[:-1]]]
-        starts = np.cumsum(sizes) - sizes
-        odd = mixed(np.arange(1, int(sizes.max(initial=0)) + 1, dtype=np.uint64) * OTHER_KEY) | np.uint64(1)
-        chars.append(kept)
-        lengths.append(sizes)
-        if len(first):
-            place = np.arange(len(kept), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
-            hashes.append(np.add.reduceat(_BYTES[kept] * odd[place], starts))
-        per_text.append(np.diff(np.searchsorted(first, bounds)))
+        starts = offsets[a:b] - offsets[a]
+        place = np.arange(offsets[b] - offsets[a]) - np.repeat(starts, sizes[a:b])
+        out.append(np.add.reduceat(_BYTES[chars[offsets[a] : offsets[b]]] * odd[place], starts))
         a = b
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
-    return join(chars, np.uint8), join(lengths, np.int64), join(hashes, np.uint64), join(per_text, np.int64)
+    return np.concatenate(out)
 
 
-def _windows(batches):
-    """``window, ids, sizes, texts``: the texts of a window in one row, compressed; its rows follow one another."""
+def _stretches(batches):
+    """``window, ids, sizes, texts`` of each window, the texts on end in bytes; the rows of a window follow one another."""
 
-    def row(window, parts):
+    def joined(window, parts):
         texts = pa.chunked_array([p.column("text") for p in parts]).combine_chunks().cast(pa.large_binary()).fill_null(b"")
         ids = pa.concat_arrays([p.column("doc_id") for p in parts])
-        blob = pa.compress(b"".join(texts.to_pylist()), codec="zstd", asbytes=True)
         sizes = pa.compute.binary_length(texts).cast(pa.int64())
-        one = np.array([len(texts)])
-        return pa.record_batch({"window": [window], "ids": _lists(ids, one), "sizes": _lists(sizes, one), "texts": pa.array([blob], pa.binary())})
+        begin = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset]
+        data = texts.buffers()[2]
+        return window, ids, sizes, data[begin : begin + int(sizes.to_numpy().sum())].to_pybytes() if data else b""
 
     at, held = None, []
     for batch in batches:
@@ -164,13 +177,37 @@ def _windows(batches):
         start = 0
         for size, name in zip(sizes.tolist(), names.tolist()):
             if held and name != at:
-                yield row(at, held)
+                yield joined(at, held)
                 held = []
             at = name
             held.append(batch.slice(start, size))
             start += size
     if held:
-        yield row(at, held)
+        yield joined(at, held)
+
+
+def _windows(batches):
+    """The same as rows, the texts compressed."""
+    for window, ids, sizes, texts in _stretches(batches):
+        one, blob = np.array([len(ids)]), pa.compress(texts, codec="zstd", asbytes=True)
+        yield pa.record_batch({"window": [window], "ids": _lists(ids, one), "sizes": _lists(sizes, one), "texts": pa.array([blob], pa.binary())})
+
+
+def _held(ids: pa.Array) -> np.ndarray:
+    return np.array([remainder(d, MODULUS) == HELD_OUT for d in ids.to_pylist()])
+
+
+def _pressed(values: np.ndarray) -> bytes:
+    """Numbers compressed: the first byte of each, then the second one, and so on."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+
+
+def _opened(data: bytes, size: int, kind) -> np.ndarray:
+    """The numbers of `_pressed`."""
+    width = np.dtype(kind).itemsize
+    planes = pa.decompress(data, decompressed_size=size * width, codec="zstd", asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(width, size).T).view(kind).ravel()
 
 
 def _packed(values: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -292,56 +329,35 @@ class Tree:
         self.grams.append(codes[counts >= least])
 
 
-class Asked:
-    """What the texts of one window ask for, and its answers so far.
+class Texts:
+    """The words of the texts of one window, ``code`` by their numbers in ``dictionary``; the last number is that of LAST."""
 
-    Tokens are the words between two LAST of each text. ``chance``: the probability of each token by the
-    contexts of the levels answered. ``state``: for each token the number of the n-gram up to it that may be a
-    context of the next level, or -1; ``keys`` and ``counts``: hashes of these n-grams, and how often training
-    texts hold them (0: less than SEEN times, or with a rare word).
-    """
+    def __init__(self, ids: pa.Array, sizes: pa.Array, texts: bytes):
+        self.ids = ids
+        self.dictionary, words, per_text = _split(texts.lower(), _offsets(sizes.to_numpy()))
+        # A text's words and LAST.
+        self.sizes = per_text + 1
+        inner = np.ones(int(self.sizes.sum()), dtype=bool)
+        inner[np.cumsum(self.sizes) - 1] = False
+        self.code = np.full(len(inner), len(self.dictionary), dtype=np.int32)
+        self.code[inner] = words
+        self.words = mixed(np.append(_hashes(self.dictionary), LAST_KEY))
 
-    def __init__(self, table: pa.Table):
-        (ids,), (sizes,), (blob,) = (table[c].to_pylist() for c in ("ids", "sizes", "texts"))
-        offsets = _offsets(sizes).astype(np.int64)
-        data = np.frombuffer(pa.decompress(blob, decompressed_size=int(offsets[-1]), codec="zstd"), dtype=np.uint8)
-        self.doc_id = pa.array(ids, pa.string())
-        self.held = np.array([remainder(d, MODULUS) == HELD_OUT for d in ids])
-        self.chars, self.lengths, words, per_text = _words(data, offsets)
-        sizes = per_text + 2
-        self.starts = np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
-        self.real = np.ones(total, dtype=bool)
-        self.real[self.starts] = False
-        self.inner = self.real.copy()
-        self.inner[self.starts + sizes - 1] = False
-        hashes = np.full(total, LAST_KEY)
-        hashes[self.inner] = words
-        self.train = np.repeat(~self.held, sizes)
-        self.code, self.words = pd.factorize(hashes)
+    @classmethod
+    def of(cls, row: pa.Table) -> Texts:
+        """The texts of a row of `_windows`."""
+        ids, sizes = (row[c].combine_chunks().flatten() for c in ("ids", "sizes"))
+        size = int(sizes.to_numpy().sum())
+        return cls(ids, sizes, pa.decompress(row["texts"][0].as_py(), decompressed_size=size, codec="zstd", asbytes=True))
 
     def word_rows(self, window: int, buckets: int) -> pa.Table:
         """``window, bucket, words, n``: distinct words in bytes and their counts in training texts."""
-        lengths = np.zeros(len(self.code), dtype=np.int64)
-        lengths[self.inner] = self.lengths
-        places = np.cumsum(lengths) - lengths
-        first = np.zeros(len(self.words), dtype=np.int64)
-        first[self.code[::-1]] = np.arange(len(self.code) - 1, -1, -1)
-        # Equal hashes must be equal words: each token is compared with the first of its hash.
-        for a in range(0, len(self.code), 1 << 17):
-            part = slice(a, a + (1 << 17))
-            model = first[self.code[part]]
-            if (lengths[part] != lengths[model]).any():
-                raise ValueError("two words of one hash")
-            here = slice(places[a], places[a] + lengths[part].sum())
-            if (self.chars[_ranges(places[model], lengths[part])] != self.chars[here]).any():
-                raise ValueError("two words of one hash")
-        n = np.bincount(self.code[self.train & self.real], minlength=len(self.words))
+        if len(np.unique(self.words)) < len(self.words):
+            raise ValueError("two words of one hash")
+        n = np.bincount(self.code[np.repeat(~_held(self.ids), self.sizes)], minlength=len(self.words))
         bucket, order = self._word_order(buckets)
         sizes, names = _runs(bucket[order])
-        taken = first[order]
-        data = np.ascontiguousarray(self.chars[_ranges(places[taken], lengths[taken])])
-        values = pa.Array.from_buffers(pa.binary(), len(order), [None, pa.py_buffer(_offsets(lengths[taken])), pa.py_buffer(data)])
+        values = pa.concat_arrays([self.dictionary.cast(pa.binary()), pa.array([LAST])]).take(pa.array(order))
         return pa.table(
             {"window": np.full(len(names), window), "bucket": names.astype(np.int32), "words": _lists(values, sizes),
              "n": _lists(pa.array(n[order].astype(np.int64)), sizes)}
@@ -349,106 +365,178 @@ class Asked:
 
     def _word_order(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         bucket = _bucket(self.words, buckets)
-        return bucket, np.argsort(bucket, kind="stable")
+        return bucket, _sorted(bucket, buckets)[1]
 
-    def take_words(self, answers: pa.Table, buckets: int, root) -> None:
-        _, order = self._word_order(buckets)
-        self.train_counts = np.empty(len(order), dtype=np.int64)
-        self.train_counts[order] = _unpack(answers, "counts", len(order))
+    def coded(self, window: int, answers: pa.Table, buckets: int) -> pa.Table:
+        """A row of CODED: the texts by the numbers and counts that all windows have of their words.
+
+        Words that training texts hold SEEN times get a number here in the order of those; after them come all
+        that they hold never, all that they hold once, and so on.
+        """
+        bucket, order = self._word_order(buckets)
+        counts, numbers = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
+        counts[order] = _unpack(answers, "counts", len(order))
+        numbers[order] = answers["numbers"].combine_chunks().flatten().to_numpy()
+        numbers = numbers * buckets + bucket + len(SYMBOLS)
+        known = np.flatnonzero(counts >= SEEN)
+        known = known[np.argsort(numbers[known])]
+        here = (len(known) + counts).astype(np.int32)
+        here[known] = np.arange(len(known))
+        sums = np.sum([x for x in answers["sums"].to_pylist() if x] or [[0] * 4], axis=0)
+        one = np.array([1])
+        return pa.table(
+            {"window": [window], "ids": _lists(self.ids, np.array([len(self.ids)])), "sizes": _lists(pa.array(self.sizes), np.array([len(self.sizes)])),
+             "known": [len(known)], "codes": pa.array([_pressed(here[self.code])], pa.binary()),
+             "numbers": pa.array([_pressed(np.diff(numbers[known], prepend=0))], pa.binary()),
+             "counts": pa.array([_pressed(counts[known])], pa.binary()), "sums": _lists(pa.array(sums.astype(np.int64)), one * len(sums))}
+        )
+
+
+class Asked:
+    """What the texts of one window ask for, and its answers so far.
+
+    Tokens are the words between two LAST of each text. ``chance``: the probability of each token by the
+    contexts of the levels answered. ``state``: for each token the number of the n-gram up to it that may be a
+    context of the next level, or -1; ``keys`` and ``counts``: hashes of these n-grams, and how often training
+    texts hold them (0: less than SEEN times, or with a rare word).
+    """
+
+    def __init__(self, row: pa.Table, root):
+        self.ids, sizes = (row[c].combine_chunks().flatten() for c in ("ids", "sizes"))
+        sizes = sizes.to_numpy()
+        self.held = _held(self.ids)
+        (self.known,), (codes,), (numbers,), (counts,) = (row[c].to_pylist() for c in ("known", "codes", "numbers", "counts"))
+        codes = _opened(codes, int(sizes.sum()), np.int32)
+        self.starts = np.cumsum(sizes + 1) - sizes - 1
+        self.real = np.ones(len(codes) + len(sizes), dtype=bool)
+        self.real[self.starts] = False
+        self.code = np.full(len(self.real), codes[-1], dtype=np.int32)
+        self.code[self.real] = codes
+        self.train = np.repeat(~self.held, sizes + 1)
+        self.counts = _opened(counts, self.known, np.int64)
+        self.train_counts = np.append(self.counts, np.arange(SEEN))
+        # Of each known word, and after them of SYMBOLS.
+        self.numbers = np.append(np.cumsum(_opened(numbers, self.known, np.int64)), SYMBOLS)
+        self.names = mixed(self.numbers.astype(np.uint64) + OTHER_KEY)
+        self.keys = self.names[: self.known]
         self.chance = root(self.train_counts)[self.code]
-        self.rare = self.train_counts < SEEN
-        # The same, and after them the symbols of rare words and of next words that occur once.
-        self.names = np.append(mixed(self.words), [OTHER_KEY, LONE_KEY])
-        self.state = np.where(self.rare[self.code], -1, self.code)
-        self.keys, self.counts = self.names[:-2], self.train_counts
+        self.state = np.where(self.code < self.known, self.code, np.int32(-1))
 
     def ask(self, level: int, buckets: int, heavy: int) -> None:
         """The distinct n-grams of a context of ``level`` words and a next word, in the order in which they are sent."""
-        before = np.full(len(self.state), -1)
+        before = np.full(len(self.state), -1, dtype=np.int32)
         before[1:] = self.state[:-1]
         at = np.flatnonzero((before >= 0) & self.real)
-        before, state, word = before[at], self.state[at], self.code[at]
+        before, word = before[at], np.minimum(self.code[at], self.known)
         # Rarer than SEEN without its first word, an n-gram occurs once: each occurrence is a next word of its own.
-        known = ~self.rare[word]
-        lone = known & (state < 0)
-        word[~known], word[lone] = len(self.names) - 2, len(self.names) - 1
+        lone = (self.state[at] < 0) & (word < self.known)
+        word[lone] = self.known + 1
+        size = len(self.names)
         if level > 1:
             # With less than SEEN others, no next word can be one that makes up a context.
             use = (self.counts - np.bincount(before[lone & self.train[at]], minlength=len(self.counts)) >= SEEN)[before]
             at, before, word = at[use], before[use], word[use]
-        size = len(self.names)
-        gram, both = pd.factorize(before * size + word)
-        contexts, words = both // size, both % size
         used = np.zeros(len(self.counts), dtype=bool)
-        used[contexts] = True
-        own = (np.cumsum(used) - 1)[contexts]
-        context_keys, big = self.keys[used], self.counts[used] > heavy
-        grams = mixed(context_keys[own] + mixed(self.names[words] ^ np.uint64(level)))
-        bucket = _bucket(context_keys, buckets)[own]
-        apart = big[own]
-        bucket[apart] = buckets + _bucket(grams[apart], buckets)
-        order = _order(bucket, own, len(context_keys))
-        self.at, self.gram, self.order = at, gram, order
-        self.bucket, self.grams, words, own = bucket[order], grams[order], words[order], own[order]
-        lower = np.empty(len(both))
-        lower[gram] = self.chance[at]
-        self.lower = np.minimum(np.rint(np.log(lower[order]) * -STEPS), LONE - 1).astype(np.uint32)
-        self.lower[words == size - 2], self.lower[words == size - 1] = OTHER, LONE
-        self.words_asked = mixed(self.names[words])
-        # One entry per context and bucket, in the same order.
-        change = np.ones(len(own), dtype=bool)
-        change[1:] = (own[1:] != own[:-1]) | (self.bucket[1:] != self.bucket[:-1])
-        self.entry = np.cumsum(change) - 1
-        self.entry_first = np.flatnonzero(change)
-        self.contexts, self.big = context_keys[own[change]], big[own[change]]
-
-    def gram_rows(self, window: int) -> pa.Table:
-        n = np.bincount(self.gram[self.train[self.at]], minlength=len(self.grams)).astype(np.int32)[self.order]
-        sizes, names = _runs(self.bucket)
-        entry_sizes = np.diff(np.append(self.entry_first, len(self.grams)))
-        entries = _runs(self.bucket[self.entry_first])[0]
+        used[before] = True
+        used = np.flatnonzero(used)
+        # Contexts by hash, so by bucket, and after them the heavy ones.
+        used = used[np.argsort(self.keys[used])]
+        big = self.counts[used] > heavy
+        used = np.concatenate([used[~big], used[big]])
+        self.small = len(used) - int(big.sum())
+        rank = np.zeros(len(self.counts), dtype=np.int32)
+        rank[used] = np.arange(len(used))
+        self.at, self.context, self.contexts = at, rank[before], self.keys[used]
+        codes, order = _sorted(self.context * np.int64(size) + word, len(used) * size)
+        first = _changes(codes)
+        codes = codes[first]
+        self.own = codes // size
+        self.next = codes - self.own * size
+        self.gram = np.empty(len(at), dtype=np.int32)
+        self.gram[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(at))))
+        self.first = order[first]
+        self.grams = mixed(self.contexts[self.own] + mixed(self.names ^ np.uint64(level))[self.next])
+        # Next words of heavy contexts are dealt by themselves, and sent in the order ``moved``.
+        self.apart = int(np.searchsorted(self.own, self.small))
+        dealt = _bucket(self.grams[self.apart :], buckets) * len(used) + self.own[self.apart :]
+        self.dealt, self.moved = _sorted(dealt, buckets * len(used))
+        self.moved += self.apart
+
+    def gram_rows(self, window: int, buckets: int) -> pa.Table:
+        sent = lambda values: np.concatenate([values[: self.apart], values[self.moved]])
+        n = np.bincount(self.gram[self.train[self.at]], minlength=len(self.grams))
+        lower = np.minimum(np.rint(np.log(self.chance[self.at[self.first]]) * -STEPS), LONE - 1).astype(np.uint32)
+        lower[self.next == self.known], lower[self.next == self.known + 1] = OTHER, LONE
+        lower, numbers = sent(lower), self.numbers[sent(self.next)]
+        own = np.concatenate([self.own[: self.apart], self.dealt % max(len(self.contexts), 1)])
+        bucket = np.concatenate([_bucket(self.contexts, buckets)[self.own[: self.apart]], buckets + self.dealt // max(len(self.contexts), 1)])
+        sizes, names = _runs(bucket)
+        counts, counts_large = _packed(sent(n), sizes)
+        # One entry per context and bucket.
+        entry = _changes(own, bucket)
+        contexts, entries = self.contexts[own[entry]], _runs(bucket[entry])[0]
+        # The contexts of a bucket grow: each is sent as what it adds to the one before.
+        steps = contexts.copy()
+        steps[1:] -= contexts[:-1]
+        starts = np.cumsum(entries) - entries
+        steps[starts] = contexts[starts]
         return pa.table(
             {"window": np.full(len(names), window), "bucket": names.astype(np.int32),
-             "contexts": _lists(pa.array(self.contexts.view(np.int64)), entries),
-             "sizes": _lists(pa.array(entry_sizes.astype(np.int32)), entries),
-             "high": _lists(pa.array((self.words_asked >> np.uint64(32)).astype(np.uint32).view(np.int32)), sizes),
-             "low": _lists(pa.array(self.words_asked.astype(np.uint16).view(np.int16)), sizes),
-             "n": _lists(pa.array(n), sizes),
-             "lower": _lists(pa.array((self.lower >> 8).astype(np.uint16).view(np.int16)), sizes),
-             "finer": _lists(pa.array(self.lower.astype(np.uint8).view(np.int8)), sizes)}
+             "steps": _lists(pa.array(steps.astype(np.uint32).view(np.int32)), entries),
+             "steps_middle": _lists(pa.array((steps >> np.uint64(32)).astype(np.uint16).view(np.int16)), entries),
+             "steps_high": _lists(pa.array((steps >> np.uint64(48)).astype(np.uint16).view(np.int16)), entries),
+             "sizes": _lists(pa.array(np.diff(np.append(entry, len(own))).astype(np.int32)), entries),
+             "words": _lists(pa.array(numbers.astype(np.uint16).view(np.int16)), sizes),
+             "words_middle": _lists(pa.array((numbers >> 16).astype(np.uint8).view(np.int8)), sizes),
+             "words_high": _lists(pa.array((numbers >> 24).astype(np.int32)), sizes),
+             "n": counts, "n_large": counts_large,
+             "lower": _lists(pa.array((lower >> 8).astype(np.uint16).view(np.int16)), sizes),
+             "finer": _lists(pa.array(lower.astype(np.uint8).view(np.int8)), sizes)}
         )
 
     def take(self, answers: pa.Table, large: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
         """Take the answers to `ask`. ``large``: sorted heavy contexts, their ``over`` and ``rest``."""
-        size, entries = len(self.grams), len(self.contexts)
-        counts = _unpack(answers, "counts", size)
-        over, rest = _unpack(answers, "over", entries), _unpack(answers, "rest", entries)
-        if self.big.any():
-            wanted = self.contexts[self.big].view(np.int64)
+        found = _unpack(answers, "counts", len(self.grams))
+        counts = found.copy()
+        counts[self.moved] = found[self.apart :]
+        over, rest = _unpack(answers, "over", self.small), _unpack(answers, "rest", self.small)
+        wanted = self.contexts[self.small :].view(np.int64)
+        if len(wanted):
             place = np.searchsorted(large[0], wanted)
             if not len(large[0]) or (large[0][place.clip(max=len(large[0]) - 1)] != wanted).any():
                 raise ValueError("a context without an answer: the passes over the input read different rows")
-            over[self.big], rest[self.big] = large[1][place], large[2][place]
-        shown = (counts >= SEEN) & (self.lower < LONE)
+            over, rest = np.concatenate([over, large[1][place]]), np.concatenate([rest, large[2][place]])
+        shown = (counts >= SEEN) & (self.next < self.known)
         kept, below = over > 0, np.maximum(over, 1)
-        share = np.where(shown & kept[self.entry], counts / below[self.entry], 0.0)
-        back = np.where(kept, rest / below, 1.0)[self.entry]
-        place = np.empty(size, dtype=np.int64)
-        place[self.order] = np.arange(size)
-        place = place[self.gram]
-        self.chance[self.at] = share[place] + back[place] * self.chance[self.at]
-        self.state = np.full(len(self.state), -1)
-        self.state[self.at] = np.where(shown[place], place, -1)
+        share = np.where(shown & kept[self.own], counts / below[self.own], 0.0)
+        back = np.where(kept, rest / below, 1.0)
+        self.chance[self.at] = share[self.gram] + back[self.context] * self.chance[self.at]
+        self.state = np.full(len(self.state), -1, dtype=np.int32)
+        self.state[self.at] = np.where(shown[self.gram], self.gram, np.int32(-1))
         self.keys, self.counts = self.grams, np.where(shown, counts, 0)
 
 
 def count_words(rows: pa.Table) -> pa.Table:
-    """The words of one bucket: their counts over all windows, for each window in the order in which it asked."""
+    """The words of one bucket: their counts over all windows and their numbers there, the most frequent first.
+
+    Each window gets them in the order in which it asked, the first one also the sums of the bucket.
+    """
     words, n = rows["words"].combine_chunks(), rows["n"].combine_chunks()
-    code = words.flatten().dictionary_encode()
-    counts = np.bincount(code.indices.to_numpy(), weights=n.flatten().to_numpy(), minlength=len(code.dictionary)).astype(np.int64)
+    found = words.flatten().dictionary_encode()
+    code = found.indices.to_numpy()
+    counts = np.bincount(code, weights=n.flatten().to_numpy(), minlength=len(found.dictionary)).astype(np.int64)
+    numbers = np.empty(len(counts), dtype=np.int32)
+    numbers[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
+    # Rare words need no number.
+    numbers[counts < SEEN] = 0
     sums = [counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()]
-    return _answers(rows, {"counts": (counts[code.indices.to_numpy()], _sizes(words))}, np.zeros(0, np.int64), np.array(sums), np.zeros(0))
+    sizes, first = _sizes(words), np.zeros(rows.num_rows, dtype=np.int64)
+    first[0] = len(sums)
+    small, large = _packed(counts[code], sizes)
+    return pa.table(
+        {"window": rows["window"], "bucket": rows["bucket"], "counts": small, "counts_large": large,
+         "numbers": _lists(pa.array(numbers[code]), sizes), "sums": _lists(pa.array(np.array(sums, dtype=np.int64)), first)}
+    )
 
 
 def count_grams(buckets: int):
@@ -459,27 +547,33 @@ def count_grams(buckets: int):
     """
 
     def count(rows: pa.Table) -> pa.Table:
-        contexts, sizes, high = (rows[c].combine_chunks() for c in ("contexts", "sizes", "high"))
-        flat = lambda c: rows[c].combine_chunks().flatten().to_numpy()
-        entry, names = pd.factorize(contexts.flatten().to_numpy())
-        of = np.repeat(entry, sizes.flatten().to_numpy())
-        next_word = (flat("high").view(np.uint32).astype(np.uint64) << np.uint64(16)) | flat("low").view(np.uint16)
-        gram, distinct = pd.factorize(mixed(names.view(np.uint64)[of] + mixed(next_word)))
+        steps, words = rows["steps"].combine_chunks(), rows["words"].combine_chunks()
+        flat = lambda c, kind: rows[c].combine_chunks().flatten().to_numpy().view(kind).astype(np.uint64)
+        contexts = flat("steps", np.uint32) | flat("steps_middle", np.uint16) << np.uint64(32) | flat("steps_high", np.uint16) << np.uint64(48)
+        entries, asked_sizes = _sizes(steps).astype(np.int64), _sizes(words).astype(np.int64)
+        sums, starts = np.cumsum(contexts), np.cumsum(entries) - entries
+        contexts = sums - np.repeat(sums[starts] - contexts[starts], entries)
+        entry, names = pd.factorize(contexts)
+        of = np.repeat(entry, flat("sizes", np.uint32).astype(np.int64))
+        word = flat("words", np.uint16) | flat("words_middle", np.uint8) << np.uint64(16) | flat("words_high", np.uint32) << np.uint64(24)
+        span = int(word.max()) + 1
+        if span * len(names) < 1 << 63:
+            gram, distinct = pd.factorize(of * span + word.astype(np.int64))
+        else:
+            gram, distinct = pd.factorize(mixed(names[of] + mixed(word)))
         own, lower = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct))
-        own[gram], lower[gram] = of, flat("lower").view(np.uint16) * 256.0 + flat("finer").view(np.uint8)
+        own[gram], lower[gram] = of, flat("lower", np.uint16) * 256.0 + flat("finer", np.uint8)
         other, lone = lower == OTHER, lower == LONE
         lower = np.exp(lower / -STEPS)
-        c = np.bincount(gram, weights=flat("n"), minlength=len(distinct))
+        c = np.bincount(gram, weights=_unpack(rows, "n", len(gram)), minlength=len(distinct))
         kinds = np.where(lone, c, c > 0)
         shown = (c >= SEEN) & ~other & ~lone
         add = lambda what: np.bincount(own, weights=what, minlength=len(names))
-        asked = {"counts": (c[gram].astype(np.int64), _sizes(high))}
-        empty = np.zeros(len(entry), dtype=np.int64)
+        asked = {"counts": (np.where(shown, c, 0).astype(np.int64)[gram], asked_sizes)}
         if rows["bucket"][0].as_py() >= buckets:
             seen, others = add(c * ~shown), add(kinds * ~shown)
-            both = [(names[own[shown]], c[shown], lower[shown]), (names, seen, -others)]
+            both = [(names.view(np.int64)[own[shown]], c[shown], lower[shown]), (names.view(np.int64), seen, -others)]
             parts = [np.concatenate(x) for x in zip(*both)]
-            asked |= {"over": (empty, _sizes(contexts)), "rest": (empty, _sizes(contexts))}
             return _answers(rows, asked, parts[0], parts[1].astype(np.int64), parts[2])
         total, shares = add(c), add(c * shown)
         over, rest = total + add(kinds), total - shares + add(kinds)
@@ -490,7 +584,7 @@ def count_grams(buckets: int):
         gains = add(gain) + (total - shares) * np.log(np.maximum(back, 1e-12))
         kept = (gains > DIVERGENCE * add(shown).clip(1)) & (total > 0)
         for name, value in (("over", over), ("rest", rest)):
-            asked[name] = (np.where(kept, value, 0).astype(np.int64)[entry], _sizes(contexts))
+            asked[name] = (np.where(kept, value, 0).astype(np.int64)[entry], entries)
         return _answers(rows, asked, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
     return count
@@ -537,14 +631,19 @@ def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     texts = given.mapInArrow(_windows, "window long, ids array<string>, sizes array<long>, texts binary")
 
     def words(batches):
-        for row in _windows(batches):
-            yield from Asked(pa.Table.from_batches([row])).word_rows(row["window"][0].as_py(), buckets).to_batches()
+        for window, ids, sizes, text in _stretches(batches):
+            yield from Texts(ids, sizes, text).word_rows(window, buckets).to_batches()
+
+    def coded(own: pa.Table, found: pa.Table) -> pa.Table:
+        return Texts.of(own).coded(own["window"][0].as_py(), found.sort_by("bucket"), buckets)
 
     with settings(spark, CLEANED):
         asked = given.mapInArrow(words, "window long, bucket int, words array<binary>, n array<long>")
-        answers = cut_lineage(asked.groupBy("bucket").applyInArrow(count_words, ANSWERS), "words")
+        known = asked.groupBy("bucket").applyInArrow(count_words, WORDS)
+        texts = texts.groupBy("window").cogroup(known.groupBy("window")).applyInArrow(coded, CODED)
+        texts = cut_lineage(texts, "words")
         sums = [F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)) for i in range(4)]
-        n, v, ones, twos = answers.where("window < 0").agg(*sums).first()
+        n, v, ones, twos = texts.agg(*sums).first()
     discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.05
 
     def root(counts: np.ndarray) -> np.ndarray:
@@ -553,43 +652,42 @@ def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             return np.ones(len(counts))
         return np.where(counts > 0, (counts - discount) / n, discount * v / n)
 
-    levels, large = [answers], []
+    levels, large = [], []
     heavy = n // HEAVY
 
-    def answered(own: pa.Table, found: pa.Table) -> Asked:
-        at = Asked(own)
-        # Only the first pass needs them.
-        at.chars = at.lengths = None
-        found = found.sort_by([("level", "ascending"), ("bucket", "ascending")])
-        level = found["level"].to_numpy()
-        of = lambda k: found.slice(np.searchsorted(level, k), (level == k).sum())
-        at.take_words(of(0), buckets, root)
+    def answered(own: pa.Table, found: pa.Table | None) -> Asked:
+        at = Asked(own, root)
+        if large:
+            found = found.sort_by([("level", "ascending"), ("bucket", "ascending")])
+            level = found["level"].to_numpy()
         for k, sums in enumerate(large, 1):
             at.ask(k, buckets, heavy)
-            at.take(of(k), sums)
+            at.take(found.slice(np.searchsorted(level, k), (level == k).sum()), sums)
         return at
 
     def joined(function, schema: str) -> DataFrame:
+        own, every = texts.drop("sums").groupBy("window"), None
+        if not levels:
+            return own.applyInArrow(lambda table: function(table, None), schema)
         columns = ["window", "bucket", "counts", "counts_large", "over", "over_large", "rest", "rest_large"]
-        every = None
-        for k, own in enumerate(levels):
-            part = own.where("window >= 0").select(F.lit(k).alias("level"), *columns)
+        for k, answers in enumerate(levels, 1):
+            part = answers.where("window >= 0").select(F.lit(k).alias("level"), *columns)
             every = part if every is None else every.unionByName(part)
-        return texts.groupBy("window").cogroup(every.groupBy("window")).applyInArrow(function, schema)
+        return own.cogroup(every.groupBy("window")).applyInArrow(function, schema)
 
-    def grams(own: pa.Table, found: pa.Table) -> pa.Table:
+    def grams(own: pa.Table, found: pa.Table | None) -> pa.Table:
         at = answered(own, found)
         at.ask(len(large) + 1, buckets, heavy)
-        return at.gram_rows(own["window"][0].as_py())
+        return at.gram_rows(own["window"][0].as_py(), buckets)
 
     for _ in range(DEPTH if n else 0):
         with settings(spark, CLEANED):
-            asked = joined(grams, "window long, bucket int, contexts array<long>, sizes array<int>, high array<int>, low array<short>, n array<int>, lower array<short>, finer array<tinyint>")
+            asked = joined(grams, ASKED)
             levels.append(cut_lineage(asked.groupBy("bucket").applyInArrow(count_grams(buckets), ANSWERS), "next-words"))
             found = heavy_contexts(levels[-1])
         large.append(found)
 
-    def score(own: pa.Table, found: pa.Table) -> pa.Table:
+    def score(own: pa.Table, found: pa.Table | None) -> pa.Table:
         at = answered(own, found)
         counts = at.train_counts[at.code]
         base = np.log10(counts + 1.0) - np.log10(n + v + 1.0)
@@ -598,7 +696,7 @@ def score_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         values = (np.ones(len(real)), counts > 0, base, np.log10(at.chance))
         sums = [np.add.reduceat(x * real, at.starts) for x in values]
         return pa.table(
-            {"doc_id": at.doc_id, "held_out": at.held, "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64),
+            {"doc_id": at.ids, "held_out": at.held, "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64),
              "train_tokens": np.full(len(at.held), n, dtype=np.int64), "base_score": sums[2], "score": sums[3]}
         )
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,6 +311,47 @@ def test_suffix_tree_as_joins_is_that_in_dictionaries(spark, monkeypatch):
         assert all(abs(got[d] - p) < 1e-6 * abs(p) for d, p in wanted.items()), most
 
 
+def test_suffix_tree_splits_words_as_the_base_does():
+    odd = ["", " ", "  a\tB  c\n", "x\x0by\x0cz\r", "a\x00 a \x1c\x1f", "É\xa0é\u2003w \x85", "\x7f\x08 \x0e", "😀 A-Z [\\]^_` aZ", "b" * 3000, "end "]
+    for values in (odd, [""], odd[2:4] * 700):
+        data = [v.encode() for v in values]
+        words = suffix_tree.Texts(pa.array([str(i) for i in range(len(data))]), pa.array([len(d) for d in data], pa.int64()), b"".join(data))
+        found = [*(w.encode() for w in words.dictionary.to_pylist()), b""]
+        wanted = [w for v in values for w in [*suffix_tree.words_of(v), b""]]
+        assert [found[c] for c in words.code] == wanted
+        assert words.sizes.tolist() == [len(suffix_tree.words_of(v)) + 1 for v in values]
+        assert len(set(words.words.tolist())) == len(found)
+
+
+def test_suffix_tree_reads_texts_for_its_words_only(spark, tmp_path):
+    documents(spark, texts()).write.parquet(f"{tmp_path}/documents")
+    scored = suffix_tree.score_documents(spark.read.parquet(f"{tmp_path}/documents"))
+    # The tree's passes read windows by the numbers of their words.
+    assert scored.inputFiles() and not [f for f in scored.inputFiles() if str(tmp_path) in f]
+
+
+def test_suffix_tree_sends_n_grams_in_few_bytes():
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(60_000)])
+    values = [" ".join(words[rng.zipf(1.2, 200) % 60_000]).encode() for _ in range(2000)]
+    ids, sizes = pa.array([str(i) for i in range(2000)]), pa.array([len(v) for v in values], pa.int64())
+    window, buckets = suffix_tree.Texts(ids, sizes, b"".join(values)), 16
+    asked = window.word_rows(0, buckets)
+    answers = pa.concat_tables(suffix_tree.count_words(asked.slice(i, 1)) for i in range(asked.num_rows))
+    at = suffix_tree.Asked(window.coded(0, answers, buckets), lambda counts: (counts + 1.0) / 500_000)
+    at.ask(1, buckets, 5000)
+    rows = at.gram_rows(0, buckets)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(rows)
+    # With whole hashes of contexts, 48 bits of a next word and 32 of a count these were 10.4 bytes each.
+    assert len(at.grams) > 100_000 and sink.getvalue().size < 7 * len(at.grams)
+    # Compressed, the numbers of the words need less than the texts.
+    coded = window.coded(0, answers, buckets)
+    size = sum(len(coded[c][0].as_py()) for c in ("codes", "numbers", "counts"))
+    assert size < len(pa.compress(b"".join(values), codec="zstd", asbytes=True))
+
+
 def test_suffix_tree_learns_what_is_rare_in_a_large_corpus(spark):
     rng = np.random.default_rng(5)
     words = np.array([f"w{i}" for i in range(20_000)])
